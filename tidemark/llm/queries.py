@@ -6,18 +6,24 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .bpe import round_trip
 from .common import table
 from .exact_dedup import exact_dedup
+from .token_files import token_files
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_bpe_round_trip": lambda spark, sf_dir: round_trip(table(spark, sf_dir, "documents"), digest=True),
+        "op4_token_files": lambda spark, sf_dir: token_files(table(spark, sf_dir, "documents")),
         "op8_exact_dedup": lambda spark, sf_dir: exact_dedup(table(spark, sf_dir, "documents")),
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op1_bpe_round_trip": lambda spark, sf_dir: round_trip(table(spark, sf_dir, "documents"), digest=True),
+        "op4_token_files": lambda spark, sf_dir: token_files(table(spark, sf_dir, "documents")),
         "op8_exact_dedup": """
             WITH d AS (
                 SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents)

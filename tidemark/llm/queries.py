@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import round_trip
 from .common import table
+from .decontaminate import contaminated
 from .exact_dedup import exact_dedup
 from .langid import languages
 from .minhash import near_dedup
@@ -20,6 +21,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_bpe_round_trip": lambda spark, sf_dir: round_trip(table(spark, sf_dir, "documents"), digest=True),
         "op2_quality_classifier": lambda spark, sf_dir: classified(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")),
         "op4_token_files": lambda spark, sf_dir: token_files(table(spark, sf_dir, "documents")),
+        "op6_decontamination": lambda spark, sf_dir: contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")),
         "op8_exact_dedup": lambda spark, sf_dir: exact_dedup(table(spark, sf_dir, "documents")),
         "op9_language_id": lambda spark, sf_dir: languages(table(spark, sf_dir, "documents")),
         "op10_minhash": lambda spark, sf_dir: near_dedup(table(spark, sf_dir, "documents"), shingle_words=2),

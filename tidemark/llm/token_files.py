@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from .common import id_text, mix64, shared_dir, shuffle_partitions
 from .words import Vocabulary, encode_cached, spread, word_bpe
 
-SHARD_TOKENS, BATCH_WORDS = 4_000_000, 1_000_000
+SHARD_TOKENS, BATCH_WORDS = 2_000_000, 400_000
 NO_ID = -(2**63)
 GAMMA, LEVELS = 2.0, 24
 

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 BYTE_PATTERN = r"(?U)'(?:[stmd]|re|ve|ll)| ?+(?:\p{L}++|\p{N}++|[^\s\p{L}\p{N}]++)|\s+(?!\S)|\s+"
 WORD_PATTERN = r"(?U)'(?:[stmd]|re|ve|ll)|\p{L}++|\p{N}|[^\s\p{L}\p{N}]++"
 UNSAFE = r"<\|(?:start|end)oftext\|>|[^\t\n\u000B\f\r -~¡-įı-ſ‐-‧]"
-LONGEST_KEPT, MOST_KEPT = 64, 400_000
+LONGEST_KEPT, MOST_KEPT, AT_ONCE = 64, 150_000, 4096
 
 
 @dataclass(frozen=True)
@@ -65,7 +65,8 @@ def tokenizer(path: str):
 
 def encode_words(path: str, words: list[str]) -> list[bytes]:
     """Ids of each word, as little-endian unsigned 32-bit integers."""
-    return [np.array(e.ids, "<u4").tobytes() for e in tokenizer(path).encode_batch_fast(words, add_special_tokens=False)]
+    encode = tokenizer(path).encode_batch_fast
+    return [np.array(e.ids, "<u4").tobytes() for at in range(0, len(words), AT_ONCE) for e in encode(words[at : at + AT_ONCE], add_special_tokens=False)]
 
 
 @lru_cache(maxsize=4)

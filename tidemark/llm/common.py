@@ -8,6 +8,7 @@ import uuid
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -85,3 +86,23 @@ def batches(it, rows: int):
     for b in it:
         for at in range(0, b.num_rows, rows):
             yield b.slice(at, rows)
+
+
+def pack_arrays(*arrays: np.ndarray) -> bytes:
+    """Arrays of numbers in one compressed value, byte by byte so that equal leading bytes lie together."""
+    parts = [np.array([len(arrays)], "<u4").tobytes()]
+    for a in arrays:
+        parts.append(a.dtype.str.encode().ljust(4) + np.array([len(a)], "<u4").tobytes())
+        parts.append(np.ascontiguousarray(a).view(np.uint8).reshape(-1, a.itemsize).T.tobytes())
+    return zstandard.compress(b"".join(parts), 1)
+
+
+def unpack_arrays(data: bytes) -> list[np.ndarray]:
+    raw = zstandard.decompress(data)
+    out, at = [], 4
+    for _ in range(int(np.frombuffer(raw, "<u4", 1)[0])):
+        kind, n = np.dtype(raw[at : at + 4].strip().decode()), int(np.frombuffer(raw, "<u4", 1, at + 4)[0])
+        planes = np.frombuffer(raw, np.uint8, n * kind.itemsize, at + 8).reshape(kind.itemsize, n)
+        out.append(np.ascontiguousarray(planes.T).view(kind).ravel())
+        at += 8 + n * kind.itemsize
+    return out

@@ -13,6 +13,7 @@ from .exact_dedup import exact_dedup
 from .langid import languages
 from .minhash import near_dedup
 from .quality import classified
+from .repeats import remove_repeats
 from .token_files import token_files
 
 
@@ -20,6 +21,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_bpe_round_trip": lambda spark, sf_dir: round_trip(table(spark, sf_dir, "documents"), digest=True),
         "op2_quality_classifier": lambda spark, sf_dir: classified(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")),
+        "op3_repeat_removal": lambda spark, sf_dir: remove_repeats(table(spark, sf_dir, "documents"), digest=True),
         "op4_token_files": lambda spark, sf_dir: token_files(table(spark, sf_dir, "documents")),
         "op6_decontamination": lambda spark, sf_dir: contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")),
         "op8_exact_dedup": lambda spark, sf_dir: exact_dedup(table(spark, sf_dir, "documents")),
@@ -32,6 +34,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op1_bpe_round_trip": lambda spark, sf_dir: round_trip(table(spark, sf_dir, "documents"), digest=True),
         "op2_quality_classifier": lambda spark, sf_dir: classified(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")),
+        "op3_repeat_removal": lambda spark, sf_dir: remove_repeats(table(spark, sf_dir, "documents"), digest=True),
         "op4_token_files": lambda spark, sf_dir: token_files(table(spark, sf_dir, "documents")),
         "op8_exact_dedup": """
             WITH d AS (

@@ -1,9 +1,11 @@
 """Near duplicates by MinHash: many universal hash minima, banding, signature verification, exact confirmation.
 
-Documents with equal shingle sets are one class and only its representative takes part. Within a bucket of a band the
-first round compares every representative with the smallest one and joins what is confirmed into components. The second
-round compares those pairs of a bucket that are still in different components, so no candidate pair that could
-change a component is left out, and a bucket of near copies costs as many comparisons as it has members.
+Documents with equal shingle sets are one class and only its representative takes part. In each round every bucket of a
+band has a pivot, and the members of other components are compared with it; what is confirmed joins components. Rounds
+go on while they leave clearly fewer pairs open. The last round covers all pairs of a bucket whose components still differ, but
+only compares those that can be similar given what each has in common with the pivot: two sets share at most the smaller of
+these parts, or else an item beyond the pivot, among the first few in hash order (a prefix filter). So no candidate pair that
+could change a component is left out, and copies of one text that differ too much cost no comparison for each pair.
 """
 
 from __future__ import annotations
@@ -13,7 +15,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import batches, id_text, mix64, split_words, written
@@ -73,7 +75,11 @@ def _sketches(docs: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
             for band in range(bands):
                 for row in range(rows):
                     key[:, band] = mix64(key[:, band] * np.uint64(31) + minima[:, band * rows + row] + np.uint64(band))
-            low = (minima & np.uint64(0xFF)).astype(np.uint8)
+            wide = -(-minima.shape[1] // 7)
+            low = np.zeros((b.num_rows, wide, 8), np.uint8)  # seven bits of a minimum in a byte, seven bytes in a long
+            for i in range(minima.shape[1]):
+                low[:, i // 7, i % 7] = minima[:, i] & np.uint64(0x7F)
+            sketch = pa.ListArray.from_arrays(np.arange(0, b.num_rows * wide + 1, wide, dtype=np.int32), pa.array(low.view("<i8").ravel()))
             data = shingles.tobytes()
             yield pa.RecordBatch.from_arrays(
                 [
@@ -81,12 +87,12 @@ def _sketches(docs: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
                     pa.array(np.diff(offsets), pa.int64()),
                     pa.array([xxhash.xxh3_128_digest(data[8 * x : 8 * y]) for x, y in zip(offsets, offsets[1:], strict=False)], pa.binary()),
                     pa.ListArray.from_arrays(np.arange(0, key.size + 1, bands, dtype=np.int32), pa.array(key.ravel().view(np.int64))),
-                    pa.array([x.tobytes() for x in low], pa.binary()),
+                    sketch,
                 ],
                 ["doc_id", "n_shingles", "set_key", "buckets", "sketch"],
             )
 
-    return docs.mapInArrow(of, "doc_id long, n_shingles long, set_key binary, buckets array<long>, sketch binary")
+    return docs.mapInArrow(of, "doc_id long, n_shingles long, set_key binary, buckets array<long>, sketch array<long>")
 
 
 def _sets(docs: DataFrame, n: int) -> DataFrame:
@@ -99,18 +105,10 @@ def _sets(docs: DataFrame, n: int) -> DataFrame:
     return docs.mapInArrow(of, "doc_id long, shingles binary")
 
 
-def _alike(pairs: DataFrame, sketches: DataFrame, least: float) -> DataFrame:
-    """Pairs whose signatures agree in at least that share of their minima."""
-
-    def check(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches(it, 10_000):
-            if b.num_rows:
-                x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint8).reshape(b.num_rows, -1) for c in ("sketch_a", "sketch_b"))
-                b = b.filter(pa.array((x == y).mean(axis=1) >= least))
-            yield b.select(["a", "b"])
-
-    side = lambda c: sketches.select(F.col("doc_id").alias(c), F.col("sketch").alias(f"sketch_{c}"))
-    return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "sketch_a", "sketch_b").mapInArrow(check, "a long, b long")
+def _alike(hashes: int, least: float) -> Column:
+    """That sketch_a and sketch_b agree in at least that share of their minima."""
+    unlike = " + ".join(f"bit_count(((sketch_a[{i}] ^ sketch_b[{i}]) + {0x007F7F7F7F7F7F7F}L) & {0x0080808080808080}L)" for i in range(-(-hashes // 7)))
+    return F.expr(f"{unlike} <= {round((1 - least) * hashes)}")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -129,6 +127,25 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "set_a", "set_b").mapInArrow(check, "a long, b long")
 
 
+def _beyond_pivot(against: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """How many items a set has in common with its pivot, and those beyond it of which a similar set must share one, unless
+    what they have in common with the pivot is enough: all but the (needed - 1) largest hashes."""
+
+    def split(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches(it, 500):
+            common, items = [], []
+            for x, p in zip(b.column("set").to_pylist(), b.column("pivot_set").to_pylist(), strict=True):
+                x = np.frombuffer(x, np.uint64)
+                rest = np.setdiff1d(x, np.frombuffer(p, np.uint64), assume_unique=True)
+                common.append(len(x) - len(rest))
+                needed = max(1, -(-percent * len(x) // 100) - common[-1])
+                items.append(rest[: max(0, len(rest) - needed + 1)].view(np.int64))
+            yield pa.RecordBatch.from_arrays([b.column("pivot"), b.column("doc_id"), pa.array(common, pa.int64()), pa.array(items, pa.list_(pa.int64()))], ["pivot", "doc_id", "common", "items"])
+
+    of_pivot = sets.select(F.col("doc_id").alias("pivot"), F.col("shingles").alias("pivot_set"))
+    return against.join(of_pivot, "pivot").join(sets.withColumnRenamed("shingles", "set"), "doc_id").select("pivot", "doc_id", "set", "pivot_set").mapInArrow(split, "pivot long, doc_id long, common long, items array<long>")
+
+
 def near_dedup(docs: DataFrame, shingle_words: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of docs: doc_id, n_shingles, component_id, kept.
 
@@ -145,25 +162,47 @@ def near_dedup(docs: DataFrame, shingle_words: int = 5, percent: int = 80, bands
     buckets = one_each.select("doc_id", "n_shingles", F.explode("buckets").alias("bucket"))
     shared = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("members"), F.min("doc_id").alias("least")).where("members > 1").select("bucket", "least")
     members = written(buckets.join(shared, "bucket"), "buckets")
-    sketches = all_.select("doc_id", "sketch").join(members.select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    texts = docs.join(members.select("doc_id").distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    taking_part = members.select("doc_id").distinct()
+    sketches = all_.select("doc_id", "n_shingles", "sketch").join(taking_part, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    texts = docs.join(taking_part, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     sets = written(_sets(texts, shingle_words), "sets")
-    near_size = F.expr(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
+    alike = _alike(bands * rows, percent / 100 - SIGNATURE_SLACK) & F.expr(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
+
+    def side(df: DataFrame, c: str, *more: str) -> DataFrame:
+        return df.select(F.col("doc_id").alias(c), F.col("n_shingles").alias(f"n_{c}"), F.col("sketch").alias(f"sketch_{c}"), *more)
 
     def confirm(pairs: DataFrame) -> DataFrame:
-        return _confirmed(_alike(pairs, sketches, percent / 100 - SIGNATURE_SLACK), sets, percent)
-
-    sizes = members.select(F.col("doc_id").alias("a"), F.col("n_shingles").alias("n_a")).distinct()
-    first = members.where("doc_id <> least").select(F.col("least").alias("a"), F.col("doc_id").alias("b"), F.col("n_shingles").alias("n_b")).distinct()
-    links = written(confirm(first.join(sizes, "a").where(near_size).select("a", "b")), "links")
-
-    found = connected_components(links)
-    placed = members.join(found.withColumnRenamed("id", "doc_id"), "doc_id", "left").select("bucket", "least", "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component"))
-    mixed = placed.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("bucket")
-    placed = placed.join(mixed, "bucket", "left_semi")
-    left, right = (placed.select("bucket", "least", F.col("doc_id").alias(c), F.col("n_shingles").alias(f"n_{c}"), F.col("component").alias(f"of_{c}")) for c in "ab")
-    across = left.join(right.drop("least"), "bucket").where("a < b AND of_a <> of_b AND a <> least").where(near_size).select("a", "b").distinct()
-    links = links.union(written(confirm(across), "links"))
+        likely = pairs.join(side(sketches, "a"), "a").join(side(sketches, "b"), "b").where(alike).select("a", "b")
+        return written(_confirmed(likely, sets, percent), "links")
+
+    def mixed() -> tuple[DataFrame, int]:
+        """Members of buckets with several components, and how many pairs these leave open."""
+        placed = members.join(connected_components(links).withColumnRenamed("id", "doc_id"), "doc_id", "left").select("bucket", "doc_id", F.coalesce("component", "doc_id").alias("component"))
+        parts = placed.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n")).groupBy("bucket").agg(F.count(F.lit(1)).alias("parts"), F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("squares")).where("parts > 1")
+        rest = written(placed.join(parts.select("bucket"), "bucket", "left_semi"), "mixed")
+        return rest, int(parts.agg(F.sum((F.col("n") * F.col("n") - F.col("squares")) / 2)).first()[0] or 0)
+
+    links = confirm(members.where("doc_id <> least").select(F.col("least").alias("a"), F.col("doc_id").alias("b")).distinct())
+    (rest, open_pairs), before, turn = mixed(), None, 0
+    while open_pairs and (before is None or open_pairs < 0.7 * before):
+        turn, before = turn + 1, open_pairs
+        pivot = rest.groupBy("bucket").agg(F.min_by(F.struct("doc_id", "component"), F.xxhash64("doc_id", F.lit(turn))).alias("p"))
+        tried = rest.join(pivot, "bucket").where(F.col("component") != F.col("p.component")).select(F.least("doc_id", "p.doc_id").alias("a"), F.greatest("doc_id", "p.doc_id").alias("b")).distinct()
+        links = links.union(confirm(tried))
+        rest, open_pairs = mixed()
+    if open_pairs:
+        pivot = rest.groupBy("bucket").agg(F.min("doc_id").alias("pivot"))
+        rest = rest.join(pivot, "bucket")
+        beyond = written(_beyond_pivot(rest.select("pivot", "doc_id").distinct(), sets, percent), "beyond")
+        of = rest.select("doc_id", F.col("component")).distinct()
+        rest = rest.join(beyond.drop("items"), ["pivot", "doc_id"]).join(sketches, "doc_id")
+        left, right = (side(rest, c, "bucket", F.col("component").alias(f"of_{c}"), F.col("common").alias(f"common_{c}")) for c in "ab")
+        enough = F.expr(f"100 * least(common_a, common_b) >= {percent} * (n_a + n_b - least(common_a, common_b))")
+        through_pivot = left.join(right, (left["bucket"] == right["bucket"]) & F.expr("a < b AND of_a <> of_b") & enough & alike).select("a", "b")
+        items = beyond.select("pivot", "doc_id", F.explode("items").alias("item")).join(of, "doc_id")
+        left, right = (items.select("pivot", "item", F.col("doc_id").alias(c), F.col("component").alias(f"of_{c}")) for c in "ab")
+        outside = left.join(right, (left["pivot"] == right["pivot"]) & (left["item"] == right["item"]) & F.expr("a < b AND of_a <> of_b")).select("a", "b")
+        links = links.union(confirm(through_pivot.union(outside).distinct()))
 
     component = connected_components(links)
     rep = classes.join(component, F.col("rep") == F.col("id"), "left").select("set_key", F.coalesce("component", "rep").alias("component"))

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from .common import id_text, mix64, shared_dir, shuffle_partitions
 from .words import Vocabulary, encode_cached, spread, word_bpe
 
-SHARD_TOKENS, BATCH_WORDS = 2_000_000, 400_000
+SHARD_TOKENS, BATCH_WORDS = 500_000, 400_000
 NO_ID = -(2**63)
 GAMMA, LEVELS = 2.0, 24
 
@@ -174,7 +174,7 @@ def write_shards(docs: DataFrame, path: str, vocabulary: Vocabulary | None = Non
     span: Column = F.array_size(F.filter(F.array(*map(F.lit, sorted(set(cuts)))), lambda c: c < F.col("doc_id"))) if cuts else F.lit(0)
     encoded = _encoded(thin.withColumn("span", F.coalesce(span, F.lit(0)).cast("int")), vocabulary or word_bpe(), end_id)
     placed = encoded.repartition(spans, "span").sortWithinPartitions("span", F.col("doc_id").asc_nulls_first())
-    placed.mapInArrow(_shards, _SHARD).write.parquet(path)
+    placed.mapInArrow(_shards, _SHARD).write.option("parquet.block.size", 16 << 20).parquet(path)
 
 
 def read_documents(spark: SparkSession, path: str, digest: bool = False) -> DataFrame:
@@ -182,7 +182,8 @@ def read_documents(spark: SparkSession, path: str, digest: bool = False) -> Data
 
     def read(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in it:
-            for row in b.to_pylist():
+            for at in range(b.num_rows):
+                (row,) = b.slice(at, 1).to_pylist()  # one shard at a time
                 doc_ids = np.frombuffer(row["doc_ids"], "<i8")
                 found, offset, length = lookup(row["hash"], row["slots"], keys_of(doc_ids))
                 if not found.all():

@@ -109,8 +109,11 @@ def windows_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 def train(labelled: DataFrame, limit: int = TRAIN_DOCS) -> Network | None:
     """Of a table (doc_id, text, lang) without nulls, by the first and the middle window of at most `limit` texts; None without one."""
-    chosen = labelled.orderBy(F.xxhash64("doc_id"), "doc_id").select("doc_id", "lang", F.substring(F.encode("text", "utf-8"), 1, WINDOW).alias("a"), F.expr(f"substring(encode(text, 'utf-8'), int(octet_length(text) / 2) + 1, {WINDOW})").alias("b")).limit(limit)
-    rows = chosen.toArrow().sort_by([("doc_id", "ascending"), ("lang", "ascending"), ("a", "ascending")])
+    chosen = labelled.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
+    texts = labelled.join(F.broadcast(chosen), "doc_id")  # at most `limit` ids
+    raw = F.encode("text", "utf-8")
+    rows = texts.select("doc_id", "lang", F.substring(raw, 1, WINDOW).alias("a"), raw.substr((F.length(raw) / 2).cast("int") + 1, F.lit(WINDOW)).alias("b")).toArrow()
+    rows = rows.sort_by([("doc_id", "ascending"), ("lang", "ascending"), ("a", "ascending")])
     if not rows.num_rows:
         return None
     lang = rows.column("lang").to_pylist()

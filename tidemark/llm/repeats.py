@@ -45,7 +45,8 @@ class _Powers:
     @classmethod
     def to(cls, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(cls.up) < n:
-            cls.up, cls.down = _powers(_BASE, 2 * n), _powers(pow(_BASE, -1, 2**64), 2 * n)
+            n = max(n, FLAT + (1 << 12))
+            cls.up, cls.down = _powers(_BASE, n), _powers(pow(_BASE, -1, 2**64), n)
         return cls.up[:n], cls.down[:n]
 
 
@@ -60,6 +61,17 @@ def span_hashes(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.nd
     return mix64((prefix[end] - prefix[start]) * down[start])
 
 
+def string_hashes(flat: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
+    """Hashes of flat[at : at+length], from prefixes of FLAT bytes at a time."""
+    out, order = np.empty(len(at), np.uint64), np.argsort(at, kind="stable")
+    cuts = np.searchsorted(at[order], np.arange(0, len(flat) + FLAT, FLAT))
+    for k, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
+        if b > a:
+            own = at[order[a:b]] - k * FLAT
+            out[order[a:b]] = span_hashes(prefix_hashes(flat[k * FLAT : (k + 1) * FLAT + length]), own, own + length)
+    return out
+
+
 def _sliding_min(x: np.ndarray, w: int) -> np.ndarray:
     size = 1
     while 2 * size <= w:
@@ -177,7 +189,7 @@ def find_repeats(text: np.ndarray, ends: np.ndarray, rank: np.ndarray, base: np.
     count = np.maximum(ends - starts - length + 1, 0)
     context = np.repeat(np.arange(len(ends)), count)
     at = starts[context] + np.arange(len(context)) - np.repeat(np.cumsum(count) - count, count)
-    hashes = span_hashes(prefix_hashes(text), at, at + length)
+    hashes = string_hashes(text, at, length)
     order = np.argsort(hashes, kind="stable")
     same = hashes[order][1:] == hashes[order][:-1]
     partner = np.concatenate([same, [False]]) | np.concatenate([[False], same]) if len(order) else np.zeros(0, bool)
@@ -301,7 +313,7 @@ def _fetch(buckets: int, length: int):
         for block, data in zip(left.column("block").to_pylist(), left.column("data").to_pylist(), strict=True):
             ids, sizes, flat = unpack_arrays(data)
             starts = np.cumsum(sizes, dtype=np.int64) - sizes
-            prefix, singles = None, []
+            singles = []
             for bucket, asked in zip(right.column("bucket").to_pylist(), right.column("data").to_pylist(), strict=True):
                 _, text, first, more, hot = unpack_arrays(asked)
                 text, first, more = text.astype(np.int64), first.astype(np.int64), more.astype(np.int64)
@@ -313,9 +325,7 @@ def _fetch(buckets: int, length: int):
                     singles.append((np.repeat(text[~cool], count), np.repeat(first[~cool], count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)))
             if singles:
                 text, first = (np.concatenate(x) for x in zip(*singles, strict=True))
-                prefix = prefix_hashes(flat)
-                at = starts[text] + first
-                hashes = span_hashes(prefix, at, at + length)
+                hashes = string_hashes(flat, starts[text] + first, length)
                 order = np.lexsort((first, ids[text], hashes))
                 earliest = np.concatenate([[True], hashes[order][1:] != hashes[order][:-1]])
                 again, one = order[~earliest], order[earliest]
@@ -388,12 +398,15 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, part: int = PART, id_c
     """
     if not part < length <= part + 256:
         raise ValueError("the parts must be shorter than the strings, by 256 bytes at most")
-    buckets = shuffle_partitions(docs.sparkSession)
+    buckets = 4 * shuffle_partitions(docs.sparkSession)
     scanned = id_text(docs, id_col, text_col).mapInArrow(_scan(buckets, length, part), _STAGE).persist(StorageLevel.MEMORY_AND_DISK)
+    scanned.count()  # several branches read it: the scan runs once
     whole = scanned.where(F.col("kind") == _DOCS).select("block", "data")
     compared = scanned.where(F.col("kind") == _RECORDS).select("bucket", "block", "data").groupBy("bucket").applyInArrow(_compare(length), _STAGE).persist(StorageLevel.MEMORY_AND_DISK)
+    compared.count()
     asked = compared.where(F.col("kind") == _ASKED).select("block", "bucket", "data")
     fetched = whole.groupBy("block").cogroup(asked.groupBy("block")).applyInArrow(_fetch(buckets, length), _STAGE).persist(StorageLevel.MEMORY_AND_DISK)
+    fetched.count()
     resolved = fetched.where(F.col("kind") == _ASKED).select("bucket", "block", "data").groupBy("bucket").applyInArrow(_resolve(length), _STAGE)
     spans = scanned
     for other in (compared, fetched, resolved):

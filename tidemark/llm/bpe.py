@@ -169,6 +169,7 @@ def round_trip(docs: DataFrame, vocabulary: Vocabulary | None = None, id_col: st
     """
     vocabulary = vocabulary or byte_bpe()
     blocks = _blocks(id_text(docs, id_col, text_col), vocabulary, shuffle_partitions(docs.sparkSession)).persist(StorageLevel.MEMORY_AND_DISK)
+    blocks.count()  # two branches read it: the split runs once
     words = blocks.where("part IS NOT NULL").select("part", "block", "data")
     table = words.groupBy("part").applyInArrow(_encode(vocabulary), "block long, part int, lengths binary, pieces binary")
     whole = blocks.where("part IS NULL").select("block", "data", "ids", "counts", "home")

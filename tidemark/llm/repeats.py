@@ -45,8 +45,8 @@ class _Powers:
     @classmethod
     def to(cls, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(cls.up) < n:
-            n = max(n, FLAT + (1 << 12))
-            cls.up, cls.down = _powers(_BASE, n), _powers(pow(_BASE, -1, 2**64), n)
+            size = max(n, FLAT + (1 << 12))
+            cls.up, cls.down = _powers(_BASE, size), _powers(pow(_BASE, -1, 2**64), size)
         return cls.up[:n], cls.down[:n]
 
 

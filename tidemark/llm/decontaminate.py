@@ -60,20 +60,23 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, coverag
         wanted = wanted.unionByName(p)
     wanted = wanted.select("item_id", "n", "item_pos", "hash", F.expr("slice(item, item_pos + 1, n)").alias("item_words")).dropDuplicates(["item_id", "n", "item_pos", "hash"])
     sought = wanted.select("item_id", "n", "item_pos", "hash")
-    if sought.count() <= BROADCAST_WINDOWS:
-        sought = F.broadcast(sought)
+    few = sought.count() <= BROADCAST_WINDOWS
 
     texts = id_text(docs, id_col, text_col).where("doc_id IS NOT NULL")
-    coded = texts.select("doc_id", template(words(F.col("text"))).alias("codes"))
+    coded = texts.select("doc_id", words(F.col("text")).alias("words")).select("doc_id", "words", template(F.col("words")).alias("codes"))
+    every = F.array(*[F.struct(F.lit(k).alias("n"), windows(F.col("codes"), k).alias("hashes")) for k in lengths])
     if len(lengths) == 1:
-        seen = coded.select("doc_id", F.lit(lengths[0]).alias("n"), F.posexplode(windows(F.col("codes"), lengths[0])).alias("pos", "hash"))
+        seen = coded.select("doc_id", "words", F.lit(lengths[0]).alias("n"), F.posexplode(windows(F.col("codes"), lengths[0])).alias("pos", "hash"))
     else:
-        every = F.array(*[F.struct(F.lit(k).alias("n"), windows(F.col("codes"), k).alias("hashes")) for k in lengths])
-        seen = coded.select("doc_id", F.explode(every).alias("w")).select("doc_id", "w.n", F.posexplode("w.hashes").alias("pos", "hash"))
-    found = written(seen.join(sought, ["n", "hash"]).select("doc_id", "item_id", "n", "pos", "item_pos").distinct(), "template-windows")
-
-    held = texts.join(found.select("doc_id").distinct(), "doc_id", "left_semi").select("doc_id", words(F.col("text")).alias("words"))
-    pairs = found.join(held, "doc_id").select("doc_id", "item_id", "n", "item_pos", (F.col("pos") - F.col("item_pos")).alias("offset"), F.expr("slice(words, pos + 1, n)").alias("doc_words"))
+        seen = coded.select("doc_id", "words", F.explode(every).alias("w")).select("doc_id", "words", "w.n", F.posexplode("w.hashes").alias("pos", "hash"))
+    if few:  # the words of a window are cut out where it is found, in the scan's own stage
+        found = seen.join(F.broadcast(sought), ["n", "hash"])
+    else:  # only hashes are shuffled; documents with a window found are read again
+        hits = written(seen.drop("words").join(sought, ["n", "hash"]).select("doc_id", "item_id", "n", "pos", "item_pos").distinct(), "template-windows")
+        found = coded.select("doc_id", "words").join(hits.select("doc_id").distinct(), "doc_id", "left_semi").join(hits, "doc_id")
+    found = written(found.select("doc_id", "item_id", "n", "pos", "item_pos", F.expr("slice(words, pos + 1, n)").alias("doc_words")), "template-windows")
+
+    pairs = found.select("doc_id", "item_id", "n", "item_pos", (F.col("pos") - F.col("item_pos")).alias("offset"), "doc_words")
     pairs = pairs.join(wanted, ["item_id", "n", "item_pos"]).select("doc_id", "item_id", "offset", "item_pos", F.arrays_zip("item_words", "doc_words").alias("both"))
     slots = pairs.select("doc_id", "item_id", "offset", "item_pos", F.posexplode("both").alias("k", "z")).where(is_slot(F.col("z.item_words")))
     slots = slots.select("doc_id", "item_id", "offset", (F.col("item_pos") + F.col("k")).alias("at"), F.col("z.item_words").alias("value"), F.col("z.doc_words").alias("word")).distinct()

@@ -15,42 +15,14 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import xxhash
-import zstandard
 from pyspark import StorageLevel, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .blocks import NO_ID, cuts, from_planes, number, pack, planes, unpack
 from .common import id_text, shuffle_partitions
 from .words import Vocabulary, byte_bpe, encode_words, spread, tokenizer
 
-#: Words in a block at most, unless a single text has more.
-BLOCK_WORDS = 2_000_000
-NO_ID = -(2**63)
-
-
-def _planes(x: np.ndarray) -> bytes:
-    """uint32 values, byte by byte, compressed."""
-    return zstandard.compress(x.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
-
-
-def _from_planes(data: bytes) -> np.ndarray:
-    raw = np.frombuffer(zstandard.decompress(data), np.uint8)
-    return np.ascontiguousarray(raw.reshape(4, -1).T).view("<u4").ravel()
-
-
-def _pack(parts: list[bytes]) -> bytes:
-    head = np.array([len(parts), *map(len, parts)], "<u4").tobytes()
-    return zstandard.compress(head + b"".join(parts), 1)
-
-
-def _unpack(data: bytes) -> list[bytes]:
-    raw = zstandard.decompress(data)
-    n = int(np.frombuffer(raw, "<u4", 1)[0])
-    ends = np.cumsum(np.frombuffer(raw, "<u4", n, 4), dtype=np.int64) + 4 * (n + 1)
-    return [raw[a:b] for a, b in zip([4 * (n + 1), *ends[:-1]], ends, strict=True)]
-
-
 _BLOCKS = "block long, part int, data binary, ids binary, counts binary, home binary"
 
 
@@ -61,32 +33,24 @@ def _blocks(docs: DataFrame, vocabulary: Vocabulary, parts: int) -> DataFrame:
         block = TaskContext.get().partitionId() << 32
         for batch in it:
             offsets = batch.column(1).offsets.to_numpy().astype(np.int64)
-            at = 0
-            while at < batch.num_rows:
-                end = max(at + 1, int(np.searchsorted(offsets, offsets[at] + BLOCK_WORDS, "right")) - 1)
+            for at, end in cuts(offsets, batch.num_rows):
                 piece = batch.slice(at, end - at)
-                at = end
                 block += 1
-                counts = np.diff(offsets[end - piece.num_rows : end + 1])
+                counts = np.diff(offsets[at : end + 1])
                 flat = piece.column(1).flatten().dictionary_encode()
                 index, words = flat.indices.to_numpy(zero_copy_only=False), flat.dictionary.cast(pa.binary()).to_pylist()
-                order = np.argsort(-np.bincount(index, minlength=len(words)), kind="stable")  # frequent words get small numbers
-                rank = np.empty(len(words), np.uint32)
-                rank[order] = np.arange(len(words))
-                words = [words[i] for i in order]
-                home = np.fromiter((xxhash.xxh3_64_intdigest(w) % parts for w in words), np.uint32, len(words))
-                by_part = np.argsort(home, kind="stable")
-                cuts = np.searchsorted(home[by_part], np.arange(parts + 1))
-                rows = [(p, _pack([words[i] for i in by_part[a:b]])) for p, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)) if b > a]
+                rank, home, by_part = number(words, index, parts)
+                at_rank = [words[i] for i in np.argsort(rank)]
+                rows = [(p, pack([at_rank[i] for i in own])) for p, own in by_part]
                 ids = piece.column(0).fill_null(NO_ID).to_numpy(zero_copy_only=False)
                 yield pa.RecordBatch.from_pydict(
                     {
                         "block": [block] * (len(rows) + 1),
                         "part": [None, *(p for p, _ in rows)],
-                        "data": [_planes(rank[index]), *(d for _, d in rows)],
+                        "data": [planes(rank[index]), *(d for _, d in rows)],
                         "ids": [ids.astype("<i8").tobytes(), *[None] * len(rows)],
                         "counts": [counts.astype("<u4").tobytes(), *[None] * len(rows)],
-                        "home": [_planes(home), *[None] * len(rows)],
+                        "home": [planes(home), *[None] * len(rows)],
                     },
                     pa.schema([("block", pa.int64()), ("part", pa.int32()), ("data", pa.binary()), ("ids", pa.binary()), ("counts", pa.binary()), ("home", pa.binary())]),
                 )
@@ -104,13 +68,13 @@ def _encode(vocabulary: Vocabulary):
         for b in it:
             for block, data in zip(b.column("block").to_pylist(), b.column("data").to_pylist(), strict=True):
                 asked.append((block, data))
-                fresh = [w for w in _unpack(data) if w not in ids]
+                fresh = [w for w in unpack(data) if w not in ids]
                 ids.update(zip(fresh, encode_words(path, [w.decode() for w in fresh]), strict=True))
         for block, data in asked:
-            got = [ids[w] for w in _unpack(data)]
+            got = [ids[w] for w in unpack(data)]
             lengths = np.fromiter((len(x) // 4 for x in got), np.uint32, len(got))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([block]), pa.array([key[0].as_py()], pa.int32()), pa.array([_planes(lengths)], pa.binary()), pa.array([_planes(np.frombuffer(b"".join(got), "<u4"))], pa.binary())],
+                [pa.array([block]), pa.array([key[0].as_py()], pa.int32()), pa.array([planes(lengths)], pa.binary()), pa.array([planes(np.frombuffer(b"".join(got), "<u4"))], pa.binary())],
                 ["block", "part", "lengths", "pieces"],
             )
 
@@ -136,16 +100,16 @@ def _decoded(path: str, digest: bool):
         columns: list[list] = [[] for _ in names]
         for at in range(left.num_rows):
             row = {c: left.column(c)[at].as_py() for c in ("data", "ids", "counts", "home")}
-            home = _from_planes(row["home"])
+            home = from_planes(row["home"])
             starts, lengths, flat, done = np.zeros(len(home), np.int64), np.zeros(len(home), np.int64), [], 0
             for part, n, ids in zip(*(right.column(c).to_pylist() for c in ("part", "lengths", "pieces")), strict=True):
-                n, ids = _from_planes(n).astype(np.int64), _from_planes(ids)
+                n, ids = from_planes(n).astype(np.int64), from_planes(ids)
                 mine = home == part
                 lengths[mine], starts[mine] = n, done + np.cumsum(n) - n
                 flat.append(ids)
                 done += len(ids)
             flat = np.concatenate(flat) if flat else np.zeros(0, np.uint32)
-            index = _from_planes(row["data"])
+            index = from_planes(row["data"])
             ends = np.cumsum(np.concatenate([[0], np.frombuffer(row["counts"], "<u4")]), dtype=np.int64)
             table = pieces(path)
             for doc, a, b in zip(np.frombuffer(row["ids"], "<i8").tolist(), ends, ends[1:], strict=False):

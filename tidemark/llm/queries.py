@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import url_filter
 from .bpe import round_trip
 from .common import table
 from .decontaminate import contaminated
 from .exact_dedup import exact_dedup
 from .langid import languages
+from .lm import score_texts
 from .minhash import near_dedup
 from .quality import classified
 from .repeats import remove_repeats
@@ -23,7 +25,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_quality_classifier": lambda spark, sf_dir: classified(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")),
         "op3_repeat_removal": lambda spark, sf_dir: remove_repeats(table(spark, sf_dir, "documents"), digest=True),
         "op4_token_files": lambda spark, sf_dir: token_files(table(spark, sf_dir, "documents")),
+        "op5_url_filter": lambda spark, sf_dir: url_filter.filtered(table(spark, sf_dir, "pages")),
         "op6_decontamination": lambda spark, sf_dir: contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")),
+        "op7_lm_scoring": lambda spark, sf_dir: score_texts(table(spark, sf_dir, "documents")),
         "op8_exact_dedup": lambda spark, sf_dir: exact_dedup(table(spark, sf_dir, "documents")),
         "op9_language_id": lambda spark, sf_dir: languages(table(spark, sf_dir, "documents")),
         "op10_minhash": lambda spark, sf_dir: near_dedup(table(spark, sf_dir, "documents"), shingle_words=2),

@@ -15,10 +15,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import id_text, mix64, shared_dir, shuffle_partitions
-from .words import Vocabulary, encode_cached, spread, word_bpe
+from .blocks import cuts
+from .common import id_text, mix64, shared_dir, shuffle_partitions, split_words
+from .words import encode_flat, public_file, spread
 
-SHARD_TOKENS, BATCH_WORDS = 500_000, 400_000
+SHARD_TOKENS, BATCH_WORDS = 500_000, 250_000
 NO_ID = -(2**63)
 GAMMA, LEVELS = 2.0, 24
 
@@ -111,27 +112,23 @@ def lookup(hash_data: bytes, slot_data: bytes, keys: np.ndarray) -> tuple[np.nda
 _SHARD = "span int, shard int, first long, last long, start long, n_tokens long, width int, doc_ids binary, hash binary, slots binary, payload binary"
 
 
-def _encoded(docs: DataFrame, vocabulary: Vocabulary, end_id: int) -> DataFrame:
-    path = vocabulary.path
-
+def _encoded(docs: DataFrame, path: str, end_id: int) -> DataFrame:
     def encode(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
-            offsets, at = batch.column(1).offsets.to_numpy().astype(np.int64), 0
-            while at < batch.num_rows:
-                end = max(at + 1, int(np.searchsorted(offsets, offsets[at] + BATCH_WORDS, "right")) - 1)
-                piece = batch.slice(at, end - at)
-                flat = piece.column(1).flatten().dictionary_encode()
-                got = encode_cached(path, flat.dictionary.to_pylist())
-                lengths = np.fromiter((len(x) // 4 for x in got), np.int64, len(got))
-                ids, ends = spread(flat.indices.to_numpy(zero_copy_only=False), np.frombuffer(b"".join(got), "<u4"), np.cumsum(lengths) - lengths, lengths)
+            words, index, offsets = split_words(batch.column(1), lower=False)
+            flat, lengths = encode_flat(path, words)
+            wide = "<u2" if max(end_id, flat.max(initial=0)) < 1 << 16 else "<u4"
+            flat, starts = flat.astype(wide), np.cumsum(lengths) - lengths
+            for at, end in cuts(offsets, batch.num_rows, BATCH_WORDS):
+                ids, ends = spread(index[offsets[at] : offsets[end]], flat, starts, lengths)
                 cut = ends[offsets[at : end + 1] - offsets[at]]
-                ids = np.insert(ids, cut[1:], end_id)
-                cut = cut + np.arange(len(cut))
-                at, wide = end, "<u2" if len(ids) == 0 or ids.max() < 1 << 16 else "<u4"
-                raw = ids.astype(wide)
-                yield pa.RecordBatch.from_arrays([piece.column(0), piece.column(2), pa.array([raw.itemsize] * piece.num_rows, pa.int32()), pa.array([raw[a:b].tobytes() for a, b in zip(cut, cut[1:], strict=False)], pa.binary())], ["doc_id", "span", "width", "ids"])
+                data, size = ids.tobytes(), ids.itemsize
+                close = np.array([end_id], wide).tobytes()
+                raw = [data[a * size : b * size] + close for a, b in zip(cut.tolist(), cut[1:].tolist(), strict=False)]
+                piece = batch.slice(at, end - at)
+                yield pa.RecordBatch.from_arrays([piece.column(0), piece.column(2), pa.array([size] * piece.num_rows, pa.int32()), pa.array(raw, pa.binary())], ["doc_id", "span", "width", "ids"])
 
-    return docs.select("doc_id", vocabulary.words(F.col("text")).alias("words"), "span").mapInArrow(encode, "doc_id long, span int, width int, ids binary")
+    return docs.select("doc_id", "text", "span").mapInArrow(encode, "doc_id long, span int, width int, ids binary")
 
 
 def _shards(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,9 +159,10 @@ def _shards(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield close()
 
 
-def write_shards(docs: DataFrame, path: str, vocabulary: Vocabulary | None = None, end_id: int = 1, spans: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> None:
+def write_shards(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int = 1, spans: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> None:
     """Encodes docs and writes them to path in ascending order of their ids; end_id closes each document.
 
+    tokenizer is the file of one that drops white space (word_bpe_49k by default): the distinct words of each batch are encoded once.
     A null text counts as empty and becomes the end id alone. Null ids come first. Rows that repeat an id are kept, in
     any order among themselves. Other columns are ignored. An empty table gives an empty set of shards.
     """
@@ -172,7 +170,7 @@ def write_shards(docs: DataFrame, path: str, vocabulary: Vocabulary | None = Non
     thin = id_text(docs, id_col, text_col)
     cuts = thin.agg(F.percentile_approx("doc_id", [i / spans for i in range(1, spans)] or [0.5], 10000)).first()[0] or []
     span: Column = F.array_size(F.filter(F.array(*map(F.lit, sorted(set(cuts)))), lambda c: c < F.col("doc_id"))) if cuts else F.lit(0)
-    encoded = _encoded(thin.withColumn("span", F.coalesce(span, F.lit(0)).cast("int")), vocabulary or word_bpe(), end_id)
+    encoded = _encoded(thin.withColumn("span", F.coalesce(span, F.lit(0)).cast("int")), tokenizer or public_file("word_bpe_49k.json"), end_id)
     placed = encoded.repartition(spans, "span").sortWithinPartitions("span", F.col("doc_id").asc_nulls_first())
     placed.mapInArrow(_shards, _SHARD).write.option("parquet.block.size", 16 << 20).parquet(path)
 

@@ -18,7 +18,7 @@ def host_of(url: Column) -> Column:
 
 def domains_of(host: Column) -> Column:
     """The host and its parent domains, down to two labels (a host of one label is its own)."""
-    parts = F.split(host, r"\\.")
+    parts = F.split(host, r"\.")
     return F.when(F.size(parts) > 1, F.transform(F.sequence(F.lit(1), F.size(parts) - 1), lambda i: F.array_join(F.slice(parts, i, F.size(parts) - i + 1), "."))).otherwise(F.array(host))
 
 
@@ -42,12 +42,11 @@ def evaluate(captures: DataFrame, entries: DataFrame, id_col: str = "page_id", u
     columns are ignored.
     """
     seen = captures.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(at_col).alias("fetched_at")).distinct().withColumn("host", host_of(F.col("url")))
-    asked = seen.select("page_id", "url", "fetched_at", "host", F.explode(domains_of(F.col("host"))).alias("domain")).where("fetched_at IS NOT NULL")
-    active = validity(entries)
-    hits = asked.join(active, "domain").where("valid_from <= fetched_at AND (valid_to IS NULL OR fetched_at < valid_to)")
-    hits = hits.groupBy("page_id", "url", "fetched_at").agg(F.max_by("domain", F.length("domain")).alias("matched_domain"), F.array_join(F.array_sort(F.collect_set("list")), ",").alias("lists"))
-    same = [seen[c].eqNullSafe(hits[c]) for c in ("page_id", "url", "fetched_at")]
-    return seen.join(hits, same, "left").select(seen["page_id"], "host", F.col("lists").isNotNull().alias("blocked"), "matched_domain", "lists")
+    asked = seen.select("page_id", "url", "fetched_at", "host", F.explode(domains_of(F.col("host"))).alias("of"))
+    on = F.expr("of = domain AND valid_from <= fetched_at AND (valid_to IS NULL OR fetched_at < valid_to)")
+    lists = F.array_sort(F.collect_set("list"))
+    found = asked.join(validity(entries), on, "left").groupBy("page_id", "url", "fetched_at", "host").agg(F.max_by("domain", F.length("domain")).alias("matched_domain"), lists.alias("lists"))
+    return found.select("page_id", "host", (F.size("lists") > 0).alias("blocked"), "matched_domain", F.nullif(F.array_join("lists", ","), F.lit("")).alias("lists"))
 
 
 def dated_pages(pages: DataFrame) -> DataFrame:
@@ -61,7 +60,7 @@ def derived_entries(pages: DataFrame) -> DataFrame:
     digit = lambda at, n: F.conv(F.substring(F.md5("host"), at, 4), 16, 10).cast("long") % n
     named = hosts.select(
         F.element_at(F.array(F.lit("adult"), F.lit("malware"), F.lit("spam")), (digit(1, 3) + 1).cast("int")).alias("list"),
-        F.when(digit(5, 2) == 0, F.array_join(F.slice(F.split("host", r"\\."), -2, 2), ".")).otherwise(F.col("host")).alias("domain"),
+        F.when(digit(5, 2) == 0, F.array_join(F.slice(F.split("host", r"\."), -2, 2), ".")).otherwise(F.col("host")).alias("domain"),
         digit(9, 600).alias("joins"),
         digit(13, 200).alias("stays"),
         digit(17, 3).alias("fate"),

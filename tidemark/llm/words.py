@@ -1,9 +1,10 @@
-"""Splitting texts in Spark into the words that a public tokenizer encodes one by one.
+"""Words that a public tokenizer encodes one by one.
 
-Each tokenizer of the tokenizers library used here cuts a text by a pattern before its merges, so a text's ids are
-the ids of its words put in a row. Spark applies the pattern. Texts with characters on which the two pattern engines
+A byte-level tokenizer cuts a text by a pattern before its merges, so a text's ids are the ids of its words put in a row.
+Spark applies the pattern. Texts with characters on which the two pattern engines
 or normalisers might differ (special tokens, control characters, letters beyond Latin Extended) stay whole: the library
-itself then splits them, as one long word.
+itself then splits them, as one long word. A tokenizer that drops white space needs no pattern: it encodes what
+lies between ASCII white space apart.
 """
 
 from __future__ import annotations
@@ -13,39 +14,36 @@ from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: The split patterns of the two tokenizer files.
+#: The split patterns of the tokenizer files.
 BYTE_PATTERN = r"(?U)'(?:[stmd]|re|ve|ll)| ?+(?:\p{L}++|\p{N}++|[^\s\p{L}\p{N}]++)|\s+(?!\S)|\s+"
-WORD_PATTERN = r"(?U)'(?:[stmd]|re|ve|ll)|\p{L}++|\p{N}|[^\s\p{L}\p{N}]++"
+WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|\pL+|\pN|[^\s\pL\pN]+"
 UNSAFE = r"<\|(?:start|end)oftext\|>|[^\t\n\u000B\f\r -~¡-įı-ſ‐-‧]"
-LONGEST_KEPT, MOST_KEPT, AT_ONCE = 64, 150_000, 4096
+AT_ONCE = 16_384
 
 
 @dataclass(frozen=True)
 class Vocabulary:
-    """A tokenizer file, its split pattern, and whether it lower-cases."""
+    """A tokenizer file and its split pattern."""
 
     path: str
     pattern: str
-    lower: bool
 
     def words(self, text: Column) -> Column:
         """The words of a text, in order; an unsafe text is one word."""
-        whole = F.regexp_extract_all(F.lower(text) if self.lower else text, F.lit(self.pattern), F.lit(0))
+        whole = F.regexp_extract_all(text, F.lit(self.pattern), F.lit(0))
         return F.when(text.rlike(UNSAFE), F.array(text)).otherwise(whole)
 
 
 def byte_bpe(path: str | None = None) -> Vocabulary:
-    return Vocabulary(path or _file("byte_bpe_50k.json"), BYTE_PATTERN, False)
+    return Vocabulary(path or public_file("byte_bpe_50k.json"), BYTE_PATTERN)
 
 
-def word_bpe(path: str | None = None) -> Vocabulary:
-    return Vocabulary(path or _file("word_bpe_49k.json"), WORD_PATTERN, True)
-
-
-def _file(name: str) -> str:
+def public_file(name: str) -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
@@ -63,31 +61,80 @@ def tokenizer(path: str):
     return t
 
 
-def encode_words(path: str, words: list[str]) -> list[bytes]:
-    """Ids of each word, as little-endian unsigned 32-bit integers."""
-    encode = tokenizer(path).encode_batch_fast
-    return [np.array(e.ids, "<u4").tobytes() for at in range(0, len(words), AT_ONCE) for e in encode(words[at : at + AT_ONCE], add_special_tokens=False)]
+@lru_cache(maxsize=4)
+def _separator(path: str) -> tuple[str, int]:
+    """A special token, which the library cuts out before anything else: words around it are encoded apart."""
+    id_, token = max(tokenizer(path).get_added_tokens_decoder().items())
+    return token.content, id_
 
 
 @lru_cache(maxsize=4)
-def _kept(path: str) -> dict[str, bytes]:
-    return {}
+def _closing(path: str) -> np.ndarray | None:
+    """For each id whether its piece ends a word, where the vocabulary marks that."""
+    t = tokenizer(path)
+    out = np.zeros(t.get_vocab_size(), bool)
+    for piece, id_ in t.get_vocab().items():
+        out[id_] = piece.endswith("</w>")
+    return out if out.any() else None
+
+
+def _runs(words: list[str], apart: np.ndarray) -> list[list[str] | str]:
+    """Words in runs of 256; those set apart alone."""
+    runs, run = [], []
+    for w, alone in zip(words, apart.tolist(), strict=True):
+        if run and (alone or len(run) == 256):
+            runs.append(run)
+            run = []
+        if alone:
+            runs.append(w)
+        else:
+            run.append(w)
+    return [*runs, run] if run else runs
+
+
+def encode_flat(path: str, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all words in a row (uint32) and how many each has.
+
+    Plain words go to the library 256 to a text. With a vocabulary that marks word ends, a space lies between them and each
+    ends with its last part by WORD_PATTERN; otherwise a special token, which the library cuts out first, does.
+    """
+    (mark, end), closing = _separator(path), _closing(path)
+    encode, ids, lengths = tokenizer(path).encode_batch_fast, [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+    for at in range(0, len(words), AT_ONCE):
+        part = words.slice(at, AT_ONCE)
+        unsafe = pc.match_substring_regex(part, r"<\|" if closing is None else r"<\||[^!-~¡-įı-ſ]").to_numpy(zero_copy_only=False) | (pc.binary_length(part).to_numpy(zero_copy_only=False) == 0)
+        parts = pc.count_substring_regex(part, WORD_PATTERN).to_numpy(zero_copy_only=False) if closing is not None else None
+        runs, done = _runs(part.to_pylist(), unsafe), 0
+        for r, e in zip(runs, encode([r if isinstance(r, str) else (mark if closing is None else " ").join(r) for r in runs], add_special_tokens=False), strict=True):
+            got = np.array(e.ids, np.uint32)
+            if isinstance(r, str):
+                size = np.array([len(got)])
+            elif closing is None:
+                cut = got == end
+                size = np.diff(np.concatenate([[-1], np.flatnonzero(cut), [len(got)]])) - 1
+                got = got[~cut]
+            else:
+                ends, last = np.flatnonzero(closing[got]) + 1, np.cumsum(parts[done : done + len(r)])
+                if len(ends) != last[-1]:  # the two pattern engines differ
+                    each = [np.array(x.ids, np.uint32) for x in encode(r, add_special_tokens=False)]
+                    got, size = np.concatenate(each), np.array([len(x) for x in each])
+                else:
+                    size = np.diff(ends[last - 1], prepend=0)
+            done += 1 if isinstance(r, str) else len(r)
+            ids.append(got)
+            lengths.append(size)
+    return np.concatenate(ids), np.concatenate(lengths)
 
 
-def encode_cached(path: str, words: list[str]) -> list[bytes]:
-    """encode_words behind a worker's memory of short words, emptied when it holds MOST_KEPT of them."""
-    kept = _kept(path)
-    fresh = [w for w in words if w not in kept]
-    if len(kept) + len(fresh) > MOST_KEPT:
-        kept.clear()
-        fresh = words
-    new = dict(zip(fresh, encode_words(path, fresh), strict=True))
-    kept.update((w, v) for w, v in new.items() if len(w) <= LONGEST_KEPT)
-    return [new[w] if w in new else kept[w] for w in words]
+def encode_words(path: str, words: list[str]) -> list[bytes]:
+    """Ids of each word, as little-endian unsigned 32-bit integers."""
+    ids, lengths = encode_flat(path, pa.array(words, pa.string()))
+    data, ends = ids.astype("<u4").tobytes(), np.cumsum(lengths) * 4
+    return [data[b - n : b] for b, n in zip(ends.tolist(), (lengths * 4).tolist(), strict=True)]
 
 
 def spread(index: np.ndarray, ids: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The ids of a row of words, and how many ids come before each of them (and the total at the end)."""
     n = lengths[index]
     ends = np.concatenate([[0], np.cumsum(n)])
-    return ids[np.repeat(starts[index] - ends[:-1], n) + np.arange(ends[-1])], ends
+    return ids[np.repeat((starts[index] - ends[:-1]).astype(np.int32), n) + np.arange(ends[-1], dtype=np.int32)], ends

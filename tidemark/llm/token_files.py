@@ -12,12 +12,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .blocks import cuts
 from .common import id_text, mix64, shared_dir, shuffle_partitions, split_words
-from .words import encode_flat, public_file, spread
+from .words import public_file, remembered, spread
 
 SHARD_TOKENS, BATCH_WORDS = 500_000, 250_000
 NO_ID = -(2**63)
@@ -116,9 +117,11 @@ def _encoded(docs: DataFrame, path: str, end_id: int) -> DataFrame:
     def encode(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
             words, index, offsets = split_words(batch.column(1), lower=False)
-            flat, lengths = encode_flat(path, words)
+            lower = pc.if_else(pc.match_substring(words, "<|"), words, pc.ascii_lower(words)).dictionary_encode()  # special tokens stay
+            index = lower.indices.to_numpy(zero_copy_only=False)[index]
+            flat, starts, lengths = remembered(path).encode(lower.dictionary, np.bincount(index, minlength=len(lower.dictionary)))
             wide = "<u2" if max(end_id, flat.max(initial=0)) < 1 << 16 else "<u4"
-            flat, starts = flat.astype(wide), np.cumsum(lengths) - lengths
+            flat = flat.astype(wide)
             for at, end in cuts(offsets, batch.num_rows, BATCH_WORDS):
                 ids, ends = spread(index[offsets[at] : offsets[end]], flat, starts, lengths)
                 cut = ends[offsets[at : end + 1] - offsets[at]]

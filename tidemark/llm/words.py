@@ -12,6 +12,7 @@ from __future__ import annotations
 import os
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 BYTE_PATTERN = r"(?U)'(?:[stmd]|re|ve|ll)| ?+(?:\p{L}++|\p{N}++|[^\s\p{L}\p{N}]++)|\s+(?!\S)|\s+"
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|\pL+|\pN|[^\s\pL\pN]+"
 UNSAFE = r"<\|(?:start|end)oftext\|>|[^\t\n\u000B\f\r -~¡-įı-ſ‐-‧]"
-AT_ONCE = 16_384
+AT_ONCE, MOST_KEPT = 16_384, 250_000
 
 
 @dataclass(frozen=True)
@@ -80,16 +81,12 @@ def _closing(path: str) -> np.ndarray | None:
 
 def _runs(words: list[str], apart: np.ndarray) -> list[list[str] | str]:
     """Words in runs of 256; those set apart alone."""
-    runs, run = [], []
-    for w, alone in zip(words, apart.tolist(), strict=True):
-        if run and (alone or len(run) == 256):
-            runs.append(run)
-            run = []
-        if alone:
-            runs.append(w)
-        else:
-            run.append(w)
-    return [*runs, run] if run else runs
+    runs, start = [], 0
+    for stop in [*np.flatnonzero(apart).tolist(), len(words)]:
+        runs += [words[a : min(a + 256, stop)] for a in range(start, stop, 256)]
+        runs += words[stop : stop + 1]
+        start = stop + 1
+    return runs
 
 
 def encode_flat(path: str, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -126,6 +123,37 @@ def encode_flat(path: str, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(ids), np.concatenate(lengths)
 
 
+class Remembered:
+    """encode_flat for one batch after another in a worker; words that a batch repeats are kept, MOST_KEPT of them."""
+
+    def __init__(self, path: str):
+        self.path, self.place = path, {}
+        self.ids, self.lengths = np.zeros(0, np.uint32), np.zeros(0, np.int64)
+
+    def encode(self, words: pa.Array, times: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All ids known so far, and for each word where its ids start and how many there are."""
+        place = np.empty(len(words), np.int64)
+        for at in range(0, len(words), AT_ONCE):
+            part = words.slice(at, AT_ONCE).to_pylist()
+            place[at : at + len(part)] = np.fromiter(map(self.place.get, part, repeat(-1)), np.int64, len(part))
+        fresh = np.flatnonzero(place < 0)
+        fresh = fresh[np.argsort(times[fresh] < 2, kind="stable")]  # repeated words first
+        ids, lengths = encode_flat(self.path, words.take(pa.array(fresh)))
+        place[fresh] = len(self.lengths) + np.arange(len(fresh))
+        ids, lengths = np.concatenate([self.ids, ids]), np.concatenate([self.lengths, lengths])
+        starts = np.cumsum(lengths) - lengths
+        n = min(int((times[fresh] >= 2).sum()), MOST_KEPT - len(self.place))
+        self.place.update(zip(words.take(pa.array(fresh[:n])).to_pylist(), range(len(self.place), len(self.place) + n), strict=True))
+        self.lengths = lengths[: len(self.place)].copy()
+        self.ids = ids[: self.lengths.sum()].copy()
+        return ids, starts[place], lengths[place]
+
+
+@lru_cache(maxsize=2)
+def remembered(path: str) -> Remembered:
+    return Remembered(path)
+
+
 def encode_words(path: str, words: list[str]) -> list[bytes]:
     """Ids of each word, as little-endian unsigned 32-bit integers."""
     ids, lengths = encode_flat(path, pa.array(words, pa.string()))

@@ -36,10 +36,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
-        "op1_bpe_round_trip": lambda spark, sf_dir: round_trip(table(spark, sf_dir, "documents"), digest=True),
-        "op2_quality_classifier": lambda spark, sf_dir: classified(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")),
-        "op3_repeat_removal": lambda spark, sf_dir: remove_repeats(table(spark, sf_dir, "documents"), digest=True),
-        "op4_token_files": lambda spark, sf_dir: token_files(table(spark, sf_dir, "documents")),
+        "op5_url_filter": url_filter.ORACLE_SQL,
         "op8_exact_dedup": """
             WITH d AS (
                 SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents)

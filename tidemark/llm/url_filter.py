@@ -87,7 +87,7 @@ e AS (SELECT list, domain, joins AS hour, TRUE AS listed FROM n
 one AS (SELECT list, domain, to_timestamp(1704067200 + hour * 3600) AS moment, bool_and(listed) AS listed FROM e GROUP BY ALL),
 changed AS (SELECT *, coalesce(lag(listed) OVER (PARTITION BY list, domain ORDER BY moment), FALSE) AS was FROM one),
 spans AS (SELECT list, domain, moment AS valid_from, lead(moment) OVER (PARTITION BY list, domain ORDER BY moment) AS valid_to, listed FROM changed WHERE listed <> was),
-asked AS (SELECT page_id, url, fetched_at, unnest(list_transform(range(1, greatest(2, len(string_split(host, '.')))), i -> array_to_string(string_split(host, '.')[i:], '.'))) AS domain FROM p WHERE host IS NOT NULL),
+asked AS (SELECT page_id, url, fetched_at, unnest(list_transform(range(1, greatest(2, len(string_split(host, '.')))), lambda i: array_to_string(string_split(host, '.')[i:], '.'))) AS domain FROM p WHERE host IS NOT NULL),
 hits AS (SELECT page_id, url, fetched_at, arg_max(a.domain, length(a.domain)) AS matched_domain, array_to_string(list_sort(list(DISTINCT list)), ',') AS lists
          FROM asked a JOIN spans s ON a.domain = s.domain AND s.listed AND s.valid_from <= fetched_at AND (s.valid_to IS NULL OR fetched_at < s.valid_to) GROUP BY ALL)
 SELECT p.page_id, host, lists IS NOT NULL AS blocked, matched_domain, lists FROM p LEFT JOIN hits USING (page_id, url, fetched_at)

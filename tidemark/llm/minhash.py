@@ -4,7 +4,7 @@ Documents with equal shingle sets are one class and only its representative take
 band has a pivot, and the members of other components are compared with it; what is confirmed joins components. Rounds
 go on while they leave clearly fewer pairs open. The last round covers all pairs of a bucket whose components still differ, but
 only compares those that can be similar given what each has in common with the pivot: two sets share at most the smaller of
-these parts, or else an item beyond the pivot, among the first few in hash order (a prefix filter). So no candidate pair that
+these parts, or else an item beyond the pivot, among the rarest (a prefix filter). So no candidate pair that
 could change a component is left out, and copies of one text that differ too much cost no comparison for each pair.
 """
 
@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import batches, id_text, mix64, split_words, written
@@ -127,9 +128,8 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "set_a", "set_b").mapInArrow(check, "a long, b long")
 
 
-def _beyond_pivot(against: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """How many items a set has in common with its pivot, and those beyond it of which a similar set must share one, unless
-    what they have in common with the pivot is enough: all but the (needed - 1) largest hashes."""
+def _beyond_pivot(against: DataFrame, sets: DataFrame) -> DataFrame:
+    """How many items a set has in common with its pivot, and those beyond it."""
 
     def split(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches(it, 500):
@@ -138,8 +138,7 @@ def _beyond_pivot(against: DataFrame, sets: DataFrame, percent: int) -> DataFram
                 x = np.frombuffer(x, np.uint64)
                 rest = np.setdiff1d(x, np.frombuffer(p, np.uint64), assume_unique=True)
                 common.append(len(x) - len(rest))
-                needed = max(1, -(-percent * len(x) // 100) - common[-1])
-                items.append(rest[: max(0, len(rest) - needed + 1)].view(np.int64))
+                items.append(rest.view(np.int64))
             yield pa.RecordBatch.from_arrays([b.column("pivot"), b.column("doc_id"), pa.array(common, pa.int64()), pa.array(items, pa.list_(pa.int64()))], ["pivot", "doc_id", "common", "items"])
 
     of_pivot = sets.select(F.col("doc_id").alias("pivot"), F.col("shingles").alias("pivot_set"))
@@ -193,15 +192,22 @@ def near_dedup(docs: DataFrame, shingle_words: int = 5, percent: int = 80, bands
     if open_pairs:
         pivot = rest.groupBy("bucket").agg(F.min("doc_id").alias("pivot"))
         rest = rest.join(pivot, "bucket")
-        beyond = written(_beyond_pivot(rest.select("pivot", "doc_id").distinct(), sets, percent), "beyond")
+        beyond = written(_beyond_pivot(rest.select("pivot", "doc_id").distinct(), sets), "beyond")
         of = rest.select("doc_id", F.col("component")).distinct()
         rest = rest.join(beyond.drop("items"), ["pivot", "doc_id"]).join(sketches, "doc_id")
         left, right = (side(rest, c, "bucket", F.col("component").alias(f"of_{c}"), F.col("common").alias(f"common_{c}")) for c in "ab")
         enough = F.expr(f"100 * least(common_a, common_b) >= {percent} * (n_a + n_b - least(common_a, common_b))")
         through_pivot = left.join(right, (left["bucket"] == right["bucket"]) & F.expr("a < b AND of_a <> of_b") & enough & alike).select("a", "b")
-        items = beyond.select("pivot", "doc_id", F.explode("items").alias("item")).join(of, "doc_id")
-        left, right = (items.select("pivot", "item", F.col("doc_id").alias(c), F.col("component").alias(f"of_{c}")) for c in "ab")
-        outside = left.join(right, (left["pivot"] == right["pivot"]) & (left["item"] == right["item"]) & F.expr("a < b AND of_a <> of_b")).select("a", "b")
+        items = beyond.select("pivot", "doc_id", "common", F.size("items").alias("beyond"), F.explode("items").alias("item"))
+        often = items.groupBy("pivot", "item").agg(F.count(F.lit(1)).alias("often"))
+        shortest = beyond.groupBy("pivot").agg(F.min(F.col("common") + F.size("items")).alias("shortest"))
+        needed = F.ceil(percent * (F.col("common") + F.col("beyond") + F.col("shortest")) / (100 + percent)) - F.col("common")
+        rarest = W.partitionBy("pivot", "doc_id").orderBy("often", "item")
+        items = items.join(often, ["pivot", "item"]).join(shortest, "pivot").withColumn("nth", F.row_number().over(rarest))
+        items = items.where((F.col("nth") <= F.col("beyond") - F.greatest(needed, F.lit(1)) + 1) & (F.col("often") > 1)).join(of, "doc_id")
+        left, right = (items.select("pivot", "item", F.col("doc_id").alias(c), *[F.col(x).alias(f"{x}_{c}") for x in ("common", "beyond", "component")]) for c in "ab")
+        possible = F.expr(f"{percent} * (common_a + beyond_a + common_b + beyond_b) <= {100 + percent} * (least(common_a, common_b) + least(beyond_a, beyond_b))")
+        outside = left.join(right, (left["pivot"] == right["pivot"]) & (left["item"] == right["item"]) & F.expr("a < b AND component_a <> component_b") & possible).select("a", "b")
         links = links.union(confirm(through_pivot.union(outside).distinct()))
 
     component = connected_components(links)

@@ -53,18 +53,29 @@ def _roots(umis: list[str], n: list[int]) -> list[int]:
 def directional_umis(reads: DataFrame, place: tuple[str, ...] = PLACE) -> DataFrame:
     """One row for each molecule: place, umi (its most frequent), reads, umis. Counts are made in Spark; a place holds at most 4^length UMIs."""
     counted = reads.groupBy(*place, "umi").agg(F.count(F.lit(1)).alias("n"))
-    schema = ", ".join(f"{c} {t}" for c, t in counted.dtypes if c in place)
+    fields = ", ".join(f"{c} {t}" for c, t in counted.dtypes if c in place)
+    kinds = counted.groupBy(*place).agg(F.count(F.lit(1)).alias("kinds"))
+    counted = counted.join(kinds, list(place))
+    alone = counted.where("kinds = 1").select(*place, "umi", F.col("n").alias("reads"), F.lit(1).cast("long").alias("umis"))  # nothing to cluster
+    several = counted.where("kinds > 1").withColumn("_deal", F.pmod(F.xxhash64(*place), F.lit(4 * int(reads.sparkSession.conf.get("spark.sql.shuffle.partitions")))))
 
     def cluster(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("umi", ignore_index=True)
-        pdf["root"] = _roots(pdf["umi"].tolist(), pdf["n"].tolist())
-        out = pdf.groupby("root", as_index=False).agg(reads=("n", "sum"), umis=("n", "size"))
-        out["umi"] = pdf["umi"].to_numpy()[out["root"]]
-        for c in place:
-            out[c] = pdf[c].iloc[0]
-        return out[[*place, "umi", "reads", "umis"]]
-
-    return counted.groupBy(*place).applyInPandas(cluster, f"{schema}, umi string, reads long, umis long")
+        out = []
+        pdf = pdf.sort_values([*place, "umi"], ignore_index=True)
+        keys = list(pdf[list(place)].itertuples(index=False, name=None))
+        umis, n, at = pdf["umi"].tolist(), pdf["n"].tolist(), 0
+        while at < len(keys):
+            end = at
+            while end < len(keys) and keys[end] == keys[at]:
+                end += 1
+            found: dict[int, list[int]] = {}
+            for i, r in enumerate(_roots(umis[at:end], n[at:end])):
+                found.setdefault(r, []).append(n[at + i])
+            out += [(*keys[at], umis[at + r], sum(x), len(x)) for r, x in found.items()]
+            at = end
+        return pd.DataFrame(out, columns=[*place, "umi", "reads", "umis"])
+
+    return several.groupBy("_deal").applyInPandas(cluster, f"{fields}, umi string, reads long, umis long").unionByName(alone)
 
 
 def complexity_histogram(reads: DataFrame, *key: str) -> DataFrame:

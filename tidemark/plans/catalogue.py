@@ -1,15 +1,297 @@
-"""Every registered query of the interval library and its SQL twin."""
+"""Every registered query of the interval library, over tables of any size, and its SQL twin."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidemark.functions import alignment as al
+from tidemark.operators import annotation, coverage, dedup, intervals, qc, quantify, samples, transcripts
+from tidemark.sources import proxies
+from tidemark.sources.proxies import table
+from tidemark.streaming import sessions
+
+READS = """reads AS (SELECT concat_ws('/', l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_shipdate) AS id, l_returnflag || '_REP' || (l_partkey % 2 + 1) AS sample,
+  'chr' || (l_suppkey % 10) AS chrom, date_diff('day', DATE '1995-01-01', CAST(l_shipdate AS DATE)) AS "start",
+  date_diff('day', DATE '1995-01-01', CAST(l_shipdate AS DATE)) + CAST(l_quantity AS BIGINT) AS "end",
+  CASE WHEN l_linestatus = 'F' THEN '+' ELSE '-' END AS strand, CAST((l_linenumber - 1) * 10 AS BIGINT) AS mapq,
+  CAST(1 + 2 * (l_linenumber % 2) + CASE WHEN l_linenumber = 7 THEN 4 ELSE 0 END + CASE WHEN l_linenumber = 6 THEN 8 ELSE 0 END + CASE WHEN l_linestatus = 'F' THEN 0 ELSE 16 END + CASE WHEN l_partkey % 3 = 0 THEN 128 ELSE 64 END + CASE WHEN l_linenumber = 5 THEN 256 ELSE 0 END + CASE WHEN l_partkey % 11 = 0 THEN 1024 ELSE 0 END AS BIGINT) AS flag,
+  substr('ACGT', CAST(l_partkey % 4 AS INT) + 1, 1) || substr('ACGT', CAST(l_suppkey % 4 AS INT) + 1, 1) AS umi, l_quantity, l_extendedprice FROM lineitem)"""
+FEATURES = """features AS (SELECT p_partkey AS gene, 'chr' || (p_partkey % 10) AS chrom, p_partkey * 37 % 2500 AS "start", p_partkey * 37 % 2500 + p_size AS "end",
+  CASE WHEN (p_partkey // 10) % 2 = 0 THEN '+' ELSE '-' END AS strand, p_type AS biotype FROM part)"""
+REGIONS = """regions AS (SELECT 'chr' || (s_suppkey % 10) AS chrom, s_suppkey * 97 % 2500 AS "start", s_suppkey * 97 % 2500 + 5 + s_nationkey * 4 AS "end", s_suppkey % 2 = 0 AS keep FROM supplier)"""
+SIZES = """sizes AS (SELECT chrom, max("end") AS length FROM reads GROUP BY chrom)"""
+OVER = 'a.chrom = b.chrom AND a."start" < b."end" AND b."start" < a."end"'
+
+
+def _runs(source: str, keys: str = "chrom", value: str = "depth") -> str:
+    """Depth runs in SQL."""
+    return f"""e AS (SELECT {keys}, "start" AS pos, 1 AS d FROM {source} UNION ALL SELECT {keys}, "end", -1 FROM {source}),
+      s AS (SELECT {keys}, pos, sum(d) AS d FROM e GROUP BY ALL HAVING sum(d) <> 0),
+      runs AS (SELECT {keys}, pos AS "start", lead(pos) OVER (PARTITION BY {keys} ORDER BY pos) AS "end", CAST(sum(d) OVER (PARTITION BY {keys} ORDER BY pos) AS BIGINT) AS depth FROM s)"""
+
+
+def _merged(source: str, keys: str = "chrom", name: str = "merged") -> str:
+    return f"""{name}_m AS (SELECT {keys}, "start", "end", max("end") OVER (PARTITION BY {keys} ORDER BY "start", "end" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pm FROM {source}),
+      {name}_g AS (SELECT *, sum(CASE WHEN pm IS NULL OR "start" > pm THEN 1 ELSE 0 END) OVER (PARTITION BY {keys} ORDER BY "start", "end" ROWS UNBOUNDED PRECEDING) AS g FROM {name}_m),
+      {name} AS (SELECT {keys}, min("start") AS "start", max("end") AS "end", count(*) AS n FROM {name}_g GROUP BY {keys}, g)"""
+
+
+_ENDS = """ends AS (SELECT sample, chrom, strand, CASE WHEN strand = '+' THEN "start" ELSE "end" - 1 END AS pos, umi, mapq, id, l_quantity, l_extendedprice FROM reads)"""
+_FLAGS = {
+    "total": "TRUE", "secondary": "flag & 256 <> 0", "supplementary": "flag & 2048 <> 0", "duplicates": "flag & 1024 <> 0", "mapped": "flag & 4 = 0",
+    "primary": "flag & 2304 = 0", "primary_mapped": "flag & 2308 = 0", "paired": "flag & 2304 = 0 AND flag & 1 <> 0", "read1": "flag & 2304 = 0 AND flag & 1 <> 0 AND flag & 64 <> 0",
+    "read2": "flag & 2304 = 0 AND flag & 1 <> 0 AND flag & 128 <> 0", "properly_paired": "flag & 2308 = 0 AND flag & 1 <> 0 AND flag & 2 <> 0",
+    "both_mapped": "flag & 2304 = 0 AND flag & 1 <> 0 AND flag & 12 = 0", "singletons": "flag & 2308 = 0 AND flag & 1 <> 0 AND flag & 8 <> 0", "qc_failed": "flag & 512 <> 0",
+}
+
+
+def _assigned(spark: SparkSession, d: str) -> DataFrame:
+    return quantify.assign(proxies.reads(spark, d), proxies.features(spark, d).where("gene % 40 = 0"), least_mapq=10, both_ends=True)
+
+
+_ASSIGNED = f"""genes AS (SELECT * FROM features WHERE gene % 40 = 0),
+  r AS (SELECT *, row_number() OVER () AS rid FROM reads),
+  hit AS (SELECT a.rid, min(gene) AS low, max(gene) AS high FROM r a JOIN genes b ON {OVER} GROUP BY a.rid),
+  assigned AS (SELECT sample, gene, CASE WHEN flag & 4 <> 0 THEN 'Unassigned_Unmapped' WHEN mapq < 10 THEN 'Unassigned_MappingQuality' WHEN flag & 256 <> 0 THEN 'Unassigned_Secondary'
+      WHEN flag & 1 <> 0 AND flag & 8 <> 0 THEN 'Unassigned_Singleton' WHEN low IS NULL THEN 'Unassigned_NoFeatures' WHEN low <> high THEN 'Unassigned_Ambiguity' ELSE 'Assigned' END AS status
+    FROM (SELECT r.*, low, high, low AS gene FROM r LEFT JOIN hit USING (rid)))"""
+
+
+def _ids(df: DataFrame) -> DataFrame:
+    """Rows of the proxies repeat: a number makes each read its own."""
+    return df.withColumn("id", F.concat_ws("#", "id", F.monotonically_increasing_id()))
+
+
+def _sheet(spark: SparkSession, d: str) -> DataFrame:
+    """Suppliers as a sample sheet: a nation's suppliers are its runs."""
+    rows = table(spark, d, "supplier").join(F.broadcast(table(spark, d, "nation")), F.col("s_nationkey") == F.col("n_nationkey"))
+    return rows.selectExpr("n_name AS sample", "concat('run', s_suppkey, CASE WHEN s_suppkey % 17 = 0 THEN '.txt' ELSE '.fastq.gz' END) AS fastq_1", "CASE WHEN n_nationkey % 2 = 0 THEN concat('run', s_suppkey, '_2.fq.gz') END AS fastq_2")
+
+
+_SHEET = """sheet AS (SELECT n_name AS sample, 'run' || s_suppkey || CASE WHEN s_suppkey % 17 = 0 THEN '.txt' ELSE '.fastq.gz' END AS fastq_1,
+  CASE WHEN n_nationkey % 2 = 0 THEN 'run' || s_suppkey || '_2.fq.gz' END AS fastq_2 FROM supplier JOIN nation ON s_nationkey = n_nationkey)"""
+
+
+def _calls(spark: SparkSession, d: str) -> DataFrame:
+    """Merged reads of good quality as transcript calls."""
+    merged = intervals.merge_intervals(proxies.reads(spark, d).where("mapq >= 50 AND `end` - start > 40"), ("chrom", "strand"))
+    return merged.withColumn("id", F.concat_ws(":", "chrom", "strand", "start"))
+
+
+_CALLS = _merged('(SELECT * FROM reads WHERE mapq >= 50 AND "end" - "start" > 40)', "chrom, strand", "calls")
+
+
+def _annotation(spark: SparkSession, d: str) -> DataFrame:
+    return proxies.features(spark, d).where("gene % 20 < 2")
+
+
+def _grid(spark: SparkSession, d: str) -> DataFrame:
+    """A grid whose error is the gap between each pair's ratio and that of the lines' tax and discount."""
+    target = table(spark, d, "lineitem").agg((F.sum(F.col("l_quantity").cast("long")) % 1000).alias("t"))
+    g = transcripts.grid(spark).crossJoin(F.broadcast(target))  # one row
+    g = g.select(F.col("LtProbB").cast("long").alias("ltprobb"), F.col("UTS").cast("long").alias("uts"), F.abs(-F.col("LtProbB") * F.col("UTS") % 1000 - F.col("t")).cast("long").alias("error"), F.col("row_no").cast("long").alias("row_no"))
+    return annotation.first_wins(g, "error", "row_no")
+
+
+def _ends(spark: SparkSession, d: str) -> DataFrame:
+    return dedup.by_position(proxies.reads(spark, d))
+
+
+def _peaks(spark: SparkSession, d: str) -> DataFrame:
+    return transcripts.tss_peaks(_ends(spark, d).groupBy("chrom", "strand", "pos").agg(F.count(F.lit(1)).alias("n")))
+
+
+def _classes(spark: SparkSession, d: str) -> DataFrame:
+    f = proxies.features(spark, d).where("gene % 20 = 0")
+    return f.select("chrom", "start", "end", F.when(F.col("gene") % 3 == 0, "cds").when(F.col("gene") % 3 == 1, "utr").otherwise("intron").alias("class"), (F.col("gene") % 3).alias("priority"))
+
+
+def _texts(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("name"), F.coalesce("text", F.lit("")).alias("seq"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    reads, features, regions, sizes = proxies.reads, proxies.features, proxies.regions, proxies.sizes
+    bed = lambda df: df.select("chrom", "start", "end")
+    genes = lambda s, d: features(s, d).select("gene", "chrom", "start", "end", "strand")
+    c = coverage.coverage
+    return {
+        "coverage_plus": lambda s, d: c(reads(s, d).where("strand = '+'")),
+        "coverage_minus": lambda s, d: c(reads(s, d).where("strand = '-'")),
+        "coverage_all": lambda s, d: c(reads(s, d), ("sample", "chrom", "strand")),
+        "coverage_scaled": lambda s, d: c(reads(s, d), scale=0.5),
+        "coverage_binned50": lambda s, d: coverage.binned(reads(s, d)),
+        "coverage_mean_depth": lambda s, d: coverage.mean_depth(reads(s, d)).withColumn("depth", F.round("depth", 6)),
+        "end_positions": lambda s, d: reads(s, d).where("mapq > 0").withColumn("p", al.last_base(F.col("start"), F.col("end"), F.col("strand"))).groupBy("chrom", "strand", F.col("p.start").alias("start"), F.col("p.end").alias("end")).agg(F.count(F.lit(1)).alias("n")),
+        "dreg_coverage_signed": lambda s, d: coverage.signed(c(reads(s, d).where("mapq > 0").withColumn("p", al.last_base(F.col("start"), F.col("end"), F.col("strand"))).selectExpr("chrom", "strand", "p.start", "p.end"), ("chrom", "strand"))),
+        "rna_strand_coverage": lambda s, d: c(reads(s, d).where(al.lacks(F.col("flag"), al.UNMAPPED | al.SECONDARY)).withColumn("strand", al.rna_strand(F.col("flag"))), ("chrom", "strand")),
+        "merge_intervals": lambda s, d: intervals.merge_intervals(features(s, d)),
+        "merge_by_strand": lambda s, d: intervals.merge_intervals(features(s, d), ("chrom", "strand"), gap=3),
+        "sort_bed": lambda s, d: intervals.sort_bed(genes(s, d)),
+        "bed_to_saf": lambda s, d: intervals.bed_to_saf(bed(features(s, d))),
+        "intersect_wa": lambda s, d: intervals.intersect(genes(s, d), regions(s, d)),
+        "intersect_v": lambda s, d: intervals.intersect(genes(s, d), regions(s, d, False), "none"),
+        "intersect_u": lambda s, d: intervals.intersect(genes(s, d), regions(s, d), "any"),
+        "filter_then_intersect": lambda s, d: intervals.intersect(intervals.intersect(genes(s, d), regions(s, d, False), "none"), regions(s, d)),
+        "count_overlaps": lambda s, d: intervals.count_overlaps(genes(s, d).where("gene % 10 = 0"), reads(s, d), "gene"),
+        "featurecounts_gene": lambda s, d: quantify.counts(_assigned(s, d), genes(s, d).where("gene % 40 = 0"), reads(s, d)),
+        "featurecounts_summary": lambda s, d: quantify.summary(_assigned(s, d)),
+        "featurecounts_predicted": lambda s, d: quantify.summary(quantify.assign(reads(s, d), intervals.bed_to_saf(_calls(s, d)).withColumnRenamed("gene_id", "gene"))),
+        "flagstat": lambda s, d: qc.flagstat(reads(s, d)),
+        "idxstats": lambda s, d: qc.idxstats(reads(s, d), sizes(s, d)),
+        "samtools_stats": lambda s, d: qc.stats(reads(s, d)),
+        "bam_stat": lambda s, d: qc.bam_stat(reads(s, d)),
+        "metrics_pivot": lambda s, d: qc.metrics_table(qc.stats(reads(s, d)).replace({"reads mapped": "mapped", "reads of quality 0": "mq0", "bases mapped": "bases"}, subset="metric")),
+        "pileup_contig": lambda s, d: coverage.per_contig(c(reads(s, d)), sizes(s, d)),
+        "pileup_hist": lambda s, d: coverage.depth_histogram(c(reads(s, d))),
+        "read_dup_position": lambda s, d: qc.duplication(_ends(s, d), "chrom", "pos", "strand"),
+        "read_dup_sequence": lambda s, d: qc.duplication(_texts(s, d), "seq"),
+        "infer_experiment": lambda s, d: qc.infer_experiment(_ids(reads(s, d)), features(s, d).where("gene % 40 = 0")),
+        "read_distribution": lambda s, d: qc.read_distribution(_ids(reads(s, d)), _classes(s, d)),
+        "inner_distance": lambda s, d: qc.inner_distance(reads(s, d).withColumn("mate_start", F.col("end") + F.col("mapq") * 5 - 100)),
+        "c_curve": lambda s, d: dedup.c_curve(dedup.complexity_histogram(_ends(s, d), "chrom", "pos", "strand")),
+        "umi_dedup_exact": lambda s, d: dedup.exact_umis(_ends(s, d), "id").select("sample", "chrom", "pos", "strand", "umi", "mapq"),
+        "umi_per_umi_stats": lambda s, d: dedup.per_umi(_ends(s, d)),
+        "samplesheet_group": lambda s, d: samples.check_groups(samples.group_samples(_sheet(s, d))).select("id", "single_end", "n_runs", F.array_join("fastqs", ",").alias("fastqs")),
+        "samplesheet_validate": lambda s, d: samples.invalid_rows(_sheet(s, d)),
+        "replicate_group": lambda s, d: reads(s, d).groupBy(al.group_of(F.col("sample")).alias("group")).agg(F.count_distinct("sample").alias("samples"), F.count(F.lit(1)).alias("reads")),
+        "join_remainder_coalesce": lambda s, d: samples.join_remainder(table(s, d, "customer").where("c_custkey % 3 > 0").selectExpr("c_nationkey AS k", "c_custkey").groupBy("k").agg(F.max("c_custkey").alias("bai")), table(s, d, "supplier").where("s_suppkey % 2 = 0").selectExpr("s_nationkey AS k", "s_suppkey").groupBy("k").agg(F.max("s_suppkey").alias("csi")), "k").select("k", F.coalesce("bai", "csi").alias("index")),
+        "combine_cross": lambda s, d: samples.combine(table(s, d, "supplier").select("s_suppkey"), table(s, d, "region").select("r_name")),
+        "mix_union": lambda s, d: samples.mix(bed(features(s, d)), bed(regions(s, d)), bed(regions(s, d, False))),
+        "versions_distinct": lambda s, d: table(s, d, "part").select(F.element_at(F.split("p_type", " "), -1).alias("tool"), "p_brand").distinct(),
+        "grid_search_argmin": _grid,
+        "expressed_features_q05_q95": lambda s, d: transcripts.expressed(genes(s, d).where("gene % 4 = 0"), reads(s, d).where("mapq >= 50 AND `end` - start > 44"), size=10).select("gene", "width"),
+        "hmm_eval_merged_dissociated": lambda s, d: transcripts.evaluate(_calls(s, d), _annotation(s, d)),
+        "consensus_annotation": lambda s, d: annotation.consensus(features(s, d).withColumn("gene", F.floor(F.col("gene") / 30)).withColumn("chrom", F.lit("chr1")).withColumn("start", F.col("start") % 60).withColumn("end", F.col("start") + 40)),
+        "break_on_genes": lambda s, d: transcripts.break_on_genes(_calls(s, d), _annotation(s, d)),
+        "combine_transcripts": lambda s, d: transcripts.combine_by_gene(transcripts.break_on_genes(_calls(s, d), _annotation(s, d)), _annotation(s, d)),
+        "tx_density": lambda s, d: transcripts.density(reads(s, d), features(s, d).where("gene % 40 = 0"), 10),
+        "gtf_to_bed12": lambda s, d: annotation.gtf_to_bed12(proxies.exons(s, d)),
+        "gtf_semi_filter": lambda s, d: annotation.keep_known(genes(s, d), regions(s, d).select(F.col("chrom").alias("seqname"))),
+        "skip_chromosomes": lambda s, d: annotation.drop_contigs(bed(features(s, d)), ("chr3", "_random", "chr")),
+        "chrom_sizes": lambda s, d: annotation.chrom_sizes(table(s, d, "documents").selectExpr("concat(source, ' ', lang) AS header", "coalesce(text, '') AS seq")),
+        "fasta_to_gtf": lambda s, d: annotation.fasta_to_gtf(table(s, d, "documents").selectExpr("concat('doc', doc_id, ' ', lang) AS header", "coalesce(text, '') AS seq")),
+        "fastqc_per_base": lambda s, d: qc.per_base(_texts(s, d)),
+        "fastqc_length_hist": lambda s, d: qc.length_histogram(_texts(s, d)),
+        "fastqc_gc_hist": lambda s, d: qc.gc_histogram(_texts(s, d)),
+        "fastqc_overrepresented": lambda s, d: qc.overrepresented(_texts(s, d), 0.2),
+        "fastp_trim_filter": lambda s, d: qc.trim(_texts(s, d), adapter="Licensed", head=1, tail=2, least=100, umi=6).select("name", F.md5("seq").alias("seq_md5"), F.length("seq").cast("long").alias("length")),
+        "session_merge_events": lambda s, d: sessions.merge_sessions(table(s, d, "events"), "2 hours").selectExpr("user_id", "unix_timestamp(start) AS start", "unix_timestamp(`end`) AS end", "n", "round(total, 4) AS total"),
+        "windowed_events": lambda s, d: sessions.windowed_counts(table(s, d, "events")).selectExpr("event_type", "unix_timestamp(start) AS start", "n", "round(total, 4) AS total"),
+        "hmm_transcripts": lambda s, d: transcripts.hmm_transcripts(coverage.binned(reads(s, d), 10), 10, log_leave=-5.0),
+        "homer_transcripts": lambda s, d: transcripts.dense_transcripts(coverage.binned(reads(s, d), 10), 10, least=50),
+        "tss_peaks": _peaks,
+        "umi_dedup_directional": lambda s, d: dedup.directional_umis(_ends(s, d)),
+        "lc_extrap": lambda s, d: dedup.lc_extrap(dedup.complexity_histogram(_ends(s, d), "chrom", "pos", "strand", "umi")),
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    strand = lambda x: f"(SELECT * FROM reads WHERE strand = '{x}')"
+    runs = 'SELECT {k}, "start", "end", {v} AS depth FROM runs WHERE depth <> 0'
+    one = """one AS (SELECT chrom, strand, CASE WHEN strand = '+' THEN "start" ELSE "end" - 1 END AS "start", CASE WHEN strand = '+' THEN "start" + 1 ELSE "end" END AS "end" FROM reads WHERE mapq > 0)"""
+    genes = 'a.gene, a.chrom, a."start", a."end", a.strand'
+    hits = lambda keep: f"SELECT 1 FROM regions b WHERE {OVER} AND {'' if keep else 'NOT '}b.keep"
+    annotated = "annotated AS (SELECT * FROM features WHERE gene % 20 < 2)"
+    pairs = f"pairs AS (SELECT DISTINCT a.chrom, a.strand, a.\"start\" AS s, a.\"end\" AS e, b.gene, b.\"start\" AS b_start FROM calls a JOIN annotated b ON {OVER} AND a.strand = b.strand)"
+    broken = f"""{pairs}, first AS (SELECT chrom, strand, s, min(b_start) AS f FROM pairs GROUP BY ALL),
+      cuts AS (SELECT DISTINCT p.chrom, p.strand, p.s, p.b_start AS x FROM pairs p JOIN first f ON p.chrom = f.chrom AND p.strand = f.strand AND p.s = f.s WHERE b_start > p.s AND b_start > f),
+      edges AS (SELECT chrom, strand, "start" AS s, "start" AS x FROM calls UNION SELECT chrom, strand, s, x FROM cuts),
+      broken AS (SELECT chrom || ':' || strand || ':' || s AS id, chrom, strand, x AS "start", coalesce(lead(x) OVER w, e) AS "end", row_number() OVER w AS part
+        FROM (SELECT edges.*, calls."end" AS e FROM edges JOIN calls ON edges.chrom = calls.chrom AND edges.strand = calls.strand AND edges.s = calls."start") WINDOW w AS (PARTITION BY chrom, strand, s ORDER BY x))"""
+    flags = ", ".join(f"count(*) FILTER ({c}) AS {n}" for n, c in _FLAGS.items())
+    metrics = {"reads": "count(*)", "reads mapped": "count(*) FILTER (flag & 4 = 0)", "reads of quality 0": "count(*) FILTER (flag & 2308 = 0 AND mapq = 0)", "bases mapped": 'sum(CASE WHEN flag & 4 = 0 THEN "end" - "start" ELSE 0 END)', "longest": 'max("end" - "start")', "shortest": 'min("end" - "start")'}
+    out = {
+        "coverage_plus": f"WITH {READS}, {_runs(strand('+'))} {runs.format(k='chrom', v='depth')}",
+        "coverage_minus": f"WITH {READS}, {_runs(strand('-'))} {runs.format(k='chrom', v='depth')}",
+        "coverage_all": f"WITH {READS}, {_runs('reads', 'sample, chrom, strand')} {runs.format(k='sample, chrom, strand', v='depth')}",
+        "coverage_scaled": f"WITH {READS}, {_runs('reads')} {runs.format(k='chrom', v='depth * CAST(0.5 AS DOUBLE)')}",
+        "coverage_binned50": f'WITH {READS} SELECT chrom, strand, CAST(floor("start" / 50) AS BIGINT) AS bin, count(*) AS n FROM reads GROUP BY ALL',
+        "coverage_mean_depth": f'WITH {READS}, x AS (SELECT chrom, "start", "end", unnest(range("start" // 50, ("end" - 1) // 50 + 1)) AS bin FROM reads) SELECT chrom, bin, round(sum(least("end", (bin + 1) * 50) - greatest("start", bin * 50)) / 50, 6) AS depth FROM x GROUP BY ALL',
+        "end_positions": f'WITH {READS}, {one} SELECT chrom, strand, "start", "end", count(*) AS n FROM one GROUP BY ALL',
+        "dreg_coverage_signed": f"WITH {READS}, {one}, {_runs('one', 'chrom, strand')} " + runs.format(k="chrom, strand", v="CASE WHEN strand = '-' THEN -depth ELSE depth END"),
+        "rna_strand_coverage": f"WITH {READS}, x AS (SELECT chrom, CASE WHEN (flag & 128 <> 0) = (flag & 16 <> 0) THEN '+' ELSE '-' END AS strand, \"start\", \"end\" FROM reads WHERE flag & 260 = 0), {_runs('x', 'chrom, strand')} {runs.format(k='chrom, strand', v='depth')}",
+        "merge_intervals": f"WITH {FEATURES}, {_merged('features')} SELECT * FROM merged",
+        "merge_by_strand": f"WITH {FEATURES}, {_merged('features', 'chrom, strand').replace('> pm ', '> pm + 3 ')} SELECT * FROM merged",
+        "sort_bed": f'WITH {FEATURES} SELECT {genes} FROM features a ORDER BY chrom, "start", "end"',
+        "bed_to_saf": f"""WITH {FEATURES} SELECT chrom || '.' || "start" || '.' || "end" AS gene_id, chrom, "start", "end", '.' AS strand FROM features""",
+        "intersect_wa": f"WITH {FEATURES}, {REGIONS} SELECT {genes} FROM features a JOIN regions b ON {OVER} AND b.keep",
+        "intersect_v": f"WITH {FEATURES}, {REGIONS} SELECT {genes} FROM features a WHERE NOT EXISTS ({hits(False)})",
+        "intersect_u": f"WITH {FEATURES}, {REGIONS} SELECT {genes} FROM features a WHERE EXISTS ({hits(True)})",
+        "filter_then_intersect": f"WITH {FEATURES}, {REGIONS} SELECT {genes} FROM features a JOIN regions b ON {OVER} AND b.keep WHERE NOT EXISTS ({hits(False).replace('regions b', 'regions c').replace('b.', 'c.')})",
+        "count_overlaps": f"WITH {READS}, {FEATURES} SELECT gene, count(b.id) AS n FROM features a LEFT JOIN reads b ON {OVER} WHERE gene % 10 = 0 GROUP BY gene",
+        "featurecounts_gene": f"WITH {READS}, {FEATURES}, {_ASSIGNED} SELECT g.gene, CAST(g.\"end\" - g.\"start\" AS BIGINT) AS length, s.sample, count(a.gene) AS n FROM genes g CROSS JOIN (SELECT DISTINCT sample FROM reads) s LEFT JOIN assigned a ON a.gene = g.gene AND a.sample = s.sample AND status = 'Assigned' GROUP BY ALL",
+        "featurecounts_summary": f"WITH {READS}, {FEATURES}, {_ASSIGNED} SELECT sample, status, count(*) AS n FROM assigned GROUP BY ALL",
+        "featurecounts_predicted": f"""WITH {READS}, {_CALLS}, flat AS (SELECT chrom, "start", "end", chrom || '.' || "start" || '.' || "end" AS gene FROM calls), r AS (SELECT *, row_number() OVER () AS rid FROM reads),
+            hit AS (SELECT a.rid, min(gene) AS low, max(gene) AS high FROM r a JOIN flat b ON {OVER} GROUP BY a.rid)
+            SELECT sample, CASE WHEN flag & 4 <> 0 THEN 'Unassigned_Unmapped' WHEN flag & 256 <> 0 THEN 'Unassigned_Secondary' WHEN low IS NULL THEN 'Unassigned_NoFeatures' WHEN low <> high THEN 'Unassigned_Ambiguity' ELSE 'Assigned' END AS status, count(*) AS n
+            FROM r LEFT JOIN hit USING (rid) GROUP BY ALL""",
+        "flagstat": f"WITH {READS} SELECT sample, {flags} FROM reads GROUP BY sample",
+        "idxstats": f"WITH {READS}, {SIZES} SELECT chrom, length, count(*) FILTER (flag & 4 = 0) AS mapped, count(*) FILTER (flag & 4 <> 0) AS unmapped FROM sizes JOIN reads USING (chrom) GROUP BY ALL UNION ALL SELECT '*', 0, 0, 0",
+        "samtools_stats": f"WITH {READS} " + " UNION ALL ".join(f"SELECT sample, '{m}' AS metric, CAST({e} AS DOUBLE) AS value FROM reads GROUP BY sample" for m, e in metrics.items()),
+        "bam_stat": f"""WITH {READS} SELECT sample, count(*) FILTER (flag & 4 <> 0) AS unmapped, count(*) FILTER (flag & 2304 <> 0 AND flag & 4 = 0) AS non_primary, count(*) FILTER (flag & 3844 = 0 AND mapq < 30) AS non_unique,
+            count(*) FILTER (flag & 3844 = 0 AND mapq >= 30) AS "unique", count(*) FILTER (flag & 3860 = 0 AND mapq >= 30) AS unique_plus, count(*) FILTER (flag & 3844 = 0 AND flag & 16 <> 0 AND mapq >= 30) AS unique_minus, count(*) FILTER (flag & 3844 = 0 AND flag & 2 <> 0 AND mapq >= 30) AS proper FROM reads GROUP BY sample""",
+        "metrics_pivot": f"WITH {READS} SELECT sample, " + ", ".join(f"CAST({e} AS DOUBLE) AS {n}" for n, e in zip(("reads", "mapped", "mq0", "bases", "longest", "shortest"), metrics.values(), strict=True)) + " FROM reads GROUP BY sample",
+        "pileup_contig": f"""WITH {READS}, {SIZES}, {_runs('reads')}, x AS (SELECT chrom, CAST(sum("end" - "start") AS BIGINT) AS covered, sum(("end" - "start") * depth) AS s, sum(("end" - "start") * depth * depth) AS ss FROM runs WHERE depth <> 0 GROUP BY chrom)
+            SELECT chrom, length, covered, round(100 * covered / length, 6) AS covered_percent, round(s / length, 6) AS mean_depth, round(sqrt(greatest(ss / length - (s / length) * (s / length), 0)), 6) AS sd_depth FROM sizes JOIN x USING (chrom)""",
+        "pileup_hist": f'WITH {READS}, {_runs("reads")} SELECT depth, CAST(sum("end" - "start") AS BIGINT) AS bases FROM runs WHERE depth <> 0 GROUP BY depth',
+        "read_dup_position": f"WITH {READS}, {_ENDS} SELECT occurrence, count(*) AS n FROM (SELECT count(*) AS occurrence FROM ends GROUP BY chrom, pos, strand) GROUP BY ALL",
+        "read_dup_sequence": "SELECT occurrence, count(*) AS n FROM (SELECT count(*) AS occurrence FROM documents GROUP BY coalesce(text, '')) GROUP BY ALL",
+        "infer_experiment": f"""WITH {READS}, {FEATURES}, r AS (SELECT *, row_number() OVER () AS rid FROM reads), x AS (SELECT a.rid, a.sample, a.strand, min(b.strand) AS low, max(b.strand) AS high FROM r a JOIN features b ON {OVER} AND gene % 40 = 0 GROUP BY ALL),
+            y AS (SELECT sample, CASE WHEN low <> high THEN 'undetermined' ELSE strand || low END AS class, count(*) AS n FROM x GROUP BY ALL) SELECT sample, class, n, round(n / sum(n) OVER (PARTITION BY sample), 6) AS fraction FROM y""",
+        "read_distribution": f"""WITH {READS}, {FEATURES}, r AS (SELECT chrom, ("start" + "end") // 2 AS p, row_number() OVER () AS rid FROM reads), x AS (SELECT rid, min(gene % 3) AS k FROM r JOIN features f ON r.chrom = f.chrom AND p >= f."start" AND p < f."end" AND gene % 20 = 0 GROUP BY rid)
+            SELECT CASE k WHEN 0 THEN 'cds' WHEN 1 THEN 'utr' WHEN 2 THEN 'intron' ELSE 'intergenic' END AS class, count(*) AS n FROM r LEFT JOIN x USING (rid) GROUP BY ALL""",
+        "inner_distance": f"WITH {READS}, x AS (SELECT mapq * 5 - 100 AS gap FROM reads) SELECT CAST(floor((gap + 250) / 5) * 5 - 250 AS BIGINT) AS bin, count(*) AS n FROM x WHERE gap BETWEEN -250 AND 249 GROUP BY ALL",
+        "c_curve": f"""WITH {READS}, {_ENDS}, h AS (SELECT j, count(*) AS n_j FROM (SELECT count(*) AS j FROM ends GROUP BY chrom, pos, strand) GROUP BY j)
+            SELECT step, CAST(floor(sum(j * n_j) * (step / 10)) AS BIGINT) AS total_reads, round(sum(n_j * (1 - pow(1 - step / 10, j))), 4) AS distinct FROM h CROSS JOIN (SELECT unnest(range(1, 11)) AS step) GROUP BY step""".replace("AS distinct", 'AS "distinct"'),
+        "umi_dedup_exact": f"WITH {READS}, {_ENDS} SELECT sample, chrom, pos, strand, umi, max(mapq) AS mapq FROM ends GROUP BY ALL",
+        "umi_per_umi_stats": f"WITH {READS}, {_ENDS}, x AS (SELECT umi, count(*) AS n FROM ends GROUP BY sample, chrom, pos, strand, umi) SELECT umi, count(*) AS places, CAST(sum(n) AS BIGINT) AS reads, max(n) AS most FROM x GROUP BY umi",
+        "samplesheet_group": f"""WITH {_SHEET}, x AS (SELECT sample, fastq_2 IS NULL AS single_end, fastq_1 || CASE WHEN fastq_2 IS NULL THEN '' ELSE ',' || fastq_2 END AS f, fastq_1 FROM sheet)
+            SELECT sample AS id, bool_and(single_end) AS single_end, count(*) AS n_runs, string_agg(f, ',' ORDER BY fastq_1) AS fastqs FROM x GROUP BY sample""",
+        "samplesheet_validate": rf"""WITH {_SHEET} SELECT sample, 'fastq_1 must be given and end in .fastq.gz or .fq.gz' AS reason FROM sheet WHERE NOT regexp_matches(fastq_1, '^\S+\.f(ast)?q\.gz$')
+            UNION ALL SELECT sample, 'sample must be given without spaces' FROM sheet WHERE NOT regexp_matches(sample, '^\S+$')""",
+        "replicate_group": f"WITH {READS} SELECT split_part(sample, '_', 1) AS \"group\", count(DISTINCT sample) AS samples, count(*) AS reads FROM reads GROUP BY ALL",
+        "join_remainder_coalesce": 'SELECT coalesce(a.k, b.k) AS k, coalesce(bai, csi) AS "index" FROM (SELECT c_nationkey AS k, max(c_custkey) AS bai FROM customer WHERE c_custkey % 3 > 0 GROUP BY 1) a FULL JOIN (SELECT s_nationkey AS k, max(s_suppkey) AS csi FROM supplier WHERE s_suppkey % 2 = 0 GROUP BY 1) b ON a.k = b.k',
+        "combine_cross": "SELECT s_suppkey, r_name FROM supplier CROSS JOIN region",
+        "mix_union": f'WITH {FEATURES}, {REGIONS} SELECT chrom, "start", "end" FROM features UNION ALL SELECT chrom, "start", "end" FROM regions',
+        "versions_distinct": "SELECT DISTINCT string_split(p_type, ' ')[-1] AS tool, p_brand FROM part",
+        "grid_search_argmin": """WITH t AS (SELECT CAST(sum(CAST(l_quantity AS BIGINT)) % 1000 AS BIGINT) AS t FROM lineitem), g AS (SELECT -100 - 50 * i AS ltprobb, 5 + 5 * j AS uts, i * 9 + j AS row_no FROM (SELECT unnest(range(7)) AS i) CROSS JOIN (SELECT unnest(range(9)) AS j))
+            SELECT ltprobb, uts, abs(-ltprobb * uts % 1000 - t) AS error, row_no FROM g CROSS JOIN t ORDER BY error, row_no LIMIT 1""",
+        "expressed_features_q05_q95": f"""WITH {READS}, {FEATURES}, f AS (SELECT *, "end" - "start" AS width, CASE WHEN strand = '-' THEN greatest("start", "end" - 10) ELSE "start" END AS s, CASE WHEN strand = '-' THEN "end" ELSE least("end", "start" + 10) END AS e FROM features WHERE gene % 4 = 0),
+            x AS (SELECT gene, width FROM f WHERE EXISTS (SELECT 1 FROM reads r WHERE r.chrom = f.chrom AND r."start" < f.e AND f.s < r."end" AND mapq >= 50 AND r."end" - r."start" > 44))
+            SELECT gene, width FROM x WHERE width > (SELECT quantile_cont(width, 0.05) FROM x) AND width < (SELECT quantile_cont(width, 0.95) FROM x)""",
+        "hmm_eval_merged_dissociated": f"""WITH {READS}, {FEATURES}, {_CALLS}, {annotated}, {pairs}, m AS (SELECT count(*) FILTER (n > 1) AS merged FROM (SELECT count(DISTINCT gene) AS n FROM pairs GROUP BY chrom, strand, s)), q AS (SELECT CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS dissociated FROM (SELECT count(*) AS n FROM (SELECT DISTINCT gene, chrom, strand, s FROM pairs) GROUP BY gene))
+            SELECT merged, dissociated, merged + dissociated AS total, round((merged + dissociated) / ((SELECT count(*) FROM calls) + (SELECT count(*) FROM annotated)), 6) AS error_rate FROM m CROSS JOIN q""",
+        "consensus_annotation": f"""WITH {FEATURES}, t AS (SELECT gene // 30 AS gene, 'chr1' AS chrom, strand, "start" % 60 AS s FROM features), x AS (SELECT gene, chrom, strand, max(s) AS i, min(s + 40) AS j, min(s) AS lo, max(s + 40) AS hi FROM t GROUP BY ALL)
+            SELECT gene, chrom, strand, CASE WHEN i < j THEN i ELSE lo END AS "start", CASE WHEN i < j THEN j ELSE hi END AS "end" FROM x""",
+        "break_on_genes": f"WITH {READS}, {FEATURES}, {_CALLS}, {annotated}, {broken} SELECT * FROM broken",
+        "combine_transcripts": f"""WITH {READS}, {FEATURES}, {_CALLS}, {annotated}, {broken}, of AS (SELECT a.id, a.part, arg_min(b.gene, b."start" * 1000000 + b.gene) AS gene FROM broken a JOIN annotated b ON {OVER} AND a.strand = b.strand GROUP BY ALL)
+            SELECT chrom, strand, min("start") AS "start", max("end") AS "end", count(*) AS n FROM broken LEFT JOIN of USING (id, part) GROUP BY chrom, strand, coalesce('g' || gene, 'p' || id || '.' || part)""",
+        "tx_density": f"""WITH {READS}, {FEATURES}, f AS (SELECT * FROM features WHERE gene % 40 = 0), p AS (SELECT chrom, strand, CASE WHEN strand = '+' THEN "start" ELSE "end" - 1 END AS pos FROM reads)
+            SELECT CAST(CASE WHEN p.strand = '-' THEN f."end" - 1 - pos ELSE pos - f."start" END * 10 // (f."end" - f."start") AS BIGINT) AS bin, count(*) AS n, round(count(*) / (SELECT count(*) FROM f), 6) AS per_feature
+            FROM p JOIN f ON p.chrom = f.chrom AND p.strand = f.strand AND pos >= f."start" AND pos < f."end" GROUP BY 1""",
+        "gtf_to_bed12": """WITH x AS (SELECT 'tx' || l_orderkey AS id, CAST(l_linenumber AS HUGEINT) * 1000000000000 + l_partkey * 1000000 + CAST(trunc(l_extendedprice) AS BIGINT) AS line_no, 'chr' || (l_orderkey % 10) AS chrom,
+              CASE WHEN l_linenumber = 6 THEN 'start_codon' WHEN l_linenumber = 7 THEN 'stop_codon' ELSE 'exon' END AS feature, CAST(l_orderkey % 1000 + l_linenumber * 100 + l_partkey % 40 AS BIGINT) AS s,
+              CAST(l_orderkey % 1000 + l_linenumber * 100 + l_partkey % 40 + CASE WHEN l_linenumber > 5 THEN 2 ELSE CAST(l_quantity AS BIGINT) END AS BIGINT) AS e, CASE WHEN l_orderkey % 2 = 0 THEN '+' ELSE '-' END AS strand FROM lineitem),
+            c AS (SELECT id, arg_max(s, line_no) FILTER (feature = 'start_codon') AS first, arg_max(e, line_no) FILTER (feature = 'stop_codon') AS last FROM x GROUP BY id),
+            t AS (SELECT id, chrom, strand, min(s) AS beg, arg_max(e, s * 1000000000000000000 + line_no) AS stop, count(*) AS k, string_agg(e - s + 1, ',' ORDER BY s, line_no, e) || ',' AS sizes, list(s ORDER BY s, line_no, e) AS ss FROM (SELECT *, CAST(s AS HUGEINT) AS s_ FROM x WHERE feature = 'exon') GROUP BY ALL)
+            SELECT chrom, beg - 1 AS "start", stop AS "end", id AS name, 0 AS score, strand, coalesce(CASE WHEN strand = '-' THEN last - 2 ELSE first END, beg) - 1 AS thick_start, coalesce(CASE WHEN strand = '-' THEN first + 2 ELSE last END, stop) AS thick_end, 0 AS rgb, k AS block_count, sizes AS block_sizes,
+              array_to_string(list_transform(ss, lambda v: v - beg), ',') || ',' AS block_starts FROM t JOIN c USING (id)""".replace("s * 1000000000000000000", "CAST(s AS HUGEINT) * 1000000000000000000"),
+        "gtf_semi_filter": f"WITH {FEATURES}, {REGIONS} SELECT {genes} FROM features a WHERE chrom IN (SELECT chrom FROM regions WHERE keep)",
+        "skip_chromosomes": f"WITH {FEATURES} SELECT chrom, \"start\", \"end\" FROM features WHERE chrom NOT IN ('chr3', '_random', 'chr')",
+        "chrom_sizes": "SELECT source AS chrom, CAST(sum(length(coalesce(text, ''))) AS BIGINT) AS length FROM documents GROUP BY source",
+        "fasta_to_gtf": """SELECT 'doc' || doc_id AS chrom, 'custom' AS source, 'exon' AS feature, CAST(1 AS BIGINT) AS "start", length(coalesce(text, '')) AS "end", '.' AS score, '+' AS strand, '.' AS frame,
+            replace('gene_id "X"; transcript_id "X"; exon_number "1"; gene_name "X"; transcript_name "X"; exon_id "X.1";', 'X', 'doc' || doc_id) AS attributes FROM documents""",
+        "fastqc_per_base": "SELECT CAST(i - 1 AS INT) AS pos, substr(text, i, 1) AS base, count(*) AS n FROM (SELECT text, unnest(range(1, length(text) + 1)) AS i FROM documents) GROUP BY ALL",
+        "fastqc_length_hist": "SELECT length(coalesce(text, '')) AS length, count(*) AS n FROM documents GROUP BY 1",
+        "fastqc_gc_hist": "SELECT CAST(round(100 * length(regexp_replace(upper(text), '[^GC]', '', 'g')) / length(text)) AS BIGINT) AS gc, count(*) AS n FROM documents WHERE length(text) > 0 GROUP BY 1",
+        "fastqc_overrepresented": "SELECT substr(coalesce(text, ''), 1, 50) AS seq, count(*) AS n, round(100 * count(*) / (SELECT count(*) FROM documents), 6) AS percent FROM documents GROUP BY 1 HAVING percent >= 0.2",
+        "fastp_trim_filter": "WITH a AS (SELECT CAST(doc_id AS VARCHAR) || '_' || substr(text, 1, 6) AS name, substr(text, 7) AS s FROM documents), b AS (SELECT name, substr(s, 2, greatest(length(s) - 3, 0)) AS s FROM a), c AS (SELECT name, CASE WHEN position('Licensed' IN s) > 0 THEN substr(s, 1, position('Licensed' IN s) - 1) ELSE s END AS s FROM b) SELECT name, md5(s) AS seq_md5, length(s) AS length FROM c WHERE length(s) >= 100",
+        "session_merge_events": """WITH x AS (SELECT *, CASE WHEN lag(ts) OVER w IS NULL OR ts >= lag(ts) OVER w + INTERVAL 2 HOUR THEN 1 ELSE 0 END AS o FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)), y AS (SELECT *, sum(o) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS g FROM x)
+            SELECT user_id, CAST(floor(epoch(min(ts))) AS BIGINT) AS "start", CAST(floor(epoch(max(ts) + INTERVAL 2 HOUR)) AS BIGINT) AS "end", count(*) AS n, round(sum(value), 4) AS total FROM y GROUP BY user_id, g""",
+        "windowed_events": 'SELECT event_type, CAST(epoch(date_trunc(\'hour\', ts)) AS BIGINT) AS "start", count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2',
+    }
+    return out

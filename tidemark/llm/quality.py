@@ -85,9 +85,10 @@ def fit(index: list[np.ndarray], shapes: np.ndarray, grades: np.ndarray, n_grade
     dim = (1 << BITS) + SHAPES
     seen = np.bincount(np.concatenate(index) if index else np.zeros(0, int), minlength=dim) >= least_docs
     index = [x[seen[x]] for x in index]
-    size, flat = np.array([len(x) for x in index]), np.concatenate(index) if index else np.zeros(0, np.int64)
+    size, flat = np.array([len(x) for x in index], np.int64), np.concatenate(index) if index else np.zeros(0, np.int64)
+    del index
     used, flat = np.unique(flat, return_inverse=True)
-    doc = np.repeat(np.arange(len(size)), size)
+    flat, doc = flat.astype(np.int32), np.repeat(np.arange(len(size), dtype=np.int32), size)
     w, v, cuts = np.zeros(len(used)), np.zeros(SHAPES), np.linspace(-1, 1, n_grades - 1) if n_grades > 2 else np.zeros(1)
     sums = [np.full(len(x), 1e-8) for x in (w, v, cuts)]
     share = np.maximum(np.bincount(grades, minlength=n_grades) / max(1, len(grades)), 1e-9)
@@ -138,8 +139,12 @@ def train(docs: DataFrame, graded: DataFrame, n_grades: int, id_col: str = "doc_
     rows = texts.select("doc_id", "grade", "text").mapInArrow(of, "doc_id long, grade int, words array<int>, shape array<double>").toArrow().sort_by("doc_id")
     words = rows.column("words").combine_chunks() if rows.num_rows else None
     index = np.split(words.flatten().to_numpy(), (words.offsets.to_numpy() - words.offsets[0].as_py())[1:-1]) if words is not None else []
-    shapes = np.array(rows.column("shape").to_pylist(), float).reshape(-1, SHAPES)
-    return fit(index, shapes, rows.column("grade").to_numpy().astype(np.int64), n_grades)
+    shapes = rows.column("shape").combine_chunks().flatten().to_numpy().reshape(-1, SHAPES) if rows.num_rows else np.zeros((0, SHAPES))
+    given = rows.column("grade").to_numpy().astype(np.int64)
+    rows = words = None
+    model = fit(index, shapes, given, n_grades)
+    pa.default_memory_pool().release_unused()
+    return model
 
 
 def classify(docs: DataFrame, model: Model, wanted: int, least: float = LEAST, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import NO_ID, cuts, from_planes, number, pack, planes, unpack
-from .common import id_text, shuffle_partitions
+from .common import id_text, shuffle_partitions, values
 from .words import Vocabulary, byte_bpe, encode_words, spread, tokenizer
 
 _BLOCKS = "block long, part int, data binary, ids binary, counts binary, home binary"
@@ -102,7 +102,7 @@ def _decoded(path: str, digest: bool):
             row = {c: left.column(c)[at].as_py() for c in ("data", "ids", "counts", "home")}
             home = from_planes(row["home"])
             starts, lengths, flat, done = np.zeros(len(home), np.int64), np.zeros(len(home), np.int64), [], 0
-            for part, n, ids in zip(*(right.column(c).to_pylist() for c in ("part", "lengths", "pieces")), strict=True):
+            for part, n, ids in zip(*values(right, "part", "lengths", "pieces"), strict=True):
                 n, ids = from_planes(n).astype(np.int64), from_planes(ids)
                 mine = home == part
                 lengths[mine], starts[mine] = n, done + np.cumsum(n) - n
@@ -116,8 +116,8 @@ def _decoded(path: str, digest: bool):
                 ids, _ = spread(index[a:b], flat, starts, lengths)
                 text = b"".join(map(table.__getitem__, ids.tolist())).decode("utf-8", "replace")
                 raw = ids.astype("<u4").tobytes()
-                values = (len(ids), hashlib.sha256(raw).hexdigest(), hashlib.sha256(text.encode()).hexdigest()) if digest else (ids.tolist(), text)
-                for c, v in zip(columns, (None if doc == NO_ID else doc, *values), strict=True):
+                found = (len(ids), hashlib.sha256(raw).hexdigest(), hashlib.sha256(text.encode()).hexdigest()) if digest else (ids.tolist(), text)
+                for c, v in zip(columns, (None if doc == NO_ID else doc, *found), strict=True):
                     c.append(v)
         types = [pa.int64(), pa.int64(), pa.string(), pa.string()] if digest else [pa.int64(), pa.list_(pa.int64()), pa.string()]
         return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)

@@ -106,3 +106,8 @@ def unpack_arrays(data: bytes) -> list[np.ndarray]:
         out.append(np.ascontiguousarray(planes.T).view(kind).ravel())
         at += 8 + n * kind.itemsize
     return out
+
+
+def values(table: pa.Table, *names: str) -> list[list]:
+    """Columns of one side of a cogroup as lists; a side without rows has no columns."""
+    return [table.column(n).to_pylist() if table.num_rows else [] for n in names]

@@ -18,7 +18,7 @@ COVERAGE, AGREEMENT = 0.5, 0.8
 #: Windows of a benchmark that are broadcast at most (some 200 bytes each); beyond, the join shuffles.
 BROADCAST_WINDOWS = 500_000
 #: Units of measure.
-UNITS = ["mm", "cm", "km", "mg", "kg", "ml", "kb", "mb", "gb", "meter", "meters", "metre", "metres", "mile", "miles", "inch", "inches", "feet", "gram", "grams", "pound", "pounds", "liter", "liters", "litre", "litres", "second", "seconds", "minute", "minutes", "hour", "hours", "day", "days", "week", "weeks", "month", "months", "year", "years", "dollar", "dollars", "euro", "euros", "cent", "cents", "percent", "degree", "degrees"]
+UNITS = ["mm", "cm", "km", "mg", "kg", "ml", "kb", "mb", "gb", "meter", "meters", "metre", "metres", "kilometer", "kilometers", "kilometre", "kilometres", "mile", "miles", "inch", "inches", "feet", "gram", "grams", "pound", "pounds", "liter", "liters", "litre", "litres", "second", "seconds", "minute", "minutes", "hour", "hours", "day", "days", "week", "weeks", "month", "months", "year", "years", "dollar", "dollars", "euro", "euros", "cent", "cents", "percent", "degree", "degrees"]
 
 
 def words(text: Column) -> Column:

@@ -22,7 +22,7 @@ from pyspark import StorageLevel, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_binary, id_text, mix64, pack_arrays, shuffle_partitions, unpack_arrays
+from .common import as_binary, id_text, mix64, pack_arrays, shuffle_partitions, unpack_arrays, values
 
 LENGTH, PART = 100, 40
 BLOCK_BYTES, FLAT = 8_000_000, 1 << 20
@@ -310,11 +310,11 @@ def _fetch(buckets: int, length: int):
     def fetch(left: pa.Table, right: pa.Table) -> pa.Table:
         """The bytes of the records that a block is asked for; strings of hot anchors one by one."""
         rows = []
-        for block, data in zip(left.column("block").to_pylist(), left.column("data").to_pylist(), strict=True):
+        for block, data in zip(*values(left, "block", "data"), strict=True):
             ids, sizes, flat = unpack_arrays(data)
             starts = np.cumsum(sizes, dtype=np.int64) - sizes
             singles = []
-            for bucket, asked in zip(right.column("bucket").to_pylist(), right.column("data").to_pylist(), strict=True):
+            for bucket, asked in zip(*values(right, "bucket", "data"), strict=True):
                 _, text, first, more, hot = unpack_arrays(asked)
                 text, first, more = text.astype(np.int64), first.astype(np.int64), more.astype(np.int64)
                 cool = hot == 0
@@ -368,18 +368,18 @@ def _finish(digest: bool):
 
     def finish(left: pa.Table, right: pa.Table) -> pa.Table:
         columns: list[list] = [[] for _ in names]
-        for data in left.column("data").to_pylist():
+        for data in values(left, "data")[0]:
             ids, sizes, flat = unpack_arrays(data)
             starts = np.cumsum(sizes, dtype=np.int64) - sizes
-            spans = [unpack_arrays(x) for x in right.column("data").to_pylist()]
+            spans = [unpack_arrays(x) for x in values(right, "data")[0]]
             text, start, end = merged(*(np.concatenate(x) for x in zip(*spans, strict=True))) if spans else [np.zeros(0, np.int64)] * 3
             cut = np.searchsorted(text, np.arange(len(ids) + 1))
             for i, (doc, size, at) in enumerate(zip(ids.tolist(), sizes.tolist(), starts.tolist(), strict=True)):
                 own = list(zip(start[cut[i] : cut[i + 1]].tolist(), end[cut[i] : cut[i + 1]].tolist(), strict=True))
                 edges = [0, *(x for s in own for x in s), size]
                 kept = b"".join(flat[at + a : at + b].tobytes() for a, b in zip(edges[::2], edges[1::2], strict=True))
-                values = (size, size - len(kept), len(own), hashlib.sha256(kept).hexdigest()) if digest else (size, [{"start": a, "end": b} for a, b in own], kept)
-                for c, v in zip(columns, (None if doc == NO_ID else doc, *values), strict=True):
+                found = (size, size - len(kept), len(own), hashlib.sha256(kept).hexdigest()) if digest else (size, [{"start": a, "end": b} for a, b in own], kept)
+                for c, v in zip(columns, (None if doc == NO_ID else doc, *found), strict=True):
                     c.append(v)
         spans_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
         types = [pa.int64()] * 4 + [pa.string()] if digest else [pa.int64(), pa.int64(), spans_type, pa.binary()]

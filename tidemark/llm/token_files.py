@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .blocks import cuts
-from .common import id_text, mix64, shared_dir, shuffle_partitions, split_words
+from .common import id_text, mix64, shared_dir, shuffle_partitions, split_words, values
 from .words import public_file, remembered, spread
 
 SHARD_TOKENS, BATCH_WORDS = 500_000, 250_000
@@ -145,8 +145,8 @@ def _shards(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = np.array([d for d, _, _ in docs], "<i8")
         lengths = np.array([len(x) // width for x in parts], np.int64)
         hashed, slots = _index(ids, lengths)
-        values = [span, shard, int(ids[0]), int(ids[-1]), start, int(lengths.sum()), width, ids.tobytes(), hashed, slots, b"".join(parts)]
-        return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, [pa.int32(), pa.int32(), *[pa.int64()] * 4, pa.int32(), *[pa.binary()] * 4], strict=True)], [x.split()[0] for x in _SHARD.split(", ")])
+        cells = [span, shard, int(ids[0]), int(ids[-1]), start, int(lengths.sum()), width, ids.tobytes(), hashed, slots, b"".join(parts)]
+        return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(cells, [pa.int32(), pa.int32(), *[pa.int64()] * 4, pa.int32(), *[pa.binary()] * 4], strict=True)], [x.split()[0] for x in _SHARD.split(", ")])
 
     for b in it:
         for doc, s, width, ids in zip(b.column(0).fill_null(NO_ID).to_pylist(), *(b.column(i).to_pylist() for i in (1, 2, 3)), strict=True):
@@ -210,13 +210,13 @@ def read_keys(spark: SparkSession, path: str, keys: DataFrame, id_col: str = "do
     """The ids of the documents that keys asks for: doc_id, ids. Keys that no shard holds give no row."""
     shards = spark.read.schema(_SHARD).parquet(path)
     asked = keys.select(F.col(id_col).cast("long").alias("doc_id")).distinct()
-    spans = shards.select("span", "shard", "first", "last")
+    spans = spark.read.schema(_SHARD).parquet(path).select("span", "shard", "first", "last")
     placed = asked.join(spans, F.col("doc_id").between(F.col("first"), F.col("last")))
 
     def fetch(left: pa.Table, right: pa.Table) -> pa.Table:
         ids_out, parts = [], []
         for row in right.to_pylist():
-            doc_ids = np.sort(left.column("doc_id").to_numpy())
+            doc_ids = np.sort(np.array(values(left, "doc_id")[0], np.int64))
             found, offset, length = lookup(row["hash"], row["slots"], keys_of(doc_ids))
             ids = np.frombuffer(row["payload"], f"<u{row['width']}")
             for d, a, n in zip(doc_ids[found].tolist(), offset[found], length[found], strict=True):

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,14 +40,25 @@ def read_fasta(spark: SparkSession, path: str) -> DataFrame:
     records = spark.read.option("lineSep", "\n>").text(path)
     text = F.regexp_replace("value", "^>", "")
     parts = F.split(text, "\n", 2)
-    return records.where(F.trim(text) != "").select(F.trim(parts[0]).alias("header"), F.coalesce(F.regexp_replace(parts[1], r"\s", ""), F.lit("")).alias("seq"))
+    return records.where(F.trim(text) != "").select(F.trim(parts[0]).alias("header"), F.coalesce(F.regexp_replace(F.get(parts, 1), r"\s", ""), F.lit("")).alias("seq"))
 
 
 def read_fastq(spark: SparkSession, path: str) -> DataFrame:
-    """name, seq, qual of four-line records; a record starts at a line with '@' after a quality line."""
-    records = spark.read.option("lineSep", "\n@").text(path)
-    lines = F.split(F.regexp_replace("value", "^@", ""), "\n")
-    return records.where(F.trim("value") != "").select(F.split(lines[0], r"\s")[0].alias("name"), lines[1].alias("seq"), lines[3].alias("qual"))
+    """name, seq, qual of four-line records, for gzip files or files of one split each (a quality line may start with '@')."""
+
+    def records(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[str] = []
+        for b in frames:
+            out = []
+            for line in b.column(0).to_pylist():
+                held.append(line or "")
+                if len(held) == 4:
+                    out.append((held[0][1:].split()[0] if held[0][1:].split() else "", held[1], held[3]))
+                    held = []
+            names, seqs, quals = zip(*out, strict=True) if out else ((), (), ())
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.string()) for x in (names, seqs, quals)], ["name", "seq", "qual"])
+
+    return spark.read.text(path).mapInArrow(records, "name string, seq string, qual string")
 
 
 def read_sam(spark: SparkSession, path: str) -> DataFrame:

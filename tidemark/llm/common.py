@@ -28,11 +28,23 @@ def shared_dir(spark: SparkSession) -> str:
     return where.rstrip("/")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """df, written once to the shared folder and read back: a cut in the lineage that outlives any executor."""
-    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def written(df: DataFrame, name: str, batch_bytes: int | None = None) -> DataFrame:
+    """df, written once to the shared folder and read back: a cut in the lineage that outlives any executor.
+
+    batch_bytes bounds the Arrow batches of this write alone, for rows with large values.
+    """
+    spark = df.sparkSession
+    path, usual = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}", spark.conf.get(_BATCH_BYTES)
+    try:
+        if batch_bytes:
+            spark.conf.set(_BATCH_BYTES, str(batch_bytes))
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(_BATCH_BYTES, usual)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

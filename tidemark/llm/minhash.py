@@ -25,6 +25,8 @@ from .components import connected_components
 BANDS, ROWS = 32, 5
 #: A signature's share of equal minima that is refused at a similarity of 0.8 with a chance of about 1e-9.
 SIGNATURE_SLACK = 0.2
+#: Bytes of whole sets in an Arrow batch.
+SET_BATCH = 8 << 20
 
 
 def shingle_sets(text: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -116,7 +118,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs with 100 * intersection >= percent * union of their full sets."""
 
     def check(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches(it, 500):
+        for b in batches(it, 50):
             keep = []
             for x, y in zip(b.column("set_a").to_pylist(), b.column("set_b").to_pylist(), strict=True):
                 x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
@@ -132,7 +134,7 @@ def _beyond_pivot(against: DataFrame, sets: DataFrame) -> DataFrame:
     """How many items a set has in common with its pivot, and those beyond it."""
 
     def split(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches(it, 500):
+        for b in batches(it, 50):
             common, items = [], []
             for x, p in zip(b.column("set").to_pylist(), b.column("pivot_set").to_pylist(), strict=True):
                 x = np.frombuffer(x, np.uint64)
@@ -164,7 +166,7 @@ def near_dedup(docs: DataFrame, shingle_words: int = 5, percent: int = 80, bands
     taking_part = members.select("doc_id").distinct()
     sketches = all_.select("doc_id", "n_shingles", "sketch").join(taking_part, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     texts = docs.join(taking_part, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    sets = written(_sets(texts, shingle_words), "sets")
+    sets = written(_sets(texts, shingle_words), "sets", SET_BATCH)
     alike = _alike(bands * rows, percent / 100 - SIGNATURE_SLACK) & F.expr(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
 
     def side(df: DataFrame, c: str, *more: str) -> DataFrame:
@@ -172,7 +174,7 @@ def near_dedup(docs: DataFrame, shingle_words: int = 5, percent: int = 80, bands
 
     def confirm(pairs: DataFrame) -> DataFrame:
         likely = pairs.join(side(sketches, "a"), "a").join(side(sketches, "b"), "b").where(alike).select("a", "b")
-        return written(_confirmed(likely, sets, percent), "links")
+        return written(_confirmed(likely, sets, percent), "links", SET_BATCH)
 
     def mixed() -> tuple[DataFrame, int]:
         """Members of buckets with several components, and how many pairs these leave open."""
@@ -192,7 +194,7 @@ def near_dedup(docs: DataFrame, shingle_words: int = 5, percent: int = 80, bands
     if open_pairs:
         pivot = rest.groupBy("bucket").agg(F.min("doc_id").alias("pivot"))
         rest = rest.join(pivot, "bucket")
-        beyond = written(_beyond_pivot(rest.select("pivot", "doc_id").distinct(), sets), "beyond")
+        beyond = written(_beyond_pivot(rest.select("pivot", "doc_id").distinct(), sets), "beyond", SET_BATCH)
         of = rest.select("doc_id", F.col("component")).distinct()
         rest = rest.join(beyond.drop("items"), ["pivot", "doc_id"]).join(sketches, "doc_id")
         left, right = (side(rest, c, "bucket", F.col("component").alias(f"of_{c}"), F.col("common").alias(f"common_{c}")) for c in "ab")

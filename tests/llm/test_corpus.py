@@ -289,6 +289,17 @@ def test_language_model(docs, rows, empty, odd):
     assert lm.score_texts(empty).count() == 0 and lm.score_texts(odd).count() == 5
 
 
+def test_language_model_learns_from_every_text(spark):
+    """What only texts beyond any first 1,500 by hash hold is learned as well, and its words have outputs of their own."""
+    table = spark.range(3000).withColumn("held", F.crc32(F.col("id").cast("string")) % 5 == 1)
+    first = {r.id for r in table.where("NOT held").orderBy(F.xxhash64("id"), "id").limit(1500).collect()}
+    rng = random.Random(6)
+    texts = [(r.id, " ".join(rng.choice(["red", "green", "blue", "grey"]) for _ in range(16)) if r.id in first else "zig zag " * 8) for r in table.collect()]
+    got = by_id(lm.score_texts(spark.createDataFrame(texts, "doc_id long, text string").repartition(3)))
+    held = [got[i] for i, t in texts if "zig" in t and got[i].held_out]
+    assert len(held) > 500 and all(r.score > r.base_score + 0.2 * r.n_tokens for r in held)
+
+
 def test_language_model_is_normalised():
     rng = np.random.default_rng(2)
     stream = rng.integers(0, 40, 5000)

@@ -229,6 +229,13 @@ def test_decontamination(spark, empty):
     assert decontaminate.contaminated(empty, benchmark).count() == 0 and decontaminate.contaminated(docs, benchmark.limit(0)).count() == 0
 
 
+def test_decontamination_in_any_case(spark):
+    item = "When did Anna walk 12 miles from the old straße to the river and back again before noon"
+    docs = spark.createDataFrame([(1, f"SO: {item.upper()}!"), (2, item.lower()), (3, item.title()), (4, "ANNA WALKED TO A RIVER AND THEN BACK TO THE OLD TOWN BEFORE IT WAS NOON")], "doc_id long, text string")
+    found = decontaminate.contaminated(docs, spark.createDataFrame([(7, item)], "item_id long, text string")).collect()
+    assert sorted((r.doc_id, r.coverage, r.changed_slots) for r in found) == [(1, 1.0, 0), (2, 1.0, 0), (3, 1.0, 0)]
+
+
 def test_slots_must_agree(spark):
     item = "Otto gave Otto and Otto a book about Otto near the lake where Otto met Otto on a day like this"
     names = iter(["Ida", "Max", "Kim", "Lou", "Pam", "Sue"])

@@ -3,6 +3,8 @@
 Numbers, names (capitalised words) and units become typed placeholders. Windows of template words of the benchmark meet
 those of the documents by hash. Where a document follows an item at one offset, the placeholders' words are compared: a
 re-parameterised question replaces each value of the item by one value of its own, so every slot value must map to one word.
+Templates depend on the case of letters. So windows of plain words without regard to case are sought as well, and a window
+found by either counts.
 """
 
 from __future__ import annotations
@@ -36,48 +38,60 @@ def template(of: Column) -> Column:
     return F.transform(of, lambda w: F.when(w < ":", F.lit(1).cast("long")).when(w < "[", F.lit(2).cast("long")).when((w >= "À") & (w < "ß"), F.lit(2).cast("long")).when(F.lower(w).isin(UNITS), F.lit(3).cast("long")).otherwise(F.xxhash64(w)))
 
 
+def folded(of: Column) -> Column:
+    """The hash of each word without regard to case."""
+    return F.transform(of, lambda w: F.xxhash64(F.upper(w)))
+
+
 def windows(codes: Column, n: int) -> Column:
-    """A hash of every n codes in a row."""
-    return F.when(F.size(codes) >= n, F.transform(F.sequence(F.lit(0), F.size(codes) - n), lambda i: F.xxhash64(F.slice(codes, i + 1, n)))).otherwise(F.array().cast("array<long>"))
+    """A hash of every n codes in a row: of two hashes of half as many each, or of more that overlap."""
+
+    def joined(h: Column, step: int) -> Column:  # h is bound to a name, else it would be computed twice
+        return F.transform(F.array(h), lambda x: F.zip_with(F.slice(x, F.lit(1), F.size(x) - step), F.slice(x, F.lit(step + 1), F.size(x) - step), lambda a, b: F.xxhash64(a, b)))[0]
+
+    hashes, width = codes, 1
+    while width < n:
+        step = min(width, n - width)
+        hashes, width = joined(hashes, step), width + step
+    return F.when(F.size(codes) >= n, hashes).otherwise(F.array().cast("array<long>"))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, coverage: float = COVERAGE, agreement: float = AGREEMENT, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
     """A row for each document and benchmark item it holds: doc_id, item_id, windows, coverage, agreement, changed_slots.
 
     windows counts the item's windows of n template words (all its words, if fewer) found in the document at offsets where the
-    slots agree; coverage is their share of all windows of the item; changed_slots counts placeholders with another word
+    slots agree, or in its own words in any case; coverage is their share of all windows of the item; changed_slots counts placeholders with another word
     than the item's. Null and empty texts and items, and rows with a null id, give no row. Repeated rows of an id count once.
     Other columns are ignored.
     """
     items = benchmark.select(F.col(item_col).cast("long").alias("item_id"), words(F.col(item_text).cast("string")).alias("item")).where("item_id IS NOT NULL AND size(item) > 0")
     items = items.withColumn("n", F.least(F.size("item"), F.lit(n)))
     lengths = sorted(r[0] for r in items.select("n").distinct().collect())  # n values at most
-    parts = [items.where(F.col("n") == k).select("item_id", "n", "item", F.posexplode(windows(template(F.col("item")), k)).alias("item_pos", "hash")) for k in lengths]
+    kinds = [(k, plain) for k in lengths for plain in (False, True)]
+    parts = [items.where(F.col("n") == k).select("item_id", "n", F.lit(plain).alias("plain"), "item", F.posexplode(windows((folded if plain else template)(F.col("item")), k)).alias("item_pos", "hash")) for k, plain in kinds]
     if not parts:
         return docs.sparkSession.createDataFrame([], "doc_id long, item_id long, windows long, coverage double, agreement double, changed_slots long")
     wanted = parts[0]
     for p in parts[1:]:
         wanted = wanted.unionByName(p)
-    wanted = wanted.select("item_id", "n", "item_pos", "hash", F.expr("slice(item, item_pos + 1, n)").alias("item_words")).dropDuplicates(["item_id", "n", "item_pos", "hash"])
-    sought = wanted.select("item_id", "n", "item_pos", "hash")
+    wanted = wanted.select("item_id", "n", "plain", "item_pos", "hash", F.expr("slice(item, item_pos + 1, n)").alias("item_words")).dropDuplicates(["item_id", "n", "plain", "item_pos", "hash"])
+    sought = wanted.select("item_id", "n", "plain", "item_pos", "hash")
     few = sought.count() <= BROADCAST_WINDOWS
 
     texts = id_text(docs, id_col, text_col).where("doc_id IS NOT NULL")
-    coded = texts.select("doc_id", words(F.col("text")).alias("words")).select("doc_id", "words", template(F.col("words")).alias("codes"))
-    every = F.array(*[F.struct(F.lit(k).alias("n"), windows(F.col("codes"), k).alias("hashes")) for k in lengths])
-    if len(lengths) == 1:
-        seen = coded.select("doc_id", "words", F.lit(lengths[0]).alias("n"), F.posexplode(windows(F.col("codes"), lengths[0])).alias("pos", "hash"))
-    else:
-        seen = coded.select("doc_id", "words", F.explode(every).alias("w")).select("doc_id", "words", "w.n", F.posexplode("w.hashes").alias("pos", "hash"))
+    coded = texts.select("doc_id", words(F.col("text")).alias("words")).select("doc_id", "words", template(F.col("words")).alias("codes"), folded(F.col("words")).alias("folded"))
+    every = F.array(*[F.struct(F.lit(k).alias("n"), F.lit(plain).alias("plain"), windows(F.col("folded" if plain else "codes"), k).alias("hashes")) for k, plain in kinds])
+    seen = coded.select("doc_id", "words", F.explode(every).alias("w")).select("doc_id", "words", "w.n", "w.plain", F.posexplode("w.hashes").alias("pos", "hash"))
     if few:  # the words of a window are cut out where it is found, in the scan's own stage
-        found = seen.join(F.broadcast(sought), ["n", "hash"])
+        found = seen.join(F.broadcast(sought), ["n", "plain", "hash"])
     else:  # only hashes are shuffled; documents with a window found are read again
-        hits = written(seen.drop("words").join(sought, ["n", "hash"]).select("doc_id", "item_id", "n", "pos", "item_pos").distinct(), "template-windows")
+        hits = written(seen.drop("words").join(sought, ["n", "plain", "hash"]).select("doc_id", "item_id", "n", "plain", "pos", "item_pos").distinct(), "template-windows")
         found = coded.select("doc_id", "words").join(hits.select("doc_id").distinct(), "doc_id", "left_semi").join(hits, "doc_id")
-    found = written(found.select("doc_id", "item_id", "n", "pos", "item_pos", F.expr("slice(words, pos + 1, n)").alias("doc_words")), "template-windows")
+    found = written(found.select("doc_id", "item_id", "n", "plain", "pos", "item_pos", F.expr("CASE WHEN NOT plain THEN slice(words, pos + 1, n) END").alias("doc_words")), "template-windows")
+    same, found = found.where("plain").select("doc_id", "item_id", "item_pos").distinct(), found.where("NOT plain")
 
     pairs = found.select("doc_id", "item_id", "n", "item_pos", (F.col("pos") - F.col("item_pos")).alias("offset"), "doc_words")
-    pairs = pairs.join(wanted, ["item_id", "n", "item_pos"]).select("doc_id", "item_id", "offset", "item_pos", F.arrays_zip("item_words", "doc_words").alias("both"))
+    pairs = pairs.join(wanted.where("NOT plain"), ["item_id", "n", "item_pos"]).select("doc_id", "item_id", "offset", "item_pos", F.arrays_zip("item_words", "doc_words").alias("both"))
     slots = pairs.select("doc_id", "item_id", "offset", "item_pos", F.posexplode("both").alias("k", "z")).where(is_slot(F.col("z.item_words")))
     slots = slots.select("doc_id", "item_id", "offset", (F.col("item_pos") + F.col("k")).alias("at"), F.col("z.item_words").alias("value"), F.col("z.doc_words").alias("word")).distinct()
     mapped = slots.groupBy("doc_id", "item_id", "offset", "value", "word").agg(F.count(F.lit(1)).alias("times"))
@@ -86,10 +100,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, coverag
     at = found.select("doc_id", "item_id", "item_pos", (F.col("pos") - F.col("item_pos")).alias("offset")).distinct()
     at = at.join(mapped, ["doc_id", "item_id", "offset"], "left").fillna(0, ["agree", "all", "changed"]).where(F.col("agree") >= agreement * F.col("all"))
     by_offset = at.groupBy("doc_id", "item_id", "offset").agg(F.first("agree").alias("agree"), F.first("all").alias("all"), F.first("changed").alias("changed")).groupBy("doc_id", "item_id").agg(F.sum("agree").alias("agree"), F.sum("all").alias("all"), F.sum("changed").alias("changed"))
-    covered = at.groupBy("doc_id", "item_id").agg(F.countDistinct("item_pos").alias("windows"))
+    covered = at.select("doc_id", "item_id", "item_pos").union(same).groupBy("doc_id", "item_id").agg(F.countDistinct("item_pos").alias("windows"))
     total = wanted.groupBy("item_id").agg(F.countDistinct("item_pos").alias("total"))
     return (
-        covered.join(by_offset, ["doc_id", "item_id"])
+        covered.join(by_offset, ["doc_id", "item_id"], "left")
+        .fillna(0, ["agree", "all", "changed"])
         .join(total, "item_id")
         .where(F.col("windows") >= coverage * F.col("total"))
         .select(

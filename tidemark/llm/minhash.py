@@ -1,11 +1,13 @@
 """Near duplicates by MinHash: many universal hash minima, banding, signature verification, exact confirmation.
 
-Documents with equal shingle sets are one class and only its representative takes part. In each round every bucket of a
-band has a pivot, and the members of other components are compared with it; what is confirmed joins components. Rounds
-go on while they leave clearly fewer pairs open. The last round covers all pairs of a bucket whose components still differ, but
-only compares those that can be similar given what each has in common with the pivot: two sets share at most the smaller of
-these parts, or else an item beyond the pivot, among the rarest (a prefix filter). So no candidate pair that
-could change a component is left out, and copies of one text that differ too much cost no comparison for each pair.
+Documents with equal shingle sets are one class and only its representative takes part. Every bucket of a band has a
+pivot, its most central member, and the others are compared with it; what is confirmed joins components. Buckets that
+then still hold several components are looked at again, by differences from the pivot: what two sets have in common follows from
+the items that each lacks or has beyond the pivot, and a pair of different components must share some of these, so a prefix filter on
+the rarest of them gives all pairs that could be similar (see _sharing). Sets far from their pivot can only be similar to
+other sets that are not close to it; these are compared by signature in small buckets and by a prefix filter on whole sets in large ones.
+So no candidate pair that could change a component is left out, and copies of one text that differ too much cost no comparison for
+each pair.
 """
 
 from __future__ import annotations
@@ -25,6 +27,8 @@ from .components import connected_components
 BANDS, ROWS = 32, 5
 #: A signature's share of equal minima that is refused at a similarity of 0.8 with a chance of about 1e-9.
 SIGNATURE_SLACK = 0.2
+#: Percent of similarity to the pivot from which differences are used; members of a bucket far from its pivot up to which pairs are compared by signature.
+NEAR, SMALL = 50, 32
 #: Bytes of whole sets in an Arrow batch.
 SET_BATCH = 8 << 20
 
@@ -130,39 +134,92 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "set_a", "set_b").mapInArrow(check, "a long, b long")
 
 
-def _beyond_pivot(against: DataFrame, sets: DataFrame) -> DataFrame:
-    """How many items a set has in common with its pivot, and those beyond it."""
+def _items(sets: DataFrame) -> DataFrame:
+    def of(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches(it, 100):
+            items = [np.frombuffer(x, np.int64) for x in b.column("shingles").to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(items, pa.list_(pa.int64()))], ["doc_id", "items"])
+
+    return sets.select("doc_id", "shingles").mapInArrow(of, "doc_id long, items array<long>")
+
+
+def _members(sketches: DataFrame) -> DataFrame:
+    """bucket, doc_id, pivot of all buckets with several members. The pivot is the member that meets most others in all of its
+    buckets: the middle of a family of copies is near to more of them than a copy is."""
+    buckets = sketches.select("doc_id", F.explode("buckets").alias("bucket"))
+    shared = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+    members = written(buckets.join(shared, "bucket"), "buckets")
+    weight = members.groupBy("doc_id").agg(F.sum("members").alias("weight"))
+    pivot = members.join(weight, "doc_id").groupBy("bucket").agg(F.max(F.struct("weight", (-F.col("doc_id")).alias("last"))).alias("most")).select("bucket", (-F.col("most.last")).alias("pivot"))
+    return written(members.select("bucket", "doc_id").join(pivot, "bucket"), "members")
+
 
-    def split(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _against_pivot(pairs: DataFrame, sets: DataFrame, near: int) -> DataFrame:
+    """Each set against its pivot's: the pivot's size, how many items they have in common and, with a similarity of at
+    least `near` percent, in which items they differ."""
+
+    def differ(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches(it, 50):
-            common, items = [], []
+            base, common, items = [], [], []
             for x, p in zip(b.column("set").to_pylist(), b.column("pivot_set").to_pylist(), strict=True):
-                x = np.frombuffer(x, np.uint64)
-                rest = np.setdiff1d(x, np.frombuffer(p, np.uint64), assume_unique=True)
-                common.append(len(x) - len(rest))
-                items.append(rest.view(np.int64))
-            yield pa.RecordBatch.from_arrays([b.column("pivot"), b.column("doc_id"), pa.array(common, pa.int64()), pa.array(items, pa.list_(pa.int64()))], ["pivot", "doc_id", "common", "items"])
+                x, p = np.frombuffer(x, np.uint64), np.frombuffer(p, np.uint64)
+                unlike = np.setxor1d(x, p, assume_unique=True)
+                base.append(len(p))
+                common.append((len(x) + len(p) - len(unlike)) // 2)
+                items.append(unlike.view(np.int64) if 100 * common[-1] >= near * (common[-1] + len(unlike)) else None)
+            new = [pa.array(base, pa.int64()), pa.array(common, pa.int64()), pa.array(items, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([b.column("pivot"), b.column("doc_id"), *new], ["pivot", "doc_id", "base", "common", "items"])
 
     of_pivot = sets.select(F.col("doc_id").alias("pivot"), F.col("shingles").alias("pivot_set"))
-    return against.join(of_pivot, "pivot").join(sets.withColumnRenamed("shingles", "set"), "doc_id").select("pivot", "doc_id", "set", "pivot_set").mapInArrow(split, "pivot long, doc_id long, common long, items array<long>")
+    both = pairs.select("pivot", "doc_id").join(of_pivot, "pivot").join(sets.withColumnRenamed("shingles", "set"), "doc_id")
+    return both.select("pivot", "doc_id", "set", "pivot_set").mapInArrow(differ, "pivot long, doc_id long, base long, common long, items array<long>")
+
 
+def _sharing(groups: DataFrame, percent: int) -> DataFrame:
+    """Pairs a, b of documents in one group that may be similar, by a prefix filter on the items in which each differs from the
+    group's base.
 
-def near_dedup(docs: DataFrame, shingle_words: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    groups: pivot, doc_id, component, open, n (size of the set), base (size of the base), missing (items of the base that
+    the set lacks), items. A pair needs different components and an open document. Two sets have base - missing_a - missing_b
+    + (shared items) in common, so a similar pair shares at least `need` items; if need were below 1, both would be similar to the
+    base. Hence the first shared item, rarest first, lies among the first size - need + 1 of either.
+    """
+    whole = lambda n: f"(({percent} * ({n}) + {99 + percent}) div {100 + percent})"  # noqa: E731  the least intersection of sets with n items together
+    least = lambda c, of: F.min(F.when(of, F.col(c)))
+    stats = groups.groupBy("pivot").agg(*[least(c, o).alias(f"{c}_{k}") for c in ("n", "missing") for k, o in (("open", F.col("open")), ("rest", ~F.col("open")))])
+
+    def reach(k: str) -> Column:
+        """Up to which item a document must be compared with those of kind k; null if there are none."""
+        partner = f"n + greatest(n_{k}, ({percent} * n + 99) div 100)"
+        return F.expr(f"CASE WHEN n_{k} IS NOT NULL THEN size - greatest({whole(partner)} - base + missing + missing_{k}, 1) + 1 END")
+
+    sized = groups.join(stats, "pivot").withColumn("size", F.size("items"))
+    sized = sized.select("pivot", "doc_id", "component", "open", "n", "base", "missing", "size", "items", reach("open").alias("to_open"), F.when(F.col("open"), reach("rest")).alias("to_rest"))
+    items = sized.withColumn("item", F.explode("items")).drop("items")
+    often = items.groupBy("pivot", "item").agg(F.count(F.lit(1)).alias("often"))
+    ranked = items.join(often, ["pivot", "item"]).repartition("pivot", "doc_id").withColumn("nth", F.row_number().over(W.partitionBy("pivot", "doc_id").orderBy("often", "item")))
+    ranked = ranked.where("often > 1 AND nth <= greatest(to_open, to_rest)")
+    left, right = (ranked.select("pivot", "item", *([] if c == "b" else ["base"]), F.col("doc_id").alias(c), *[F.col(x).alias(f"{x}_{c}") for x in ("component", "open", "n", "missing", "size", "nth", "to_open", "to_rest")]) for c in "ab")
+    kinds = "CASE WHEN open_b THEN a < b AND nth_a <= to_open_a AND nth_b <= to_open_b ELSE nth_a <= to_rest_a AND nth_b <= to_open_b END"
+    alike = f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b) AND least(size_a - nth_a, size_b - nth_b) + 1 >= {whole('n_a + n_b')} - base + missing_a + missing_b"
+    on = (left["pivot"] == right["pivot"]) & (left["item"] == right["item"]) & F.expr(f"component_a <> component_b AND ({kinds}) AND {alike}")
+    return left.where("open_a").join(right, on).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+
+def near_dedup(docs: DataFrame, shingle_words: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS, small: int = SMALL, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of docs: doc_id, n_shingles, component_id, kept.
 
     Texts are lower-cased (A-Z) and cut into words [^\\x20\\x09-\\x0D]+. A document with fewer words than a shingle has one
     shingle, all its words; without words or text (null) it has none and is linked with nothing. component_id is the
     smallest id that links lead to, kept says that it is the document's own. Rows that repeat an id have equal results if
     their texts agree. A row with a null id is linked with rows of the same set only. Other columns are ignored; an empty
-    table gives an empty result.
+    table gives an empty result. `small` chooses between two exact ways for documents far from their bucket's pivot.
     """
     docs = id_text(docs, id_col, text_col)
     all_ = written(_sketches(docs, shingle_words, bands, rows), "sketches")
     classes = all_.where("n_shingles > 0").groupBy("set_key").agg(F.min("doc_id").alias("rep"))
     one_each = all_.join(classes.where("rep IS NOT NULL").select("set_key", F.col("rep").alias("doc_id")), ["set_key", "doc_id"], "left_semi").dropDuplicates(["doc_id"])
-    buckets = one_each.select("doc_id", "n_shingles", F.explode("buckets").alias("bucket"))
-    shared = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("members"), F.min("doc_id").alias("least")).where("members > 1").select("bucket", "least")
-    members = written(buckets.join(shared, "bucket"), "buckets")
+    members = _members(one_each)
     taking_part = members.select("doc_id").distinct()
     sketches = all_.select("doc_id", "n_shingles", "sketch").join(taking_part, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     texts = docs.join(taking_part, "doc_id", "left_semi").dropDuplicates(["doc_id"])
@@ -176,43 +233,28 @@ def near_dedup(docs: DataFrame, shingle_words: int = 5, percent: int = 80, bands
         likely = pairs.join(side(sketches, "a"), "a").join(side(sketches, "b"), "b").where(alike).select("a", "b")
         return written(_confirmed(likely, sets, percent), "links", SET_BATCH)
 
-    def mixed() -> tuple[DataFrame, int]:
-        """Members of buckets with several components, and how many pairs these leave open."""
-        placed = members.join(connected_components(links).withColumnRenamed("id", "doc_id"), "doc_id", "left").select("bucket", "doc_id", F.coalesce("component", "doc_id").alias("component"))
-        parts = placed.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n")).groupBy("bucket").agg(F.count(F.lit(1)).alias("parts"), F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("squares")).where("parts > 1")
-        rest = written(placed.join(parts.select("bucket"), "bucket", "left_semi"), "mixed")
-        return rest, int(parts.agg(F.sum((F.col("n") * F.col("n") - F.col("squares")) / 2)).first()[0] or 0)
-
-    links = confirm(members.where("doc_id <> least").select(F.col("least").alias("a"), F.col("doc_id").alias("b")).distinct())
-    (rest, open_pairs), before, turn = mixed(), None, 0
-    while open_pairs and (before is None or open_pairs < 0.7 * before):
-        turn, before = turn + 1, open_pairs
-        pivot = rest.groupBy("bucket").agg(F.min_by(F.struct("doc_id", "component"), F.xxhash64("doc_id", F.lit(turn))).alias("p"))
-        tried = rest.join(pivot, "bucket").where(F.col("component") != F.col("p.component")).select(F.least("doc_id", "p.doc_id").alias("a"), F.greatest("doc_id", "p.doc_id").alias("b")).distinct()
-        links = links.union(confirm(tried))
-        rest, open_pairs = mixed()
-    if open_pairs:
-        pivot = rest.groupBy("bucket").agg(F.min("doc_id").alias("pivot"))
-        rest = rest.join(pivot, "bucket")
-        beyond = written(_beyond_pivot(rest.select("pivot", "doc_id").distinct(), sets), "beyond", SET_BATCH)
-        of = rest.select("doc_id", F.col("component")).distinct()
-        rest = rest.join(beyond.drop("items"), ["pivot", "doc_id"]).join(sketches, "doc_id")
-        left, right = (side(rest, c, "bucket", F.col("component").alias(f"of_{c}"), F.col("common").alias(f"common_{c}")) for c in "ab")
-        enough = F.expr(f"100 * least(common_a, common_b) >= {percent} * (n_a + n_b - least(common_a, common_b))")
-        through_pivot = left.join(right, (left["bucket"] == right["bucket"]) & F.expr("a < b AND of_a <> of_b") & enough & alike).select("a", "b")
-        items = beyond.select("pivot", "doc_id", "common", F.size("items").alias("beyond"), F.explode("items").alias("item"))
-        often = items.groupBy("pivot", "item").agg(F.count(F.lit(1)).alias("often"))
-        shortest = beyond.groupBy("pivot").agg(F.min(F.col("common") + F.size("items")).alias("shortest"))
-        needed = F.ceil(percent * (F.col("common") + F.col("beyond") + F.col("shortest")) / (100 + percent)) - F.col("common")
-        rarest = W.partitionBy("pivot", "doc_id").orderBy("often", "item")
-        items = items.join(often, ["pivot", "item"]).join(shortest, "pivot").withColumn("nth", F.row_number().over(rarest))
-        items = items.where((F.col("nth") <= F.col("beyond") - F.greatest(needed, F.lit(1)) + 1) & (F.col("often") > 1)).join(of, "doc_id")
-        left, right = (items.select("pivot", "item", F.col("doc_id").alias(c), *[F.col(x).alias(f"{x}_{c}") for x in ("common", "beyond", "component")]) for c in "ab")
-        possible = F.expr(f"{percent} * (common_a + beyond_a + common_b + beyond_b) <= {100 + percent} * (least(common_a, common_b) + least(beyond_a, beyond_b))")
-        outside = left.join(right, (left["pivot"] == right["pivot"]) & (left["item"] == right["item"]) & F.expr("a < b AND component_a <> component_b") & possible).select("a", "b")
-        links = links.union(confirm(through_pivot.union(outside).distinct()))
-
+    links = confirm(members.where("doc_id <> pivot").select(F.col("pivot").alias("a"), F.col("doc_id").alias("b")).distinct())
     component = connected_components(links)
+    placed = members.join(component.withColumnRenamed("id", "doc_id"), "doc_id", "left").select("bucket", "pivot", "doc_id", F.coalesce("component", "doc_id").alias("component"))
+    mixed = placed.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("bucket")
+    rest = written(placed.join(mixed, "bucket", "left_semi"), "mixed")
+    if not rest.isEmpty():
+        own = rest.where("doc_id = pivot").select("pivot", F.col("component").alias("of_pivot")).distinct()
+        against = written(_against_pivot(rest.select("pivot", "doc_id").distinct(), sets, NEAR), "against", SET_BATCH)
+        apart = rest.select("pivot", "doc_id", "component").distinct().join(own, "pivot").join(against, ["pivot", "doc_id"])
+        missing = F.col("base") - F.col("common")
+        close = apart.where("items IS NOT NULL").select("pivot", "doc_id", "component", (F.col("component") != F.col("of_pivot")).alias("open"), (F.size("items") - missing + F.col("common")).alias("n"), "base", missing.alias("missing"), "items")
+        # A set far from the pivot is only similar to sets that are not close to it either: distances obey the triangle inequality.
+        far = against.join(sketches, "doc_id").withColumn("union", F.expr("base + n_shingles - common")).where(f"100 * common < {NEAR + 100 - percent} * union")
+        far = rest.join(far.select("pivot", "doc_id", "n_shingles", "sketch", F.expr(f"100 * common < {NEAR} * union").alias("open")), ["pivot", "doc_id"])
+        among = far.groupBy("bucket").agg(F.count(F.lit(1)).alias("among"), F.bool_or("open").alias("any")).where("among > 1 AND any").select("bucket", "among")
+        far = written(far.join(among, "bucket"), "far")
+        left, right = (side(far.where(f"among <= {small}"), c, "bucket", F.col("component").alias(f"of_{c}"), F.col("open").alias(f"open_{c}")) for c in "ab")
+        in_bucket = left.join(right, (left["bucket"] == right["bucket"]) & F.expr("a < b AND of_a <> of_b AND (open_a OR open_b)") & alike).select("a", "b")
+        crowd = far.where(f"among > {small}").select("pivot", "doc_id", "component", "open", F.col("n_shingles").alias("n"), F.lit(0).cast("long").alias("base"), F.lit(0).cast("long").alias("missing")).distinct()
+        crowd = crowd.join(_items(sets.join(crowd.select("doc_id").distinct(), "doc_id", "left_semi")), "doc_id")
+        found = _sharing(close, percent).union(in_bucket).union(_sharing(crowd, percent)).distinct()
+        component = connected_components(component.select(F.col("id").alias("a"), F.col("component").alias("b")).union(confirm(written(found, "pairs"))))
     rep = classes.join(component, F.col("rep") == F.col("id"), "left").select("set_key", F.coalesce("component", "rep").alias("component"))
     return all_.join(rep, "set_key", "left").select(
         "doc_id",

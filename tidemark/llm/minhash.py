@@ -29,6 +29,7 @@ BANDS, ROWS = 32, 5
 SIGNATURE_SLACK = 0.2
 #: Percent of similarity to the pivot from which differences are used; members of a bucket far from its pivot up to which pairs are compared by signature.
 NEAR, SMALL = 50, 32
+GROUP = ["pivot", "kind"]
 #: Bytes of whole sets in an Arrow batch.
 SET_BATCH = 8 << 20
 
@@ -105,21 +106,24 @@ def _sketches(docs: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
 def _sets(docs: DataFrame, n: int) -> DataFrame:
     def of(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches(it, 1000):
-            shingles, offsets = shingle_sets(b.column(1), n)
+            shingles, offsets = shingle_sets(b.column("text"), n)
             data = shingles.tobytes()
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([data[8 * x : 8 * y] for x, y in zip(offsets, offsets[1:], strict=False)], pa.binary())], ["doc_id", "shingles"])
+            sets = pa.array([data[8 * x : 8 * y] for x, y in zip(offsets, offsets[1:], strict=False)], pa.binary())
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(np.diff(offsets), pa.int64()), b.column("sketch"), sets], ["doc_id", "n", "sketch", "shingles"])
 
-    return docs.mapInArrow(of, "doc_id long, shingles binary")
+    return docs.mapInArrow(of, "doc_id long, n long, sketch array<long>, shingles binary")
 
 
-def _alike(hashes: int, least: float) -> Column:
-    """That sketch_a and sketch_b agree in at least that share of their minima."""
+def _similar_sketches(hashes: int, percent: int) -> Column:
+    """That the sizes n_a and n_b allow the similarity, and that sketch_a and sketch_b agree in as many minima as it leads to."""
+    least = percent / 100 - SIGNATURE_SLACK
+    sizes = F.expr(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
     unlike = " + ".join(f"bit_count(((sketch_a[{i}] ^ sketch_b[{i}]) + {0x007F7F7F7F7F7F7F}L) & {0x0080808080808080}L)" for i in range(-(-hashes // 7)))
-    return F.expr(f"{unlike} <= {round((1 - least) * hashes)}")
+    return sizes & F.expr(f"{unlike} <= {round((1 - least) * hashes)}")
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs with 100 * intersection >= percent * union of their full sets."""
+def _confirmed(pairs: DataFrame, known: DataFrame, percent: int, hashes: int) -> DataFrame:
+    """Pairs with 100 * intersection >= percent * union: refused by size and signature, or else confirmed on full sets."""
 
     def check(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches(it, 50):
@@ -130,8 +134,9 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 keep.append(100 * both >= percent * (len(x) + len(y) - both))
             yield b.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
 
-    side = lambda c: sets.select(F.col("doc_id").alias(c), F.col("shingles").alias(f"set_{c}"))
-    return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "set_a", "set_b").mapInArrow(check, "a long, b long")
+    side = lambda c: known.select(F.col("doc_id").alias(c), F.col("n").alias(f"n_{c}"), F.col("sketch").alias(f"sketch_{c}"), F.col("shingles").alias(f"set_{c}"))
+    likely = pairs.join(side("a"), "a").join(side("b"), "b").where(_similar_sketches(hashes, percent))
+    return likely.select("a", "b", "set_a", "set_b").mapInArrow(check, "a long, b long")
 
 
 def _items(sets: DataFrame) -> DataFrame:
@@ -154,58 +159,81 @@ def _members(sketches: DataFrame) -> DataFrame:
     return written(members.select("bucket", "doc_id").join(pivot, "bucket"), "members")
 
 
-def _against_pivot(pairs: DataFrame, sets: DataFrame, near: int) -> DataFrame:
-    """Each set against its pivot's: the pivot's size, how many items they have in common and, with a similarity of at
-    least `near` percent, in which items they differ."""
+def _against_pivot(rest: DataFrame, known: DataFrame, near: int) -> DataFrame:
+    """Each set against its pivot's: sizes, how many items they have in common and, with a similarity of at least `near`
+    percent, in which items they differ; open says that the two are of different components."""
+    keep = ["pivot", "doc_id", "component", "open"]
 
     def differ(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches(it, 50):
-            base, common, items = [], [], []
+            n, base, common, items = [], [], [], []
             for x, p in zip(b.column("set").to_pylist(), b.column("pivot_set").to_pylist(), strict=True):
                 x, p = np.frombuffer(x, np.uint64), np.frombuffer(p, np.uint64)
                 unlike = np.setxor1d(x, p, assume_unique=True)
+                n.append(len(x))
                 base.append(len(p))
                 common.append((len(x) + len(p) - len(unlike)) // 2)
                 items.append(unlike.view(np.int64) if 100 * common[-1] >= near * (common[-1] + len(unlike)) else None)
-            new = [pa.array(base, pa.int64()), pa.array(common, pa.int64()), pa.array(items, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([b.column("pivot"), b.column("doc_id"), *new], ["pivot", "doc_id", "base", "common", "items"])
+            new = [*(pa.array(v, pa.int64()) for v in (n, base, common)), pa.array(items, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), *new], [*keep, "n", "base", "common", "items"])
 
-    of_pivot = sets.select(F.col("doc_id").alias("pivot"), F.col("shingles").alias("pivot_set"))
-    both = pairs.select("pivot", "doc_id").join(of_pivot, "pivot").join(sets.withColumnRenamed("shingles", "set"), "doc_id")
-    return both.select("pivot", "doc_id", "set", "pivot_set").mapInArrow(differ, "pivot long, doc_id long, base long, common long, items array<long>")
+    own = rest.where("doc_id = pivot").select("pivot", F.col("component").alias("of_pivot")).distinct()
+    of_pivot = own.join(known.select(F.col("doc_id").alias("pivot"), F.col("shingles").alias("pivot_set")), "pivot")
+    both = rest.select("pivot", "doc_id", "component").distinct().join(of_pivot, "pivot").join(known.select("doc_id", F.col("shingles").alias("set")), "doc_id")
+    both = both.select("pivot", "doc_id", "component", (F.col("component") != F.col("of_pivot")).alias("open"), "set", "pivot_set")
+    return both.mapInArrow(differ, "pivot long, doc_id long, component long, open boolean, n long, base long, common long, items array<long>")
 
 
 def _sharing(groups: DataFrame, percent: int) -> DataFrame:
     """Pairs a, b of documents in one group that may be similar, by a prefix filter on the items in which each differs from the
     group's base.
 
-    groups: pivot, doc_id, component, open, n (size of the set), base (size of the base), missing (items of the base that
+    groups: pivot and kind (the group), doc_id, component, open, n (size of the set), base (size of the base), missing (items of the base that
     the set lacks), items. A pair needs different components and an open document. Two sets have base - missing_a - missing_b
     + (shared items) in common, so a similar pair shares at least `need` items; if need were below 1, both would be similar to the
     base. Hence the first shared item, rarest first, lies among the first size - need + 1 of either.
     """
     whole = lambda n: f"(({percent} * ({n}) + {99 + percent}) div {100 + percent})"  # noqa: E731  the least intersection of sets with n items together
     least = lambda c, of: F.min(F.when(of, F.col(c)))
-    stats = groups.groupBy("pivot").agg(*[least(c, o).alias(f"{c}_{k}") for c in ("n", "missing") for k, o in (("open", F.col("open")), ("rest", ~F.col("open")))])
+    stats = groups.groupBy(*GROUP).agg(*[least(c, o).alias(f"{c}_{k}") for c in ("n", "missing") for k, o in (("open", F.col("open")), ("rest", ~F.col("open")))])
 
     def reach(k: str) -> Column:
         """Up to which item a document must be compared with those of kind k; null if there are none."""
         partner = f"n + greatest(n_{k}, ({percent} * n + 99) div 100)"
         return F.expr(f"CASE WHEN n_{k} IS NOT NULL THEN size - greatest({whole(partner)} - base + missing + missing_{k}, 1) + 1 END")
 
-    sized = groups.join(stats, "pivot").withColumn("size", F.size("items"))
-    sized = sized.select("pivot", "doc_id", "component", "open", "n", "base", "missing", "size", "items", reach("open").alias("to_open"), F.when(F.col("open"), reach("rest")).alias("to_rest"))
+    sized = groups.join(stats, GROUP).withColumn("size", F.size("items"))
+    sized = sized.select(*GROUP, "doc_id", "component", "open", "n", "base", "missing", "size", "items", reach("open").alias("to_open"), F.when(F.col("open"), reach("rest")).alias("to_rest"))
     items = sized.withColumn("item", F.explode("items")).drop("items")
-    often = items.groupBy("pivot", "item").agg(F.count(F.lit(1)).alias("often"))
-    ranked = items.join(often, ["pivot", "item"]).repartition("pivot", "doc_id").withColumn("nth", F.row_number().over(W.partitionBy("pivot", "doc_id").orderBy("often", "item")))
+    often = items.groupBy(*GROUP, "item").agg(F.count(F.lit(1)).alias("often"))
+    ranked = items.join(often, [*GROUP, "item"]).repartition(*GROUP, "doc_id").withColumn("nth", F.row_number().over(W.partitionBy(*GROUP, "doc_id").orderBy("often", "item")))
     ranked = ranked.where("often > 1 AND nth <= greatest(to_open, to_rest)")
-    left, right = (ranked.select("pivot", "item", *([] if c == "b" else ["base"]), F.col("doc_id").alias(c), *[F.col(x).alias(f"{x}_{c}") for x in ("component", "open", "n", "missing", "size", "nth", "to_open", "to_rest")]) for c in "ab")
+    left, right = (ranked.select(*GROUP, "item", *([] if c == "b" else ["base"]), F.col("doc_id").alias(c), *[F.col(x).alias(f"{x}_{c}") for x in ("component", "open", "n", "missing", "size", "nth", "to_open", "to_rest")]) for c in "ab")
     kinds = "CASE WHEN open_b THEN a < b AND nth_a <= to_open_a AND nth_b <= to_open_b ELSE nth_a <= to_rest_a AND nth_b <= to_open_b END"
     alike = f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b) AND least(size_a - nth_a, size_b - nth_b) + 1 >= {whole('n_a + n_b')} - base + missing_a + missing_b"
-    on = (left["pivot"] == right["pivot"]) & (left["item"] == right["item"]) & F.expr(f"component_a <> component_b AND ({kinds}) AND {alike}")
+    on = (left["pivot"] == right["pivot"]) & (left["kind"] == right["kind"]) & (left["item"] == right["item"]) & F.expr(f"component_a <> component_b AND ({kinds}) AND {alike}")
     return left.where("open_a").join(right, on).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
+def _open_pairs(rest: DataFrame, known: DataFrame, percent: int, hashes: int, small: int) -> DataFrame:
+    """Of the members of buckets with several components (bucket, pivot, doc_id, component): the pairs a, b of different
+    components, neither of them a pivot of the other, that may be similar."""
+    against = written(_against_pivot(rest, known, NEAR), "against", SET_BATCH)
+    missing = F.col("base") - F.col("common")
+    close = against.where("items IS NOT NULL").select("pivot", F.lit(0).alias("kind"), "doc_id", "component", "open", "n", "base", missing.alias("missing"), "items")
+    # A set far from the pivot is only similar to sets that are not close to it either: distances obey the triangle inequality.
+    far = against.where(f"100 * common < {NEAR + 100 - percent} * (base + n - common)").select("pivot", "doc_id", "n", F.expr(f"100 * common < {NEAR} * (base + n - common)").alias("open"))
+    far = rest.join(far, ["pivot", "doc_id"])
+    among = far.groupBy("bucket").agg(F.count(F.lit(1)).alias("among"), F.bool_or("open").alias("any")).where("among > 1 AND any").select("bucket", "among")
+    far = written(far.join(among, "bucket").join(known.select("doc_id", "sketch"), "doc_id"), "far")
+    left, right = (far.where(f"among <= {small}").select("bucket", F.col("doc_id").alias(c), *[F.col(x).alias(f"{x}_{c}") for x in ("component", "open", "n", "sketch")]) for c in "ab")
+    in_bucket = left.join(right, (left["bucket"] == right["bucket"]) & F.expr("a < b AND component_a <> component_b AND (open_a OR open_b)") & _similar_sketches(hashes, percent))
+    none = F.lit(0).cast("long")
+    crowd = far.where(f"among > {small}").select("pivot", F.lit(1).alias("kind"), "doc_id", "component", "open", "n", none.alias("base"), none.alias("missing")).distinct()
+    crowd = crowd.join(_items(known.join(crowd.select("doc_id").distinct(), "doc_id", "left_semi")), "doc_id").select(*close.columns)
+    return written(_sharing(close.union(crowd), percent).union(in_bucket.select("a", "b")).distinct(), "pairs")
+
+
 def near_dedup(docs: DataFrame, shingle_words: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS, small: int = SMALL, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of docs: doc_id, n_shingles, component_id, kept.
 
@@ -218,43 +246,22 @@ def near_dedup(docs: DataFrame, shingle_words: int = 5, percent: int = 80, bands
     docs = id_text(docs, id_col, text_col)
     all_ = written(_sketches(docs, shingle_words, bands, rows), "sketches")
     classes = all_.where("n_shingles > 0").groupBy("set_key").agg(F.min("doc_id").alias("rep"))
-    one_each = all_.join(classes.where("rep IS NOT NULL").select("set_key", F.col("rep").alias("doc_id")), ["set_key", "doc_id"], "left_semi").dropDuplicates(["doc_id"])
+    one_each = all_.join(classes.where("rep IS NOT NULL").select("set_key", F.col("rep").alias("doc_id")), ["set_key", "doc_id"], "left_semi").dropDuplicates(["set_key", "doc_id"])
     members = _members(one_each)
-    taking_part = members.select("doc_id").distinct()
-    sketches = all_.select("doc_id", "n_shingles", "sketch").join(taking_part, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    texts = docs.join(taking_part, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    sets = written(_sets(texts, shingle_words), "sets", SET_BATCH)
-    alike = _alike(bands * rows, percent / 100 - SIGNATURE_SLACK) & F.expr(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
-
-    def side(df: DataFrame, c: str, *more: str) -> DataFrame:
-        return df.select(F.col("doc_id").alias(c), F.col("n_shingles").alias(f"n_{c}"), F.col("sketch").alias(f"sketch_{c}"), *more)
+    taking_part = members.select("doc_id").distinct().join(one_each.select("doc_id", "sketch"), "doc_id")
+    known = written(_sets(docs.join(taking_part, "doc_id").dropDuplicates(["doc_id"]), shingle_words), "sets", SET_BATCH)
 
     def confirm(pairs: DataFrame) -> DataFrame:
-        likely = pairs.join(side(sketches, "a"), "a").join(side(sketches, "b"), "b").where(alike).select("a", "b")
-        return written(_confirmed(likely, sets, percent), "links", SET_BATCH)
+        return written(_confirmed(pairs, known, percent, bands * rows), "links", SET_BATCH)
 
-    links = confirm(members.where("doc_id <> pivot").select(F.col("pivot").alias("a"), F.col("doc_id").alias("b")).distinct())
-    component = connected_components(links)
+    component = connected_components(confirm(members.where("doc_id <> pivot").select(F.col("pivot").alias("a"), F.col("doc_id").alias("b")).distinct()))
     placed = members.join(component.withColumnRenamed("id", "doc_id"), "doc_id", "left").select("bucket", "pivot", "doc_id", F.coalesce("component", "doc_id").alias("component"))
     mixed = placed.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("bucket")
     rest = written(placed.join(mixed, "bucket", "left_semi"), "mixed")
     if not rest.isEmpty():
-        own = rest.where("doc_id = pivot").select("pivot", F.col("component").alias("of_pivot")).distinct()
-        against = written(_against_pivot(rest.select("pivot", "doc_id").distinct(), sets, NEAR), "against", SET_BATCH)
-        apart = rest.select("pivot", "doc_id", "component").distinct().join(own, "pivot").join(against, ["pivot", "doc_id"])
-        missing = F.col("base") - F.col("common")
-        close = apart.where("items IS NOT NULL").select("pivot", "doc_id", "component", (F.col("component") != F.col("of_pivot")).alias("open"), (F.size("items") - missing + F.col("common")).alias("n"), "base", missing.alias("missing"), "items")
-        # A set far from the pivot is only similar to sets that are not close to it either: distances obey the triangle inequality.
-        far = against.join(sketches, "doc_id").withColumn("union", F.expr("base + n_shingles - common")).where(f"100 * common < {NEAR + 100 - percent} * union")
-        far = rest.join(far.select("pivot", "doc_id", "n_shingles", "sketch", F.expr(f"100 * common < {NEAR} * union").alias("open")), ["pivot", "doc_id"])
-        among = far.groupBy("bucket").agg(F.count(F.lit(1)).alias("among"), F.bool_or("open").alias("any")).where("among > 1 AND any").select("bucket", "among")
-        far = written(far.join(among, "bucket"), "far")
-        left, right = (side(far.where(f"among <= {small}"), c, "bucket", F.col("component").alias(f"of_{c}"), F.col("open").alias(f"open_{c}")) for c in "ab")
-        in_bucket = left.join(right, (left["bucket"] == right["bucket"]) & F.expr("a < b AND of_a <> of_b AND (open_a OR open_b)") & alike).select("a", "b")
-        crowd = far.where(f"among > {small}").select("pivot", "doc_id", "component", "open", F.col("n_shingles").alias("n"), F.lit(0).cast("long").alias("base"), F.lit(0).cast("long").alias("missing")).distinct()
-        crowd = crowd.join(_items(sets.join(crowd.select("doc_id").distinct(), "doc_id", "left_semi")), "doc_id")
-        found = _sharing(close, percent).union(in_bucket).union(_sharing(crowd, percent)).distinct()
-        component = connected_components(component.select(F.col("id").alias("a"), F.col("component").alias("b")).union(confirm(written(found, "pairs"))))
+        more = confirm(_open_pairs(rest, known, percent, bands * rows, small))
+        if not more.isEmpty():
+            component = connected_components(component.select(F.col("id").alias("a"), F.col("component").alias("b")).union(more))
     rep = classes.join(component, F.col("rep") == F.col("id"), "left").select("set_key", F.coalesce("component", "rep").alias("component"))
     return all_.join(rep, "set_key", "left").select(
         "doc_id",

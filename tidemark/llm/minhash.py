@@ -194,16 +194,12 @@ def _sharing(groups: DataFrame, percent: int) -> DataFrame:
     base. Hence the first shared item, rarest first, lies among the first size - need + 1 of either.
     """
     whole = lambda n: f"(({percent} * ({n}) + {99 + percent}) div {100 + percent})"  # noqa: E731  the least intersection of sets with n items together
-    least = lambda c, of: F.min(F.when(of, F.col(c)))
-    stats = groups.groupBy(*GROUP).agg(*[least(c, o).alias(f"{c}_{k}") for c in ("n", "missing") for k, o in (("open", F.col("open")), ("rest", ~F.col("open")))])
-
-    def reach(k: str) -> Column:
-        """Up to which item a document must be compared with those of kind k; null if there are none."""
-        partner = f"n + greatest(n_{k}, ({percent} * n + 99) div 100)"
-        return F.expr(f"CASE WHEN n_{k} IS NOT NULL THEN size - greatest({whole(partner)} - base + missing + missing_{k}, 1) + 1 END")
-
-    sized = groups.join(stats, GROUP).withColumn("size", F.size("items"))
-    sized = sized.select(*GROUP, "doc_id", "component", "open", "n", "base", "missing", "size", "items", reach("open").alias("to_open"), F.when(F.col("open"), reach("rest")).alias("to_rest"))
+    by_size = f"{whole(f'n + ({percent} * n + 99) div 100')} - base + missing"
+    open_ = f"missing + ceil(({percent} * (n - base) + 1) / {100 + percent}.0)"  # the other one is not similar to the base
+    any_ = f"missing + ceil(({percent} * n - 100 * base) / {100 + percent}.0)"  # the other one has base - missing items at least
+    reach = lambda need: F.expr(f"size - greatest(1, {by_size}, {need}) + 1")
+    sized = groups.withColumn("size", F.size("items"))
+    sized = sized.select(*GROUP, "doc_id", "component", "open", "n", "base", "missing", "size", "items", reach(open_).alias("to_open"), F.when(F.col("open"), reach(any_)).alias("to_rest"))
     items = sized.withColumn("item", F.explode("items")).drop("items")
     often = items.groupBy(*GROUP, "item").agg(F.count(F.lit(1)).alias("often"))
     ranked = items.join(often, [*GROUP, "item"]).repartition(*GROUP, "doc_id").withColumn("nth", F.row_number().over(W.partitionBy(*GROUP, "doc_id").orderBy("often", "item")))

@@ -211,11 +211,12 @@ def test_decontamination(spark, empty):
     docs = spark.createDataFrame(
         [
             (1, f"Some talk first. {item}. And more words after it", "x"),
-            (2, "Well When did Berta walk 30 kilometers from the old town to the river and back again before noon", "x"),  # another name, number, unit
+            (2, "Well, When did Berta walk 30 kilometers from the old town to the river and back again before noon", "x"),  # another name, number, unit
             (3, "walk 12 miles from the old town today", "x"),
             (4, None, "x"),
             (5, "", "x"),
-            (6, "so then what is it they said", "x"),  # a short item as a whole
+            (6, "What is it?", "x"),  # a short item and nothing else
+            (7, "so then what is it they said", "x"),
             (None, item, "x"),
             (1, f"Some talk first. {item}. And more words after it", "x"),
         ],
@@ -225,10 +226,31 @@ def test_decontamination(spark, empty):
     got = {(r.doc_id, r.item_id): r for r in rows}
     assert sorted(got) == [(1, 1), (2, 1), (6, 2)] and len(rows) == 3
     assert got[1, 1].changed_slots == 0 and got[1, 1].coverage == 1.0 and got[2, 1].changed_slots == 3
-    assert sorted(str(r.doc_id) for r in decontaminate.drop_contaminated(docs, benchmark).collect()) == ["3", "4", "5", "None"]
+    assert sorted(str(r.doc_id) for r in decontaminate.drop_contaminated(docs, benchmark).collect()) == ["3", "4", "5", "7", "None"]
     assert decontaminate.contaminated(empty, benchmark).count() == 0 and decontaminate.contaminated(docs, benchmark.limit(0)).count() == 0
 
 
+def test_decontamination_leaves_other_texts(spark):
+    """Short items, bare placeholders and lists of numbers hit nothing; runs of names and numbers with separators are one slot; a long excerpt suffices."""
+    numbers = " ".join(str(i) for i in range(60))
+    long = " ".join(f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(60))
+    pair = "the teacher gives Anna and Berta some red apples and then asks Anna to tell Berta how many apples are left"
+    items = [(1, "Paris"), (2, "Anna"), (3, "12 miles"), (4, numbers), (5, long), (6, "how many apples does Anna buy for 12 dollars at the old market"), (7, pair)]
+    docs = [
+        (1, "the cat sat on the Mat with Paris and Anna"),
+        (2, "walk 7 hours"),
+        (3, " ".join(str(i * 7) for i in range(2000))),
+        (4, "so " + " ".join(long.split()[10:40])),
+        (5, "how many apples does Mary Ann buy for 1,200.50 dollars at the old market"),
+        (6, "PARIS!"),
+        (7, pair.replace("Anna", "Ida").replace("Berta", "Ida")),  # two names become one
+        (8, pair.replace("Anna", "Ida").replace("Berta", "Eve")),
+        (9, "x " * 200_000 + long),
+    ]
+    found = decontaminate.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert sorted((r.doc_id, r.item_id) for r in found) == [(4, 5), (5, 6), (6, 1), (8, 7), (9, 5)]
+
+
 def test_decontamination_in_any_case(spark):
     item = "When did Anna walk 12 miles from the old straße to the river and back again before noon"
     docs = spark.createDataFrame([(1, f"SO: {item.upper()}!"), (2, item.lower()), (3, item.title()), (4, "ANNA WALKED TO A RIVER AND THEN BACK TO THE OLD TOWN BEFORE IT WAS NOON")], "doc_id long, text string")

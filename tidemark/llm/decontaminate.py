@@ -1,10 +1,10 @@
 """Benchmark decontamination by canonical templates, in DataFrame operations only.
 
-Numbers, names (capitalised words) and units become typed placeholders. Windows of template words of the benchmark meet
-those of the documents by hash. Where a document follows an item at one offset, the placeholders' words are compared: a
-re-parameterised question replaces each value of the item by one value of its own, so every slot value must map to one word.
-Templates depend on the case of letters. So windows of plain words without regard to case are sought as well, and a window
-found by either counts.
+Numbers, names (runs of capitalised words) and units become typed placeholders, one for a run. Windows of template words of the
+benchmark meet those of the documents by hash, if enough of their words are literal. Where a document follows an item at one
+offset, the placeholders' words are compared: a re-parameterised question replaces each value of the item by one value of its
+own, so values and words must map one to one. Templates depend on the case of letters. So windows of plain words without regard to case
+are sought as well. Items too short for a window are found where they are a document's whole text.
 """
 
 from __future__ import annotations
@@ -14,20 +14,32 @@ from pyspark.sql import functions as F
 
 from .common import id_text, written
 
-WINDOW = 8
-#: Shares of an item's windows that a document must have, and of its slots that must agree with one mapping.
-COVERAGE, AGREEMENT = 0.5, 0.8
+#: Words in a window, and how many of a template's must be literal.
+WINDOW, LITERAL = 8, 3
+#: Shares of an item's windows that a document must have, and of its slots that must agree with one mapping; and a number of windows that suffices for a long item.
+COVERAGE, AGREEMENT, LONG = 0.5, 0.8, 16
 #: Windows of a benchmark that are broadcast at most (some 200 bytes each); beyond, the join shuffles.
 BROADCAST_WINDOWS = 500_000
 #: Units of measure.
 UNITS = ["mm", "cm", "km", "mg", "kg", "ml", "kb", "mb", "gb", "meter", "meters", "metre", "metres", "kilometer", "kilometers", "kilometre", "kilometres", "mile", "miles", "inch", "inches", "feet", "gram", "grams", "pound", "pounds", "liter", "liters", "litre", "litres", "second", "seconds", "minute", "minutes", "hour", "hours", "day", "days", "week", "weeks", "month", "months", "year", "years", "dollar", "dollars", "euro", "euros", "cent", "cents", "percent", "degree", "degrees"]
 
 
+_CAPITAL = "[A-ZÀ-ÖØ-Þ]"
+_JOINER = "\u02ee"  # a letter to the splitting pattern
+PLAIN, TYPED, WHOLE = range(3)
+
+
 def words(text: Column) -> Column:
     """Runs of letters and digits."""
     return F.array_remove(F.split(text, r"[^\p{L}\p{N}]+"), "")
 
 
+def joined_runs(text: Column) -> Column:
+    """Capitalised words with only spaces between them become one word, and so does a number with its separators."""
+    numbers = F.regexp_replace(text, "(?<=[0-9])[.,](?=[0-9])", "")
+    return F.regexp_replace(numbers, rf"(?<![\p{{L}}\p{{N}}])({_CAPITAL}[\p{{L}}\p{{N}}]*) +(?={_CAPITAL})", f"$1{_JOINER}")
+
+
 def is_slot(word: Column) -> Column:
     """Starts with a digit or a capital letter, or is a unit."""
     return (word < "[") | ((word >= "À") & (word < "ß")) | F.lower(word).isin(UNITS)
@@ -56,62 +68,76 @@ def windows(codes: Column, n: int) -> Column:
     return F.when(F.size(codes) >= n, hashes).otherwise(F.array().cast("array<long>"))
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, coverage: float = COVERAGE, agreement: float = AGREEMENT, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
+def _split(texts: DataFrame, keep: list[str]) -> DataFrame:
+    return texts.select(*keep, words(F.col("text")).alias("plain"), words(joined_runs(F.col("text"))).alias("typed"))
+
+
+def _cut(words: str, pos: str, n: int) -> Column:
+    return F.slice(words, F.col(pos) + 1, F.lit(n))
+
+
+def _windows(texts: DataFrame, n: int, keep: list[str]) -> DataFrame:
+    """Every window of n words of texts (text, and the columns to keep): kind, pos, hash, and `of`, all words. A text of fewer words is one of kind WHOLE."""
+    coded = _split(texts, keep).select(*keep, "plain", "typed", folded(F.col("plain")).alias("folded"), template(F.col("typed")).alias("codes"))
+    kind = lambda k, of, hashes: F.struct(F.lit(k).alias("kind"), F.col(of).alias("of"), hashes.alias("hashes"))
+    short = F.when(F.size("plain").between(1, n - 1), F.array(F.xxhash64("folded"))).otherwise(F.array().cast("array<long>"))
+    every = F.array(kind(PLAIN, "plain", windows(F.col("folded"), n)), kind(TYPED, "typed", windows(F.col("codes"), n)), kind(WHOLE, "plain", short))
+    return coded.select(*keep, F.explode(every).alias("w")).select(*keep, "w.kind", "w.of", F.posexplode("w.hashes").alias("pos", "hash"))
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, coverage: float = COVERAGE, agreement: float = AGREEMENT, long: int = LONG, literal: int = LITERAL, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
     """A row for each document and benchmark item it holds: doc_id, item_id, windows, coverage, agreement, changed_slots.
 
-    windows counts the item's windows of n template words (all its words, if fewer) found in the document at offsets where the
-    slots agree, or in its own words in any case; coverage is their share of all windows of the item; changed_slots counts placeholders with another word
-    than the item's. Null and empty texts and items, and rows with a null id, give no row. Repeated rows of an id count once.
-    Other columns are ignored.
+    windows counts the item's different windows of n words found in the document, in any case (plain) or as templates at offsets where
+    the slots agree one to one (typed), whichever cover more of the item; coverage is their share of the item's. A document
+    holds an item with the share `coverage` of its windows, or with `long` of them. Template windows have `literal` words at least
+    that are no placeholders. An item of fewer than n words is only found in a document that has the same words
+    and no others. changed_slots counts placeholders with another word than the item's. Null and empty texts and items, and rows with a
+    null id, give no row. Repeated rows of an id count once. Other columns are ignored.
     """
-    items = benchmark.select(F.col(item_col).cast("long").alias("item_id"), words(F.col(item_text).cast("string")).alias("item")).where("item_id IS NOT NULL AND size(item) > 0")
-    items = items.withColumn("n", F.least(F.size("item"), F.lit(n)))
-    lengths = sorted(r[0] for r in items.select("n").distinct().collect())  # n values at most
-    kinds = [(k, plain) for k in lengths for plain in (False, True)]
-    parts = [items.where(F.col("n") == k).select("item_id", "n", F.lit(plain).alias("plain"), "item", F.posexplode(windows((folded if plain else template)(F.col("item")), k)).alias("item_pos", "hash")) for k, plain in kinds]
-    if not parts:
-        return docs.sparkSession.createDataFrame([], "doc_id long, item_id long, windows long, coverage double, agreement double, changed_slots long")
-    wanted = parts[0]
-    for p in parts[1:]:
-        wanted = wanted.unionByName(p)
-    wanted = wanted.select("item_id", "n", "plain", "item_pos", "hash", F.expr("slice(item, item_pos + 1, n)").alias("item_words")).dropDuplicates(["item_id", "n", "plain", "item_pos", "hash"])
-    sought = wanted.select("item_id", "n", "plain", "item_pos", "hash")
-    few = sought.count() <= BROADCAST_WINDOWS
+    items = benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.coalesce(F.col(item_text).cast("string"), F.lit("")).alias("text")).where("item_id IS NOT NULL")
+    wanted = _windows(items, n, ["item_id"]).withColumnRenamed("pos", "item_pos").withColumn("item_words", _cut("of", "item_pos", n))
+    literals = F.size(F.filter("item_words", lambda w: ~is_slot(w)))
+    wanted = wanted.where((F.col("kind") != TYPED) | (literals >= literal))
+    wanted = wanted.groupBy("item_id", "kind", "hash").agg(F.min_by(F.struct("item_pos", "item_words"), "item_pos").alias("w")).select("item_id", "kind", "hash", "w.*")
+    wanted = written(wanted, "benchmark-windows")
+    sought = wanted.select("item_id", "kind", "item_pos", "hash")
 
     texts = id_text(docs, id_col, text_col).where("doc_id IS NOT NULL")
-    coded = texts.select("doc_id", words(F.col("text")).alias("words")).select("doc_id", "words", template(F.col("words")).alias("codes"), folded(F.col("words")).alias("folded"))
-    every = F.array(*[F.struct(F.lit(k).alias("n"), F.lit(plain).alias("plain"), windows(F.col("folded" if plain else "codes"), k).alias("hashes")) for k, plain in kinds])
-    seen = coded.select("doc_id", "words", F.explode(every).alias("w")).select("doc_id", "words", "w.n", "w.plain", F.posexplode("w.hashes").alias("pos", "hash"))
-    if few:  # the words of a window are cut out where it is found, in the scan's own stage
-        found = seen.join(F.broadcast(sought), ["n", "plain", "hash"])
+    seen = _windows(texts, n, ["doc_id"])
+    if sought.count() <= BROADCAST_WINDOWS:  # the words of a window are cut out where it is found, in the scan's own stage
+        found = seen.join(F.broadcast(sought), ["kind", "hash"]).withColumnRenamed("of", "typed")
     else:  # only hashes are shuffled; documents with a window found are read again
-        hits = written(seen.drop("words").join(sought, ["n", "plain", "hash"]).select("doc_id", "item_id", "n", "plain", "pos", "item_pos").distinct(), "template-windows")
-        found = coded.select("doc_id", "words").join(hits.select("doc_id").distinct(), "doc_id", "left_semi").join(hits, "doc_id")
-    found = written(found.select("doc_id", "item_id", "n", "plain", "pos", "item_pos", F.expr("CASE WHEN NOT plain THEN slice(words, pos + 1, n) END").alias("doc_words")), "template-windows")
-    same, found = found.where("plain").select("doc_id", "item_id", "item_pos").distinct(), found.where("NOT plain")
-
-    pairs = found.select("doc_id", "item_id", "n", "item_pos", (F.col("pos") - F.col("item_pos")).alias("offset"), "doc_words")
-    pairs = pairs.join(wanted.where("NOT plain"), ["item_id", "n", "item_pos"]).select("doc_id", "item_id", "offset", "item_pos", F.arrays_zip("item_words", "doc_words").alias("both"))
-    slots = pairs.select("doc_id", "item_id", "offset", "item_pos", F.posexplode("both").alias("k", "z")).where(is_slot(F.col("z.item_words")))
+        hits = written(seen.drop("of").join(sought, ["kind", "hash"]).select("doc_id", "kind", "pos", "item_id", "item_pos").distinct(), "template-windows")
+        found = _split(texts, ["doc_id"]).select("doc_id", "typed").join(hits, "doc_id")
+    found = written(found.select("doc_id", "item_id", "kind", "item_pos", (F.col("pos") - F.col("item_pos")).alias("offset"), F.when(F.col("kind") == TYPED, _cut("typed", "pos", n)).alias("doc_words")), "template-windows")
+
+    typed = found.where(F.col("kind") == TYPED).drop("kind").join(wanted.where(F.col("kind") == TYPED).select("item_id", "item_pos", "item_words"), ["item_id", "item_pos"])
+    slots = typed.select("doc_id", "item_id", "offset", "item_pos", F.posexplode(F.arrays_zip("item_words", "doc_words")).alias("k", "z")).where(is_slot(F.col("z.item_words")))
     slots = slots.select("doc_id", "item_id", "offset", (F.col("item_pos") + F.col("k")).alias("at"), F.col("z.item_words").alias("value"), F.col("z.doc_words").alias("word")).distinct()
-    mapped = slots.groupBy("doc_id", "item_id", "offset", "value", "word").agg(F.count(F.lit(1)).alias("times"))
-    mapped = mapped.groupBy("doc_id", "item_id", "offset", "value").agg(F.max("times").alias("agree"), F.sum("times").alias("all"), F.sum(F.when(F.col("value") != F.col("word"), F.col("times")).otherwise(0)).alias("changed"))
-    mapped = mapped.groupBy("doc_id", "item_id", "offset").agg(F.sum("agree").alias("agree"), F.sum("all").alias("all"), F.sum("changed").alias("changed"))
-    at = found.select("doc_id", "item_id", "item_pos", (F.col("pos") - F.col("item_pos")).alias("offset")).distinct()
-    at = at.join(mapped, ["doc_id", "item_id", "offset"], "left").fillna(0, ["agree", "all", "changed"]).where(F.col("agree") >= agreement * F.col("all"))
-    by_offset = at.groupBy("doc_id", "item_id", "offset").agg(F.first("agree").alias("agree"), F.first("all").alias("all"), F.first("changed").alias("changed")).groupBy("doc_id", "item_id").agg(F.sum("agree").alias("agree"), F.sum("all").alias("all"), F.sum("changed").alias("changed"))
-    covered = at.select("doc_id", "item_id", "item_pos").union(same).groupBy("doc_id", "item_id").agg(F.countDistinct("item_pos").alias("windows"))
-    total = wanted.groupBy("item_id").agg(F.countDistinct("item_pos").alias("total"))
+    place = ["doc_id", "item_id", "offset"]
+    mapped = slots.groupBy(*place, "value", "word").agg(F.count(F.lit(1)).alias("times"))
+    changed = F.sum(F.when(F.col("value") != F.col("word"), F.col("times")).otherwise(0))
+    values = mapped.groupBy(*place, "value").agg(F.max("times").alias("most"), F.sum("times").alias("all"), changed.alias("changed")).withColumn("of_value", F.lit(True))
+    per_word = mapped.groupBy(*place, "word").agg(F.max("times").alias("most"), F.lit(0).cast("long").alias("all"), F.lit(0).cast("long").alias("changed")).withColumn("of_value", F.lit(False))
+    each = values.drop("value").union(per_word.drop("word")).groupBy(*place).agg(
+        F.least(F.sum(F.when(F.col("of_value"), F.col("most"))), F.sum(F.when(~F.col("of_value"), F.col("most")))).alias("agree"), F.sum("all").alias("all"), F.sum("changed").alias("changed")
+    )  # the lesser of what a mapping of values to words explains and of what one of words to values does
+    at = typed.select(*place, "item_pos").distinct().join(each, place, "left").fillna(0, ["agree", "all", "changed"]).where(F.col("agree") >= agreement * F.col("all"))
+    by_offset = at.select(*place, "agree", "all", "changed").distinct().groupBy("doc_id", "item_id").agg(*[F.sum(c).alias(c) for c in ("agree", "all", "changed")])
+    covered = at.select("doc_id", "item_id", F.lit(TYPED).alias("kind"), "item_pos").union(found.where(F.col("kind") != TYPED).select("doc_id", "item_id", "kind", "item_pos"))
+    covered = covered.groupBy("doc_id", "item_id", "kind").agg(F.countDistinct("item_pos").alias("windows"))
+    total = wanted.groupBy("item_id", "kind").agg(F.count(F.lit(1)).alias("total"))
+    held = covered.join(total, ["item_id", "kind"]).where((F.col("windows") >= coverage * F.col("total")) | (F.col("windows") >= long))
+    held = held.groupBy("doc_id", "item_id").agg(F.max(F.struct((F.col("windows") / F.col("total")).alias("share"), "windows")).alias("best"))
     return (
-        covered.join(by_offset, ["doc_id", "item_id"], "left")
+        held.join(by_offset, ["doc_id", "item_id"], "left")
         .fillna(0, ["agree", "all", "changed"])
-        .join(total, "item_id")
-        .where(F.col("windows") >= coverage * F.col("total"))
         .select(
             "doc_id",
             "item_id",
-            "windows",
-            F.round(F.col("windows") / F.col("total"), 6).alias("coverage"),
+            F.col("best.windows").alias("windows"),
+            F.round("best.share", 6).alias("coverage"),
             F.when(F.col("all") > 0, F.round(F.col("agree") / F.col("all"), 6)).otherwise(1.0).alias("agreement"),
             F.col("changed").cast("long").alias("changed_slots"),
         )

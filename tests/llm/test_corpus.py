@@ -96,6 +96,17 @@ def test_round_trip(docs, rows, empty, odd):
     assert sorted(len(r.ids) for r in bpe.round_trip(odd).collect()) == [0, 0, 3, 3, 3]
 
 
+def test_round_trip_of_many_scripts(spark):
+    """Texts of all scripts are split into words, each of which is encoded once."""
+    base = "быстрая лисица 東京は 日本の首都です 🙂🙂 안녕하세요 세계 שלום עולם สวัสดี नमस्ते\u00a0दुनिया γειά\u2003σου ÀÉ x\u0007y it's 12½"
+    texts = [base, f"{base}  {base}", base[::-1], " ".join(base)]
+    t = words.tokenizer(words.public_file("byte_bpe_50k.json"))
+    got = by_id(bpe.round_trip(spark.createDataFrame(list(enumerate(texts * 3)), "doc_id long, text string")))
+    for i, text in enumerate(texts * 3):
+        assert got[i].ids == t.encode(text, add_special_tokens=False).ids and got[i].decoded == text
+    assert spark.createDataFrame([(base,)], "t string").select(F.size(words.byte_bpe().words(F.col("t")))).first()[0] > 25
+
+
 def test_token_files(spark, docs, rows, empty, odd, tmp_path):
     t = words.tokenizer(words.public_file("word_bpe_49k.json"))
     token_files.write_shards(docs, str(tmp_path / "a"))
@@ -142,7 +153,7 @@ def test_repeats(docs, rows, empty, odd, hot, monkeypatch):
 
 def test_repeats_in_long_texts(spark, monkeypatch):
     monkeypatch.setattr(repeats, "FLAT", 500)
-    monkeypatch.setattr(repeats, "SORT_AT_ONCE", 50)
+    monkeypatch.setattr(repeats, "SORT_BYTES", 2000)
     rng = random.Random(5)
     base = "".join(rng.choice("abcd") for _ in range(3000))
     texts = [base, base[700:2400] + "zz" + base[100:650], "q" * 1300, base[:90] + "q" * 200]
@@ -150,6 +161,25 @@ def test_repeats_in_long_texts(spark, monkeypatch):
     assert [bytes(got[i].kept) for i in range(4)] == [x[0] for x in brute_repeats(texts, 60)]
 
 
+def test_large_groups_of_equal_strings():
+    """A group is split into parts that still keep one occurrence of each string only, also where hashes collide."""
+    rng = random.Random(2)
+    texts = ["".join(rng.choice("ab") for _ in range(40)) for _ in range(3)]
+    texts = [texts[i % 3] + rng.choice("xyz") for i in range(60)]
+    text, ends = np.frombuffer("".join(texts).encode(), np.uint8), np.cumsum([len(t) for t in texts])
+    kept = [b for b, _, _ in brute_repeats(texts, 40)]
+    for bytes_, hashes in ((1 << 20, None), (200, None), (200, lambda flat, at, n: np.zeros(len(at), np.uint64))):
+        with pytest.MonkeyPatch.context() as m:
+            m.setattr(repeats, "SORT_BYTES", bytes_)
+            if hashes:
+                m.setattr(repeats, "string_hashes", hashes)
+            of, start, end = repeats.merged(*repeats.find_repeats(text, ends, np.arange(60), np.zeros(60, np.int64), 40))
+        gone = [set() for _ in texts]
+        for i, a, b in zip(of, start, end, strict=True):
+            gone[i] |= set(range(a, b))
+        assert [bytes(c for k, c in enumerate(t.encode()) if k not in gone[i]) for i, t in enumerate(texts)] == kept
+
+
 def test_maximal_repeats():
     text = np.frombuffer(b"xabcabcyabcz", np.uint8)
     order, lcp = repeats._sorted_suffixes(text, np.arange(12), 12 - np.arange(12))

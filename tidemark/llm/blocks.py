@@ -9,12 +9,22 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 import zstandard
+from pyspark import TaskContext
 
 #: Words in a block at most, unless a single text has more.
 BLOCK_WORDS = 2_000_000
 NO_ID = -(2**63)
 
 
+def block_number(ordinal: int, *content: bytes) -> int:
+    """A number for a task's block of that ordinal with this content. A recomputed task gives the same number to the same
+    rows only, so what other tasks know of a block cannot be joined to different rows by mistake."""
+    h = xxhash.xxh3_64(np.array([TaskContext.get().partitionId(), ordinal], "<i8").tobytes())
+    for part in content:
+        h.update(part)
+    return h.intdigest() - 2**63
+
+
 def planes(x: np.ndarray) -> bytes:
     """uint32 values, byte by byte, compressed."""
     return zstandard.compress(x.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), 1)

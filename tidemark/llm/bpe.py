@@ -15,12 +15,12 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark import StorageLevel, TaskContext
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import NO_ID, cuts, from_planes, number, pack, planes, unpack
-from .common import id_text, shuffle_partitions, values
+from .blocks import NO_ID, block_number, cuts, from_planes, number, pack, planes, unpack
+from .common import CHANGED, id_text, shuffle_partitions, values
 from .words import Vocabulary, byte_bpe, encode_words, spread, tokenizer
 
 _BLOCKS = "block long, part int, data binary, ids binary, counts binary, home binary"
@@ -30,25 +30,25 @@ def _blocks(docs: DataFrame, vocabulary: Vocabulary, parts: int) -> DataFrame:
     """Two kinds of rows: the distinct words of a block whose hash is `part`, and, with part null, the block's documents."""
 
     def build(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block = TaskContext.get().partitionId() << 32
+        ordinal = 0
         for batch in it:
             offsets = batch.column(1).offsets.to_numpy().astype(np.int64)
             for at, end in cuts(offsets, batch.num_rows):
                 piece = batch.slice(at, end - at)
-                block += 1
                 counts = np.diff(offsets[at : end + 1])
                 flat = piece.column(1).flatten().dictionary_encode()
                 index, words = flat.indices.to_numpy(zero_copy_only=False), flat.dictionary.cast(pa.binary()).to_pylist()
                 rank, home, by_part = number(words, index, parts)
                 at_rank = [words[i] for i in np.argsort(rank)]
                 rows = [(p, pack([at_rank[i] for i in own])) for p, own in by_part]
-                ids = piece.column(0).fill_null(NO_ID).to_numpy(zero_copy_only=False)
+                ids, data = piece.column(0).fill_null(NO_ID).to_numpy(zero_copy_only=False).astype("<i8").tobytes(), planes(rank[index])
+                block, ordinal = block_number(ordinal, ids, data, *(d for _, d in rows)), ordinal + 1
                 yield pa.RecordBatch.from_pydict(
                     {
                         "block": [block] * (len(rows) + 1),
                         "part": [None, *(p for p, _ in rows)],
-                        "data": [planes(rank[index]), *(d for _, d in rows)],
-                        "ids": [ids.astype("<i8").tobytes(), *[None] * len(rows)],
+                        "data": [data, *(d for _, d in rows)],
+                        "ids": [ids, *[None] * len(rows)],
                         "counts": [counts.astype("<u4").tobytes(), *[None] * len(rows)],
                         "home": [planes(home), *[None] * len(rows)],
                     },
@@ -97,6 +97,8 @@ def _decoded(path: str, digest: bool):
     names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] if digest else ["doc_id", "ids", "decoded"]
 
     def decode(left: pa.Table, right: pa.Table) -> pa.Table:
+        if right.num_rows and not left.num_rows:
+            raise ValueError(CHANGED)
         columns: list[list] = [[] for _ in names]
         for at in range(left.num_rows):
             row = {c: left.column(c)[at].as_py() for c in ("data", "ids", "counts", "home")}
@@ -108,6 +110,8 @@ def _decoded(path: str, digest: bool):
                 lengths[mine], starts[mine] = n, done + np.cumsum(n) - n
                 flat.append(ids)
                 done += len(ids)
+            if len(home) and not lengths.all():
+                raise ValueError(CHANGED)
             flat = np.concatenate(flat) if flat else np.zeros(0, np.uint32)
             index = from_planes(row["data"])
             ends = np.cumsum(np.concatenate([[0], np.frombuffer(row["counts"], "<u4")]), dtype=np.int64)

@@ -104,6 +104,21 @@ def batches(it, rows: int):
             yield b.slice(at, rows)
 
 
+def by_bytes(it, most: int, column: int = 1):
+    """Arrow batches with at most so many bytes in one column, unless a single row has more."""
+    for b in it:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(b.column(column)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        at = 0
+        while at < b.num_rows:
+            end = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + most, "right")))
+            yield b.slice(at, end - at)
+            at = end
+
+
+#: What a task says when a block's rows have changed under it.
+CHANGED = "the input gave other rows when it was read again: write it to a table first"
+
+
 def pack_arrays(*arrays: np.ndarray) -> bytes:
     """Arrays of numbers in one compressed value, byte by byte so that equal leading bytes lie together."""
     parts = [np.array([len(arrays)], "<u4").tobytes()]

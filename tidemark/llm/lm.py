@@ -18,17 +18,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import StorageLevel, TaskContext
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import NO_ID, cuts, from_planes, number, pack, planes, unpack
-from .common import id_text, shuffle_partitions, split_words, values
+from .blocks import NO_ID, block_number, cuts, from_planes, number, pack, planes, unpack
+from .common import CHANGED, by_bytes, id_text, shuffle_partitions, split_words, values
 
 #: Frequent words at most, and their count in the texts to learn from at least.
 HEAD, OFTEN = 6000, 5
 EXACT, CLASSES, DIM = 16, 96, 24
-EPOCHS = 2
+EPOCHS, BATCH_BYTES = 2, 12 << 20
 #: Groups of outputs in which the blocks' states are averaged.
 PIECES = 64
 
@@ -131,12 +131,11 @@ def _blocks(docs: DataFrame, parts: int) -> DataFrame:
     """Distinct words of a block by part with their counts in the texts to learn from; with part null, the block's documents."""
 
     def build(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block = TaskContext.get().partitionId() << 32
-        for batch in it:
+        ordinal = 0
+        for batch in by_bytes(it, BATCH_BYTES):
             vocabulary, index_all, offsets = split_words(batch.column(1))
             vocabulary = vocabulary.cast(pa.binary())
             for at, end in cuts(offsets, batch.num_rows):
-                block += 1
                 counts = np.diff(offsets[at : end + 1])
                 used, index = np.unique(index_all[offsets[at] : offsets[end]], return_inverse=True)
                 words = vocabulary.take(pa.array(used)).to_pylist()
@@ -146,14 +145,15 @@ def _blocks(docs: DataFrame, parts: int) -> DataFrame:
                 learned[rank] = np.bincount(index[np.repeat(learn, counts)], minlength=len(words))
                 at_rank = [words[i] for i in np.argsort(rank)]
                 rows = [(p, pack([at_rank[i] for i in own]), planes(learned[own])) for p, own in by_part]
-                ids = batch.column(0).slice(at, end - at).fill_null(NO_ID).to_numpy(zero_copy_only=False)
+                ids, data = batch.column(0).slice(at, end - at).fill_null(NO_ID).to_numpy(zero_copy_only=False).astype("<i8").tobytes(), planes(rank[index])
+                block, ordinal = block_number(ordinal, ids, data, *(d for _, d, _ in rows)), ordinal + 1
                 none = [None] * len(rows)
                 yield pa.RecordBatch.from_pydict(
                     {
                         "block": [block] * (len(rows) + 1),
                         "part": [None, *(p for p, _, _ in rows)],
-                        "data": [planes(rank[index]), *(d for _, d, _ in rows)],
-                        "ids": [ids.astype("<i8").tobytes(), *none],
+                        "data": [data, *(d for _, d, _ in rows)],
+                        "ids": [ids, *none],
                         "counts": [counts.astype("<u4").tobytes(), *(c for _, _, c in rows)],
                         "home": [planes(home), *none],
                         "learn": [learn.astype(np.uint8).tobytes(), *none],
@@ -208,15 +208,19 @@ def _code(head, size: int):
     """Each block's documents with the output and the count of every word; head has the numbers of each part's most frequent words."""
 
     def code(left: pa.Table, right: pa.Table) -> pa.Table:
+        if right.num_rows and not left.num_rows:
+            raise ValueError(CHANGED)
         columns = [[] for _ in range(7)]
         for at in range(left.num_rows):
             row = {c: left.column(c)[at].as_py() for c in ("block", "data", "ids", "counts", "learn", "home")}
             home = from_planes(row["home"])
-            count, number = np.zeros(len(home), np.int64), np.full(len(home), -1, np.int64)
+            count, number = np.full(len(home), -1, np.int64), np.full(len(home), -1, np.int64)
             for part, c, n in zip(*values(right, "part", "counts", "local"), strict=True):
                 mine, n = home == part, from_planes(n).astype(np.int64)
                 of = np.concatenate([[-1], head.value.get(part, np.zeros(0, np.int64))])
                 count[mine], number[mine] = from_planes(c), np.where(n < len(of), of[np.minimum(n, len(of) - 1)], -1)
+            if (count < 0).any():
+                raise ValueError(CHANGED)
             codes = np.where(number >= 0, number + 1, size + 1 + class_of(count))
             for column, x in zip(columns, (row["block"], row["data"], row["ids"], row["counts"], row["learn"], planes(codes), planes(count)), strict=True):
                 column.append(x)
@@ -247,7 +251,7 @@ def _train(shared, head: int, number: int):
             if not len(stream):
                 continue
             state = begun.copy()
-            epoch(state, np.concatenate([[0], stream[:-1]]), stream, prior, np.random.default_rng([number, row["block"]]))
+            epoch(state, np.concatenate([[0], stream[:-1]]), stream, prior, np.random.default_rng([number, row["block"] % 2**63]))
             times = np.bincount(stream, minlength=len(state))
             used = np.flatnonzero(times)
             pieces = [(k, mine) for k in range(PIECES) if len(mine := used[used % PIECES == k])]

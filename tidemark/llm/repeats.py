@@ -2,7 +2,7 @@
 
 A suffix array over all bytes would move every suffix. Two observations make it sparse and exact. First, each string of
 `length` bytes has an anchor, the smallest hash of its k-byte parts, at the same place in every occurrence; strings
-in a row with one anchor form a record, and a record has one digest for all its bytes. Records with equal digests are
+in a row with one anchor form a record, and a record has one digest (128 bits) for all its bytes. Records with equal digests are
 repeats of the earliest one. Second, only records whose anchor has other digests too can hold further repeats. Their
 bytes are sorted as suffixes, longest common prefixes are scanned with a stack, and intervals of at least `length` bytes
 whose left neighbours differ are the maximal repeats, with all their occurrences. Everything but the first occurrence goes.
@@ -18,15 +18,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import StorageLevel, TaskContext
+import xxhash
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_binary, id_text, mix64, pack_arrays, shuffle_partitions, unpack_arrays, values
+from .blocks import block_number
+from .common import CHANGED, as_binary, by_bytes, id_text, mix64, pack_arrays, shuffle_partitions, unpack_arrays, values
 
 LENGTH, PART = 100, 40
 BLOCK_BYTES, FLAT = 8_000_000, 1 << 20
-HOT, SORT_AT_ONCE = 20_000, 100_000
+HOT, SORT_BYTES = 20_000, 8 << 20
 NO_ID = -(2**63)
 _INDEX = np.uint64((1 << 21) - 1)
 _BASE = 0x9E3779B97F4A7C15
@@ -81,11 +83,11 @@ def _sliding_min(x: np.ndarray, w: int) -> np.ndarray:
 
 
 def records(flat: np.ndarray, ends: np.ndarray, length: int, part: int) -> dict[str, np.ndarray]:
-    """Records of texts put in a row: first and last string (start), anchor, hash of the anchor, digest of the bytes.
+    """Records of texts put in a row: first and last string (start), anchor, hash of the anchor, digest of the bytes in two halves.
 
     ends are the texts' ends; flat has at most 2^21 bytes.
     """
-    empty = {k: np.zeros(0, t) for k, t in (("first", int), ("last", int), ("anchor", int), ("fp", np.uint64), ("digest", np.uint64))}
+    empty = {k: np.zeros(0, t) for k, t in (("first", int), ("last", int), ("anchor", int), ("fp", np.uint64), ("digest", np.uint64), ("check", np.uint64))}
     n = len(flat) - length + 1
     if n < 1:
         return empty
@@ -108,9 +110,10 @@ def records(flat: np.ndarray, ends: np.ndarray, length: int, part: int) -> dict[
     own = anchor[at]
     new = np.concatenate([[True], (own[1:] != own[:-1]) | (at[1:] != at[:-1] + 1)])
     first, last, own = at[new], at[np.append(new[1:], True)], own[new]
-    shape = ((own - first) * 256 + (last - first)).astype(np.uint64)
-    digest = mix64(span_hashes(prefix, first, last + length) + mix64(shape + np.uint64(1)))
-    return {"first": first, "last": last, "anchor": own, "fp": mix64(h[own]), "digest": digest}
+    data = flat.tobytes()
+    pair = np.frombuffer(b"".join([xxhash.xxh3_128_digest(data[a:b]) for a, b in zip(first.tolist(), (last + length).tolist(), strict=True)]), np.uint64).reshape(-1, 2)
+    digest, check = np.ascontiguousarray(pair.T)
+    return {"first": first, "last": last, "anchor": own, "fp": mix64(h[own]), "digest": digest, "check": check}
 
 
 def _pieces(texts: list[bytes], length: int):
@@ -129,8 +132,8 @@ def _pieces(texts: list[bytes], length: int):
 
 
 def block_records(texts: list[bytes], length: int, part: int) -> dict[str, np.ndarray]:
-    """Records of all texts: number of the text, first and last string in it, anchor, hash and digest."""
-    out: dict[str, list[np.ndarray]] = {k: [] for k in ("text", "first", "last", "anchor", "fp", "digest")}
+    """Records of all texts: number of the text, first and last string in it, anchor, hash and digest in two halves."""
+    out: dict[str, list[np.ndarray]] = {k: [] for k in ("text", "first", "last", "anchor", "fp", "digest", "check")}
     for held in _pieces(texts, length):
         ends = np.cumsum([len(p) for _, _, p in held])
         r = records(np.frombuffer(b"".join(p for _, _, p in held), np.uint8), ends, length, part)
@@ -139,8 +142,8 @@ def block_records(texts: list[bytes], length: int, part: int) -> dict[str, np.nd
         for k in ("first", "last", "anchor"):
             out[k].append(r[k] + shift)
         out["text"].append(np.array([i for i, _, _ in held])[which])
-        out["fp"].append(r["fp"])
-        out["digest"].append(r["digest"])
+        for k in ("fp", "digest", "check"):
+            out[k].append(r[k])
     return {k: np.concatenate(v) if v else np.zeros(0, np.int64) for k, v in out.items()}
 
 
@@ -170,8 +173,10 @@ def maximal_repeats(lcp: np.ndarray, left: np.ndarray, least: int) -> list[tuple
 def _sorted_suffixes(text: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The order of the suffixes text[start : start+size], and the longest common prefix of each with the one before."""
     wide = -(-int(size.max()) // 8) * 8
-    at = np.minimum(start[:, None] + np.arange(wide), len(text) - 1)
-    rows = np.where(np.arange(wide) < size[:, None], text[at], 0).astype(np.uint8)
+    if int(start.max()) + wide > len(text):
+        text = np.concatenate([text, np.zeros(wide, np.uint8)])
+    rows = np.lib.stride_tricks.sliding_window_view(text, wide)[start]
+    rows[np.arange(wide) >= size[:, None]] = 0
     words = rows.view(">u8").astype(np.uint64)
     order = np.lexsort(words.T[::-1])
     rows, size = rows[order], size[order]
@@ -194,23 +199,39 @@ def find_repeats(text: np.ndarray, ends: np.ndarray, rank: np.ndarray, base: np.
     same = hashes[order][1:] == hashes[order][:-1]
     partner = np.concatenate([same, [False]]) | np.concatenate([[False], same]) if len(order) else np.zeros(0, bool)
     order = order[partner]  # strings without a partner are no repeats
-    cuts, out = [0], []
-    new = np.flatnonzero(np.concatenate([[True], hashes[order][1:] != hashes[order][:-1]])) if len(order) else np.zeros(0, int)
-    while cuts[-1] < len(order):
-        nxt = new[np.searchsorted(new, cuts[-1] + SORT_AT_ONCE)] if cuts[-1] + SORT_AT_ONCE <= (new[-1] if len(new) else 0) else len(order)
-        cuts.append(int(nxt))
-    for a, b in zip(cuts, cuts[1:], strict=False):
-        own = order[a:b]
+    if not len(order):
+        return tuple(np.zeros(0, np.int64) for _ in range(3))
+    wide = -(-int((ends[context[order]] - at[order]).max()) // 8) * 8
+    text, most, out = np.concatenate([text, np.zeros(wide, np.uint8)]), max(2, SORT_BYTES // wide), []
+    edges = np.append(np.flatnonzero(np.concatenate([[True], hashes[order][1:] != hashes[order][:-1]])), len(order))
+    split = int(np.diff(edges).max()) > most  # a group's parts cannot tell what is on the left of all
+
+    def search(own: np.ndarray) -> np.ndarray:
+        """Puts out the repeats among these strings; gives those that repeat none."""
         start, of = at[own], context[own]
         sa, lcp = _sorted_suffixes(text, start, ends[of] - start)
-        start, of = start[sa], of[sa]
-        left = np.where(start > starts[of], text[np.maximum(start - 1, 0)].astype(np.int64), -1)
+        start, of, least_ones = start[sa], of[sa], np.ones(len(own), bool)
+        left = np.where((start > starts[of]) & (not split), text[np.maximum(start - 1, 0)].astype(np.int64), -1)
         place = base[of] + start - starts[of]
         for first, last, size in maximal_repeats(lcp, left, length):
             group = slice(first, last + 1)
-            least = np.lexsort((place[group], rank[of[group]]))[0]
-            keep = np.arange(last - first + 1) != least
+            keep = np.arange(last - first + 1) != np.lexsort((place[group], rank[of[group]]))[0]
             out.append((of[group][keep], place[group][keep], place[group][keep] + size))
+            least_ones[sa[group][keep]] = False
+        return own[least_ones]
+
+    k = 0
+    while k < len(edges) - 1:
+        end = max(k + 1, int(np.searchsorted(edges, edges[k] + most, "right")) - 1)
+        own, k = order[edges[k] : edges[end]], end
+        if len(own) <= most:
+            search(own)
+            continue
+        own = own[np.lexsort((base[context[own]] + at[own] - starts[context[own]], rank[context[own]]))]
+        held, done = own[:0], 0  # the earliest of each string so far meet every further part
+        while done < len(own):
+            more = max(most - len(held), most // 2)
+            held, done = search(np.concatenate([held, own[done : done + more]])), done + more
     return tuple(np.concatenate([x[i] for x in out]) if out else np.zeros(0, np.int64) for i in range(3))
 
 
@@ -246,24 +267,26 @@ def _by(key: np.ndarray):
     return zip(keys.tolist(), np.split(order, first[1:]), strict=True) if len(keys) else ()
 
 
+def _first_of(digest: np.ndarray, check: np.ndarray) -> np.ndarray:
+    """Of sorted digests, which are the first of their kind."""
+    return np.concatenate([[True], (digest[1:] != digest[:-1]) | (check[1:] != check[:-1])]) if len(digest) else np.zeros(0, bool)
+
+
 def _scan(buckets: int, length: int, part: int):
     def scan(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block = TaskContext.get().partitionId() << 32
-        for b in it:
-            ids, texts, at = b.column(0).fill_null(NO_ID).to_numpy(zero_copy_only=False).astype(np.int64), as_binary(b.column(1)), 0
-            sizes = np.cumsum([0, *map(len, texts)])
-            while at < len(texts):
-                end = max(at + 1, int(np.searchsorted(sizes, sizes[at] + BLOCK_BYTES, "right")) - 1)
-                own, own_ids, at = texts[at:end], ids[at:end], end
-                block += 1
+        ordinal = 0
+        for b in by_bytes(it, BLOCK_BYTES):
+            if b.num_rows:
+                own_ids, own = b.column(0).fill_null(NO_ID).to_numpy(zero_copy_only=False).astype(np.int64), as_binary(b.column(1))
+                flat = b"".join(own)
+                block, ordinal = block_number(ordinal, own_ids.tobytes(), flat), ordinal + 1
                 r = block_records(own, length, part)
                 rank = np.empty(len(own), np.int64)
                 rank[np.argsort(own_ids, kind="stable")] = np.arange(len(own))
-                order = np.lexsort((r["first"], rank[r["text"]], r["digest"]))
-                digest = r["digest"][order]
-                earliest = np.concatenate([[True], digest[1:] != digest[:-1]]) if len(order) else np.zeros(0, bool)
+                order = np.lexsort((r["first"], rank[r["text"]], r["check"], r["digest"]))
+                earliest = _first_of(r["digest"][order], r["check"][order])
                 again = order[~earliest]
-                rows = [_row(block, _DOCS, 0, own_ids, np.array([len(t) for t in own], np.uint32), np.frombuffer(b"".join(own), np.uint8))]
+                rows = [_row(block, _DOCS, 0, own_ids, np.array([len(t) for t in own], np.uint32), np.frombuffer(flat, np.uint8))]
                 if len(again):
                     rows.append(_row(block, _SPANS, 0, *merged(r["text"][again], r["first"][again], r["last"][again] + length)))
                 sent = np.sort(order[earliest])
@@ -271,7 +294,7 @@ def _scan(buckets: int, length: int, part: int):
                 for bucket, n in _by(home):
                     n = sent[n]
                     rows.append(
-                        _row(block, _RECORDS, bucket, r["digest"][n], r["fp"][n].astype(np.uint32), own_ids[r["text"][n]], r["text"][n].astype(np.uint32), r["first"][n].astype(np.uint32), (r["anchor"][n] - r["first"][n]).astype(np.uint8), (r["last"][n] - r["first"][n]).astype(np.uint8))
+                        _row(block, _RECORDS, bucket, r["digest"][n], r["check"][n], r["fp"][n].astype(np.uint32), own_ids[r["text"][n]], r["text"][n].astype(np.uint32), r["first"][n].astype(np.uint32), (r["anchor"][n] - r["first"][n]).astype(np.uint8), (r["last"][n] - r["first"][n]).astype(np.uint8))
                     )
                 yield _batch(rows)
 
@@ -287,9 +310,9 @@ def _compare(length: int):
                 parts.append(unpack_arrays(data))
                 blocks.append(np.full(len(parts[-1][0]), block))
         block = np.concatenate(blocks)
-        digest, fp, ids, text, first, anchor, more = (np.concatenate(x) for x in zip(*parts, strict=True))
-        order = np.lexsort((text, block, first, ids, digest))
-        earliest = np.concatenate([[True], digest[order][1:] != digest[order][:-1]])
+        digest, check, fp, ids, text, first, anchor, more = (np.concatenate(x) for x in zip(*parts, strict=True))
+        order = np.lexsort((text, block, first, ids, check, digest))
+        earliest = _first_of(digest[order], check[order])
         again, one = order[~earliest], order[earliest]
         _, inverse, count = np.unique(fp[one], return_inverse=True, return_counts=True)
         asked = one[count[inverse] > 1]
@@ -309,6 +332,8 @@ def _compare(length: int):
 def _fetch(buckets: int, length: int):
     def fetch(left: pa.Table, right: pa.Table) -> pa.Table:
         """The bytes of the records that a block is asked for; strings of hot anchors one by one."""
+        if right.num_rows and not left.num_rows:
+            raise ValueError(CHANGED)
         rows = []
         for block, data in zip(*values(left, "block", "data"), strict=True):
             ids, sizes, flat = unpack_arrays(data)
@@ -367,6 +392,8 @@ def _finish(digest: bool):
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"] if digest else ["doc_id", "n_bytes", "spans", "kept"]
 
     def finish(left: pa.Table, right: pa.Table) -> pa.Table:
+        if right.num_rows and not left.num_rows:
+            raise ValueError(CHANGED)
         columns: list[list] = [[] for _ in names]
         for data in values(left, "data")[0]:
             ids, sizes, flat = unpack_arrays(data)
@@ -393,7 +420,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, part: int = PART, id_c
 
     A byte goes if a string of `length` bytes that covers it also starts earlier: in a row with a smaller id, or before in the
     same text. Strings never cross texts and are judged on the input. A null text counts as empty. Null ids come before all
-    others; rows that repeat an id come in the order of the scan. Other columns are ignored. Equality rests on 64-bit
+    others; rows that repeat an id come in the order of their blocks. Other columns are ignored. Equality rests on 128-bit
     digests where records agree as a whole, and on the bytes elsewhere.
     """
     if not part < length <= part + 256:

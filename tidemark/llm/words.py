@@ -1,9 +1,8 @@
 """Words that a public tokenizer encodes one by one.
 
 A byte-level tokenizer cuts a text by a pattern before its merges, so a text's ids are the ids of its words put in a row.
-Spark applies the pattern. Texts with characters on which the two pattern engines
-or normalisers might differ (special tokens, control characters, letters beyond Latin Extended) stay whole: the library
-itself then splits them, as one long word. A tokenizer that drops white space needs no pattern: it encodes what
+Spark applies the pattern. Texts with special tokens or with code points that Java's Unicode tables do not know stay
+whole: the library itself then splits them, as one long word. A tokenizer that drops white space needs no pattern: it encodes what
 lies between ASCII white space apart.
 """
 
@@ -23,7 +22,8 @@ from pyspark.sql import functions as F
 #: The split patterns of the tokenizer files.
 BYTE_PATTERN = r"(?U)'(?:[stmd]|re|ve|ll)| ?+(?:\p{L}++|\p{N}++|[^\s\p{L}\p{N}]++)|\s+(?!\S)|\s+"
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|\pL+|\pN|[^\s\pL\pN]+"
-UNSAFE = r"<\|(?:start|end)oftext\|>|[^\t\n\u000B\f\r -~¡-įı-ſ‐-‧]"
+#: Special tokens, and code points that Java's older Unicode tables do not know as letters or numbers.
+UNSAFE = r"<\|(?:start|end)oftext\|>|\p{Cn}"
 AT_ONCE, MOST_KEPT = 16_384, 250_000
 
 

@@ -117,6 +117,14 @@ def test_token_files(spark, docs, rows, empty, odd, tmp_path):
         start += len(ids)
     some = by_id(token_files.read_keys(spark, str(tmp_path / "a"), spark.createDataFrame([(3,), (40,), (999,), (3,)], "doc_id long")))
     assert sorted(some) == [3, 40] and some[40].ids == got[40].ids
+    for most in (0, 1000):
+        asked = spark.createDataFrame([(i,) for i in (*range(-5, 5000, 5), None)], "doc_id long")
+        found = token_files.read_keys(spark, str(tmp_path / "a"), asked, broadcast_shards=most)
+        assert {r.doc_id: r.ids for r in found.collect()} == {i: r.ids for i, r in got.items() if i % 5 == 0}
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "NestedLoop" not in plan and ("BroadcastHashJoin" in plan or not most)
+    token_files.write_shards(odd, str(tmp_path / "b"), spans=2)
+    assert token_files.read_keys(spark, str(tmp_path / "b"), asked.union(spark.createDataFrame([(1,)], "doc_id long"))).where("doc_id = 1").count() == odd.where("doc_id = 1").count() > 1
     assert token_files.token_files(empty).count() == 0
     assert sorted((r.start, r.n_tokens) for r in token_files.token_files(odd).collect())[-1][0] > 0 and token_files.token_files(odd).count() == 5
 

@@ -13,14 +13,16 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .blocks import cuts
-from .common import id_text, mix64, shared_dir, shuffle_partitions, split_words, values
+from .common import by_bytes, id_text, mix64, shared_dir, shuffle_partitions, split_words, values, written
 from .words import public_file, remembered, spread
 
-SHARD_TOKENS, BATCH_WORDS = 500_000, 250_000
+SHARD_TOKENS, BATCH_WORDS, BATCH_BYTES = 500_000, 250_000, 4 << 20
+#: Shards to read by key whose numbers are broadcast at most; beyond, shards and keys are joined by a shuffle.
+BROADCAST_SHARDS = 100_000
 NO_ID = -(2**63)
 GAMMA, LEVELS = 2.0, 24
 
@@ -113,9 +115,10 @@ def lookup(hash_data: bytes, slot_data: bytes, keys: np.ndarray) -> tuple[np.nda
 _SHARD = "span int, shard int, first long, last long, start long, n_tokens long, width int, doc_ids binary, hash binary, slots binary, payload binary"
 
 
-def _encoded(docs: DataFrame, path: str, end_id: int) -> DataFrame:
+def _encoded(docs: DataFrame, path: str, end_id: int, cut_points: list[int]) -> DataFrame:
     def encode(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in it:
+        for batch in by_bytes(it, BATCH_BYTES):
+            span = np.searchsorted(cut_points, batch.column(0).fill_null(NO_ID).to_numpy(zero_copy_only=False)).astype(np.int32)
             words, index, offsets = split_words(batch.column(1), lower=False)
             lower = pc.if_else(pc.match_substring(words, "<|"), words, pc.ascii_lower(words)).dictionary_encode()  # special tokens stay
             index = lower.indices.to_numpy(zero_copy_only=False)[index]
@@ -129,9 +132,9 @@ def _encoded(docs: DataFrame, path: str, end_id: int) -> DataFrame:
                 close = np.array([end_id], wide).tobytes()
                 raw = [data[a * size : b * size] + close for a, b in zip(cut.tolist(), cut[1:].tolist(), strict=False)]
                 piece = batch.slice(at, end - at)
-                yield pa.RecordBatch.from_arrays([piece.column(0), piece.column(2), pa.array([size] * piece.num_rows, pa.int32()), pa.array(raw, pa.binary())], ["doc_id", "span", "width", "ids"])
+                yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(span[at:end]), pa.array([size] * piece.num_rows, pa.int32()), pa.array(raw, pa.binary())], ["doc_id", "span", "width", "ids"])
 
-    return docs.select("doc_id", "text", "span").mapInArrow(encode, "doc_id long, span int, width int, ids binary")
+    return docs.select("doc_id", "text").mapInArrow(encode, "doc_id long, span int, width int, ids binary")
 
 
 def _shards(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,9 +174,8 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str | None = None, end_i
     """
     spans = spans or shuffle_partitions(docs.sparkSession)
     thin = id_text(docs, id_col, text_col)
-    cuts = thin.agg(F.percentile_approx("doc_id", [i / spans for i in range(1, spans)] or [0.5], 10000)).first()[0] or []
-    span: Column = F.array_size(F.filter(F.array(*map(F.lit, sorted(set(cuts)))), lambda c: c < F.col("doc_id"))) if cuts else F.lit(0)
-    encoded = _encoded(thin.withColumn("span", F.coalesce(span, F.lit(0)).cast("int")), tokenizer or public_file("word_bpe_49k.json"), end_id)
+    cut_points = thin.agg(F.percentile_approx("doc_id", [i / spans for i in range(1, spans)] or [0.5], 10000)).first()[0] or []
+    encoded = _encoded(thin, tokenizer or public_file("word_bpe_49k.json"), end_id, sorted(set(cut_points)) if spans > 1 else [])
     placed = encoded.repartition(spans, "span").sortWithinPartitions("span", F.col("doc_id").asc_nulls_first())
     placed.mapInArrow(_shards, _SHARD).write.option("parquet.block.size", 16 << 20).parquet(path)
 
@@ -206,25 +208,53 @@ def read_documents(spark: SparkSession, path: str, digest: bool = False) -> Data
     return docs.join(F.broadcast(bases), "span").select("doc_id", (F.col("start") + F.col("base")).alias("start"), "n_tokens", F.col("last").alias(last))
 
 
-def read_keys(spark: SparkSession, path: str, keys: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The ids of the documents that keys asks for: doc_id, ids. Keys that no shard holds give no row."""
+def read_keys(spark: SparkSession, path: str, keys: DataFrame, id_col: str = "doc_id", broadcast_shards: int = BROADCAST_SHARDS) -> DataFrame:
+    """The ids of the documents that keys asks for: doc_id, ids. Keys that no shard holds give no row, and neither do null keys
+    or repeats of a key; of rows that repeat an id, all are found.
+
+    Keys find their span and shard by the shards' first and last ids. Only the shards that hold one are opened, where they are scanned;
+    if they are more than broadcast_shards, they are joined by a shuffle instead. In a shard the index leads to the ids.
+    """
     shards = spark.read.schema(_SHARD).parquet(path)
-    asked = keys.select(F.col(id_col).cast("long").alias("doc_id")).distinct()
-    spans = spark.read.schema(_SHARD).parquet(path).select("span", "shard", "first", "last")
-    placed = asked.join(spans, F.col("doc_id").between(F.col("first"), F.col("last")))
-
-    def fetch(left: pa.Table, right: pa.Table) -> pa.Table:
-        ids_out, parts = [], []
-        for row in right.to_pylist():
-            doc_ids = np.sort(np.array(values(left, "doc_id")[0], np.int64))
-            found, offset, length = lookup(row["hash"], row["slots"], keys_of(doc_ids))
-            ids = np.frombuffer(row["payload"], f"<u{row['width']}")
-            for d, a, n in zip(doc_ids[found].tolist(), offset[found], length[found], strict=True):
-                ids_out.append(d)
-                parts.append(ids[a : a + n].tolist())
-        return pa.Table.from_arrays([pa.array(ids_out, pa.int64()), pa.array(parts, pa.list_(pa.int64()))], ["doc_id", "ids"])
-
-    return placed.groupBy("span", "shard").cogroup(shards.groupBy("span", "shard")).applyInArrow(fetch, "doc_id long, ids array<long>")
+    known = shards.select("span", "shard", "first", "last")
+    spans = known.groupBy("span").agg(F.min("first").alias("first")).orderBy("span").collect()  # a row for each span
+    starts, numbers = np.array([r["first"] for r in spans], np.int64), np.array([r["span"] for r in spans], np.int32)
+
+    def place(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in it:
+            ids = b.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
+            at = np.searchsorted(starts, ids, "right") - 1
+            yield pa.RecordBatch.from_arrays([pa.array(numbers[at[at >= 0]]), pa.array(ids[at >= 0])], ["span", "doc_id"])
+
+    def in_span(left: pa.Table, right: pa.Table) -> pa.Table:
+        ids, first, last, shard = (np.array(x, np.int64) for x in (*values(left, "doc_id"), *values(right, "first", "last", "shard")))
+        order, ids = np.argsort(first), np.sort(ids)
+        at = np.searchsorted(first[order], ids, "right") - 1
+        inside = (at >= 0) & (ids <= last[order][np.maximum(at, 0)]) if len(order) else np.zeros(len(ids), bool)
+        chosen, cut = np.unique(order[at[inside]], return_index=True)
+        wanted = np.split(ids[inside], np.sort(cut)[1:]) if len(chosen) else []
+        chosen = order[at[inside]][np.sort(cut)] if len(chosen) else chosen
+        return pa.Table.from_arrays([pa.array([right.column("span")[0].as_py()] * len(chosen), pa.int32()), pa.array(shard[chosen], pa.int32()), pa.array([x.tolist() for x in wanted], pa.list_(pa.int64()))], ["span", "shard", "wanted"])
+
+    def fetch(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in it:
+            for at in range(b.num_rows):
+                (row,) = b.slice(at, 1).to_pylist()  # one shard at a time
+                own, wanted = np.frombuffer(row["doc_ids"], "<i8"), np.array(row["wanted"], np.int64)
+                times = np.searchsorted(own, wanted, "right") - np.searchsorted(own, wanted)  # no other document has a key by chance
+                asked = np.repeat(wanted, times)
+                found, offset, length = lookup(row["hash"], row["slots"], keys_of(asked))
+                if not found.all():
+                    raise ValueError(f"span {row['span']}, shard {row['shard']}: the index does not know all documents")
+                ids = np.frombuffer(row["payload"], f"<u{row['width']}")
+                yield pa.RecordBatch.from_arrays([pa.array(asked), pa.array([ids[a : a + n].tolist() for a, n in zip(offset, length, strict=True)], pa.list_(pa.int64()))], ["doc_id", "ids"])
+
+    asked = keys.select(F.col(id_col).cast("long").alias("doc_id")).where("doc_id IS NOT NULL").distinct().mapInArrow(place, "span int, doc_id long")
+    wanted = written(asked.groupBy("span").cogroup(known.groupBy("span")).applyInArrow(in_span, "span int, shard int, wanted array<long>"), "wanted-shards")
+    size = wanted.agg(F.count(F.lit(1)).alias("shards"), F.sum(F.size("wanted")).alias("keys")).first()
+    few = size["shards"] <= broadcast_shards and (size["keys"] or 0) <= 10 * broadcast_shards
+    chosen = shards.select("span", "shard", "width", "doc_ids", "hash", "slots", "payload").join(F.broadcast(wanted) if few else wanted, ["span", "shard"])
+    return chosen.mapInArrow(fetch, "doc_id long, ids array<long>")
 
 
 def token_files(docs: DataFrame) -> DataFrame:

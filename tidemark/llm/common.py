@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -35,19 +36,27 @@ def shared_dir(spark: SparkSession) -> str:
 _BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
-def written(df: DataFrame, name: str, batch_bytes: int | None = None) -> DataFrame:
+@contextmanager
+def batch_bytes(spark: SparkSession, most: int | None):
+    """Within it, what is run passes Arrow batches of at most so many bytes to Python."""
+    usual = spark.conf.get(_BATCH_BYTES)
+    try:
+        if most:
+            spark.conf.set(_BATCH_BYTES, str(most))
+        yield
+    finally:
+        spark.conf.set(_BATCH_BYTES, usual)
+
+
+def written(df: DataFrame, name: str, most: int | None = None) -> DataFrame:
     """df, written once to the shared folder and read back: a cut in the lineage that outlives any executor.
 
-    batch_bytes bounds the Arrow batches of this write alone, for rows with large values.
+    most bounds the bytes of the Arrow batches of this write alone, for rows with large values.
     """
     spark = df.sparkSession
-    path, usual = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}", spark.conf.get(_BATCH_BYTES)
-    try:
-        if batch_bytes:
-            spark.conf.set(_BATCH_BYTES, str(batch_bytes))
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    with batch_bytes(spark, most):
         df.write.option("compression", "zstd").parquet(path)
-    finally:
-        spark.conf.set(_BATCH_BYTES, usual)
     return spark.read.schema(df.schema).parquet(path)
 
 

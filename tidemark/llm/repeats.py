@@ -24,10 +24,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import block_number
-from .common import CHANGED, as_binary, by_bytes, id_text, mix64, pack_arrays, shuffle_partitions, unpack_arrays, values
+from .common import CHANGED, as_binary, batch_bytes, by_bytes, id_text, mix64, pack_arrays, shuffle_partitions, unpack_arrays, values
 
 LENGTH, PART = 100, 40
-BLOCK_BYTES, FLAT = 8_000_000, 1 << 20
+BLOCK_BYTES, FLAT = 8_000_000, 1 << 19
 HOT, SORT_BYTES = 20_000, 8 << 20
 NO_ID = -(2**63)
 _INDEX = np.uint64((1 << 21) - 1)
@@ -427,7 +427,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, part: int = PART, id_c
         raise ValueError("the parts must be shorter than the strings, by 256 bytes at most")
     buckets = 4 * shuffle_partitions(docs.sparkSession)
     scanned = id_text(docs, id_col, text_col).mapInArrow(_scan(buckets, length, part), _STAGE).persist(StorageLevel.MEMORY_AND_DISK)
-    scanned.count()  # several branches read it: the scan runs once
+    with batch_bytes(docs.sparkSession, BLOCK_BYTES):
+        scanned.count()  # several branches read it: the scan runs once
     whole = scanned.where(F.col("kind") == _DOCS).select("block", "data")
     compared = scanned.where(F.col("kind") == _RECORDS).select("bucket", "block", "data").groupBy("bucket").applyInArrow(_compare(length), _STAGE).persist(StorageLevel.MEMORY_AND_DISK)
     compared.count()

@@ -17,10 +17,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .blocks import cuts
-from .common import by_bytes, id_text, mix64, shared_dir, shuffle_partitions, split_words, values, written
+from .common import batch_bytes, by_bytes, id_text, mix64, shared_dir, shuffle_partitions, split_words, values, written
 from .words import public_file, remembered, spread
 
-SHARD_TOKENS, BATCH_WORDS, BATCH_BYTES = 500_000, 250_000, 4 << 20
+SHARD_TOKENS, BATCH_WORDS, BATCH_BYTES = 200_000, 250_000, 4 << 20
 #: Shards to read by key whose numbers are broadcast at most; beyond, shards and keys are joined by a shuffle.
 BROADCAST_SHARDS = 100_000
 NO_ID = -(2**63)
@@ -177,7 +177,8 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str | None = None, end_i
     cut_points = thin.agg(F.percentile_approx("doc_id", [i / spans for i in range(1, spans)] or [0.5], 10000)).first()[0] or []
     encoded = _encoded(thin, tokenizer or public_file("word_bpe_49k.json"), end_id, sorted(set(cut_points)) if spans > 1 else [])
     placed = encoded.repartition(spans, "span").sortWithinPartitions("span", F.col("doc_id").asc_nulls_first())
-    placed.mapInArrow(_shards, _SHARD).write.option("parquet.block.size", 16 << 20).parquet(path)
+    with batch_bytes(docs.sparkSession, BATCH_BYTES):
+        placed.mapInArrow(_shards, _SHARD).write.option("parquet.block.size", 16 << 20).parquet(path)
 
 
 def read_documents(spark: SparkSession, path: str, digest: bool = False) -> DataFrame:

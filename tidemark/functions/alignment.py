@@ -50,6 +50,15 @@ def last_base(start: Column, end: Column, strand: Column) -> Column:
     return F.when(strand == "+", F.struct(start.alias("start"), (start + 1).alias("end"))).otherwise(F.struct((end - 1).alias("start"), end.alias("end")))
 
 
+def end_of_pair(assay: str) -> Column:
+    """Of a pair's first mate (start, end, strand, mate_start, mate_end, mate_strand), chrom apart: the one-base interval and strand of
+    the 5' end that lies on the RNA's strand, its own for forward-stranded assays, else its mate's."""
+    whose = "" if assay in FORWARD_STRANDED else "mate_"
+    start, end, strand = (F.col(f"{whose}{c}") for c in ("start", "end", "strand"))
+    at = last_base(start, end, strand)
+    return F.struct(at["start"].alias("start"), at["end"].alias("end"), strand.alias("strand"))
+
+
 def is_standard(chrom: Column) -> Column:
     """Numbered contigs, sex chromosomes and the mitochondrion."""
     return chrom.rlike(r"^(chr)?([0-9]+|[XYM]|MT)$")

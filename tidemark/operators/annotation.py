@@ -49,18 +49,31 @@ def keep_known(gtf: DataFrame, sequences: DataFrame) -> DataFrame:
     return gtf.join(sequences.select(F.col("seqname").alias("chrom")), "chrom", "left_semi").select(*gtf.columns)
 
 
-def drop_contigs(names: DataFrame, skip: tuple[str, ...] = ("chrY", "_random", "chrUn_", "chrEBV", "chrM")) -> DataFrame:
+#: Contigs left out of the start-site caller by default.
+SKIPPED = ("chrY", "_random", "chrUn_", "chrEBV", "chrM")
+
+
+def drop_contigs(names: DataFrame, skip: tuple[str, ...] = SKIPPED) -> DataFrame:
     """Contigs whose whole name is not in the list."""
     return names.where(~F.col("chrom").isin(*skip))
 
 
-def fasta_to_gtf(sequences: DataFrame, source: str = "custom") -> DataFrame:
-    """One exon per sequence, from 1 to its length on plus; the first word of the header is every name of it."""
-    name = F.split("header", r"\s+")[0]
-    attributes = F.format_string('gene_id "%1$s"; transcript_id "%1$s"; exon_number "1"; gene_name "%1$s"; transcript_name "%1$s"; exon_id "%1$s.1";', name)
+#: The source and the keys of the attributes of sequences turned into annotation.
+TRANSGENE, TRANSGENE_KEYS = "transgene", ("gene_id", "gene_name", "transcript_id", "gene_biotype", "gene_type")
+
+
+def fasta_to_gtf(sequences: DataFrame, source: str = TRANSGENE) -> DataFrame:
+    """One exon per sequence, from 1 to its length on plus; the first word of the header is the value of every attribute."""
+    name = F.split(F.ltrim("header"), r"\s+")[0]
+    attributes = F.concat_ws("; ", *[F.concat(F.lit(f'{k} "'), name, F.lit('"')) for k in TRANSGENE_KEYS])
     return sequences.select(name.alias("chrom"), F.lit(source).alias("source"), F.lit("exon").alias("feature"), F.lit(1).cast("long").alias("start"), F.length("seq").cast("long").alias("end"), F.lit(".").alias("score"), F.lit("+").alias("strand"), F.lit(".").alias("frame"), attributes.alias("attributes"))
 
 
+def positions_to_bed(positions: DataFrame) -> DataFrame:
+    """Peak positions (name, chrom, start and end counted from 1, strand, score) as BED6 rows."""
+    return positions.select("chrom", (F.col("start") - 1).alias("start"), "end", "name", "score", "strand")
+
+
 def chrom_sizes(sequences: DataFrame) -> DataFrame:
     """chrom, length: of sequences in one or several lines each."""
     return sequences.groupBy(F.split("header", r"\s+")[0].alias("chrom")).agg(F.sum(F.length("seq")).alias("length"))

@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tidemark.functions import alignment as al
+
 PLACE = ("sample", "chrom", "pos", "strand")
 
 
@@ -18,6 +20,15 @@ def by_position(reads: DataFrame) -> DataFrame:
     return reads.withColumn("pos", F.when(F.col("strand") == "-", F.col("end") - 1).otherwise(F.col("start")))
 
 
+def whole_pairs(reads: DataFrame, unpaired: bool = False, chimeric: bool = False) -> DataFrame:
+    """Reads of a paired library that deduplication looks at: without `unpaired` no read without a mapped mate, without `chimeric` none
+    whose mate lies on another contig. A null mate_chrom counts as no mate."""
+    f = F.col("flag")
+    mated = al.has(f, al.PAIRED) & al.lacks(f, al.MATE_UNMAPPED) & F.col("mate_chrom").isNotNull()
+    split = mated & (F.col("mate_chrom") != F.col("chrom"))
+    return reads.where((F.lit(unpaired) | mated) & (F.lit(chimeric) | ~split))
+
+
 def exact_umis(reads: DataFrame, *order: str, place: tuple[str, ...] = PLACE) -> DataFrame:
     """One read for each place and UMI: the best mapped, then the first by `order`."""
     w = W.partitionBy(*place, "umi").orderBy(F.desc("mapq"), *order)

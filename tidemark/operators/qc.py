@@ -110,6 +110,13 @@ def inner_distance(pairs: DataFrame, low: int = -250, high: int = 250, step: int
     return pairs.where(gap.between(low, high - 1)).groupBy((F.floor((gap - low) / step) * step + low).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
 
 
+def inner_distance_stats(pairs: DataFrame) -> DataFrame:
+    """sample, n, mean, median, sd of the gap between two mates."""
+    gap = F.col("mate_start") - F.col("end")
+    of = pairs.where(gap.isNotNull()).groupBy("sample").agg(F.count(F.lit(1)).alias("n"), F.avg(gap).alias("mean"), F.median(gap).alias("median"), F.stddev_samp(gap).alias("sd"))
+    return of.select("sample", "n", *[F.round(c, 6).alias(c) for c in ("mean", "median", "sd")])
+
+
 def junctions(introns: DataFrame, known: DataFrame) -> DataFrame:
     """Splice junctions by class: chrom, start, end, reads, class (annotated, partial_novel, complete_novel)."""
     seen = introns.groupBy("chrom", "start", "end").agg(F.count(F.lit(1)).alias("reads"))
@@ -142,9 +149,9 @@ def gc_histogram(reads: DataFrame, seq: str = "seq") -> DataFrame:
     return reads.where(F.length(seq) > 0).groupBy(F.round(100 * gc / F.length(seq)).cast("long").alias("gc")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def overrepresented(reads: DataFrame, least_percent: float = 0.1, seq: str = "seq") -> DataFrame:
-    """Sequences (their first 50 characters) that make up at least such a share: seq, n, percent."""
-    counts = reads.groupBy(F.substring(seq, 1, 50).alias("seq")).agg(F.count(F.lit(1)).alias("n"))
+def overrepresented(reads: DataFrame, least_percent: float = 0.1, seq: str = "seq", first: int | None = None) -> DataFrame:
+    """Sequences that make up at least such a share: seq, n, percent. With `first`, they are told apart by so many characters."""
+    counts = reads.groupBy((F.substring(seq, 1, first) if first else F.col(seq)).alias("seq")).agg(F.count(F.lit(1)).alias("n"))
     total = counts.agg(F.sum("n").alias("total"))  # one row
     return counts.crossJoin(F.broadcast(total)).select("seq", "n", F.round(100 * F.col("n") / F.col("total"), 6).alias("percent")).where(F.col("percent") >= least_percent)
 

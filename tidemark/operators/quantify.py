@@ -10,18 +10,21 @@ from tidemark.functions import alignment as al
 from .intervals import merge_intervals, overlap_join
 
 
-def assign(reads: DataFrame, features: DataFrame, strandedness: int = 0, least_mapq: int = 0, both_ends: bool = False) -> DataFrame:
+def assign(reads: DataFrame, features: DataFrame, strandedness: int = 0, least_mapq: int = 0, both_ends: bool = False, chimeric: bool = True) -> DataFrame:
     """id, sample, gene, status of every read.
 
     features: gene, chrom, start, end, strand; several rows of a gene count as one. strandedness: 0 any strand, 1 that of the gene,
     2 the other. Reads over several genes are Unassigned_Ambiguity, over none Unassigned_NoFeatures; unmapped, secondary, low
-    quality reads and, with both_ends, those whose mate is unmapped are not compared.
+    quality reads and, with both_ends, those whose mate is unmapped are not compared, nor without `chimeric` those whose mate lies on
+    another contig (mate_chrom).
     """
     f = F.col("flag")
     early = F.when(al.has(f, al.UNMAPPED), "Unassigned_Unmapped").when(F.col("mapq") < least_mapq, "Unassigned_MappingQuality")
     early = early.when(al.has(f, al.SECONDARY), "Unassigned_Secondary")
     if both_ends:
         early = early.when(al.has(f, al.PAIRED) & al.has(f, al.MATE_UNMAPPED), "Unassigned_Singleton")
+    if not chimeric:
+        early = early.when(al.has(f, al.PAIRED) & al.lacks(f, al.MATE_UNMAPPED) & (F.col("mate_chrom") != F.col("chrom")), "Unassigned_Chimera")
     rows = reads.select("id", "sample", "chrom", "start", "end", "strand", early.alias("early"))
     asked, keys = rows.where("early IS NULL").drop("early"), ("chrom",)
     if strandedness:

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -21,21 +21,35 @@ def grid(spark: SparkSession, uts: tuple[int, int, int] = (5, 45, 5), ltprobb: t
     a = spark.range(1).select(F.explode(F.sequence(F.lit(ltprobb[0]), F.lit(ltprobb[1]), F.lit(ltprobb[2]))).alias("LtProbB"))
     b = spark.range(1).select(F.explode(F.sequence(F.lit(uts[0]), F.lit(uts[1]), F.lit(uts[2]))).alias("UTS"))
     steps = (uts[1] - uts[0]) // uts[2] + 1
-    return a.crossJoin(b).withColumn("row_no", (F.col("LtProbB") - ltprobb[0]) / ltprobb[2] * steps + (F.col("UTS") - uts[0]) / uts[2])
+    return a.crossJoin(b).withColumn("row_no", ((F.col("LtProbB") - ltprobb[0]) / ltprobb[2] * steps + (F.col("UTS") - uts[0]) / uts[2]).cast("long"))
 
 
-def evaluate(calls: DataFrame, genes: DataFrame) -> DataFrame:
-    """merged, dissociated, total, error_rate of calls (id, chrom, strand, start, end) against genes (gene, ...).
+def evaluate(calls: DataFrame, genes: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """merged, dissociated, total, error_rate, tx_size of calls (id, chrom, strand, start, end) against genes (gene, ...), a row for each value of `by`.
 
-    A call over several genes is merged; a gene under n calls counts n - 1 dissociated; error_rate is total by genes and calls.
+    A call over several genes is merged; a gene under n calls counts n - 1 dissociated; error_rate is total by genes and calls,
+    tx_size the number of calls.
     """
     keys = ("chrom", "strand")
-    pairs = overlap_join(calls.select("id", *keys, "start", "end"), genes.select("gene", *keys, "start", "end"), keys).select(F.col("a_id").alias("id"), F.col("b_gene").alias("gene")).distinct()
-    merged = pairs.groupBy("id").count().agg(F.count_if(F.col("count") > 1).alias("merged"))
-    apart = pairs.groupBy("gene").count().agg(F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).alias("dissociated"))
-    sizes = calls.agg(F.count(F.lit(1)).alias("calls")).crossJoin(genes.agg(F.count(F.lit(1)).alias("genes")))  # one row each
-    total = F.col("merged") + F.col("dissociated")
-    return merged.crossJoin(apart).crossJoin(sizes).select("merged", "dissociated", total.alias("total"), F.round(total / (F.col("calls") + F.col("genes")), 6).alias("error_rate"))
+    pairs = overlap_join(calls.select(*by, "id", *keys, "start", "end"), genes.select("gene", *keys, "start", "end"), keys)
+    pairs = pairs.select(*[F.col(f"a_{c}").alias(c) for c in by], F.col("a_id").alias("id"), F.col("b_gene").alias("gene")).distinct()
+    merged = pairs.groupBy(*by, "id").count().groupBy(*by).agg(F.count_if(F.col("count") > 1).alias("merged"))
+    apart = pairs.groupBy(*by, "gene").count().groupBy(*by).agg(F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).alias("dissociated"))
+    sizes = calls.groupBy(*by).agg(F.count(F.lit(1)).alias("tx_size"))
+    n = genes.agg(F.count(F.lit(1)).alias("genes"))  # one row
+    both = sizes.join(merged, list(by), "left").join(apart, list(by), "left") if by else sizes.crossJoin(merged).crossJoin(apart)
+    both = both.fillna(0, ["merged", "dissociated"]).crossJoin(F.broadcast(n)).withColumn("total", F.col("merged") + F.col("dissociated"))
+    return both.select(*by, "merged", "dissociated", "total", error_rate(F.col("total"), F.col("tx_size"), F.col("genes")).alias("error_rate"), "tx_size")
+
+
+def error_rate(total: Column, calls: Column, genes: Column) -> Column:
+    return F.round(total / (calls + genes), 6)
+
+
+def tune(counts: DataFrame, genes: DataFrame, params: DataFrame, size: int = 50, gap: int = 200, keys: tuple[str, ...] = ("chrom", "strand")) -> DataFrame:
+    """Every pair of parameters (LtProbB, UTS, row_no) with the errors of the transcripts that it calls; a pair without calls has no error rate."""
+    calls = hmm_grid(counts, params, size, gap, keys).withColumn("id", F.concat_ws(":", *keys, "start"))
+    return params.join(evaluate(calls, genes, ("row_no",)), "row_no", "left")
 
 
 def expressed(features: DataFrame, reads: DataFrame, size: int = 1000, low: float = 0.05, high: float = 0.95) -> DataFrame:
@@ -113,6 +127,42 @@ def viterbi(n: np.ndarray, log_leave: float, variance: float, mean: float) -> np
     return out
 
 
+def viterbi_many(n: np.ndarray, log_leave: np.ndarray, variance: np.ndarray, mean: float) -> np.ndarray:
+    """viterbi for several pairs of log_leave and variance at once: a column of states for each."""
+    stay = np.where(log_leave < -1e-9, np.log1p(-np.exp(np.minimum(log_leave, -1e-9))), -50.0)
+    silent = 0.5 * np.log(2 / (np.pi * variance)) - n[:, None] ** 2 / (2 * variance)
+    loud = -math.log(mean) - n / mean
+    back = np.zeros((len(n), 2, len(variance)), bool)
+    a, b = silent[0].copy(), loud[0] + log_leave
+    for i in range(1, len(n)):
+        leave, enter, a, b = b + log_leave, a + log_leave, a + stay, b + stay
+        back[i, 0], back[i, 1] = leave > a, b >= enter
+        a, b = np.maximum(a, leave) + silent[i], np.maximum(b, enter) + loud[i]
+    out = np.zeros((len(n), len(variance)), np.int8)
+    out[-1] = b > a
+    for i in range(len(n) - 1, 0, -1):
+        out[i - 1] = np.where(out[i], back[i, 1], back[i, 0])
+    return out
+
+
+def hmm_grid(counts: DataFrame, params: DataFrame, size: int = 50, gap: int = 200, keys: tuple[str, ...] = ("chrom", "strand")) -> DataFrame:
+    """hmm_transcripts for every row of params (LtProbB, UTS, row_no): row_no, keys, start, end. A stretch is read once for all of them."""
+    mean = float(counts.agg(F.avg("n")).first()[0] or 1.0)  # one number
+    pairs = params.select(F.col("row_no").cast("long"), F.col("LtProbB").cast("double"), F.col("UTS").cast("double")).collect()  # the grid
+    rows, leave, variance = [r[0] for r in pairs], np.array([r[1] for r in pairs]), np.array([r[2] for r in pairs])
+
+    def call(pdf: pd.DataFrame) -> pd.DataFrame:
+        low = int(pdf["bin"].min()) - 1
+        n = np.zeros(int(pdf["bin"].max()) - low + 2)
+        n[pdf["bin"].to_numpy() - low] = pdf["n"]
+        states = viterbi_many(n, leave, variance, mean)
+        found = [(r, *(pdf[k].iloc[0] for k in keys), (low + a) * size, (low + b) * size) for k, r in enumerate(rows) for a, b in _segments(states[:, k])]
+        return pd.DataFrame(found, columns=["row_no", *keys, "start", "end"])
+
+    schema = "row_no long, " + ", ".join(f"{c} {t}" for c, t in counts.select(*keys).dtypes) + ", start long, end long"
+    return active_stretches(counts, keys, gap).groupBy(*keys, "stretch").applyInPandas(call, schema)
+
+
 def hmm_transcripts(counts: DataFrame, size: int = 50, log_leave: float = -200.0, variance: float = 5.0, gap: int = 200, keys: tuple[str, ...] = ("chrom", "strand")) -> DataFrame:
     """Transcribed stretches of binned counts: keys, start, end. Bins without reads between two active ones are silent evidence."""
     mean = float(counts.agg(F.avg("n")).first()[0] or 1.0)  # one number
@@ -164,17 +214,15 @@ def dense_transcripts(counts: DataFrame, size: int = 50, start_fold: float = 4.0
 
 def _poisson_tail(n: np.ndarray, rate: np.ndarray) -> np.ndarray:
     """P(X >= n) of Poisson laws."""
-    out = np.ones(len(n))
-    for i, (k, lam) in enumerate(zip(n.tolist(), rate.tolist(), strict=True)):
-        if k > 0:
-            term = math.exp(k * math.log(lam) - lam - math.lgamma(k + 1))
-            total, j = term, k
-            while term > total * 1e-12 and j < k + 1000:
-                j += 1
-                term *= lam / j
-                total += term
-            out[i] = min(1.0, total)
-    return out
+    n = n.astype(np.int64)
+    factorials = np.concatenate([[0.0], np.cumsum(np.log(np.arange(1, n.max(initial=1) + 1)))])
+    term = np.exp(n * np.log(rate) - rate - factorials[n])
+    total, step = term.copy(), 0
+    while step < 1000 and (term > total * 1e-12).any():
+        step += 1
+        term = term * rate / (n + step)
+        total += term
+    return np.where(n > 0, np.minimum(total, 1.0), 1.0)
 
 
 def tss_peaks(ends: DataFrame, reach: int = 100, false_rate: float = 0.1, pair_distance: int = 300) -> DataFrame:

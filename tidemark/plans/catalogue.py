@@ -13,15 +13,17 @@ from tidemark.sources import proxies
 from tidemark.sources.proxies import table
 from tidemark.streaming import sessions
 
-READS = """reads AS (SELECT concat_ws('/', l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_shipdate) AS id, l_returnflag || '_REP' || (l_partkey % 2 + 1) AS sample,
-  'chr' || (l_suppkey % 10) AS chrom, date_diff('day', DATE '1995-01-01', CAST(l_shipdate AS DATE)) AS "start",
-  date_diff('day', DATE '1995-01-01', CAST(l_shipdate AS DATE)) + CAST(l_quantity AS BIGINT) AS "end",
+_PLACE = "((l_partkey // 10) * 100 + CASE WHEN l_linenumber = 1 THEN 50 ELSE date_diff('day', DATE '1992-01-01', CAST(l_shipdate AS DATE)) % 100 END)"
+READS = f"""reads AS (SELECT concat_ws('/', l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_shipdate) AS id, l_returnflag || '_REP' || (l_partkey % 2 + 1) AS sample,
+  'chr' || (l_partkey % 10) AS chrom, {_PLACE} AS "start", {_PLACE} + CAST(l_quantity AS BIGINT) AS "end",
   CASE WHEN l_linestatus = 'F' THEN '+' ELSE '-' END AS strand, CAST((l_linenumber - 1) * 10 AS BIGINT) AS mapq,
   CAST(1 + 2 * (l_linenumber % 2) + CASE WHEN l_linenumber = 7 THEN 4 ELSE 0 END + CASE WHEN l_linenumber = 6 THEN 8 ELSE 0 END + CASE WHEN l_linestatus = 'F' THEN 0 ELSE 16 END + CASE WHEN l_partkey % 3 = 0 THEN 128 ELSE 64 END + CASE WHEN l_linenumber = 5 THEN 256 ELSE 0 END + CASE WHEN l_partkey % 11 = 0 THEN 1024 ELSE 0 END AS BIGINT) AS flag,
-  substr('ACGT', CAST(l_partkey % 4 AS INT) + 1, 1) || substr('ACGT', CAST(l_suppkey % 4 AS INT) + 1, 1) AS umi, l_quantity, l_extendedprice FROM lineitem)"""
-FEATURES = """features AS (SELECT p_partkey AS gene, 'chr' || (p_partkey % 10) AS chrom, p_partkey * 37 % 2500 AS "start", p_partkey * 37 % 2500 + p_size AS "end",
+  substr('ACGT', CAST(l_partkey % 4 AS INT) + 1, 1) || substr('ACGT', CAST(l_suppkey % 4 AS INT) + 1, 1) AS umi,
+  'chr' || (CASE WHEN l_linenumber = 4 THEN l_suppkey ELSE l_partkey END % 10) AS mate_chrom, {_PLACE} + l_linenumber * 40 - 60 AS mate_start, {_PLACE} + l_linenumber * 40 - 60 + CAST(l_quantity AS BIGINT) AS mate_end,
+  CASE WHEN l_linestatus = 'F' THEN '-' ELSE '+' END AS mate_strand, l_quantity, l_extendedprice FROM lineitem)"""
+FEATURES = """features AS (SELECT p_partkey AS gene, 'chr' || (p_partkey % 10) AS chrom, (p_partkey // 10) * 100 + p_partkey * 37 % 100 AS "start", (p_partkey // 10) * 100 + p_partkey * 37 % 100 + p_size AS "end",
   CASE WHEN (p_partkey // 10) % 2 = 0 THEN '+' ELSE '-' END AS strand, p_type AS biotype FROM part)"""
-REGIONS = """regions AS (SELECT 'chr' || (s_suppkey % 10) AS chrom, s_suppkey * 97 % 2500 AS "start", s_suppkey * 97 % 2500 + 5 + s_nationkey * 4 AS "end", s_suppkey % 2 = 0 AS keep FROM supplier)"""
+REGIONS = """regions AS (SELECT 'chr' || (s_suppkey % 10) AS chrom, (s_suppkey // 10) * 2000 + s_suppkey * 97 % 2000 AS "start", (s_suppkey // 10) * 2000 + s_suppkey * 97 % 2000 + 5 + s_nationkey * 4 AS "end", s_suppkey % 2 = 0 AS keep FROM supplier)"""
 SIZES = """sizes AS (SELECT chrom, max("end") AS length FROM reads GROUP BY chrom)"""
 OVER = 'a.chrom = b.chrom AND a."start" < b."end" AND b."start" < a."end"'
 
@@ -49,14 +51,14 @@ _FLAGS = {
 
 
 def _assigned(spark: SparkSession, d: str) -> DataFrame:
-    return quantify.assign(proxies.reads(spark, d), proxies.features(spark, d).where("gene % 40 = 0"), least_mapq=10, both_ends=True)
+    return quantify.assign(proxies.reads(spark, d), proxies.features(spark, d), least_mapq=10, both_ends=True, chimeric=False)
 
 
-_ASSIGNED = f"""genes AS (SELECT * FROM features WHERE gene % 40 = 0),
+_ASSIGNED = f"""genes AS (SELECT * FROM features),
   r AS (SELECT *, row_number() OVER () AS rid FROM reads),
   hit AS (SELECT a.rid, min(gene) AS low, max(gene) AS high FROM r a JOIN genes b ON {OVER} GROUP BY a.rid),
   assigned AS (SELECT sample, gene, CASE WHEN flag & 4 <> 0 THEN 'Unassigned_Unmapped' WHEN mapq < 10 THEN 'Unassigned_MappingQuality' WHEN flag & 256 <> 0 THEN 'Unassigned_Secondary'
-      WHEN flag & 1 <> 0 AND flag & 8 <> 0 THEN 'Unassigned_Singleton' WHEN low IS NULL THEN 'Unassigned_NoFeatures' WHEN low <> high THEN 'Unassigned_Ambiguity' ELSE 'Assigned' END AS status
+      WHEN flag & 1 <> 0 AND flag & 8 <> 0 THEN 'Unassigned_Singleton' WHEN flag & 1 <> 0 AND mate_chrom <> chrom THEN 'Unassigned_Chimera' WHEN low IS NULL THEN 'Unassigned_NoFeatures' WHEN low <> high THEN 'Unassigned_Ambiguity' ELSE 'Assigned' END AS status
     FROM (SELECT r.*, low, high, low AS gene FROM r LEFT JOIN hit USING (rid)))"""
 
 
@@ -76,24 +78,33 @@ _SHEET = """sheet AS (SELECT n_name AS sample, 'run' || s_suppkey || CASE WHEN s
 
 
 def _calls(spark: SparkSession, d: str) -> DataFrame:
-    """Merged reads of good quality as transcript calls."""
-    merged = intervals.merge_intervals(proxies.reads(spark, d).where("mapq >= 50 AND `end` - start > 40"), ("chrom", "strand"))
+    """Merged reads as transcript calls."""
+    merged = intervals.merge_intervals(proxies.reads(spark, d), ("chrom", "strand"))
     return merged.withColumn("id", F.concat_ws(":", "chrom", "strand", "start"))
 
 
-_CALLS = _merged('(SELECT * FROM reads WHERE mapq >= 50 AND "end" - "start" > 40)', "chrom, strand", "calls")
+_CALLS = _merged("reads", "chrom, strand", "calls")
 
 
-def _annotation(spark: SparkSession, d: str) -> DataFrame:
-    return proxies.features(spark, d).where("gene % 20 < 2")
+def _tuning(spark: SparkSession, d: str) -> DataFrame:
+    """Transcripts called with every pair of parameters, each evaluated against the genes."""
+    counts = coverage.binned(proxies.reads(spark, d), 10)
+    return transcripts.tune(counts, proxies.features(spark, d), transcripts.grid(spark), 10)
 
 
-def _grid(spark: SparkSession, d: str) -> DataFrame:
-    """A grid whose error is the gap between each pair's ratio and that of the lines' tax and discount."""
-    target = table(spark, d, "lineitem").agg((F.sum(F.col("l_quantity").cast("long")) % 1000).alias("t"))
-    g = transcripts.grid(spark).crossJoin(F.broadcast(target))  # one row
-    g = g.select(F.col("LtProbB").cast("long").alias("ltprobb"), F.col("UTS").cast("long").alias("uts"), F.abs(-F.col("LtProbB") * F.col("UTS") % 1000 - F.col("t")).cast("long").alias("error"), F.col("row_no").cast("long").alias("row_no"))
-    return annotation.first_wins(g, "error", "row_no")
+def _best(spark: SparkSession, d: str) -> DataFrame:
+    return annotation.first_wins(_tuning(spark, d).where("error_rate IS NOT NULL"), "error_rate", "row_no")
+
+
+def _paired(spark: SparkSession, d: str, assay: str) -> DataFrame:
+    """Reads by the 5' end that counts, of first mates in proper pairs."""
+    reads = proxies.reads(spark, d).where(al.has(F.col("flag"), al.PROPER) & al.has(F.col("flag"), al.FIRST)).withColumn("p", al.end_of_pair(assay))
+    return reads.groupBy("chrom", "p.strand", "p.start", "p.end").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _paired_sql(mate: str) -> str:
+    return f"""WITH {READS}, x AS (SELECT chrom, {mate}strand AS strand, CASE WHEN {mate}strand = '+' THEN "{mate}start" ELSE "{mate}end" - 1 END AS "start" FROM reads WHERE flag & 2 <> 0 AND flag & 64 <> 0)
+        SELECT chrom, strand, "start", "start" + 1 AS "end", count(*) AS n FROM x GROUP BY ALL"""
 
 
 def _ends(spark: SparkSession, d: str) -> DataFrame:
@@ -105,7 +116,7 @@ def _peaks(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _classes(spark: SparkSession, d: str) -> DataFrame:
-    f = proxies.features(spark, d).where("gene % 20 = 0")
+    f = proxies.features(spark, d)
     return f.select("chrom", "start", "end", F.when(F.col("gene") % 3 == 0, "cds").when(F.col("gene") % 3 == 1, "utr").otherwise("intron").alias("class"), (F.col("gene") % 3).alias("priority"))
 
 
@@ -136,8 +147,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "intersect_v": lambda s, d: intervals.intersect(genes(s, d), regions(s, d, False), "none"),
         "intersect_u": lambda s, d: intervals.intersect(genes(s, d), regions(s, d), "any"),
         "filter_then_intersect": lambda s, d: intervals.intersect(intervals.intersect(genes(s, d), regions(s, d, False), "none"), regions(s, d)),
-        "count_overlaps": lambda s, d: intervals.count_overlaps(genes(s, d).where("gene % 10 = 0"), reads(s, d), "gene"),
-        "featurecounts_gene": lambda s, d: quantify.counts(_assigned(s, d), genes(s, d).where("gene % 40 = 0"), reads(s, d)),
+        "count_overlaps": lambda s, d: intervals.count_overlaps(genes(s, d), reads(s, d), "gene"),
+        "featurecounts_gene": lambda s, d: quantify.counts(_assigned(s, d), genes(s, d), reads(s, d)),
         "featurecounts_summary": lambda s, d: quantify.summary(_assigned(s, d)),
         "featurecounts_predicted": lambda s, d: quantify.summary(quantify.assign(reads(s, d), intervals.bed_to_saf(_calls(s, d)).withColumnRenamed("gene_id", "gene"))),
         "flagstat": lambda s, d: qc.flagstat(reads(s, d)),
@@ -149,9 +160,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "pileup_hist": lambda s, d: coverage.depth_histogram(c(reads(s, d))),
         "read_dup_position": lambda s, d: qc.duplication(_ends(s, d), "chrom", "pos", "strand"),
         "read_dup_sequence": lambda s, d: qc.duplication(_texts(s, d), "seq"),
-        "infer_experiment": lambda s, d: qc.infer_experiment(_ids(reads(s, d)), features(s, d).where("gene % 40 = 0")),
+        "infer_experiment": lambda s, d: qc.infer_experiment(_ids(reads(s, d)), features(s, d)),
         "read_distribution": lambda s, d: qc.read_distribution(_ids(reads(s, d)), _classes(s, d)),
-        "inner_distance": lambda s, d: qc.inner_distance(reads(s, d).withColumn("mate_start", F.col("end") + F.col("mapq") * 5 - 100)),
+        "inner_distance": lambda s, d: qc.inner_distance(reads(s, d)),
+        "inner_distance_stats": lambda s, d: qc.inner_distance_stats(reads(s, d)),
+        "junction_annotation": lambda s, d: qc.junctions(bed(reads(s, d)), bed(features(s, d))),
+        "end_positions_paired_forward": lambda s, d: _paired(s, d, "PROseq"),
+        "end_positions_paired": lambda s, d: _paired(s, d, "GROseq"),
+        "umi_pairs_exact": lambda s, d: dedup.exact_umis(dedup.by_position(dedup.whole_pairs(reads(s, d))), "id").select("sample", "chrom", "pos", "strand", "umi", "mapq"),
+        "positions_to_bed": lambda s, d: annotation.positions_to_bed(features(s, d).selectExpr("concat('p', gene) AS name", "chrom", "start + 1 AS start", "end", "strand", "gene % 7 AS score")),
         "c_curve": lambda s, d: dedup.c_curve(dedup.complexity_histogram(_ends(s, d), "chrom", "pos", "strand")),
         "umi_dedup_exact": lambda s, d: dedup.exact_umis(_ends(s, d), "id").select("sample", "chrom", "pos", "strand", "umi", "mapq"),
         "umi_per_umi_stats": lambda s, d: dedup.per_umi(_ends(s, d)),
@@ -162,13 +179,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "combine_cross": lambda s, d: samples.combine(table(s, d, "supplier").select("s_suppkey"), table(s, d, "region").select("r_name")),
         "mix_union": lambda s, d: samples.mix(bed(features(s, d)), bed(regions(s, d)), bed(regions(s, d, False))),
         "versions_distinct": lambda s, d: table(s, d, "part").select(F.element_at(F.split("p_type", " "), -1).alias("tool"), "p_brand").distinct(),
-        "grid_search_argmin": _grid,
-        "expressed_features_q05_q95": lambda s, d: transcripts.expressed(genes(s, d).where("gene % 4 = 0"), reads(s, d).where("mapq >= 50 AND `end` - start > 44"), size=10).select("gene", "width"),
-        "hmm_eval_merged_dissociated": lambda s, d: transcripts.evaluate(_calls(s, d), _annotation(s, d)),
+        "grid_search_argmin": _best,
+        "hmm_tuning": _tuning,
+        "expressed_features_q05_q95": lambda s, d: transcripts.expressed(genes(s, d), reads(s, d), size=10).select("gene", "width"),
+        "hmm_eval_merged_dissociated": lambda s, d: transcripts.evaluate(_calls(s, d), features(s, d)),
         "consensus_annotation": lambda s, d: annotation.consensus(features(s, d).withColumn("gene", F.floor(F.col("gene") / 30)).withColumn("chrom", F.lit("chr1")).withColumn("start", F.col("start") % 60).withColumn("end", F.col("start") + 40)),
-        "break_on_genes": lambda s, d: transcripts.break_on_genes(_calls(s, d), _annotation(s, d)),
-        "combine_transcripts": lambda s, d: transcripts.combine_by_gene(transcripts.break_on_genes(_calls(s, d), _annotation(s, d)), _annotation(s, d)),
-        "tx_density": lambda s, d: transcripts.density(reads(s, d), features(s, d).where("gene % 40 = 0"), 10),
+        "break_on_genes": lambda s, d: transcripts.break_on_genes(_calls(s, d), features(s, d)),
+        "combine_transcripts": lambda s, d: transcripts.combine_by_gene(transcripts.break_on_genes(_calls(s, d), features(s, d)), features(s, d)),
+        "tx_density": lambda s, d: transcripts.density(reads(s, d), features(s, d), 10),
         "gtf_to_bed12": lambda s, d: annotation.gtf_to_bed12(proxies.exons(s, d)),
         "gtf_semi_filter": lambda s, d: annotation.keep_known(genes(s, d), regions(s, d).select(F.col("chrom").alias("seqname"))),
         "skip_chromosomes": lambda s, d: annotation.drop_contigs(bed(features(s, d)), ("chr3", "_random", "chr")),
@@ -195,7 +213,7 @@ def oracle_sql() -> dict[str, str]:
     one = """one AS (SELECT chrom, strand, CASE WHEN strand = '+' THEN "start" ELSE "end" - 1 END AS "start", CASE WHEN strand = '+' THEN "start" + 1 ELSE "end" END AS "end" FROM reads WHERE mapq > 0)"""
     genes = 'a.gene, a.chrom, a."start", a."end", a.strand'
     hits = lambda keep: f"SELECT 1 FROM regions b WHERE {OVER} AND {'' if keep else 'NOT '}b.keep"
-    annotated = "annotated AS (SELECT * FROM features WHERE gene % 20 < 2)"
+    annotated = "annotated AS (SELECT * FROM features)"
     pairs = f"pairs AS (SELECT DISTINCT a.chrom, a.strand, a.\"start\" AS s, a.\"end\" AS e, b.gene, b.\"start\" AS b_start FROM calls a JOIN annotated b ON {OVER} AND a.strand = b.strand)"
     broken = f"""{pairs}, first AS (SELECT chrom, strand, s, min(b_start) AS f FROM pairs GROUP BY ALL),
       cuts AS (SELECT DISTINCT p.chrom, p.strand, p.s, p.b_start AS x FROM pairs p JOIN first f ON p.chrom = f.chrom AND p.strand = f.strand AND p.s = f.s WHERE b_start > p.s AND b_start > f),
@@ -222,7 +240,7 @@ def oracle_sql() -> dict[str, str]:
         "intersect_v": f"WITH {FEATURES}, {REGIONS} SELECT {genes} FROM features a WHERE NOT EXISTS ({hits(False)})",
         "intersect_u": f"WITH {FEATURES}, {REGIONS} SELECT {genes} FROM features a WHERE EXISTS ({hits(True)})",
         "filter_then_intersect": f"WITH {FEATURES}, {REGIONS} SELECT {genes} FROM features a JOIN regions b ON {OVER} AND b.keep WHERE NOT EXISTS ({hits(False).replace('regions b', 'regions c').replace('b.', 'c.')})",
-        "count_overlaps": f"WITH {READS}, {FEATURES} SELECT gene, count(b.id) AS n FROM features a LEFT JOIN reads b ON {OVER} WHERE gene % 10 = 0 GROUP BY gene",
+        "count_overlaps": f"WITH {READS}, {FEATURES} SELECT gene, count(b.id) AS n FROM features a LEFT JOIN reads b ON {OVER} GROUP BY gene",
         "featurecounts_gene": f"WITH {READS}, {FEATURES}, {_ASSIGNED} SELECT g.gene, CAST(g.\"end\" - g.\"start\" AS BIGINT) AS length, s.sample, count(a.gene) AS n FROM genes g CROSS JOIN (SELECT DISTINCT sample FROM reads) s LEFT JOIN assigned a ON a.gene = g.gene AND a.sample = s.sample AND status = 'Assigned' GROUP BY ALL",
         "featurecounts_summary": f"WITH {READS}, {FEATURES}, {_ASSIGNED} SELECT sample, status, count(*) AS n FROM assigned GROUP BY ALL",
         "featurecounts_predicted": f"""WITH {READS}, {_CALLS}, flat AS (SELECT chrom, "start", "end", chrom || '.' || "start" || '.' || "end" AS gene FROM calls), r AS (SELECT *, row_number() OVER () AS rid FROM reads),
@@ -240,11 +258,19 @@ def oracle_sql() -> dict[str, str]:
         "pileup_hist": f'WITH {READS}, {_runs("reads")} SELECT depth, CAST(sum("end" - "start") AS BIGINT) AS bases FROM runs WHERE depth <> 0 GROUP BY depth',
         "read_dup_position": f"WITH {READS}, {_ENDS} SELECT occurrence, count(*) AS n FROM (SELECT count(*) AS occurrence FROM ends GROUP BY chrom, pos, strand) GROUP BY ALL",
         "read_dup_sequence": "SELECT occurrence, count(*) AS n FROM (SELECT count(*) AS occurrence FROM documents GROUP BY coalesce(text, '')) GROUP BY ALL",
-        "infer_experiment": f"""WITH {READS}, {FEATURES}, r AS (SELECT *, row_number() OVER () AS rid FROM reads), x AS (SELECT a.rid, a.sample, a.strand, min(b.strand) AS low, max(b.strand) AS high FROM r a JOIN features b ON {OVER} AND gene % 40 = 0 GROUP BY ALL),
+        "infer_experiment": f"""WITH {READS}, {FEATURES}, r AS (SELECT *, row_number() OVER () AS rid FROM reads), x AS (SELECT a.rid, a.sample, a.strand, min(b.strand) AS low, max(b.strand) AS high FROM r a JOIN features b ON {OVER} GROUP BY ALL),
             y AS (SELECT sample, CASE WHEN low <> high THEN 'undetermined' ELSE strand || low END AS class, count(*) AS n FROM x GROUP BY ALL) SELECT sample, class, n, round(n / sum(n) OVER (PARTITION BY sample), 6) AS fraction FROM y""",
-        "read_distribution": f"""WITH {READS}, {FEATURES}, r AS (SELECT chrom, ("start" + "end") // 2 AS p, row_number() OVER () AS rid FROM reads), x AS (SELECT rid, min(gene % 3) AS k FROM r JOIN features f ON r.chrom = f.chrom AND p >= f."start" AND p < f."end" AND gene % 20 = 0 GROUP BY rid)
+        "read_distribution": f"""WITH {READS}, {FEATURES}, r AS (SELECT chrom, ("start" + "end") // 2 AS p, row_number() OVER () AS rid FROM reads), x AS (SELECT rid, min(gene % 3) AS k FROM r JOIN features f ON r.chrom = f.chrom AND p >= f."start" AND p < f."end" GROUP BY rid)
             SELECT CASE k WHEN 0 THEN 'cds' WHEN 1 THEN 'utr' WHEN 2 THEN 'intron' ELSE 'intergenic' END AS class, count(*) AS n FROM r LEFT JOIN x USING (rid) GROUP BY ALL""",
-        "inner_distance": f"WITH {READS}, x AS (SELECT mapq * 5 - 100 AS gap FROM reads) SELECT CAST(floor((gap + 250) / 5) * 5 - 250 AS BIGINT) AS bin, count(*) AS n FROM x WHERE gap BETWEEN -250 AND 249 GROUP BY ALL",
+        "inner_distance": f'WITH {READS}, x AS (SELECT mate_start - "end" AS gap FROM reads) SELECT CAST(floor((gap + 250) / 5) * 5 - 250 AS BIGINT) AS bin, count(*) AS n FROM x WHERE gap BETWEEN -250 AND 249 GROUP BY ALL',
+        "inner_distance_stats": f'WITH {READS}, x AS (SELECT sample, mate_start - "end" AS gap FROM reads) SELECT sample, count(*) AS n, round(avg(gap), 6) AS mean, round(median(gap), 6) AS "median", round(stddev_samp(gap), 6) AS sd FROM x GROUP BY sample',
+        "junction_annotation": f"""WITH {READS}, {FEATURES}, x AS (SELECT chrom, "start", "end", count(*) AS reads FROM reads GROUP BY ALL)
+            SELECT *, CASE WHEN EXISTS (SELECT 1 FROM features f WHERE f.chrom = x.chrom AND f."start" = x."start" AND f."end" = x."end") THEN 'annotated'
+              WHEN EXISTS (SELECT 1 FROM features f WHERE f.chrom = x.chrom AND f."start" = x."start") OR EXISTS (SELECT 1 FROM features f WHERE f.chrom = x.chrom AND f."end" = x."end") THEN 'partial_novel' ELSE 'complete_novel' END AS class FROM x""",
+        "end_positions_paired_forward": _paired_sql(""),
+        "end_positions_paired": _paired_sql("mate_"),
+        "umi_pairs_exact": f"WITH {READS}, kept AS (SELECT * FROM reads WHERE flag & 1 <> 0 AND flag & 8 = 0 AND mate_chrom = chrom), {_ENDS.replace('FROM reads', 'FROM kept')} SELECT sample, chrom, pos, strand, umi, max(mapq) AS mapq FROM ends GROUP BY ALL",
+        "positions_to_bed": f"""WITH {FEATURES} SELECT chrom, "start", "end", 'p' || gene AS name, gene % 7 AS score, strand FROM features""",
         "c_curve": f"""WITH {READS}, {_ENDS}, h AS (SELECT j, count(*) AS n_j FROM (SELECT count(*) AS j FROM ends GROUP BY chrom, pos, strand) GROUP BY j)
             SELECT step, CAST(floor(sum(j * n_j) * (step / 10)) AS BIGINT) AS total_reads, round(sum(n_j * (1 - pow(1 - step / 10, j))), 4) AS distinct FROM h CROSS JOIN (SELECT unnest(range(1, 11)) AS step) GROUP BY step""".replace("AS distinct", 'AS "distinct"'),
         "umi_dedup_exact": f"WITH {READS}, {_ENDS} SELECT sample, chrom, pos, strand, umi, max(mapq) AS mapq FROM ends GROUP BY ALL",
@@ -258,19 +284,17 @@ def oracle_sql() -> dict[str, str]:
         "combine_cross": "SELECT s_suppkey, r_name FROM supplier CROSS JOIN region",
         "mix_union": f'WITH {FEATURES}, {REGIONS} SELECT chrom, "start", "end" FROM features UNION ALL SELECT chrom, "start", "end" FROM regions',
         "versions_distinct": "SELECT DISTINCT string_split(p_type, ' ')[-1] AS tool, p_brand FROM part",
-        "grid_search_argmin": """WITH t AS (SELECT CAST(sum(CAST(l_quantity AS BIGINT)) % 1000 AS BIGINT) AS t FROM lineitem), g AS (SELECT -100 - 50 * i AS ltprobb, 5 + 5 * j AS uts, i * 9 + j AS row_no FROM (SELECT unnest(range(7)) AS i) CROSS JOIN (SELECT unnest(range(9)) AS j))
-            SELECT ltprobb, uts, abs(-ltprobb * uts % 1000 - t) AS error, row_no FROM g CROSS JOIN t ORDER BY error, row_no LIMIT 1""",
-        "expressed_features_q05_q95": f"""WITH {READS}, {FEATURES}, f AS (SELECT *, "end" - "start" AS width, CASE WHEN strand = '-' THEN greatest("start", "end" - 10) ELSE "start" END AS s, CASE WHEN strand = '-' THEN "end" ELSE least("end", "start" + 10) END AS e FROM features WHERE gene % 4 = 0),
-            x AS (SELECT gene, width FROM f WHERE EXISTS (SELECT 1 FROM reads r WHERE r.chrom = f.chrom AND r."start" < f.e AND f.s < r."end" AND mapq >= 50 AND r."end" - r."start" > 44))
+        "expressed_features_q05_q95": f"""WITH {READS}, {FEATURES}, f AS (SELECT *, "end" - "start" AS width, CASE WHEN strand = '-' THEN greatest("start", "end" - 10) ELSE "start" END AS s, CASE WHEN strand = '-' THEN "end" ELSE least("end", "start" + 10) END AS e FROM features),
+            x AS (SELECT gene, width FROM f WHERE EXISTS (SELECT 1 FROM reads r WHERE r.chrom = f.chrom AND r."start" < f.e AND f.s < r."end"))
             SELECT gene, width FROM x WHERE width > (SELECT quantile_cont(width, 0.05) FROM x) AND width < (SELECT quantile_cont(width, 0.95) FROM x)""",
         "hmm_eval_merged_dissociated": f"""WITH {READS}, {FEATURES}, {_CALLS}, {annotated}, {pairs}, m AS (SELECT count(*) FILTER (n > 1) AS merged FROM (SELECT count(DISTINCT gene) AS n FROM pairs GROUP BY chrom, strand, s)), q AS (SELECT CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS dissociated FROM (SELECT count(*) AS n FROM (SELECT DISTINCT gene, chrom, strand, s FROM pairs) GROUP BY gene))
-            SELECT merged, dissociated, merged + dissociated AS total, round((merged + dissociated) / ((SELECT count(*) FROM calls) + (SELECT count(*) FROM annotated)), 6) AS error_rate FROM m CROSS JOIN q""",
+            SELECT merged, dissociated, merged + dissociated AS total, round((merged + dissociated) / ((SELECT count(*) FROM calls) + (SELECT count(*) FROM annotated)), 6) AS error_rate, (SELECT count(*) FROM calls) AS tx_size FROM m CROSS JOIN q""",
         "consensus_annotation": f"""WITH {FEATURES}, t AS (SELECT gene // 30 AS gene, 'chr1' AS chrom, strand, "start" % 60 AS s FROM features), x AS (SELECT gene, chrom, strand, max(s) AS i, min(s + 40) AS j, min(s) AS lo, max(s + 40) AS hi FROM t GROUP BY ALL)
             SELECT gene, chrom, strand, CASE WHEN i < j THEN i ELSE lo END AS "start", CASE WHEN i < j THEN j ELSE hi END AS "end" FROM x""",
         "break_on_genes": f"WITH {READS}, {FEATURES}, {_CALLS}, {annotated}, {broken} SELECT * FROM broken",
         "combine_transcripts": f"""WITH {READS}, {FEATURES}, {_CALLS}, {annotated}, {broken}, of AS (SELECT a.id, a.part, arg_min(b.gene, b."start" * 1000000 + b.gene) AS gene FROM broken a JOIN annotated b ON {OVER} AND a.strand = b.strand GROUP BY ALL)
             SELECT chrom, strand, min("start") AS "start", max("end") AS "end", count(*) AS n FROM broken LEFT JOIN of USING (id, part) GROUP BY chrom, strand, coalesce('g' || gene, 'p' || id || '.' || part)""",
-        "tx_density": f"""WITH {READS}, {FEATURES}, f AS (SELECT * FROM features WHERE gene % 40 = 0), p AS (SELECT chrom, strand, CASE WHEN strand = '+' THEN "start" ELSE "end" - 1 END AS pos FROM reads)
+        "tx_density": f"""WITH {READS}, {FEATURES}, f AS (SELECT * FROM features), p AS (SELECT chrom, strand, CASE WHEN strand = '+' THEN "start" ELSE "end" - 1 END AS pos FROM reads)
             SELECT CAST(CASE WHEN p.strand = '-' THEN f."end" - 1 - pos ELSE pos - f."start" END * 10 // (f."end" - f."start") AS BIGINT) AS bin, count(*) AS n, round(count(*) / (SELECT count(*) FROM f), 6) AS per_feature
             FROM p JOIN f ON p.chrom = f.chrom AND p.strand = f.strand AND pos >= f."start" AND pos < f."end" GROUP BY 1""",
         "gtf_to_bed12": """WITH x AS (SELECT 'tx' || l_orderkey AS id, CAST(l_linenumber AS HUGEINT) * 1000000000000 + l_partkey * 1000000 + CAST(trunc(l_extendedprice) AS BIGINT) AS line_no, 'chr' || (l_orderkey % 10) AS chrom,
@@ -283,12 +307,12 @@ def oracle_sql() -> dict[str, str]:
         "gtf_semi_filter": f"WITH {FEATURES}, {REGIONS} SELECT {genes} FROM features a WHERE chrom IN (SELECT chrom FROM regions WHERE keep)",
         "skip_chromosomes": f"WITH {FEATURES} SELECT chrom, \"start\", \"end\" FROM features WHERE chrom NOT IN ('chr3', '_random', 'chr')",
         "chrom_sizes": "SELECT source AS chrom, CAST(sum(length(coalesce(text, ''))) AS BIGINT) AS length FROM documents GROUP BY source",
-        "fasta_to_gtf": """SELECT 'doc' || doc_id AS chrom, 'custom' AS source, 'exon' AS feature, CAST(1 AS BIGINT) AS "start", length(coalesce(text, '')) AS "end", '.' AS score, '+' AS strand, '.' AS frame,
-            replace('gene_id "X"; transcript_id "X"; exon_number "1"; gene_name "X"; transcript_name "X"; exon_id "X.1";', 'X', 'doc' || doc_id) AS attributes FROM documents""",
+        "fasta_to_gtf": """SELECT 'doc' || doc_id AS chrom, 'transgene' AS source, 'exon' AS feature, CAST(1 AS BIGINT) AS "start", length(coalesce(text, '')) AS "end", '.' AS score, '+' AS strand, '.' AS frame,
+            replace('gene_id "X"; gene_name "X"; transcript_id "X"; gene_biotype "X"; gene_type "X"', 'X', 'doc' || doc_id) AS attributes FROM documents""",
         "fastqc_per_base": "SELECT CAST(i - 1 AS INT) AS pos, substr(text, i, 1) AS base, count(*) AS n FROM (SELECT text, unnest(range(1, length(text) + 1)) AS i FROM documents) GROUP BY ALL",
         "fastqc_length_hist": "SELECT length(coalesce(text, '')) AS length, count(*) AS n FROM documents GROUP BY 1",
         "fastqc_gc_hist": "SELECT CAST(round(100 * length(regexp_replace(upper(text), '[^GC]', '', 'g')) / length(text)) AS BIGINT) AS gc, count(*) AS n FROM documents WHERE length(text) > 0 GROUP BY 1",
-        "fastqc_overrepresented": "SELECT substr(coalesce(text, ''), 1, 50) AS seq, count(*) AS n, round(100 * count(*) / (SELECT count(*) FROM documents), 6) AS percent FROM documents GROUP BY 1 HAVING percent >= 0.2",
+        "fastqc_overrepresented": "SELECT coalesce(text, '') AS seq, count(*) AS n, round(100 * count(*) / (SELECT count(*) FROM documents), 6) AS percent FROM documents GROUP BY 1 HAVING percent >= 0.2",
         "fastp_trim_filter": "WITH a AS (SELECT CAST(doc_id AS VARCHAR) || '_' || substr(text, 1, 6) AS name, substr(text, 7) AS s FROM documents), b AS (SELECT name, substr(s, 2, greatest(length(s) - 3, 0)) AS s FROM a), c AS (SELECT name, CASE WHEN position('Licensed' IN s) > 0 THEN substr(s, 1, position('Licensed' IN s) - 1) ELSE s END AS s FROM b) SELECT name, md5(s) AS seq_md5, length(s) AS length FROM c WHERE length(s) >= 100",
         "session_merge_events": """WITH x AS (SELECT *, CASE WHEN lag(ts) OVER w IS NULL OR ts >= lag(ts) OVER w + INTERVAL 2 HOUR THEN 1 ELSE 0 END AS o FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)), y AS (SELECT *, sum(o) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS g FROM x)
             SELECT user_id, CAST(floor(epoch(min(ts))) AS BIGINT) AS "start", CAST(floor(epoch(max(ts) + INTERVAL 2 HOUR)) AS BIGINT) AS "end", count(*) AS n, round(sum(value), 4) AS total FROM y GROUP BY user_id, g""",

@@ -1,6 +1,7 @@
 """The corpus operators against brute force, and on awkward tables: nulls, empty and long texts, repeated rows, clashing columns."""
 
 import collections
+import datetime
 import hashlib
 import math
 import random
@@ -129,6 +130,17 @@ def test_token_files(spark, docs, rows, empty, odd, tmp_path):
     assert sorted((r.start, r.n_tokens) for r in token_files.token_files(odd).collect())[-1][0] > 0 and token_files.token_files(odd).count() == 5
 
 
+def test_hosts(spark):
+    """Addresses stay whole, the final dot goes, a clashing column and a very long URL do no harm."""
+    at = datetime.datetime(2024, 1, 5)
+    urls = ["http://[2001:db8::1]:80/x", "http://10.1.2.3/", "https://u:p@Sub.Bad.example.:443/q", "http://x.ok.example/" + "a" * 100_000, "mailto:x", None]
+    pages = spark.createDataFrame([(i, u, at, "clash") for i, u in enumerate(urls)], "page_id long, url string, fetched_at timestamp, domain string")
+    entries = spark.createDataFrame([("l", d, datetime.datetime(2024, 1, 1), True) for d in ("2.3", "bad.example.", "[2001:db8::1]")], "list string, domain string, at timestamp, listed boolean")
+    got = {r.page_id: r for r in url_filter.evaluate(pages, entries).collect()}
+    assert [got[i].host for i in range(6)] == ["[2001:db8::1]", "10.1.2.3", "sub.bad.example", "x.ok.example", None, None]
+    assert [got[i].blocked for i in range(6)] == [True, False, True, False, False, False] and got[2].matched_domain == "bad.example" and got[0].fetched_at == at
+
+
 def test_perfect_hash():
     keys = token_files.mix64(np.arange(5000, dtype=np.uint64))
     hashed = token_files.PerfectHash.load(token_files.PerfectHash.of(keys).dump())

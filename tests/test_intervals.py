@@ -159,6 +159,9 @@ def test_formats(spark, tmp_path):
     (tmp_path / "x.bed").write_text("#h\ntrack x\na\t1\t5\nb\t2\t3\n")
     assert tuples(formats.read_fasta(spark, str(tmp_path / "x.fa"))) == [("s1 first", "ACGTAC"), ("s2", "GG")]
     assert tuples(formats.read_fastq(spark, str(tmp_path / "x.fq")).select("name", "seq"))[1] == ("r2", "AC")
+    (tmp_path / "cut.fq").write_text("@r1 x\nACGT\n+\n@III\n@r2\nAC\n+\n")
+    with pytest.raises(Exception, match="within a record"):
+        formats.read_fastq(spark, str(tmp_path / "cut.fq")).collect()
     sam = formats.read_sam(spark, str(tmp_path / "x.sam")).first()
     assert (sam.start, sam.end, sam.strand, sam.tags) == (10, 14, "-", {"NM": "0", "XX": "a:b"})
     beds = formats.read_bed(spark, str(tmp_path / "x.bed"))

@@ -44,7 +44,11 @@ def read_fasta(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_fastq(spark: SparkSession, path: str) -> DataFrame:
-    """name, seq, qual of four-line records, for gzip files or files of one split each (a quality line may start with '@')."""
+    """name, seq, qual of four-line records (a quality line may start with '@').
+
+    For gzip files, or files of one split each: a split that starts or ends within a record is an error, as is a file that ends in one.
+    """
+    broken = "a split or a file ends within a record: compress the file, or raise spark.sql.files.maxPartitionBytes over its size"
 
     def records(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[str] = []
@@ -53,10 +57,14 @@ def read_fastq(spark: SparkSession, path: str) -> DataFrame:
             for line in b.column(0).to_pylist():
                 held.append(line or "")
                 if len(held) == 4:
+                    if not (held[0].startswith("@") and held[2].startswith("+")):
+                        raise ValueError(broken)
                     out.append((held[0][1:].split()[0] if held[0][1:].split() else "", held[1], held[3]))
                     held = []
             names, seqs, quals = zip(*out, strict=True) if out else ((), (), ())
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.string()) for x in (names, seqs, quals)], ["name", "seq", "qual"])
+        if any(held):
+            raise ValueError(broken)
 
     return spark.read.text(path).mapInArrow(records, "name string, seq string, qual string")
 

@@ -297,6 +297,8 @@ def _scan(buckets: int, length: int, part: int):
                         _row(block, _RECORDS, bucket, r["digest"][n], r["check"][n], r["fp"][n].astype(np.uint32), own_ids[r["text"][n]], r["text"][n].astype(np.uint32), r["first"][n].astype(np.uint32), (r["anchor"][n] - r["first"][n]).astype(np.uint8), (r["last"][n] - r["first"][n]).astype(np.uint8))
                     )
                 yield _batch(rows)
+                del rows, r, flat, own
+                pa.default_memory_pool().release_unused()
 
     return scan
 

@@ -132,8 +132,12 @@ def _encoded(docs: DataFrame, path: str, end_id: int, cut_points: list[int]) ->
                 close = np.array([end_id], wide).tobytes()
                 raw = [data[a * size : b * size] + close for a, b in zip(cut.tolist(), cut[1:].tolist(), strict=False)]
                 piece = batch.slice(at, end - at)
+                del ids
                 yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(span[at:end]), pa.array([size] * piece.num_rows, pa.int32()), pa.array(raw, pa.binary())], ["doc_id", "span", "width", "ids"])
 
+            del words, index, lower, flat, starts, lengths
+            pa.default_memory_pool().release_unused()
+
     return docs.select("doc_id", "text").mapInArrow(encode, "doc_id long, span int, width int, ids binary")
 
 

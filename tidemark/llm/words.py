@@ -24,7 +24,7 @@ BYTE_PATTERN = r"(?U)'(?:[stmd]|re|ve|ll)| ?+(?:\p{L}++|\p{N}++|[^\s\p{L}\p{N}]+
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|\pL+|\pN|[^\s\pL\pN]+"
 #: Special tokens, and code points that Java's older Unicode tables do not know as letters or numbers.
 UNSAFE = r"<\|(?:start|end)oftext\|>|\p{Cn}"
-AT_ONCE, MOST_KEPT = 16_384, 250_000
+AT_ONCE, MOST_KEPT = 16_384, 150_000
 
 
 @dataclass(frozen=True)

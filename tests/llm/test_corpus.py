@@ -228,17 +228,23 @@ def test_near_dedup(docs, rows, empty, odd):
     assert minhash.drop_near_copies(docs).columns == docs.columns
 
 
-def test_near_dedup_of_many_copies(spark):
-    """Copies of one text that differ too much from each other but not all from it: pivots, the bound and the items beyond are used."""
+@pytest.mark.parametrize("small", [0, 32])
+def test_near_dedup_of_many_copies(spark, small, monkeypatch):
+    """Copies of one text that differ too much from each other but not all from it, and texts that share a passage: differences from
+    pivots and both ways for sets far from them are used, and few pairs are left to compare."""
     rng = random.Random(9)
     base = [f"w{i}" for i in range(150)]
     texts = []
     for k in range(150):
         w = list(base)
-        for at in rng.sample(range(150), rng.choice((2, 8, 14))):
+        for at in rng.sample(range(150), rng.choice((2, 8, 14, 40))):
             w[at] = f"v{rng.randint(0, 25)}"
         texts.append(" ".join(w))
-    got = by_id(minhash.near_dedup(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), 2))
+    for k in range(60):  # half of each is shared
+        texts.append(" ".join([f"s{i}" for i in range(40)] + [f"own{k // 2}.{i}" for i in range(34)] + [f"end{k}.{i}" for i in range(3)]))
+    open_pairs, left = minhash._open_pairs, []
+    monkeypatch.setattr(minhash, "_open_pairs", lambda *args: left.append(open_pairs(*args)) or left[-1])
+    got = by_id(minhash.near_dedup(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), 2, small=small))
     sets = [set(zip(t.split(), t.split()[1:], strict=False)) for t in texts]
     root = list(range(len(sets)))
     for i in range(len(sets)):
@@ -247,6 +253,7 @@ def test_near_dedup_of_many_copies(spark):
                 a, b = root[i], root[j]
                 root = [min(a, b) if x in (a, b) else x for x in root]
     assert [got[i].component_id for i in range(len(sets))] == root and 1 < len(set(root)) < 150
+    assert left and left[0].count() < 2000
 
 
 def test_components(spark):

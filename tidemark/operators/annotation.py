@@ -93,6 +93,25 @@ def gff_to_gtf(gff: DataFrame) -> DataFrame:
     return named.withColumn("attributes", F.format_string('transcript_id "%s"; gene_id "%s";', "transcript_id", "gene_id")).select(*gff.columns)
 
 
+def transcript_table(gtf: DataFrame) -> DataFrame:
+    """gene_id, tx_name, chrom, strand, start, end (0-based, half-open), exons of every transcript of a GTF table, from its exon lines.
+
+    Transcripts of one name on several contigs or strands stay apart; lines without a transcript_id go; a missing gene_id is null.
+    """
+    rows = gtf.where("feature = 'exon'").select(attribute(F.col("attributes"), "gene_id").alias("gene_id"), attribute(F.col("attributes"), "transcript_id").alias("tx_name"), "chrom", "strand", "start", "end")
+    by = rows.where("tx_name IS NOT NULL").groupBy("tx_name", "chrom", "strand")
+    out = by.agg(F.min("gene_id").alias("gene_id"), (F.min("start") - 1).cast("long").alias("start"), F.max("end").cast("long").alias("end"), F.count(F.lit(1)).alias("exons"))
+    return out.select("gene_id", "tx_name", "chrom", "strand", "start", "end", "exons")
+
+
+def gc_content(sequences: DataFrame) -> DataFrame:
+    """chrom, bases, gc: the share of G and C among A, C, G and T; null without any of them. Sequences may come in several lines each."""
+    seq = F.upper("seq")
+    count = lambda letters: F.sum(F.length(F.regexp_replace(seq, f"[^{letters}]", "")))
+    by = sequences.groupBy(F.split("header", r"\s+")[0].alias("chrom")).agg(count("ACGT").alias("bases"), count("GC").alias("gc"))
+    return by.select("chrom", "bases", F.when(F.col("bases") > 0, F.round(F.col("gc") / F.col("bases"), 6)).alias("gc"))
+
+
 def consensus(transcripts: DataFrame) -> DataFrame:
     """One interval per gene from its isoforms: the part common to all, or their union where they have none. gene, chrom, strand, start, end."""
     by = transcripts.groupBy("gene", "chrom", "strand").agg(F.max("start").alias("inner_start"), F.min("end").alias("inner_end"), F.min("start").alias("start"), F.max("end").alias("end"))

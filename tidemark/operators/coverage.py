@@ -58,6 +58,22 @@ def per_contig(depth: DataFrame, sizes: DataFrame) -> DataFrame:
     )
 
 
+def median_depth(depth: DataFrame, sizes: DataFrame) -> DataFrame:
+    """chrom, median_depth: the smallest depth that at least half of a contig's bases do not exceed, uncovered ones included."""
+    covered = depth.groupBy("chrom", "depth").agg(F.sum(F.col("end") - F.col("start")).alias("bases"))
+    bare = sizes.join(covered.groupBy("chrom").agg(F.sum("bases").alias("bases")), "chrom", "left")
+    bare = bare.select("chrom", F.lit(0).cast("long").alias("depth"), (F.col("length") - F.coalesce("bases", F.lit(0))).alias("bases"))
+    upto = W.partitionBy("chrom").orderBy("depth").rowsBetween(W.unboundedPreceding, 0)  # a row for each depth that occurs
+    sums = bare.unionByName(covered).withColumn("upto", F.sum("bases").over(upto)).join(sizes, "chrom")
+    return sums.where(2 * F.col("upto") >= F.col("length")).groupBy("chrom").agg(F.min("depth").alias("median_depth"))
+
+
+def strand_reads(reads: DataFrame, sizes: DataFrame) -> DataFrame:
+    """chrom, plus_reads, minus_reads of every contig, 0 included."""
+    n = reads.groupBy("chrom").agg(F.count_if(F.col("strand") == "+").alias("plus_reads"), F.count_if(F.col("strand") == "-").alias("minus_reads"))
+    return sizes.select("chrom").join(n, "chrom", "left").fillna(0, ["plus_reads", "minus_reads"])
+
+
 def depth_histogram(depth: DataFrame) -> DataFrame:
     """depth, bases."""
     return depth.groupBy("depth").agg(F.sum(F.col("end") - F.col("start")).alias("bases"))

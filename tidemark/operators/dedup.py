@@ -142,8 +142,12 @@ def extrapolate(n_j: np.ndarray, times: np.ndarray, terms: int = 20) -> np.ndarr
     return np.zeros(len(times))
 
 
-def lc_extrap(histogram: DataFrame, steps: int = 10, step: float = 1.0) -> DataFrame:
-    """Expected distinct molecules at multiples of the reads: total_reads, expected_distinct. The histogram is short: one row per multiplicity."""
+def lc_extrap(histogram: DataFrame, steps: int = 10, step: float = 1.0, bootstraps: int = 0, level: float = 0.95, seed: int = 0) -> DataFrame:
+    """Expected distinct molecules at multiples of the reads: total_reads, expected_distinct. The histogram is short: one row per multiplicity.
+
+    With bootstraps also lower and upper: the middle `level` of the yields of so many histograms, drawn from this one.
+    """
+    with_range = ", lower double, upper double" if bootstraps else ""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pdf = pd.concat(list(frames))
@@ -152,6 +156,12 @@ def lc_extrap(histogram: DataFrame, steps: int = 10, step: float = 1.0) -> DataF
         n_j = np.zeros(int(pdf["j"].max()))
         n_j[pdf["j"].to_numpy() - 1] = pdf["n_j"]
         total, times = float((pdf["j"] * pdf["n_j"]).sum()), np.arange(0, steps + 1) * step
-        yield pd.DataFrame({"total_reads": total * (1 + times), "expected_distinct": n_j.sum() + extrapolate(n_j, times)})
-
-    return histogram.coalesce(1).mapInPandas(run, "total_reads double, expected_distinct double")
+        out = pd.DataFrame({"total_reads": total * (1 + times), "expected_distinct": n_j.sum() + extrapolate(n_j, times)})
+        if bootstraps:
+            rng = np.random.default_rng(seed)
+            draws = rng.multinomial(int(n_j.sum()), n_j / n_j.sum(), bootstraps)
+            yields = np.array([d.sum() + extrapolate(d, times) for d in draws])
+            out["lower"], out["upper"] = np.quantile(yields, ((1 - level) / 2, (1 + level) / 2), axis=0)
+        yield out
+
+    return histogram.coalesce(1).mapInPandas(run, "total_reads double, expected_distinct double" + with_range)

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.functions import alignment as al
 
-from .intervals import overlap_join
+from .intervals import merge_intervals, overlap_join
 
 PRIMARY = al.SECONDARY | al.SUPPLEMENTARY
 
@@ -126,6 +127,48 @@ def junctions(introns: DataFrame, known: DataFrame) -> DataFrame:
     return seen.select("chrom", "start", "end", "reads", F.when(F.col("whole"), "annotated").when(F.coalesce("left", "right"), "partial_novel").otherwise("complete_novel").alias("class"))
 
 
+def junction_saturation(introns: DataFrame, known: DataFrame, deal: Column, step: int = 5, least: int = 1) -> DataFrame:
+    """Junctions seen with at least `least` reads among growing shares of the reads: percent, known, novel.
+
+    deal: a number from 0 to 99 for each read, which says from which percent on it counts. One pass serves all shares.
+    """
+    place = ["chrom", "start", "end"]
+    from_ = ((F.floor(deal / step) + 1) * step).cast("long")
+    n = introns.groupBy(*place, from_.alias("percent")).agg(F.count(F.lit(1)).alias("n"))  # a row at most for each share
+    so_far = F.sum("n").over(W.partitionBy(*place).orderBy("percent").rowsBetween(W.unboundedPreceding, 0))
+    first = n.withColumn("n", so_far).where(F.col("n") >= least).groupBy(*place).agg(F.min("percent").alias("percent"))
+    named = first.join(known.select(*place, F.lit(True).alias("known")).distinct(), place, "left")
+    by = named.groupBy("percent").agg(F.count_if("known").alias("known"), F.count_if(F.col("known").isNull()).alias("novel"))
+    shares = introns.sparkSession.range(step, 101, step).select(F.col("id").alias("percent"))
+    upto = W.orderBy("percent").rowsBetween(W.unboundedPreceding, 0)  # 100 / step rows
+    return shares.join(by, "percent", "left").select("percent", *[F.sum(F.coalesce(c, F.lit(0))).over(upto).alias(c) for c in ("known", "novel")])
+
+
+def transcript_integrity(depth: DataFrame, exons: DataFrame) -> DataFrame:
+    """transcript, length, bases, tin: 100 times the exponential of the entropy of a transcript's depth, by its length; 0 without reads.
+
+    depth: runs of equal depth (chrom, start, end, depth); exons: transcript, chrom, start, end, of which overlapping ones count once.
+    All positions count, not a sample of them.
+    """
+    parts = merge_intervals(exons, ("transcript", "chrom"))
+    length = parts.groupBy("transcript").agg(F.sum(F.col("end") - F.col("start")).alias("length"))
+    pairs = overlap_join(parts.select("transcript", "chrom", "start", "end"), depth.select("chrom", "start", "end", "depth"))
+    width = F.least("a_end", "b_end") - F.greatest("a_start", "b_start")
+    sums = pairs.groupBy(F.col("a_transcript").alias("transcript")).agg(F.sum(width * F.col("b_depth")).alias("bases"), F.sum(width * F.col("b_depth") * F.log("b_depth")).alias("logs"))
+    tin = 100 * F.exp(F.log("bases") - F.col("logs") / F.col("bases")) / F.col("length")
+    return length.join(sums, "transcript", "left").select("transcript", "length", F.coalesce("bases", F.lit(0)).alias("bases"), F.round(F.coalesce(tin, F.lit(0.0)), 6).alias("tin"))
+
+
+def histograms(alignments: DataFrame) -> DataFrame:
+    """sample, section, value, n in one pass: read lengths, mapping qualities, and insert sizes of first mates in proper pairs on one contig."""
+    f = F.col("flag")
+    insert = F.when(al.has(f, al.PROPER) & al.has(f, al.FIRST) & (F.col("mate_chrom") == F.col("chrom")), F.greatest("end", "mate_end") - F.least("start", "mate_start"))
+    sections = {"read_length": F.col("end") - F.col("start"), "mapq": F.col("mapq"), "insert_size": insert}
+    each = F.array(*[F.struct(F.lit(name).alias("section"), value.cast("long").alias("value")) for name, value in sections.items()])
+    rows = alignments.where(al.lacks(f, al.UNMAPPED | PRIMARY)).select("sample", F.explode(each).alias("e")).where("e.value IS NOT NULL")
+    return rows.groupBy("sample", "e.section", "e.value").agg(F.count(F.lit(1)).alias("n"))
+
+
 def per_base(reads: DataFrame, seq: str = "seq") -> DataFrame:
     """Characters by position: pos (from 0), base, n."""
     chars = reads.select(F.posexplode(F.split(F.col(seq), "")).alias("pos", "base")).where("base <> ''")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import alignment as al
 
 from .intervals import merge_intervals, overlap_join
+from .samples import mix
 
 
 def assign(reads: DataFrame, features: DataFrame, strandedness: int = 0, least_mapq: int = 0, both_ends: bool = False, chimeric: bool = True) -> DataFrame:
@@ -37,6 +38,15 @@ def assign(reads: DataFrame, features: DataFrame, strandedness: int = 0, least_m
     return out.select("id", "sample", F.when(status == "Assigned", F.col("low")).alias("gene"), status.alias("status"))
 
 
+def assign_each(reads: DataFrame, annotations: dict[str, DataFrame], **options) -> DataFrame:
+    """assign for every pair of a replicate group and an annotation: annotation, group, id, sample, gene (as text), status."""
+    parts = []
+    for name, features in annotations.items():  # a few tables of features
+        of = assign(reads, features, **options).withColumn("gene", F.col("gene").cast("string"))
+        parts.append(of.select(F.lit(name).alias("annotation"), al.group_of(F.col("sample")).alias("group"), "id", "sample", "gene", "status"))
+    return mix(*parts)
+
+
 def lengths(features: DataFrame) -> DataFrame:
     """gene, length: bases of the union of a gene's features."""
     merged = merge_intervals(features, ("gene", "chrom"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 FASTQ = r"^\S+\.f(ast)?q\.gz$"
@@ -48,6 +48,33 @@ def mix(*tables: DataFrame) -> DataFrame:
     return reduce(lambda x, y: x.unionByName(y), tables)
 
 
+def common(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Distinct rows that both tables hold; columns by name, nulls equal each other."""
+    return a.intersect(b.select(*a.columns))
+
+
+def without(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Distinct rows of a that b does not hold; columns by name, nulls equal each other."""
+    return a.subtract(b.select(*a.columns))
+
+
+def look_up(key: Column, values: dict[str, str], default: str | None = None) -> Column:
+    """The value of a key in a small map of parameters, or the default: for a key that is not there or null."""
+    pairs = [F.lit(x) for pair in values.items() for x in pair]
+    return F.coalesce(F.try_element_at(F.create_map(*pairs), key), F.lit(default)) if pairs else F.lit(default)
+
+
+def file_key(path: Column, cut: str = r"[._]") -> Column:
+    """The key in a file's path, such as input_file_name(): its name up to the first dot or underscore; null without one."""
+    return F.nullif(F.split(F.element_at(F.split(path, "/"), -1), cut)[0], F.lit(""))
+
+
+def merge_runs(runs: DataFrame) -> DataFrame:
+    """sample, mate, files: the files of a sample's runs (sample, fastqs) by their place in each run, first mates (1) and second ones (2)."""
+    rows = runs.select("sample", F.posexplode("fastqs").alias("at", "file"))
+    return rows.groupBy("sample", (F.col("at") % 2 + 1).cast("long").alias("mate")).agg(F.sort_array(F.collect_list("file")).alias("files"))
+
+
 def default_row(table: DataFrame, row: dict) -> DataFrame:
     """table, or one given row if it is empty."""
     other = table.sparkSession.createDataFrame([row], table.schema)

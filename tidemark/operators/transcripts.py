@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import alignment as al
 
-from .intervals import count_overlaps, overlap_join
+from .intervals import STRETCH, count_overlaps, merge_intervals, overlap_join
 
 
 def grid(spark: SparkSession, uts: tuple[int, int, int] = (5, 45, 5), ltprobb: tuple[int, int, int] = (-100, -400, -50)) -> DataFrame:
@@ -94,11 +94,21 @@ def density(reads: DataFrame, features: DataFrame, bins: int = 100) -> DataFrame
     return counts.crossJoin(F.broadcast(total)).select("bin", "n", F.round(F.col("n") / F.col("features"), 6).alias("per_feature"))  # one row
 
 
-def active_stretches(counts: DataFrame, keys: tuple[str, ...], gap: int) -> DataFrame:
-    """counts (keys, bin, n) with stretch: bins at most `gap` apart. Segmentation then runs stretch by stretch, not contig by contig."""
-    w = W.partitionBy(*keys).orderBy("bin")
-    opens = F.when(F.coalesce(F.col("bin") - F.lag("bin").over(w) > gap, F.lit(True)), F.col("bin"))
-    return counts.withColumn("stretch", F.max(opens).over(w.rowsBetween(W.unboundedPreceding, 0)))
+def active_stretches(counts: DataFrame, keys: tuple[str, ...], gap: int, block: int = STRETCH) -> DataFrame:
+    """counts (keys, bin, n) with stretch: bins at most `gap` apart. Segmentation then runs stretch by stretch, not contig by contig.
+
+    Gaps are found within blocks of bins; one row a block carries the last bin and the last opening on to the next.
+    """
+    keys = list(keys)
+    rows = counts.withColumn("_block", F.floor(F.col("bin") / block))
+    along = W.partitionBy(*keys).orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
+    within = W.partitionBy(*keys, "_block").orderBy("bin")
+    last = rows.groupBy(*keys, "_block").agg(F.max("bin").alias("_last")).select(*keys, "_block", F.max("_last").over(along).alias("_before"))
+    rows = rows.join(last, [*keys, "_block"]).withColumn("_before", F.coalesce(F.lag("bin").over(within), "_before"))
+    rows = rows.withColumn("_opens", F.when(F.col("_before").isNull() | (F.col("bin") - F.col("_before") > gap), F.col("bin")))
+    opened = rows.groupBy(*keys, "_block").agg(F.max("_opens").alias("_open")).select(*keys, "_block", F.max("_open").over(along).alias("_open"))
+    rows = rows.join(opened, [*keys, "_block"])
+    return rows.select(*counts.columns, F.coalesce(F.max("_opens").over(within.rowsBetween(W.unboundedPreceding, 0)), "_open").alias("stretch"))
 
 
 def _segments(states: np.ndarray) -> list[tuple[int, int]]:
@@ -225,21 +235,42 @@ def _poisson_tail(n: np.ndarray, rate: np.ndarray) -> np.ndarray:
     return np.where(n > 0, np.minimum(total, 1.0), 1.0)
 
 
+def on_contigs(rows: DataFrame, prefixes: tuple[str, ...]) -> DataFrame:
+    """Rows of contigs whose name starts with one of the prefixes."""
+    hit = F.lit(False)
+    for p in prefixes:
+        hit |= F.col("chrom").startswith(p)
+    return rows.where(hit)
+
+
+def gather_peaks(peaks: DataFrame, gap: int = 0) -> DataFrame:
+    """Start sites (chrom, pos) of all contigs and strands, those at most `gap` bases apart as one: chrom, start, end, n (sites)."""
+    return merge_intervals(peaks.select("chrom", F.col("pos").alias("start"), (F.col("pos") + 1).alias("end")), gap=gap)
+
+
 def tss_peaks(ends: DataFrame, reach: int = 100, false_rate: float = 0.1, pair_distance: int = 300) -> DataFrame:
     """Start sites from 5'-end counts (chrom, strand, pos, n): positions far above the mean of their surroundings (Poisson tail, corrected
-    after Benjamini and Hochberg). chrom, strand, pos, n, p, kind: divergent if a peak of the other strand is near, else unidirectional."""
-    w = W.partitionBy("chrom", "strand").orderBy("pos").rangeBetween(-reach, reach)
-    local = ends.withColumn("rate", F.greatest((F.sum("n").over(w) - F.col("n")) / F.lit(2.0 * reach), F.lit(1.0 / reach)))
+    after Benjamini and Hochberg). chrom, strand, pos, n, p, kind: divergent if a peak of the other strand is near, else unidirectional.
+
+    Surroundings are summed by blocks of positions with copies of what lies within `reach` of their edges, ranks by buckets of p."""
+    block = max(STRETCH, reach)
+    own = F.floor(F.col("pos") / block)
+    spread = ends.select("chrom", "strand", "pos", "n", own.alias("own"), F.explode(F.sequence(F.floor((F.col("pos") - reach) / block), F.floor((F.col("pos") + reach) / block))).alias("block"))
+    w = W.partitionBy("chrom", "strand", "block").orderBy("pos").rangeBetween(-reach, reach)
+    local = spread.withColumn("rate", F.greatest((F.sum("n").over(w) - F.col("n")) / F.lit(2.0 * reach), F.lit(1.0 / reach))).where("block = own")
 
     def test(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
             yield pdf.assign(p=np.round(np.maximum(_poisson_tail(pdf["n"].to_numpy(), pdf["rate"].to_numpy()), 1e-300), 12))[["chrom", "strand", "pos", "n", "p"]]
 
     tested = local.select("chrom", "strand", "pos", "n", "rate").mapInPandas(test, "chrom string, strand string, pos long, n long, p double")
-    levels = tested.groupBy("p").agg(F.count(F.lit(1)).alias("m"))  # p-values are rounded: few distinct ones
-    below = W.orderBy("p").rowsBetween(W.unboundedPreceding, 0)
-    total = levels.agg(F.sum("m").alias("total"))
-    ranked = levels.withColumn("rank", F.sum("m").over(below)).crossJoin(F.broadcast(total))
+    levels = tested.groupBy("p").agg(F.count(F.lit(1)).alias("m")).withColumn("bucket", F.floor(F.col("p") * 4096))
+    buckets = levels.groupBy("bucket").agg(F.sum("m").alias("m"))  # 4,097 rows at most
+    before = W.orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
+    every = W.orderBy("bucket").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    buckets = buckets.select("bucket", F.coalesce(F.sum("m").over(before), F.lit(0)).alias("base"), F.sum("m").over(every).alias("total"))
+    within = W.partitionBy("bucket").orderBy("p").rowsBetween(W.unboundedPreceding, 0)
+    ranked = levels.join(F.broadcast(buckets), "bucket").withColumn("rank", F.col("base") + F.sum("m").over(within))
     limit = ranked.where(F.col("p") <= false_rate * F.col("rank") / F.col("total")).agg(F.max("p").alias("limit"))
     peaks = tested.crossJoin(F.broadcast(limit)).where("p <= limit").drop("limit")
     around = peaks.select("chrom", F.translate("strand", "+-", "-+").alias("strand"), (F.col("pos") - pair_distance).alias("start"), (F.col("pos") + pair_distance + 1).alias("end"))

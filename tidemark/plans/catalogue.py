@@ -120,6 +120,9 @@ def _classes(spark: SparkSession, d: str) -> DataFrame:
     return f.select("chrom", "start", "end", F.when(F.col("gene") % 3 == 0, "cds").when(F.col("gene") % 3 == 1, "utr").otherwise("intron").alias("class"), (F.col("gene") % 3).alias("priority"))
 
 
+_DEAL = "CAST(conv(substring(md5(concat_ws(':', chrom, start, `end`, mapq, umi, sample)), 1, 6), 16, 10) AS BIGINT) % 100"
+
+
 def _texts(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("name"), F.coalesce("text", F.lit("")).alias("seq"))
 
@@ -204,6 +207,21 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "tss_peaks": _peaks,
         "umi_dedup_directional": lambda s, d: dedup.directional_umis(_ends(s, d)),
         "lc_extrap": lambda s, d: dedup.lc_extrap(dedup.complexity_histogram(_ends(s, d), "chrom", "pos", "strand", "umi")),
+        "lc_extrap_range": lambda s, d: dedup.lc_extrap(dedup.complexity_histogram(_ends(s, d), "chrom", "pos", "strand", "umi"), bootstraps=100),
+        "junction_saturation": lambda s, d: qc.junction_saturation(reads(s, d), bed(features(s, d)), F.expr(_DEAL)),
+        "transcript_integrity": lambda s, d: qc.transcript_integrity(c(reads(s, d)), features(s, d).withColumn("transcript", F.floor(F.col("gene") / 20))),
+        "alignment_histograms": lambda s, d: qc.histograms(reads(s, d)),
+        "pileup_median": lambda s, d: coverage.median_depth(c(reads(s, d)), sizes(s, d)),
+        "pileup_strands": lambda s, d: coverage.strand_reads(reads(s, d), sizes(s, d)),
+        "pileup_gc": lambda s, d: annotation.gc_content(table(s, d, "documents").selectExpr("concat(source, ' ', lang) AS header", "coalesce(text, '') AS seq")),
+        "transcript_table": lambda s, d: annotation.transcript_table(proxies.exons(s, d).withColumn("attributes", F.expr("""concat('gene_id "g', CAST(substring(transcript_id, 3) AS BIGINT) DIV 4, '"; transcript_id "', transcript_id, '";')"""))),
+        "peaks_gather": lambda s, d: transcripts.gather_peaks(transcripts.on_contigs(_ends(s, d).groupBy("chrom", "strand", "pos").count().where("count >= 3"), ("chr",)), 2),
+        "tss_peaks_gather": lambda s, d: transcripts.gather_peaks(_peaks(s, d).where("kind = 'unidirectional'")),
+        "featurecounts_groups": lambda s, d: quantify.assign_each(_ids(reads(s, d)), {"genes": features(s, d), "predicted": intervals.bed_to_saf(_calls(s, d)).withColumnRenamed("gene_id", "gene")}, least_mapq=10).groupBy("annotation", "group", "status").agg(F.count(F.lit(1)).alias("n")),
+        "set_common": lambda s, d: samples.common(table(s, d, "customer").selectExpr("c_nationkey AS k", "c_mktsegment AS v"), table(s, d, "customer").where("c_acctbal < 0").selectExpr("c_mktsegment AS v", "c_nationkey AS k")),
+        "set_without": lambda s, d: samples.without(table(s, d, "customer").selectExpr("c_nationkey AS k", "c_mktsegment AS v"), table(s, d, "customer").where("c_acctbal < 0").selectExpr("c_mktsegment AS v", "c_nationkey AS k")),
+        "look_up_default": lambda s, d: table(s, d, "customer").select("c_custkey", samples.look_up(F.col("c_mktsegment"), {"BUILDING": "b", "MACHINERY": "m"}, "other").alias("short")),
+        "merge_runs": lambda s, d: samples.merge_runs(_sheet(s, d).select("sample", F.array_compact(F.array("fastq_1", "fastq_2")).alias("fastqs"))).withColumn("files", F.array_join("files", ",")),
     }
 
 
@@ -316,6 +334,38 @@ def oracle_sql() -> dict[str, str]:
         "fastp_trim_filter": "WITH a AS (SELECT CAST(doc_id AS VARCHAR) || '_' || substr(text, 1, 6) AS name, substr(text, 7) AS s FROM documents), b AS (SELECT name, substr(s, 2, greatest(length(s) - 3, 0)) AS s FROM a), c AS (SELECT name, CASE WHEN position('Licensed' IN s) > 0 THEN substr(s, 1, position('Licensed' IN s) - 1) ELSE s END AS s FROM b) SELECT name, md5(s) AS seq_md5, length(s) AS length FROM c WHERE length(s) >= 100",
         "session_merge_events": """WITH x AS (SELECT *, CASE WHEN lag(ts) OVER w IS NULL OR ts >= lag(ts) OVER w + INTERVAL 2 HOUR THEN 1 ELSE 0 END AS o FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)), y AS (SELECT *, sum(o) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS g FROM x)
             SELECT user_id, CAST(floor(epoch(min(ts))) AS BIGINT) AS "start", CAST(floor(epoch(max(ts) + INTERVAL 2 HOUR)) AS BIGINT) AS "end", count(*) AS n, round(sum(value), 4) AS total FROM y GROUP BY user_id, g""",
+        "umi_dedup_directional": f"""WITH RECURSIVE {READS}, {_ENDS}, c AS (SELECT *, row_number() OVER (PARTITION BY sample, chrom, strand, pos ORDER BY n DESC, umi) AS k FROM (SELECT sample, chrom, strand, pos, umi, count(*) AS n FROM ends GROUP BY ALL)),
+            step AS (SELECT a.sample, a.chrom, a.strand, a.pos, a.k AS a, b.k AS b FROM c a JOIN c b USING (sample, chrom, strand, pos) WHERE hamming(a.umi, b.umi) = 1 AND a.n >= 2 * b.n - 1),
+            reach AS (SELECT sample, chrom, strand, pos, k AS r, k AS v FROM c UNION SELECT sample, chrom, strand, pos, r, b FROM reach JOIN step USING (sample, chrom, strand, pos) WHERE a = v),
+            root AS (SELECT sample, chrom, strand, pos, v, min(r) AS r FROM reach GROUP BY ALL)
+            SELECT t.sample, t.chrom, t.strand, t.pos, m.umi, CAST(sum(o.n) AS BIGINT) AS reads, count(*) AS umis FROM root t JOIN c m ON m.sample = t.sample AND m.chrom = t.chrom AND m.strand = t.strand AND m.pos = t.pos AND m.k = t.r
+              JOIN c o ON o.sample = t.sample AND o.chrom = t.chrom AND o.strand = t.strand AND o.pos = t.pos AND o.k = t.v GROUP BY ALL""",
+        "junction_saturation": f"""WITH {READS}, {FEATURES}, x AS (SELECT chrom, "start", "end", min((CAST('0x' || substr(md5(concat_ws(':', chrom, "start", "end", mapq, umi, sample)), 1, 6) AS BIGINT) % 100 // 5 + 1) * 5) AS p FROM reads GROUP BY ALL),
+            y AS (SELECT p, (chrom, "start", "end") IN (SELECT (chrom, "start", "end") FROM features) AS known FROM x)
+            SELECT percent, count(*) FILTER (known) AS known, count(*) FILTER (NOT known) AS novel FROM (SELECT unnest(range(5, 101, 5)) AS percent) LEFT JOIN y ON p <= percent GROUP BY percent""",
+        "transcript_integrity": f"""WITH {READS}, {FEATURES}, {_runs('reads')}, t AS (SELECT gene // 20 AS transcript, chrom, "start", "end" FROM features), {_merged('t', 'transcript, chrom', 'ex')},
+            l AS (SELECT transcript, CAST(sum("end" - "start") AS BIGINT) AS length FROM ex GROUP BY 1),
+            x AS (SELECT transcript, least(a."end", b."end") - greatest(a."start", b."start") AS w, depth AS d FROM ex a JOIN runs b ON {OVER} WHERE depth <> 0),
+            y AS (SELECT transcript, CAST(sum(w * d) AS BIGINT) AS bases, sum(w * d * ln(d)) AS logs FROM x GROUP BY 1)
+            SELECT transcript, length, coalesce(bases, 0) AS bases, round(coalesce(100 * exp(ln(bases) - logs / bases) / length, 0), 6) AS tin FROM l LEFT JOIN y USING (transcript)""",
+        "alignment_histograms": f"""WITH {READS}, r AS (SELECT * FROM reads WHERE flag & 2308 = 0)
+            SELECT sample, 'read_length' AS section, "end" - "start" AS value, count(*) AS n FROM r GROUP BY ALL UNION ALL SELECT sample, 'mapq', mapq, count(*) FROM r GROUP BY ALL
+            UNION ALL SELECT sample, 'insert_size', greatest("end", mate_end) - least("start", mate_start), count(*) FROM r WHERE flag & 2 <> 0 AND flag & 64 <> 0 AND mate_chrom = chrom GROUP BY ALL""",
+        "pileup_median": f"""WITH {READS}, {SIZES}, {_runs('reads')}, b AS (SELECT chrom, depth, sum("end" - "start") AS bases FROM runs WHERE depth <> 0 GROUP BY ALL UNION ALL SELECT chrom, 0, length - (SELECT coalesce(sum("end" - "start"), 0) FROM runs WHERE runs.chrom = sizes.chrom AND depth <> 0) FROM sizes),
+            u AS (SELECT chrom, depth, sum(bases) OVER (PARTITION BY chrom ORDER BY depth) AS upto FROM b) SELECT chrom, CAST(min(depth) AS BIGINT) AS median_depth FROM u JOIN sizes USING (chrom) WHERE 2 * upto >= length GROUP BY chrom""",
+        "pileup_strands": f"WITH {READS} SELECT chrom, count(*) FILTER (strand = '+') AS plus_reads, count(*) FILTER (strand = '-') AS minus_reads FROM reads GROUP BY chrom",
+        "pileup_gc": "WITH x AS (SELECT source AS chrom, upper(coalesce(text, '')) AS s FROM documents), y AS (SELECT chrom, CAST(sum(length(regexp_replace(s, '[^ACGT]', '', 'g'))) AS BIGINT) AS bases, sum(length(regexp_replace(s, '[^GC]', '', 'g'))) AS n FROM x GROUP BY 1) SELECT chrom, bases, CASE WHEN bases > 0 THEN round(n / bases, 6) END AS gc FROM y",
+        "transcript_table": """SELECT 'g' || (l_orderkey // 4) AS gene_id, 'tx' || l_orderkey AS tx_name, 'chr' || (l_orderkey % 10) AS chrom, CASE WHEN l_orderkey % 2 = 0 THEN '+' ELSE '-' END AS strand,
+            CAST(min(l_orderkey % 1000 + l_linenumber * 100 + l_partkey % 40) - 1 AS BIGINT) AS "start", CAST(max(l_orderkey % 1000 + l_linenumber * 100 + l_partkey % 40 + CAST(l_quantity AS BIGINT)) AS BIGINT) AS "end", count(*) AS exons FROM lineitem WHERE l_linenumber <= 5 GROUP BY l_orderkey""",
+        "peaks_gather": f"""WITH {READS}, {_ENDS}, p AS (SELECT chrom, pos AS "start", pos + 1 AS "end" FROM ends WHERE starts_with(chrom, 'chr') GROUP BY chrom, strand, pos HAVING count(*) >= 3), {_merged('p').replace('> pm ', '> pm + 2 ')} SELECT * FROM merged""",
+        "featurecounts_groups": f"""WITH {READS}, {FEATURES}, {_CALLS}, r AS (SELECT *, row_number() OVER () AS rid FROM reads), f AS (SELECT 'genes' AS annotation, chrom, "start", "end", CAST(gene AS VARCHAR) AS gene FROM features UNION ALL SELECT 'predicted', chrom, "start", "end", chrom || '.' || "start" || '.' || "end" FROM calls),
+            hit AS (SELECT annotation, rid, min(gene) AS low, max(gene) AS high FROM r a JOIN f b ON {OVER} GROUP BY ALL)
+            SELECT n.annotation, split_part(sample, '_', 1) AS "group", CASE WHEN flag & 4 <> 0 THEN 'Unassigned_Unmapped' WHEN mapq < 10 THEN 'Unassigned_MappingQuality' WHEN flag & 256 <> 0 THEN 'Unassigned_Secondary' WHEN low IS NULL THEN 'Unassigned_NoFeatures' WHEN low <> high THEN 'Unassigned_Ambiguity' ELSE 'Assigned' END AS status, count(*) AS n
+            FROM r CROSS JOIN (SELECT DISTINCT annotation FROM f) n LEFT JOIN hit ON hit.rid = r.rid AND hit.annotation = n.annotation GROUP BY ALL""",
+        "set_common": "SELECT c_nationkey AS k, c_mktsegment AS v FROM customer INTERSECT SELECT c_nationkey, c_mktsegment FROM customer WHERE c_acctbal < 0",
+        "set_without": "SELECT c_nationkey AS k, c_mktsegment AS v FROM customer EXCEPT SELECT c_nationkey, c_mktsegment FROM customer WHERE c_acctbal < 0",
+        "look_up_default": "SELECT c_custkey, CASE c_mktsegment WHEN 'BUILDING' THEN 'b' WHEN 'MACHINERY' THEN 'm' ELSE 'other' END AS short FROM customer",
+        "merge_runs": f"WITH {_SHEET}, x AS (SELECT sample, 1 AS mate, fastq_1 AS file FROM sheet UNION ALL SELECT sample, 2, fastq_2 FROM sheet WHERE fastq_2 IS NOT NULL) SELECT sample, CAST(mate AS BIGINT) AS mate, string_agg(file, ',' ORDER BY file) AS files FROM x GROUP BY sample, mate",
         "windowed_events": 'SELECT event_type, CAST(epoch(date_trunc(\'hour\', ts)) AS BIGINT) AS "start", count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2',
     }
     return out

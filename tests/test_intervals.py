@@ -1,5 +1,6 @@
 """Interval operators against brute force, formats by round trip, queries against their SQL."""
 
+import math
 import os
 
 import duckdb
@@ -139,6 +140,86 @@ def test_pairs(spark):
     assert sorted((r.id, r.status) for r in status.collect()) == [("0", "Assigned"), ("65", "Unassigned_Chimera"), ("67", "Assigned"), ("73", "Assigned")]
 
 
+def test_stretches_across_blocks(spark):
+    """Gaps and stretches are the same however bins are dealt into blocks."""
+    rng = np.random.default_rng(7)
+    bins = sorted({(c, int(b)) for c in "ab" for b in rng.integers(0, 400, 60)})
+    table = spark.createDataFrame([(c, b, 1) for c, b in bins], "chrom string, bin long, n long")
+    want, open_ = {}, {}
+    for c, b in bins:
+        last = max((x for y, x in bins if y == c and x < b), default=None)
+        open_[c] = b if last is None or b - last > 9 else open_[c]
+        want[c, b] = open_[c]
+    for block in (3, 64, 1000):
+        got = {(r.chrom, r.bin): r.stretch for r in transcripts.active_stretches(table, ("chrom",), 9, block).collect()}
+        assert got == want
+
+
+def test_start_sites_at_block_edges(spark):
+    """A peak's surroundings are whole where a block of positions ends; the cut is that of one sorted list of p-values."""
+    edge, rng = 1 << 16, np.random.default_rng(2)
+    ends = {int(p): int(n) for p, n in zip(rng.integers(edge - 600, edge + 600, 300), rng.integers(1, 4, 300), strict=True)} | {edge - 2: 40, edge + 1: 30}
+    rows = [("c", "+", p, n) for p, n in ends.items()]
+    got = {r.pos: r.p for r in transcripts.tss_peaks(spark.createDataFrame(rows, "chrom string, strand string, pos long, n long")).collect()}
+    p = {}
+    for pos, n in ends.items():
+        rate = max(sum(m for q, m in ends.items() if abs(q - pos) <= 100 and q != pos) / 200, 0.01)
+        p[pos] = 1 - sum(math.exp(k * math.log(rate) - rate - math.lgamma(k + 1)) for k in range(n))
+    ranked = sorted(p.values())
+    limit = max((v for i, v in enumerate(ranked) if v <= 0.1 * (i + 1) / len(ranked)), default=-1)
+    assert set(got) == {pos for pos, v in p.items() if v <= limit} and {edge - 2, edge + 1} <= set(got)
+    assert all(abs(got[pos] - p[pos]) < 1e-9 for pos in got)
+
+
+def test_gather(spark):
+    sites = spark.createDataFrame([("chr1", 5), ("chr1", 7), ("chr1", 20), ("x1", 3)], "chrom string, pos long")
+    assert tuples(transcripts.gather_peaks(transcripts.on_contigs(sites, ("chr", "y")), 1)) == [("chr1", 5, 8, 2), ("chr1", 20, 21, 1)]
+    assert transcripts.on_contigs(sites, ()).count() == 0
+
+
+def test_junction_saturation(spark):
+    rows = [("c", 1, 9, d) for d in (0, 4, 30)] + [("c", 2, 9, 97)] + [("d", 1, 9, 50)]
+    introns, known = spark.createDataFrame(rows, "chrom string, start long, end long, deal long"), bed(spark, [("c", 1, 9), ("c", 1, 9)])
+    once, twice = ({r.percent: (r.known, r.novel) for r in qc.junction_saturation(introns, known, F.col("deal"), 5, n).collect()} for n in (1, 3))
+    assert (once[5], once[55], once[100], len(once)) == ((1, 0), (1, 1), (1, 2), 20) and (twice[30], twice[35], twice[100]) == ((0, 0), (1, 0), (1, 0))
+
+
+def test_transcript_integrity(spark):
+    """Even depth gives 100; depth on a quarter of a transcript 25; none 0; overlapping exons count once."""
+    exons = spark.createDataFrame([("t", "c", 0, 60), ("t", "c", 40, 100), ("u", "c", 200, 300), ("v", "d", 0, 9)], "transcript string, chrom string, start long, end long")
+    depth = spark.createDataFrame([("c", 0, 150, 3), ("c", 225, 250, 7)], "chrom string, start long, end long, depth long")
+    assert tuples(qc.transcript_integrity(depth, exons)) == [("t", 100, 300, 100.0), ("u", 100, 175, 25.0), ("v", 9, 0, 0.0)]
+
+
+def test_contigs(spark):
+    sizes = spark.createDataFrame([("c", 10), ("d", 10)], "chrom string, length long")
+    depth = spark.createDataFrame([("c", 0, 4, 2), ("c", 4, 7, 5)], "chrom string, start long, end long, depth long")
+    assert tuples(coverage.median_depth(depth, sizes)) == [("c", 2), ("d", 0)]
+    reads = spark.createDataFrame([("c", "+"), ("c", "-"), ("c", "+")], "chrom string, strand string")
+    assert tuples(coverage.strand_reads(reads, sizes)) == [("c", 2, 1), ("d", 0, 0)]
+    sequences = spark.createDataFrame([("s x", "ACgn"), ("s y", "TT"), ("n", "NN")], "header string, seq string")
+    assert sorted(map(tuple, annotation.gc_content(sequences).collect())) == [("n", 0, None), ("s", 5, 0.4)]
+    gtf = spark.createDataFrame([("c", "x", "exon", 5, 9, ".", "+", ".", 'gene_id "g"; transcript_id "t";'), ("c", "x", "exon", 20, 30, ".", "+", ".", 'transcript_id "t"; gene_id "g";'), ("c", "x", "gene", 1, 30, ".", "+", ".", 'gene_id "g";')], formats.GTF)
+    assert tuples(annotation.transcript_table(gtf)) == [("g", "t", "c", "+", 4, 30, 2)]
+
+
+def test_small_tables(spark):
+    a, b = spark.createDataFrame([(1, None), (1, None), (2, "x")], "k int, v string"), spark.createDataFrame([(None, 1)], "v string, k int")
+    assert tuples(samples.common(a, b)) == [(1, None)] and tuples(samples.without(a, b)) == [(2, "x")]
+    assert [r[0] for r in a.orderBy("k").select(samples.look_up(F.col("v"), {"x": "found"}, "none")).collect()] == ["none", "none", "found"]
+    paths = spark.createDataFrame([("/a/b_c/S1_R1.fq.gz",), ("S2.bam",), ("/a/",)], "p string")
+    assert [r[0] for r in paths.select(samples.file_key(F.col("p"))).collect()] == ["S1", "S2", None]
+    runs = spark.createDataFrame([("s", ["a_1", "a_2"]), ("s", ["b_1", "b_2"]), ("t", ["c"])], "sample string, fastqs array<string>")
+    assert tuples(samples.merge_runs(runs)) == [("s", 1, ["a_1", "b_1"]), ("s", 2, ["a_2", "b_2"]), ("t", 1, ["c"])]
+
+
+def test_yield_range(spark):
+    histogram = spark.createDataFrame([(j, n) for j, n in ((1, 400), (2, 150), (3, 60), (4, 20))], "j long, n_j long")
+    rows = dedup.lc_extrap(histogram, steps=3, bootstraps=40).collect()
+    assert [r.expected_distinct for r in rows] == [r.expected_distinct for r in dedup.lc_extrap(histogram, steps=3).collect()]
+    assert rows == dedup.lc_extrap(histogram, steps=3, bootstraps=40).collect() and all(r.lower <= r.upper for r in rows) and rows[-1].lower < rows[-1].upper
+
+
 def test_arg_min_takes_the_first(spark):
     tune = spark.createDataFrame([(2, 0.1, "b"), (1, 0.1, "a"), (3, 0.5, "c")], "row_no int, errorRate double, name string")
     assert annotation.first_wins(tune, "errorRate", "row_no").first().name == "a"

@@ -1,4 +1,8 @@
-"""From raw documents to token ids: five stages, each the next one's input."""
+"""From raw documents to token ids: five stages, each the next one's input.
+
+All stages hold for awkward tables: a null text counts as empty, rows that share an id stay or go together from the second stage
+on, columns beyond doc_id and text pass through whatever their names, and an empty table gives an empty result.
+"""
 
 from __future__ import annotations
 

@@ -335,7 +335,7 @@ def test_quality(spark, docs, empty, odd):
     texts = good + [t + " vile" for t in good] + [t.upper().replace(" ", "!! ") for t in good]
     grades = [2] * 60 + [0] * 60 + [1] * 60
     table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    labels = spark.createDataFrame([(i, g) for i, g in enumerate(grades) if i % 3] + [(None, 1), (5, None)], "doc_id long, grade int")
+    labels = spark.createDataFrame([(i, g) for i, g in enumerate(grades) if i % 3] + [(None, 1), (5, None), (6, 3), (9, -1)], "doc_id long, grade int")
     model = quality.train(table, labels, 3)
     assert (np.diff(model.thresholds) >= 0).all()
     got = by_id(quality.classify(table, model, 2))
@@ -343,7 +343,11 @@ def test_quality(spark, docs, empty, odd):
     assert sum(got[i].selected == (grades[i] == 2) for i in held) >= 0.95 * len(held)
     means = [np.mean([got[i].expected_grade for i in held if grades[i] == g]) for g in range(3)]
     assert means[0] < means[1] < means[2]
-    assert quality.select(docs, model, 2).columns == docs.columns and quality.classify(odd, model, 2).count() == 5
+    assert quality.classify(odd, model, 2).count() == 5
+    assert quality.select(empty, model, 2).count() == 0 and quality.select(empty, model, 2).columns == docs.columns
+    for awkward in (docs, odd, table.selectExpr("*", "1 AS selected", "2 AS tail_probability", "text AS words")):  # nulls, empty and long texts, repeats, names in use
+        kept, chosen = quality.select(awkward, model, 2), [r.doc_id for r in quality.classify(awkward, model, 2).collect() if r.selected]
+        assert kept.columns == awkward.columns and sorted(str(r.doc_id) for r in kept.collect()) == sorted(map(str, chosen))
     assert quality.classify(empty, model, 2).count() == 0 and quality.train(empty, labels, 3).thresholds.shape == (2,)
 
 
@@ -357,6 +361,9 @@ def test_language(spark, empty):
     assert np.mean([got[i].lang_pred == k for i, _, k in held]) > 0.9 and all(got[i].held_out for i, _, _ in held)
     assert [got[i].lang_pred for i in (500, 501, 502, 504)] == ["und", "und", "und", "bb"] and all(0 <= r.score <= 1 for r in got.values())
     assert langid.languages(empty).count() == 0
+    clash = spark.createDataFrame([(*r, "x", 2.0, True) for r in table + table[:7]], "doc_id long, text string, lang string, lang_pred string, score double, held_out boolean")
+    more = langid.languages(clash).collect()
+    assert len(more) == len(table) + 7 and len({tuple(r) for r in more}) == len(table) and more[0].lang_pred != "x"
     assert langid.identify(spark.createDataFrame([(1, "abc")], "doc_id long, text string"), None).first().lang_pred == "und"
 
 
@@ -405,6 +412,10 @@ def test_url_filter(spark):
         1: (True, "x.bad.example", "adult,spam"), 2: (False, None, None), 3: (False, None, None), 4: (False, None, None), 5: (False, None, None),
         6: (True, "x.bad.example", "adult"), 7: (False, None, None), 8: (False, None, None),
     }
+    long = "http://" + "a." * 40 + "bad.example/" + "b" * 300_000
+    clash = spark.createDataFrame([(None, long, 15, "h", "l", True), (9, "http://x/" + "/" * 300_000, 15, "h", "l", True), (9, "", 15, "h", "l", True)], "page_id long, url string, fetched_at long, host string, list string, blocked boolean")
+    rows = url_filter.evaluate(clash, spark.createDataFrame(entries, "list string, domain string, at long, listed boolean").selectExpr("*", "1 AS url", "2 AS valid_from")).collect()
+    assert sorted((str(r.page_id), r.blocked, str(r.matched_domain)) for r in rows) == [("9", False, "None"), ("9", False, "None"), ("None", True, "bad.example")]
     empty = spark.createDataFrame([], "page_id long, url string, fetched_at long")
     assert url_filter.evaluate(empty, spark.createDataFrame([], "list string, domain string, at long, listed boolean")).count() == 0
 
@@ -438,3 +449,28 @@ def test_pipeline(spark, tmp_path):
         after = stage(spark, docs, str(tmp_path))
         assert after.columns == docs.columns and after.exceptAll(docs).count() == 0
         docs = after
+
+
+def test_stages_on_awkward_tables(spark, docs, rows, empty, odd, tmp_path):
+    """Nulls in any column, repeated rows, clashing names, an empty table: a defined result for every stage."""
+    import corpus_pipeline
+
+    labels = [(r[0], float(r[0] % 2) if r[0] % 3 else None, None if r[0] % 7 == 0 else 0) for r in rows] + [(None, 1.0, 0), (3, 1.0, 1), (3, 5.0, 0), (4, -9.0, 0)]
+    spark.createDataFrame(labels, "doc_id long, quality double, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    items = [(1, rows[30][1]), (None, None), (2, ""), (2, None), (1, rows[30][1])]
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    stages = dict(corpus_pipeline.STAGES)
+    twice = docs.unionByName(docs.where("doc_id < 3"))  # rows that repeat
+    for stage in list(stages.values())[:-1]:
+        assert stage(spark, empty, str(tmp_path)).count() == 0
+        after = stage(spark, twice, str(tmp_path))
+        assert after.columns == docs.columns and after.exceptAll(twice).count() == 0
+    assert stages["BPE encoding and decoding"](spark, empty, str(tmp_path)).count() == 0
+    kept = lambda name, table: sorted(str(r.doc_id) for r in stages[name](spark, table, str(tmp_path)).collect())
+    last = {lower(r[1]): r[0] for r in rows}  # the largest id of each text
+    assert kept("exact dedup", twice) == sorted(str(i) for i in [*last.values(), *[i for i in range(3) if i in last.values()]])
+    assert kept("exact dedup", odd) == ["1", "1", "2"]
+    assert kept("MinHash near-dedup", odd) == ["1", "1", "2", "None", "None"]
+    assert kept("benchmark decontamination", odd) == ["1", "1", "2", "None", "None"]
+    assert kept("benchmark decontamination", twice) == sorted(str(r[0]) for r in [*rows, *rows[:3]] if (rows[30][1] or "\0") not in (r[1] or ""))
+    assert kept("quality classifier", odd) in ([], ["1", "1", "None"], ["2", "None"], ["1", "1", "2", "None", "None"])  # equal texts alike

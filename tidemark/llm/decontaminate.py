@@ -145,6 +145,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, coverag
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = WINDOW) -> DataFrame:
-    """docs without those that hold a benchmark item; the columns stay as they are."""
+    """docs without those that hold a benchmark item; the columns stay as they are.
+
+    Rows that share an id go together; a row with a null id or text stays. Without items all rows stay.
+    """
     found = contaminated(docs, benchmark, n, id_col=id_col, text_col=text_col).select(F.col("doc_id").alias("_found_id")).distinct()
     return docs.join(found, F.col(id_col).cast("long") == F.col("_found_id"), "left_anti")

@@ -163,6 +163,10 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs without the rows whose text a row with a larger id repeats; the columns stay as they are."""
+    """docs without the rows whose text a row with a larger id repeats; the columns stay as they are.
+
+    An id stands for a document: rows that share one, a null one too, stay together if any of them is kept. Null texts are
+    copies of empty ones; an empty table gives an empty result.
+    """
     kept = exact_dedup(docs, id_col, text_col).where("kept").select(F.col("doc_id").alias("_kept_id"))
     return docs.join(kept, F.col(id_col).cast("long").eqNullSafe(F.col("_kept_id")), "left_semi")

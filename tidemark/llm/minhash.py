@@ -268,6 +268,10 @@ def near_dedup(docs: DataFrame, shingle_words: int = 5, percent: int = 80, bands
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 5, percent: int = 80) -> DataFrame:
-    """docs with one document, that of the smallest id, left of each component; the columns stay as they are."""
+    """docs with one document, that of the smallest id, left of each component; the columns stay as they are.
+
+    An id stands for a document: rows that share one, a null one too, stay together if any of them is kept. Texts that are
+    null or without words are copies of nothing and stay; an empty table gives an empty result.
+    """
     kept = near_dedup(docs, shingle_words, percent, id_col=id_col, text_col=text_col).where("kept").select(F.col("doc_id").alias("_kept_id"))
     return docs.join(kept, F.col(id_col).cast("long").eqNullSafe(F.col("_kept_id")), "left_semi")

@@ -125,8 +125,12 @@ def score(model: Model, text: pa.Array) -> np.ndarray:
 
 
 def train(docs: DataFrame, graded: DataFrame, n_grades: int, id_col: str = "doc_id", text_col: str = "text", limit: int = TRAIN_DOCS) -> Model:
-    """Fits on the documents that `graded` (doc_id, grade) covers, at most `limit` of them; rows with a null are left out."""
-    chosen = graded.where("doc_id IS NOT NULL AND grade IS NOT NULL").groupBy("doc_id").agg(F.min("grade").alias("grade")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
+    """Fits on the documents that `graded` (doc_id, grade) covers, at most `limit` ids.
+
+    Rows with a null id, no grade or one beyond n_grades are left out; of several grades of an id the lowest counts; a null text counts as empty; rows that
+    repeat an id in docs all count. Without any row the weights are 0, so all texts are graded alike.
+    """
+    chosen = graded.where(F.col("doc_id").isNotNull() & F.col("grade").between(0, n_grades - 1)).groupBy("doc_id").agg(F.min("grade").alias("grade")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
     texts = id_text(docs, id_col, text_col).join(F.broadcast(chosen), "doc_id")  # at most `limit` rows
 
     def of(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -165,7 +169,10 @@ def classify(docs: DataFrame, model: Model, wanted: int, least: float = LEAST, i
 
 
 def select(docs: DataFrame, model: Model, wanted: int, least: float = LEAST, text_col: str = "text") -> DataFrame:
-    """The rows of docs whose tail probability reaches `least`; the columns stay as they are."""
+    """The rows of docs whose tail probability reaches `least`; the columns stay as they are.
+
+    A null text counts as empty, whose grade the thresholds alone give; ids play no part, and rows that repeat stay or go alike.
+    """
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.arrow_udf("boolean")

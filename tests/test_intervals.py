@@ -93,6 +93,14 @@ def test_molecules(spark):
     reads = spark.createDataFrame(rows, "sample string, chrom string, pos long, strand string, umi string, mapq long, id string")
     assert dedup.exact_umis(reads, "id").count() == 4
     assert sorted((r.umi, r.reads, r.umis) for r in dedup.directional_umis(reads).collect()) == [("AAAA", 14, 3), ("GGGG", 2, 1)]
+    odd = spark.createDataFrame([("s", None, 1, "+", u, 50, "") for u in ("AA", "AT", None, "AA", "AA")] + [("s", "d", p, "+", "CC", 50, "") for p in range(9)], reads.schema)
+    assert sorted((str(r.chrom), r.umi, r.reads, r.umis) for r in dedup.directional_umis(odd).collect()) == [("None", "AA", 4, 2)] + [("d", "CC", 1, 1)] * 9
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")  # places go over the ends of batches
+    try:
+        wide = spark.createDataFrame([("s", "c", p, "+", u, 50, "") for p in range(6) for u in ("AAAA", "AAAA", "AAAT", "GGGG", "CCCC", "TTTT")], reads.schema)
+        assert sorted((r.pos, r.umi, r.reads) for r in dedup.directional_umis(wide).collect()) == [(p, u, n) for p in range(6) for u, n in (("AAAA", 3), ("CCCC", 1), ("GGGG", 1), ("TTTT", 1))]
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     histogram = dedup.complexity_histogram(reads, "umi")
     curve = [r.distinct for r in dedup.c_curve(histogram).orderBy("step").collect()]
     assert curve == sorted(curve) and curve[-1] == 4.0
@@ -231,6 +239,11 @@ def test_read_tables(spark):
     assert tuples(qc.trim(reads, poly="G", least=5, umi=2).select("name", "seq")) == [("r_AC", "GTACGT")]
     assert qc.trim(reads, least=1, complexity=0.5).count() == 1
     assert qc.per_base_quality(reads).where("pos = 0").first().mean == 40.0
+    rows = spark.createDataFrame([("r", "ACGTACGT", "IIII!!!!"), ("q", "AC", "!!"), ("s", "ACGTA", "IIIII"), ("t", "", ""), ("u", None, None)], "name string, seq string, qual string")
+    assert sorted(((r.name, r.seq, r.qual) for r in qc.trim_quality(rows).collect()), key=str) == [("q", "AC", "!!"), ("r", "ACG", "III"), ("s", "ACGTA", "IIIII"), ("t", "", ""), ("u", None, None)]
+    assert tuples(qc.adapter_content(rows, {"x": "GT", "y": "A"})) == [("x", 2, 2, 40.0), ("y", 0, 3, 60.0)]
+    many = spark.createDataFrame([(x,) for x, n in (("a", 12), ("b", 2), ("c", 1), ("d", 1)) for _ in range(n)], "seq string")
+    assert tuples(qc.duplication_levels(many)) == [(1, 2, 2, 12.5), (2, 1, 2, 12.5), (10, 1, 12, 75.0)]
 
 
 def test_formats(spark, tmp_path):

@@ -62,31 +62,38 @@ def _roots(umis: list[str], n: list[int]) -> list[int]:
 
 
 def directional_umis(reads: DataFrame, place: tuple[str, ...] = PLACE) -> DataFrame:
-    """One row for each molecule: place, umi (its most frequent), reads, umis. Counts are made in Spark; a place holds at most 4^length UMIs."""
-    counted = reads.groupBy(*place, "umi").agg(F.count(F.lit(1)).alias("n"))
+    """One row for each molecule: place, umi (its most frequent), reads, umis. Reads without a UMI are left out.
+
+    Counts are made in Spark. A task holds one place at a time, of at most 4^length UMIs, however many places it is dealt.
+    """
+    counted = reads.where("umi IS NOT NULL").groupBy(*place, "umi").agg(F.count(F.lit(1)).alias("n"))
     fields = ", ".join(f"{c} {t}" for c, t in counted.dtypes if c in place)
     kinds = counted.groupBy(*place).agg(F.count(F.lit(1)).alias("kinds"))
-    counted = counted.join(kinds, list(place))
+    same = F.lit(True)
+    for c in place:
+        same = same & F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}"))
+    counted = counted.alias("a").join(kinds.alias("b"), same).select("a.*", "kinds")
     alone = counted.where("kinds = 1").select(*place, "umi", F.col("n").alias("reads"), F.lit(1).cast("long").alias("umis"))  # nothing to cluster
-    several = counted.where("kinds > 1").withColumn("_deal", F.pmod(F.xxhash64(*place), F.lit(4 * int(reads.sparkSession.conf.get("spark.sql.shuffle.partitions")))))
-
-    def cluster(pdf: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        pdf = pdf.sort_values([*place, "umi"], ignore_index=True)
-        keys = list(pdf[list(place)].itertuples(index=False, name=None))
-        umis, n, at = pdf["umi"].tolist(), pdf["n"].tolist(), 0
-        while at < len(keys):
-            end = at
-            while end < len(keys) and keys[end] == keys[at]:
-                end += 1
-            found: dict[int, list[int]] = {}
-            for i, r in enumerate(_roots(umis[at:end], n[at:end])):
-                found.setdefault(r, []).append(n[at + i])
-            out += [(*keys[at], umis[at + r], sum(x), len(x)) for r, x in found.items()]
-            at = end
-        return pd.DataFrame(out, columns=[*place, "umi", "reads", "umis"])
-
-    return several.groupBy("_deal").applyInPandas(cluster, f"{fields}, umi string, reads long, umis long").unionByName(alone)
+    several = counted.where("kinds > 1").select(*place, "umi", "n", "kinds").repartition(*place).sortWithinPartitions(*place, "umi")
+
+    def cluster(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        umis, n, need = [], [], 0
+        for pdf in frames:
+            out = []
+            for *key, umi, count, kinds in pdf.itertuples(index=False, name=None):
+                need = need or kinds
+                umis.append(umi)
+                n.append(count)
+                if len(umis) < need:  # the place goes on, in this batch or the next
+                    continue
+                found: dict[int, list[int]] = {}
+                for i, r in enumerate(_roots(umis, n)):
+                    found.setdefault(r, []).append(n[i])
+                out += [(*key, umis[r], sum(x), len(x)) for r, x in found.items()]
+                umis, n, need = [], [], 0
+            yield pd.DataFrame(out, columns=[*place, "umi", "reads", "umis"])
+
+    return several.mapInPandas(cluster, f"{fields}, umi string, reads long, umis long").unionByName(alone)
 
 
 def complexity_histogram(reads: DataFrame, *key: str) -> DataFrame:

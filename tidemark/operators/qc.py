@@ -11,10 +11,12 @@ from tidemark.functions import alignment as al
 from .intervals import merge_intervals, overlap_join
 
 PRIMARY = al.SECONDARY | al.SUPPLEMENTARY
+#: The levels of repetition of a duplication report.
+DUPLICATION = (1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 50, 100, 500, 1000, 5000, 10000)
 
 
 def flagstat(alignments: DataFrame, keys: tuple[str, ...] = ("sample",)) -> DataFrame:
-    """Counts by flag in one pass: keys, then a column for each class."""
+    """Counts by flag in one pass: keys, then a column for each class; with mate_chrom also the pairs whose mates lie on two contigs."""
     f = F.col("flag")
     first, pair = al.lacks(f, PRIMARY), al.lacks(f, PRIMARY) & al.has(f, al.PAIRED)
     both = pair & al.lacks(f, al.UNMAPPED | al.MATE_UNMAPPED)
@@ -33,7 +35,11 @@ def flagstat(alignments: DataFrame, keys: tuple[str, ...] = ("sample",)) -> Data
         "both_mapped": both,
         "singletons": pair & al.lacks(f, al.UNMAPPED) & al.has(f, al.MATE_UNMAPPED),
         "qc_failed": al.has(f, al.QC_FAIL),
+        "primary_duplicates": first & al.has(f, al.DUPLICATE),
     }
+    if "mate_chrom" in alignments.columns:
+        apart = both & (F.col("mate_chrom") != F.col("chrom"))
+        classes |= {"mate_elsewhere": apart, "mate_elsewhere_mapq5": apart & (F.col("mapq") >= 5)}
     return alignments.groupBy(*keys).agg(*[F.count_if(c).alias(name) for name, c in classes.items()])
 
 
@@ -199,6 +205,35 @@ def overrepresented(reads: DataFrame, least_percent: float = 0.1, seq: str = "se
     return counts.crossJoin(F.broadcast(total)).select("seq", "n", F.round(100 * F.col("n") / F.col("total"), 6).alias("percent")).where(F.col("percent") >= least_percent)
 
 
+def duplication_levels(reads: DataFrame, seq: str = "seq") -> DataFrame:
+    """How much of the reads sequences of each level of repetition make up: level (least number of copies), sequences, reads, percent."""
+    counts = reads.groupBy(F.col(seq)).agg(F.count(F.lit(1)).alias("n"))
+    level = F.lit(DUPLICATION[0])
+    for least in DUPLICATION[1:]:
+        level = F.when(F.col("n") >= least, least).otherwise(level)
+    levels = counts.groupBy(level.cast("long").alias("level")).agg(F.count(F.lit(1)).alias("sequences"), F.sum("n").alias("reads"))
+    total = levels.agg(F.sum("reads").alias("total"))  # one row, as levels are few
+    return levels.crossJoin(F.broadcast(total)).select("level", "sequences", "reads", F.round(100 * F.col("reads") / F.col("total"), 6).alias("percent"))
+
+
+def adapter_content(reads: DataFrame, adapters: dict[str, str], seq: str = "seq") -> DataFrame:
+    """Where adapters begin first: adapter (its name), pos (from 0), n, and reached, the percent of reads that hold it there or before."""
+    at = F.array(*[F.struct(F.lit(name).alias("adapter"), F.locate(letters, F.col(seq)).alias("at")) for name, letters in adapters.items()])
+    found = reads.select(F.explode(at).alias("x")).where("x.at > 0").groupBy("x.adapter", (F.col("x.at") - 1).cast("long").alias("pos")).agg(F.count(F.lit(1)).alias("n"))
+    total = reads.agg(F.count(F.lit(1)).alias("total"))  # one row
+    along = W.partitionBy("adapter").orderBy("pos")  # a row for each position
+    return found.crossJoin(F.broadcast(total)).select("adapter", "pos", "n", F.round(100 * F.sum("n").over(along) / F.col("total"), 6).alias("reached"))
+
+
+def trim_quality(reads: DataFrame, least: int = 20, window: int = 4, seq: str = "seq", qual: str = "qual") -> DataFrame:
+    """Reads cut where the mean quality of `window` bases first falls below `least`; a read shorter than a window stays whole."""
+    score = F.transform(F.filter(F.split(F.col(qual), ""), lambda c: c != ""), lambda c: F.ascii(c) - 33)
+    sums = lambda i: F.aggregate(F.slice(F.col("_q"), i, window), F.lit(0), lambda a, b: a + b)
+    rows = reads.withColumn("_q", score).withColumn("_cut", F.when(F.size("_q") >= window, F.filter(F.sequence(F.lit(1), F.size("_q") - window + 1), lambda i: sums(i) < least * window)))
+    end = F.when(F.size("_cut") > 0, F.element_at("_cut", 1) - 1).otherwise(F.length(qual))
+    return rows.withColumn("_end", end).withColumn(seq, F.col(seq).substr(F.lit(1), F.col("_end"))).withColumn(qual, F.col(qual).substr(F.lit(1), F.col("_end"))).select(*reads.columns)
+
+
 def trim(reads: DataFrame, adapter: str | None = None, head: int = 0, tail: int = 0, poly: str | None = None, least: int = 15, complexity: float | None = None, umi: int = 0, seq: str = "seq", name: str = "name") -> DataFrame:
     """Trimmed and filtered reads: a UMI moves to the name, ends and adapter go, then short and simple reads.
 

@@ -47,6 +47,8 @@ _FLAGS = {
     "primary": "flag & 2304 = 0", "primary_mapped": "flag & 2308 = 0", "paired": "flag & 2304 = 0 AND flag & 1 <> 0", "read1": "flag & 2304 = 0 AND flag & 1 <> 0 AND flag & 64 <> 0",
     "read2": "flag & 2304 = 0 AND flag & 1 <> 0 AND flag & 128 <> 0", "properly_paired": "flag & 2308 = 0 AND flag & 1 <> 0 AND flag & 2 <> 0",
     "both_mapped": "flag & 2304 = 0 AND flag & 1 <> 0 AND flag & 12 = 0", "singletons": "flag & 2308 = 0 AND flag & 1 <> 0 AND flag & 8 <> 0", "qc_failed": "flag & 512 <> 0",
+    "primary_duplicates": "flag & 2304 = 0 AND flag & 1024 <> 0", "mate_elsewhere": "flag & 2304 = 0 AND flag & 1 <> 0 AND flag & 12 = 0 AND mate_chrom <> chrom",
+    "mate_elsewhere_mapq5": "flag & 2304 = 0 AND flag & 1 <> 0 AND flag & 12 = 0 AND mate_chrom <> chrom AND mapq >= 5",
 }
 
 
@@ -123,6 +125,9 @@ def _classes(spark: SparkSession, d: str) -> DataFrame:
 _DEAL = "CAST(conv(substring(md5(concat_ws(':', chrom, start, `end`, mapq, umi, sample)), 1, 6), 16, 10) AS BIGINT) % 100"
 
 
+_ADAPTERS = {"first": "ing", "second": "Licensed", "third": "er "}
+
+
 def _texts(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("name"), F.coalesce("text", F.lit("")).alias("seq"))
 
@@ -199,6 +204,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "fastqc_length_hist": lambda s, d: qc.length_histogram(_texts(s, d)),
         "fastqc_gc_hist": lambda s, d: qc.gc_histogram(_texts(s, d)),
         "fastqc_overrepresented": lambda s, d: qc.overrepresented(_texts(s, d), 0.2),
+        "fastqc_duplication": lambda s, d: qc.duplication_levels(_texts(s, d)),
+        "fastqc_adapters": lambda s, d: qc.adapter_content(_texts(s, d), _ADAPTERS),
         "fastp_trim_filter": lambda s, d: qc.trim(_texts(s, d), adapter="Licensed", head=1, tail=2, least=100, umi=6).select("name", F.md5("seq").alias("seq_md5"), F.length("seq").cast("long").alias("length")),
         "session_merge_events": lambda s, d: sessions.merge_sessions(table(s, d, "events"), "2 hours").selectExpr("user_id", "unix_timestamp(start) AS start", "unix_timestamp(`end`) AS end", "n", "round(total, 4) AS total"),
         "windowed_events": lambda s, d: sessions.windowed_counts(table(s, d, "events")).selectExpr("event_type", "unix_timestamp(start) AS start", "n", "round(total, 4) AS total"),
@@ -330,6 +337,11 @@ def oracle_sql() -> dict[str, str]:
         "fastqc_per_base": "SELECT CAST(i - 1 AS INT) AS pos, substr(text, i, 1) AS base, count(*) AS n FROM (SELECT text, unnest(range(1, length(text) + 1)) AS i FROM documents) GROUP BY ALL",
         "fastqc_length_hist": "SELECT length(coalesce(text, '')) AS length, count(*) AS n FROM documents GROUP BY 1",
         "fastqc_gc_hist": "SELECT CAST(round(100 * length(regexp_replace(upper(text), '[^GC]', '', 'g')) / length(text)) AS BIGINT) AS gc, count(*) AS n FROM documents WHERE length(text) > 0 GROUP BY 1",
+        "fastqc_duplication": f"""WITH c AS (SELECT count(*) AS n FROM documents GROUP BY coalesce(text, '')), l AS (SELECT list_max(list_filter([{', '.join(map(str, qc.DUPLICATION))}], lambda x: x <= n)) AS level, n FROM c)
+            SELECT CAST(level AS BIGINT) AS level, count(*) AS sequences, CAST(sum(n) AS BIGINT) AS reads, round(100 * sum(n) / (SELECT count(*) FROM documents), 6) AS percent FROM l GROUP BY 1""",
+        "fastqc_adapters": f"""WITH a(adapter, letters) AS (VALUES {', '.join(f"('{n}', '{x}')" for n, x in _ADAPTERS.items())}),
+            f AS (SELECT adapter, CAST(strpos(text, letters) - 1 AS BIGINT) AS pos, count(*) AS n FROM documents, a WHERE strpos(text, letters) > 0 GROUP BY ALL)
+            SELECT adapter, pos, n, round(100 * sum(n) OVER (PARTITION BY adapter ORDER BY pos) / (SELECT count(*) FROM documents), 6) AS reached FROM f""",
         "fastqc_overrepresented": "SELECT coalesce(text, '') AS seq, count(*) AS n, round(100 * count(*) / (SELECT count(*) FROM documents), 6) AS percent FROM documents GROUP BY 1 HAVING percent >= 0.2",
         "fastp_trim_filter": "WITH a AS (SELECT CAST(doc_id AS VARCHAR) || '_' || substr(text, 1, 6) AS name, substr(text, 7) AS s FROM documents), b AS (SELECT name, substr(s, 2, greatest(length(s) - 3, 0)) AS s FROM a), c AS (SELECT name, CASE WHEN position('Licensed' IN s) > 0 THEN substr(s, 1, position('Licensed' IN s) - 1) ELSE s END AS s FROM b) SELECT name, md5(s) AS seq_md5, length(s) AS length FROM c WHERE length(s) >= 100",
         "session_merge_events": """WITH x AS (SELECT *, CASE WHEN lag(ts) OVER w IS NULL OR ts >= lag(ts) OVER w + INTERVAL 2 HOUR THEN 1 ELSE 0 END AS o FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)), y AS (SELECT *, sum(o) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS g FROM x)

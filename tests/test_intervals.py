@@ -1,5 +1,6 @@
 """Interval operators against brute force, formats by round trip, queries against their SQL."""
 
+import gzip
 import math
 import os
 
@@ -254,8 +255,11 @@ def test_formats(spark, tmp_path):
     assert tuples(formats.read_fasta(spark, str(tmp_path / "x.fa"))) == [("s1 first", "ACGTAC"), ("s2", "GG")]
     assert tuples(formats.read_fastq(spark, str(tmp_path / "x.fq")).select("name", "seq"))[1] == ("r2", "AC")
     (tmp_path / "cut.fq").write_text("@r1 x\nACGT\n+\n@III\n@r2\nAC\n+\n")
-    with pytest.raises(Exception, match="within a record"):
+    with pytest.raises(Exception, match="lacks lines or letters"):
         formats.read_fastq(spark, str(tmp_path / "cut.fq")).collect()
+    (tmp_path / "bad.fq").write_text("@r1 x\nACGT\nACGT\n")
+    with pytest.raises(Exception, match="no record of four lines"):
+        formats.read_fastq(spark, str(tmp_path / "bad.fq")).collect()
     sam = formats.read_sam(spark, str(tmp_path / "x.sam")).first()
     assert (sam.start, sam.end, sam.strand, sam.tags) == (10, 14, "-", {"NM": "0", "XX": "a:b"})
     beds = formats.read_bed(spark, str(tmp_path / "x.bed"))
@@ -266,6 +270,28 @@ def test_formats(spark, tmp_path):
     assert annotation.gff_to_gtf(gff).first().attributes == 'transcript_id "t1"; gene_id "g1";'
 
 
+@pytest.mark.parametrize("size", [40, 97, 1 << 20])
+def test_fastq_in_splits(spark, tmp_path, size):
+    """Splits that end anywhere, qualities that start with '@', empty and long reads, two files."""
+    rng, want = np.random.default_rng(size), []
+    for file, n in (("a.fastq", 60), ("b.fastq", 25), ("c.fastq.gz", 40)):
+        lines = []
+        for i in range(n):
+            seq = "ACGT" * int(rng.integers(0, 4)) if i != 7 else "A" * 500
+            qual = ("@" + "I" * (len(seq) - 1) if i % 3 and seq else "I" * len(seq))
+            want.append((f"{file}{i}", seq, qual))
+            lines.append(f"@{file}{i} about\n{seq}\n+\n{qual}\n")
+        (gzip.open if file.endswith(".gz") else open)(tmp_path / file, "wt").write("".join(lines))
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        assert tuples(formats.read_fastq(spark, str(tmp_path))) == sorted(want)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
 def test_stream_equals_batch(spark, tmp_path):
     events = spark.read.parquet(f"{DATA}/events.parquet")
     events.orderBy("ts").coalesce(1).write.parquet(str(tmp_path / "in"))

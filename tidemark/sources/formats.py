@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.functions import alignment as al
@@ -43,30 +44,59 @@ def read_fasta(spark: SparkSession, path: str) -> DataFrame:
     return records.where(F.trim(text) != "").select(F.trim(parts[0]).alias("header"), F.coalesce(F.regexp_replace(F.get(parts, 1), r"\s", ""), F.lit("")).alias("seq"))
 
 
+def _fastq_pieces(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Records out of text cut where a line starts with '@'. A quality line that does so too is a piece of its own; where a split's end
+    parts it from its record, the two leave as rows with a place: `opens` for what lacks a quality, `closes` for a quality."""
+    held, split = None, None
+    for b in frames:
+        out = []
+        for value, file, start in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            if (file, start) != split:
+                if held:
+                    out.append((held[0], held[1], None, *split, "opens"))
+                held, split, first = None, (file, start), start == 0
+                if first:
+                    value = value.removeprefix("@")
+            lines = [x.removesuffix("\r") for x in value.split("\n")]
+            while len(lines) > 4 and not lines[-1]:
+                lines.pop()
+            if len(lines) <= 2 and not any(lines[1:]):  # a quality without its '@', perhaps the file's last line
+                quality = "@" + lines[0]
+                out.append((held[0], held[1], quality, None, None, None) if held else (None, None, quality, *split, "closes"))
+                held = None
+            elif held is None and len(lines) == 3 and lines[2].startswith("+"):
+                held = lines
+            elif held is None and len(lines) == 4 and lines[2].startswith("+"):
+                out.append((lines[0], lines[1], lines[3], None, None, None))
+            else:
+                raise ValueError(f"no record of four lines in {file}: {value[:80]!r}")
+        columns = list(zip(*out, strict=True)) or [()] * 6
+        kinds = [pa.string()] * 4 + [pa.int64(), pa.string()]
+        yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, kinds, strict=True)], ["name", "seq", "qual", "file", "at", "part"])
+    if held:
+        yield pa.RecordBatch.from_pylist([{"name": held[0], "seq": held[1], "file": split[0], "at": split[1], "part": "opens"}], schema=pa.schema([(n, t) for n, t in zip(["name", "seq", "qual", "file", "at", "part"], [pa.string()] * 4 + [pa.int64(), pa.string()], strict=True)]))
+
+
 def read_fastq(spark: SparkSession, path: str) -> DataFrame:
-    """name, seq, qual of four-line records (a quality line may start with '@').
+    """name (up to the first blank), seq, qual of four-line records; a quality line may start with '@'.
 
-    For gzip files, or files of one split each: a split that starts or ends within a record is an error, as is a file that ends in one.
+    Files are read split by split. Records parted by a split's end, at most one a split, are put together in a second pass over
+    files that are not gzip. Lines that form no record, or a sequence and a quality of two lengths, are an error.
     """
-    broken = "a split or a file ends within a record: compress the file, or raise spark.sql.files.maxPartitionBytes over its size"
-
-    def records(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[str] = []
-        for b in frames:
-            out = []
-            for line in b.column(0).to_pylist():
-                held.append(line or "")
-                if len(held) == 4:
-                    if not (held[0].startswith("@") and held[2].startswith("+")):
-                        raise ValueError(broken)
-                    out.append((held[0][1:].split()[0] if held[0][1:].split() else "", held[1], held[3]))
-                    held = []
-            names, seqs, quals = zip(*out, strict=True) if out else ((), (), ())
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.string()) for x in (names, seqs, quals)], ["name", "seq", "qual"])
-        if any(held):
-            raise ValueError(broken)
-
-    return spark.read.text(path).mapInArrow(records, "name string, seq string, qual string")
+
+    def pieces(which: str) -> DataFrame:
+        text = spark.read.option("lineSep", "\n@").text(path).where(which)
+        return text.select("value", "_metadata.file_path", "_metadata.file_block_start").mapInArrow(_fastq_pieces, "name string, seq string, qual string, file string, at long, part string")
+
+    whole, plain = pieces("_metadata.file_name LIKE '%.gz'"), pieces("NOT _metadata.file_name LIKE '%.gz'")
+    nth = F.row_number().over(W.partitionBy("file", "part").orderBy("at"))  # a row for each split at most
+    parted = plain.where("part IS NOT NULL").withColumn("nth", nth)  # the same files and so the same splits in both passes
+    opens, closes = parted.where("part = 'opens'"), parted.where("part = 'closes'").select("file", "nth", "qual")
+    both = opens.drop("qual").join(closes, ["file", "nth"], "full")
+    rows = whole.unionByName(plain.where("part IS NULL")).unionByName(both.select("name", "seq", "qual", "file", "at", "part"))
+    broken = F.raise_error(F.concat(F.lit("a record lacks lines or letters: "), F.coalesce("name", "qual", F.lit(""))))
+    checked = F.when(F.length("seq") == F.length("qual"), F.col("qual")).otherwise(broken)
+    return rows.select(F.regexp_extract("name", r"^\s*(\S*)", 1).alias("name"), "seq", checked.alias("qual"))
 
 
 def read_sam(spark: SparkSession, path: str) -> DataFrame:

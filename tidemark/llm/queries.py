@@ -17,6 +17,7 @@ from .minhash import near_dedup
 from .quality import classified
 from .repeats import remove_repeats
 from .token_files import token_files
+from .vectors import near_vectors
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -31,6 +32,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_exact_dedup": lambda spark, sf_dir: exact_dedup(table(spark, sf_dir, "documents")),
         "op9_language_id": lambda spark, sf_dir: languages(table(spark, sf_dir, "documents")),
         "op10_minhash": lambda spark, sf_dir: near_dedup(table(spark, sf_dir, "documents"), shingle_words=2),
+        "op13_embedding_dedup": lambda spark, sf_dir: near_vectors(table(spark, sf_dir, "embeddings")),
     }
 
 

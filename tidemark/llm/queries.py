@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import url_filter
+from .align import align
 from .bpe import round_trip
 from .common import table
 from .decontaminate import contaminated
@@ -16,6 +17,7 @@ from .lm import score_texts
 from .minhash import near_dedup
 from .quality import classified
 from .repeats import remove_repeats
+from .runs import periodic_runs, planted, run_digests
 from .token_files import token_files
 from .vectors import near_vectors
 
@@ -32,6 +34,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_exact_dedup": lambda spark, sf_dir: exact_dedup(table(spark, sf_dir, "documents")),
         "op9_language_id": lambda spark, sf_dir: languages(table(spark, sf_dir, "documents")),
         "op10_minhash": lambda spark, sf_dir: near_dedup(table(spark, sf_dir, "documents"), shingle_words=2),
+        "op11_token_alignment": lambda spark, sf_dir: align(table(spark, sf_dir, "documents"), digest=True),
+        "op12_periodic_runs": lambda spark, sf_dir: run_digests(periodic_runs(planted(table(spark, sf_dir, "documents")))),
         "op13_embedding_dedup": lambda spark, sf_dir: near_vectors(table(spark, sf_dir, "embeddings")),
     }
 

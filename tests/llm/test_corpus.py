@@ -171,8 +171,29 @@ def test_repeats(docs, rows, empty, odd, hot, monkeypatch):
     assert repeats.remove_repeats(empty).count() == 0 and repeats.remove_repeats(odd, digest=True).count() == 5
 
 
+def test_repeats_of_a_part_of_the_columns(spark, docs):
+    """Whoever counts, selects or filters gets what whole rows have."""
+    got = repeats.remove_repeats(docs, digest=True)
+    whole = got.collect()
+    assert got.count() == len(whole) and sorted(r.doc_id for r in got.select("doc_id").collect()) == sorted(r.doc_id for r in whole)
+    assert got.where("n_removed > 0").count() == sum(r.n_removed > 0 for r in whole) and got.agg(F.sum("n_spans")).first()[0] == sum(r.n_spans for r in whole)
+    assert repeats.remove_repeats(spark.createDataFrame([(1, "abc" * 200), (2, "abc" * 200)], "doc_id long, text string")).select("doc_id").count() == 2
+
+
+def test_equal_hashes_remove_nothing(monkeypatch):
+    """Strings of a hot anchor whose hashes collide stay apart."""
+    a, b = b"a" * 100, b"b" * 100
+    flat, at = np.frombuffer(a + b + a, np.uint8), np.array([0, 100, 200])
+    earliest = np.array([True, False, False])
+    repeats._part_unequal(flat, at, earliest, 100)
+    assert earliest.tolist() == [True, True, True]  # the third differs from the one before and goes on to the comparison of bytes
+    earliest = np.array([True, False])
+    repeats._part_unequal(flat, at[[0, 2]], earliest, 100)
+    assert earliest.tolist() == [True, False]
+
+
 def test_repeats_in_long_texts(spark, monkeypatch):
-    monkeypatch.setattr(repeats, "FLAT", 500)
+    monkeypatch.setattr(repeats, "FLAT", 500)  # the driver hands them to the tasks
     monkeypatch.setattr(repeats, "SORT_BYTES", 2000)
     rng = random.Random(5)
     base = "".join(rng.choice("abcd") for _ in range(3000))
@@ -325,10 +346,37 @@ def test_slots_must_agree(spark):
 
 
 def test_decontamination_beyond_a_broadcast(spark, monkeypatch):
+    """Repeated ids with different texts give the same rows both ways."""
+    item = "On Monday Alice Brown bought 12 apples and 7 pears for 30 euros and then she walked 5 km home with her brother Tom to eat them"
+    leak = "On Friday Carla Smith bought 99 apples and 3 pears for 45 euros and then she walked 8 km home with her brother Jim to eat them"
+    benchmark = spark.createDataFrame([(1, item), (2, "the quick brown fox jumps over the lazy dog near the old river bank today")], "item_id long, text string")
+    docs = spark.createDataFrame([(5, leak), (5, "other words " * 40), (5, None), (6, "nothing here " * 30 + leak), (6, "more of the same " * 20), (7, "clean text " * 20), (5, leak)], "doc_id long, text string")
+    near = sorted(map(tuple, decontaminate.contaminated(docs, benchmark).collect()))
+    assert {r[0] for r in near} == {5, 6}
     monkeypatch.setattr(decontaminate, "BROADCAST_WINDOWS", 0)
+    assert sorted(map(tuple, decontaminate.contaminated(docs, benchmark).collect())) == near
     test_slots_must_agree(spark)
 
 
+def test_stages_with_clashing_names(spark):
+    schema = "doc_id long, text string, kept_id long, KEPT_ID_ string, found_id int, _kept_id int, _found_id int"
+    text = " ".join(f"word{i}" for i in range(60))
+    docs = spark.createDataFrame([(1, text, 0, "", 0, 0, 0), (2, text, 1, "", 0, 0, 0), (3, text + " more", 1, "", 0, 0, 0)], schema)
+    assert sorted(r.doc_id for r in exact_dedup.drop_exact_copies(docs).collect()) == [2, 3]
+    assert [r.doc_id for r in minhash.drop_near_copies(docs).collect()] == [1]
+    assert decontaminate.drop_contaminated(docs, spark.createDataFrame([(1, text)], "item_id long, text string")).count() == 0
+
+
+def test_training_windows(spark):
+    """A language is learned from any part of a text, and from one row of an id."""
+    noise = "zz qq " * 100
+    rows = [(i, noise + ("der und die " if i % 2 else "the and of ") * 120 + noise, "de" if i % 2 else "en") for i in range(60)]
+    table = spark.createDataFrame(rows + rows[:5], "doc_id long, text string, lang string")
+    net = langid.train(table, each=4)
+    got = langid.identify(spark.createDataFrame([(1, "der und die " * 30), (2, "the and of " * 30)], "doc_id long, text string"), net)
+    assert {r.doc_id: r.lang_pred for r in got.collect()} == {1: "de", 2: "en"}
+
+
 def test_quality(spark, docs, empty, odd):
     rng = random.Random(4)
     good = [" ".join(rng.choice("sun moon tree house water stone bird cloud path hill".split()) for _ in range(40)) for _ in range(60)]

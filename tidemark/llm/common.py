@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Callable
 from contextlib import contextmanager
 
 import numpy as np
@@ -148,6 +149,27 @@ def unpack_arrays(data: bytes) -> list[np.ndarray]:
     return out
 
 
+#: Rows of one key that meet in a task of a join, on average, before they are dealt out.
+DEAL = 1000
+
+
+def dealt(rows: DataFrame, key: str, by: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """rows with a column `deal`, by which those of a frequent key go to several tasks, and what repeats the row of a key for each
+    deal. Both sides then join on the key and `deal`."""
+    many = rows.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / DEAL).cast("int").alias("deals")).where("deals > 1")
+    deals = F.coalesce("deals", F.lit(1))
+    out = rows.join(many, key, "left").withColumn("deal", F.pmod(F.xxhash64(by), deals).cast("long")).drop("deals")
+    return out, lambda side: side.join(many, key, "left").withColumn("deal", F.explode(F.sequence(F.lit(0).cast("long"), deals.cast("long") - 1))).drop("deals")
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that df does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def values(table: pa.Table, *names: str) -> list[list]:
     """Columns of one side of a cogroup as lists; a side without rows has no columns."""
     return [table.column(n).to_pylist() if table.num_rows else [] for n in names]

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_text, written
+from .common import free_name, id_text, written
 
 #: Words in a window, and how many of a template's must be literal.
 WINDOW, LITERAL = 8, 3
@@ -107,9 +107,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, coverag
     seen = _windows(texts, n, ["doc_id"])
     if sought.count() <= BROADCAST_WINDOWS:  # the words of a window are cut out where it is found, in the scan's own stage
         found = seen.join(F.broadcast(sought), ["kind", "hash"]).withColumnRenamed("of", "typed")
-    else:  # only hashes are shuffled; documents with a window found are read again
-        hits = written(seen.drop("of").join(sought, ["kind", "hash"]).select("doc_id", "kind", "pos", "item_id", "item_pos").distinct(), "template-windows")
-        found = _split(texts, ["doc_id"]).select("doc_id", "typed").join(hits, "doc_id")
+    else:  # only hashes are shuffled; documents with a window found are read again, rows that share an id told apart by their text
+        keyed = texts.withColumn("text_key", F.sha2("text", 256))
+        hits = _windows(keyed, n, ["doc_id", "text_key"]).drop("of").join(sought, ["kind", "hash"])
+        hits = written(hits.select("doc_id", "text_key", "kind", "pos", "item_id", "item_pos").distinct(), "template-windows")
+        found = _split(keyed, ["doc_id", "text_key"]).select("doc_id", "text_key", "typed").join(hits, ["doc_id", "text_key"])
     found = written(found.select("doc_id", "item_id", "kind", "item_pos", (F.col("pos") - F.col("item_pos")).alias("offset"), F.when(F.col("kind") == TYPED, _cut("typed", "pos", n)).alias("doc_words")), "template-windows")
 
     typed = found.where(F.col("kind") == TYPED).drop("kind").join(wanted.where(F.col("kind") == TYPED).select("item_id", "item_pos", "item_words"), ["item_id", "item_pos"])
@@ -149,5 +151,6 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_
 
     Rows that share an id go together; a row with a null id or text stays. Without items all rows stay.
     """
-    found = contaminated(docs, benchmark, n, id_col=id_col, text_col=text_col).select(F.col("doc_id").alias("_found_id")).distinct()
-    return docs.join(found, F.col(id_col).cast("long") == F.col("_found_id"), "left_anti")
+    name = free_name(docs, "found_id")
+    found = contaminated(docs, benchmark, n, id_col=id_col, text_col=text_col).select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(found, F.col(id_col).cast("long") == F.col(name), "left_anti")

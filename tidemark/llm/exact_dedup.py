@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_binary, ascii_lower, batches, id_text, shuffle_partitions, written
+from .common import as_binary, ascii_lower, batches, free_name, id_text, shuffle_partitions, written
 
 LOAD = 0.75
 
@@ -40,6 +40,11 @@ class CountingQuotientFilter:
         """Of fingerprints in any order, each counted once or as given."""
         values, inverse = np.unique(fingerprints.astype(np.uint64), return_inverse=True)
         total = np.bincount(inverse, weights=counts, minlength=len(values)).astype(np.int64) if len(values) else np.zeros(0, np.int64)
+        return cls._of_sorted(values, total, bits)
+
+    @classmethod
+    def _of_sorted(cls, values: np.ndarray, total: np.ndarray, bits: int) -> CountingQuotientFilter:
+        """Of ascending fingerprints, each once, and their counts."""
         q = max(1, int(np.ceil(np.log2(max(2, len(values) / LOAD)))))
         quotient = (values >> np.uint64(bits - q)).astype(np.int64)
         at = np.arange(len(values))
@@ -68,7 +73,12 @@ class CountingQuotientFilter:
     def merge(self, other: CountingQuotientFilter) -> CountingQuotientFilter:
         """The filter of both multisets: two sorted streams of remainders become one, equal ones add their counts."""
         (a, n), (b, m) = self.items(), other.items()
-        return CountingQuotientFilter.of(np.concatenate([a, b]), np.concatenate([n, m]), self.bits)
+        at = np.searchsorted(b, a)  # both streams are sorted: each value of one knows its place in the other
+        both = np.zeros(len(a), bool) if not len(b) else b[np.minimum(at, len(b) - 1)] == a
+        m = m.copy()
+        m[at[both]] += n[both]
+        a, n, at = a[~both], n[~both], at[~both]
+        return CountingQuotientFilter._of_sorted(np.insert(b, at, a), np.insert(m, at, n), self.bits)
 
     def dump(self) -> bytes:
         wide = (self.bits - self.q + 7) // 8
@@ -168,5 +178,6 @@ def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     An id stands for a document: rows that share one, a null one too, stay together if any of them is kept. Null texts are
     copies of empty ones; an empty table gives an empty result.
     """
-    kept = exact_dedup(docs, id_col, text_col).where("kept").select(F.col("doc_id").alias("_kept_id"))
-    return docs.join(kept, F.col(id_col).cast("long").eqNullSafe(F.col("_kept_id")), "left_semi")
+    name = free_name(docs, "kept_id")
+    kept = exact_dedup(docs, id_col, text_col).where("kept").select(F.col("doc_id").alias(name))
+    return docs.join(kept, F.col(id_col).cast("long").eqNullSafe(F.col(name)), "left_semi")

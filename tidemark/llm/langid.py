@@ -19,7 +19,7 @@ from .common import batches
 
 WINDOW, EMBED, WIDEST, FILTERS = 256, 8, 4, 16
 #: Labelled documents that fit the model at most, those with the smallest hash of their id.
-TRAIN_DOCS = 6000
+TRAIN_DOCS, TRAIN_WINDOWS = 6000, 3
 UNKNOWN = "und"
 
 
@@ -107,19 +107,27 @@ def windows_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return flat.reshape(-1, WINDOW), ends
 
 
-def train(labelled: DataFrame, limit: int = TRAIN_DOCS) -> Network | None:
-    """Of a table (doc_id, text, lang) without nulls, by the first and the middle window of at most `limit` texts; None without one."""
+def train(labelled: DataFrame, limit: int = TRAIN_DOCS, each: int = TRAIN_WINDOWS) -> Network | None:
+    """Of a table (doc_id, text, lang) without nulls, on `each` windows of at most `limit` texts; None without one.
+
+    Any window of a whole text may be chosen, by a hash of id and number; a text of fewer windows is learned whole. Of rows that share an id
+    one counts. What reaches the driver is bounded by limit * each windows, however long the texts.
+    """
     chosen = labelled.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
     texts = labelled.join(F.broadcast(chosen), "doc_id")  # at most `limit` ids
     raw = F.encode("text", "utf-8")
-    rows = texts.select("doc_id", "lang", F.substring(raw, 1, WINDOW).alias("a"), raw.substr((F.length(raw) / 2).cast("int") + 1, F.lit(WINDOW)).alias("b")).toArrow()
-    rows = rows.sort_by([("doc_id", "ascending"), ("lang", "ascending"), ("a", "ascending")])
+    count = F.greatest(F.lit(1), F.ceil(F.length(raw) / WINDOW)).cast("int")
+    spots = F.when(count <= each, F.sequence(F.lit(0), count - 1)).otherwise(F.array_distinct(F.transform(F.sequence(F.lit(1), F.lit(each)), lambda k: F.pmod(F.xxhash64("doc_id", k), count).cast("int"))))
+    cut = texts.select("doc_id", "lang", raw.alias("raw"), spots.alias("spots"))
+    cut = cut.select("doc_id", "lang", F.transform("spots", lambda at: F.substring("raw", at * WINDOW + 1, F.lit(WINDOW))).alias("windows"))
+    rows = cut.groupBy("doc_id").agg(F.min(F.struct("lang", "windows")).alias("x")).select("doc_id", "x.lang", F.explode("x.windows").alias("window")).toArrow()
+    rows = rows.sort_by([("doc_id", "ascending"), ("lang", "ascending"), ("window", "ascending")])
     if not rows.num_rows:
         return None
     lang = rows.column("lang").to_pylist()
     languages = sorted(set(lang))
-    windows, _ = windows_of([t for c in "ab" for t in rows.column(c).to_pylist()])
-    return fit(windows, np.tile(np.array([languages.index(x) for x in lang]), 2), languages)
+    windows, _ = windows_of(rows.column("window").to_pylist())
+    return fit(windows, np.array([languages.index(x) for x in lang]), languages)
 
 
 def identify(docs: DataFrame, network: Network | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

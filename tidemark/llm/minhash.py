@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import batches, id_text, mix64, split_words, written
+from .common import batches, dealt, free_name, id_text, mix64, split_words, written
 from .components import connected_components
 
 BANDS, ROWS = 32, 5
@@ -135,7 +135,8 @@ def _confirmed(pairs: DataFrame, known: DataFrame, percent: int, hashes: int) ->
             yield b.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
 
     side = lambda c: known.select(F.col("doc_id").alias(c), F.col("n").alias(f"n_{c}"), F.col("sketch").alias(f"sketch_{c}"), F.col("shingles").alias(f"set_{c}"))
-    likely = pairs.join(side("a"), "a").join(side("b"), "b").where(_similar_sketches(hashes, percent))
+    pairs, copied = dealt(pairs, "a", "b")  # a pivot has as many pairs as its family has members
+    likely = pairs.join(side("b"), "b").join(copied(side("a")), ["a", "deal"]).where(_similar_sketches(hashes, percent))
     return likely.select("a", "b", "set_a", "set_b").mapInArrow(check, "a long, b long")
 
 
@@ -179,7 +180,8 @@ def _against_pivot(rest: DataFrame, known: DataFrame, near: int) -> DataFrame:
 
     own = rest.where("doc_id = pivot").select("pivot", F.col("component").alias("of_pivot")).distinct()
     of_pivot = own.join(known.select(F.col("doc_id").alias("pivot"), F.col("shingles").alias("pivot_set")), "pivot")
-    both = rest.select("pivot", "doc_id", "component").distinct().join(of_pivot, "pivot").join(known.select("doc_id", F.col("shingles").alias("set")), "doc_id")
+    members, copied = dealt(rest.select("pivot", "doc_id", "component").distinct(), "pivot", "doc_id")
+    both = members.join(known.select("doc_id", F.col("shingles").alias("set")), "doc_id").join(copied(of_pivot), ["pivot", "deal"])
     both = both.select("pivot", "doc_id", "component", (F.col("component") != F.col("of_pivot")).alias("open"), "set", "pivot_set")
     return both.mapInArrow(differ, "pivot long, doc_id long, component long, open boolean, n long, base long, common long, items array<long>")
 
@@ -273,5 +275,6 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     An id stands for a document: rows that share one, a null one too, stay together if any of them is kept. Texts that are
     null or without words are copies of nothing and stay; an empty table gives an empty result.
     """
-    kept = near_dedup(docs, shingle_words, percent, id_col=id_col, text_col=text_col).where("kept").select(F.col("doc_id").alias("_kept_id"))
-    return docs.join(kept, F.col(id_col).cast("long").eqNullSafe(F.col("_kept_id")), "left_semi")
+    name = free_name(docs, "kept_id")
+    kept = near_dedup(docs, shingle_words, percent, id_col=id_col, text_col=text_col).where("kept").select(F.col("doc_id").alias(name))
+    return docs.join(kept, F.col(id_col).cast("long").eqNullSafe(F.col(name)), "left_semi")

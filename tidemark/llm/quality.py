@@ -125,10 +125,10 @@ def score(model: Model, text: pa.Array) -> np.ndarray:
 
 
 def train(docs: DataFrame, graded: DataFrame, n_grades: int, id_col: str = "doc_id", text_col: str = "text", limit: int = TRAIN_DOCS) -> Model:
-    """Fits on the documents that `graded` (doc_id, grade) covers, at most `limit` ids.
+    """Fits on the documents that `graded` (doc_id, grade) covers, at most `limit` of them.
 
-    Rows with a null id, no grade or one beyond n_grades are left out; of several grades of an id the lowest counts; a null text counts as empty; rows that
-    repeat an id in docs all count. Without any row the weights are 0, so all texts are graded alike.
+    Rows with a null id, no grade or one beyond n_grades are left out; of several grades of an id the lowest counts; a null text counts as empty; of rows that
+    share an id one counts. Without any row the weights are 0, so all texts are graded alike.
     """
     chosen = graded.where(F.col("doc_id").isNotNull() & F.col("grade").between(0, n_grades - 1)).groupBy("doc_id").agg(F.min("grade").alias("grade")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
     texts = id_text(docs, id_col, text_col).join(F.broadcast(chosen), "doc_id")  # at most `limit` rows
@@ -140,7 +140,8 @@ def train(docs: DataFrame, graded: DataFrame, n_grades: int, id_col: str = "doc_
             flat = pa.ListArray.from_arrays(np.arange(0, shapes.size + 1, SHAPES, dtype=np.int32), pa.array(shapes.ravel()))
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("grade").cast(pa.int32()), lists, flat], ["doc_id", "grade", "words", "shape"])
 
-    rows = texts.select("doc_id", "grade", "text").mapInArrow(of, "doc_id long, grade int, words array<int>, shape array<double>").toArrow().sort_by("doc_id")
+    found = texts.select("doc_id", "grade", "text").mapInArrow(of, "doc_id long, grade int, words array<int>, shape array<double>")
+    rows = found.groupBy("doc_id").agg(F.min(F.struct("grade", "words", "shape")).alias("x")).select("doc_id", "x.*").toArrow().sort_by("doc_id")
     words = rows.column("words").combine_chunks() if rows.num_rows else None
     index = np.split(words.flatten().to_numpy(), (words.offsets.to_numpy() - words.offsets[0].as_py())[1:-1]) if words is not None else []
     shapes = rows.column("shape").combine_chunks().flatten().to_numpy().reshape(-1, SHAPES) if rows.num_rows else np.zeros((0, SHAPES))

@@ -63,14 +63,15 @@ def span_hashes(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.nd
     return mix64((prefix[end] - prefix[start]) * down[start])
 
 
-def string_hashes(flat: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
-    """Hashes of flat[at : at+length], from prefixes of FLAT bytes at a time."""
+def string_hashes(flat: np.ndarray, at: np.ndarray, length: int, row: int | None = None) -> np.ndarray:
+    """Hashes of flat[at : at+length], from prefixes of `row` bytes at a time (FLAT)."""
+    row = row or FLAT
     out, order = np.empty(len(at), np.uint64), np.argsort(at, kind="stable")
-    cuts = np.searchsorted(at[order], np.arange(0, len(flat) + FLAT, FLAT))
+    cuts = np.searchsorted(at[order], np.arange(0, len(flat) + row, row))
     for k, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
         if b > a:
-            own = at[order[a:b]] - k * FLAT
-            out[order[a:b]] = span_hashes(prefix_hashes(flat[k * FLAT : (k + 1) * FLAT + length]), own, own + length)
+            own = at[order[a:b]] - k * row
+            out[order[a:b]] = span_hashes(prefix_hashes(flat[k * row : (k + 1) * row + length]), own, own + length)
     return out
 
 
@@ -116,13 +117,13 @@ def records(flat: np.ndarray, ends: np.ndarray, length: int, part: int) -> dict[
     return {"first": first, "last": last, "anchor": own, "fp": mix64(h[own]), "digest": digest, "check": check}
 
 
-def _pieces(texts: list[bytes], length: int):
-    """Texts in rows of at most FLAT bytes or so; longer ones in overlapping pieces: (text numbers, their offsets, rows, ends)."""
+def _pieces(texts: list[bytes], length: int, row: int):
+    """Texts in rows of at most `row` bytes or so; longer ones in overlapping pieces: (text numbers, their offsets, rows, ends)."""
     held, size = [], 0
     for i, t in enumerate(texts):
-        for at in range(0, max(1, len(t) - length + 1), FLAT):
-            piece = t[at : at + FLAT + length - 1]
-            if held and size + len(piece) > FLAT:
+        for at in range(0, max(1, len(t) - length + 1), row):
+            piece = t[at : at + row + length - 1]
+            if held and size + len(piece) > row:
                 yield held
                 held, size = [], 0
             held.append((i, at, piece))
@@ -131,10 +132,10 @@ def _pieces(texts: list[bytes], length: int):
         yield held
 
 
-def block_records(texts: list[bytes], length: int, part: int) -> dict[str, np.ndarray]:
+def block_records(texts: list[bytes], length: int, part: int, row: int | None = None) -> dict[str, np.ndarray]:
     """Records of all texts: number of the text, first and last string in it, anchor, hash and digest in two halves."""
     out: dict[str, list[np.ndarray]] = {k: [] for k in ("text", "first", "last", "anchor", "fp", "digest", "check")}
-    for held in _pieces(texts, length):
+    for held in _pieces(texts, length, row or FLAT):
         ends = np.cumsum([len(p) for _, _, p in held])
         r = records(np.frombuffer(b"".join(p for _, _, p in held), np.uint8), ends, length, part)
         which = np.searchsorted(ends, r["first"], "right")
@@ -185,7 +186,7 @@ def _sorted_suffixes(text: np.ndarray, start: np.ndarray, size: np.ndarray) -> t
     return order, np.concatenate([[0], np.minimum(common, np.minimum(size[1:], size[:-1]))])
 
 
-def find_repeats(text: np.ndarray, ends: np.ndarray, rank: np.ndarray, base: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def find_repeats(text: np.ndarray, ends: np.ndarray, rank: np.ndarray, base: np.ndarray, length: int, sort_bytes: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of contexts put in a row (their ends), the spans that also start in an earlier one or earlier in the same.
 
     rank orders the contexts' documents, base is where a context starts in its document. Gives context, start and end.
@@ -202,7 +203,7 @@ def find_repeats(text: np.ndarray, ends: np.ndarray, rank: np.ndarray, base: np.
     if not len(order):
         return tuple(np.zeros(0, np.int64) for _ in range(3))
     wide = -(-int((ends[context[order]] - at[order]).max()) // 8) * 8
-    text, most, out = np.concatenate([text, np.zeros(wide, np.uint8)]), max(2, SORT_BYTES // wide), []
+    text, most, out = np.concatenate([text, np.zeros(wide, np.uint8)]), max(2, (sort_bytes or SORT_BYTES) // wide), []
     edges = np.append(np.flatnonzero(np.concatenate([[True], hashes[order][1:] != hashes[order][:-1]])), len(order))
     split = int(np.diff(edges).max()) > most  # a group's parts cannot tell what is on the left of all
 
@@ -272,7 +273,7 @@ def _first_of(digest: np.ndarray, check: np.ndarray) -> np.ndarray:
     return np.concatenate([[True], (digest[1:] != digest[:-1]) | (check[1:] != check[:-1])]) if len(digest) else np.zeros(0, bool)
 
 
-def _scan(buckets: int, length: int, part: int):
+def _scan(buckets: int, length: int, part: int, row: int):
     def scan(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ordinal = 0
         for b in by_bytes(it, BLOCK_BYTES):
@@ -280,7 +281,7 @@ def _scan(buckets: int, length: int, part: int):
                 own_ids, own = b.column(0).fill_null(NO_ID).to_numpy(zero_copy_only=False).astype(np.int64), as_binary(b.column(1))
                 flat = b"".join(own)
                 block, ordinal = block_number(ordinal, own_ids.tobytes(), flat), ordinal + 1
-                r = block_records(own, length, part)
+                r = block_records(own, length, part, row)
                 rank = np.empty(len(own), np.int64)
                 rank[np.argsort(own_ids, kind="stable")] = np.arange(len(own))
                 order = np.lexsort((r["first"], rank[r["text"]], r["check"], r["digest"]))
@@ -303,7 +304,7 @@ def _scan(buckets: int, length: int, part: int):
     return scan
 
 
-def _compare(length: int):
+def _compare(length: int, many: int):
     def compare(key: tuple, it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Records of one bucket: those whose digest is not the earliest are repeats; anchors with several digests need a closer look."""
         blocks, parts = [], []
@@ -318,7 +319,7 @@ def _compare(length: int):
         again, one = order[~earliest], order[earliest]
         _, inverse, count = np.unique(fp[one], return_inverse=True, return_counts=True)
         asked = one[count[inverse] > 1]
-        hot = (count[inverse] > HOT)[count[inverse] > 1].astype(np.uint8)
+        hot = (count[inverse] > many)[count[inverse] > 1].astype(np.uint8)
         rows = []
         for at, n in _by(block[again]):
             n = again[n]
@@ -355,6 +356,7 @@ def _fetch(buckets: int, length: int):
                 hashes = string_hashes(flat, starts[text] + first, length)
                 order = np.lexsort((first, ids[text], hashes))
                 earliest = np.concatenate([[True], hashes[order][1:] != hashes[order][:-1]])
+                _part_unequal(flat, (starts[text] + first)[order], earliest, length)
                 again, one = order[~earliest], order[earliest]
                 if len(again):
                     rows.append(_row(block, _SPANS, 0, *merged(text[again], first[again], first[again] + length)))
@@ -366,12 +368,21 @@ def _fetch(buckets: int, length: int):
     return fetch
 
 
+def _part_unequal(flat: np.ndarray, at: np.ndarray, earliest: np.ndarray, length: int) -> None:
+    """Sets earliest also where a string's bytes differ from those of the one before, although their hashes agree."""
+    alike = np.flatnonzero(~earliest)
+    for k in range(0, len(alike), 1 << 14):
+        n = alike[k : k + (1 << 14)]
+        inside = np.arange(length)
+        earliest[n[(flat[at[n][:, None] + inside] != flat[at[n - 1][:, None] + inside]).any(axis=1)]] = True
+
+
 def _contexts(block: int, bucket: int, ids: np.ndarray, starts: np.ndarray, flat: np.ndarray, text: np.ndarray, first: np.ndarray, size: np.ndarray) -> tuple:
     at = np.repeat(starts[text] + first - (np.cumsum(size) - size), size) + np.arange(size.sum())
     return _row(block, _ASKED, bucket, ids[text], text.astype(np.uint32), first.astype(np.uint32), size.astype(np.uint32), flat[at])
 
 
-def _resolve(length: int):
+def _resolve(length: int, sort_bytes: int):
     def resolve(key: tuple, it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blocks, parts = [], []
         for b in it:
@@ -381,7 +392,7 @@ def _resolve(length: int):
         block = np.concatenate(blocks)
         ids, text, first, size, flat = (np.concatenate(x) for x in zip(*parts, strict=True))
         _, rank = np.unique(np.stack([ids, block, text.astype(np.int64)]), axis=1, return_inverse=True)
-        of, start, end = find_repeats(flat, np.cumsum(size, dtype=np.int64), rank.ravel(), first.astype(np.int64), length)
+        of, start, end = find_repeats(flat, np.cumsum(size, dtype=np.int64), rank.ravel(), first.astype(np.int64), length, sort_bytes)
         rows = []
         for at, n in _by(block[of]):
             rows.append(_row(at, _SPANS, 0, *merged(text[of[n]], start[n], end[n])))
@@ -400,7 +411,7 @@ def _finish(digest: bool):
         for data in values(left, "data")[0]:
             ids, sizes, flat = unpack_arrays(data)
             starts = np.cumsum(sizes, dtype=np.int64) - sizes
-            spans = [unpack_arrays(x) for x in values(right, "data")[0]]
+            spans = [unpack_arrays(x) for x in values(right, "span")[0]]
             text, start, end = merged(*(np.concatenate(x) for x in zip(*spans, strict=True))) if spans else [np.zeros(0, np.int64)] * 3
             cut = np.searchsorted(text, np.arange(len(ids) + 1))
             for i, (doc, size, at) in enumerate(zip(ids.tolist(), sizes.tolist(), starts.tolist(), strict=True)):
@@ -423,24 +434,25 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, part: int = PART, id_c
     A byte goes if a string of `length` bytes that covers it also starts earlier: in a row with a smaller id, or before in the
     same text. Strings never cross texts and are judged on the input. A null text counts as empty. Null ids come before all
     others; rows that repeat an id come in the order of their blocks. Other columns are ignored. Equality rests on 128-bit
-    digests where records agree as a whole, and on the bytes elsewhere.
+    digests where records agree as a whole, and on the bytes elsewhere (a hash alone drops nothing).
     """
     if not part < length <= part + 256:
         raise ValueError("the parts must be shorter than the strings, by 256 bytes at most")
     buckets = 4 * shuffle_partitions(docs.sparkSession)
-    scanned = id_text(docs, id_col, text_col).mapInArrow(_scan(buckets, length, part), _STAGE).persist(StorageLevel.MEMORY_AND_DISK)
+    scanned = id_text(docs, id_col, text_col).mapInArrow(_scan(buckets, length, part, FLAT), _STAGE).persist(StorageLevel.MEMORY_AND_DISK)
     with batch_bytes(docs.sparkSession, BLOCK_BYTES):
         scanned.count()  # several branches read it: the scan runs once
     whole = scanned.where(F.col("kind") == _DOCS).select("block", "data")
-    compared = scanned.where(F.col("kind") == _RECORDS).select("bucket", "block", "data").groupBy("bucket").applyInArrow(_compare(length), _STAGE).persist(StorageLevel.MEMORY_AND_DISK)
+    compared = scanned.where(F.col("kind") == _RECORDS).select("bucket", "block", "data").groupBy("bucket").applyInArrow(_compare(length, HOT), _STAGE).persist(StorageLevel.MEMORY_AND_DISK)
     compared.count()
     asked = compared.where(F.col("kind") == _ASKED).select("block", "bucket", "data")
     fetched = whole.groupBy("block").cogroup(asked.groupBy("block")).applyInArrow(_fetch(buckets, length), _STAGE).persist(StorageLevel.MEMORY_AND_DISK)
     fetched.count()
-    resolved = fetched.where(F.col("kind") == _ASKED).select("bucket", "block", "data").groupBy("bucket").applyInArrow(_resolve(length), _STAGE)
+    resolved = fetched.where(F.col("kind") == _ASKED).select("bucket", "block", "data").groupBy("bucket").applyInArrow(_resolve(length, SORT_BYTES), _STAGE)
     spans = scanned
     for other in (compared, fetched, resolved):
         spans = spans.unionByName(other)
-    spans = spans.where(F.col("kind") == _SPANS).select("block", "data")
+    # Under names of their own: the union has the columns of the scan, as has the other side of the cogroup.
+    spans = spans.where(F.col("kind") == _SPANS).select(F.col("block").alias("of"), F.col("data").alias("span"))
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" if digest else "doc_id long, n_bytes long, spans array<struct<start: long, end: long>>, kept binary"
-    return whole.groupBy("block").cogroup(spans.groupBy("block")).applyInArrow(_finish(digest), schema)
+    return whole.groupBy("block").cogroup(spans.groupBy("of")).applyInArrow(_finish(digest), schema)

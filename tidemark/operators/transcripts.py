@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,10 +11,16 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.functions import alignment as al
+from tidemark.functions.laws import poisson_tail
 
+from .hmm import active_stretches, hmm_grid, hmm_transcripts  # noqa: F401  hmm_transcripts is offered here too
 from .intervals import STRETCH, count_overlaps, merge_intervals, overlap_join
 
 
+#: Decimal places of reported chances: ranks and the cut go by these, so that they do not hang on a last bit.
+P_DIGITS = 9
+
+
 def grid(spark: SparkSession, uts: tuple[int, int, int] = (5, 45, 5), ltprobb: tuple[int, int, int] = (-100, -400, -50)) -> DataFrame:
     """All pairs of two ranges (first, last, step): LtProbB, UTS, row_no in file order."""
     a = spark.range(1).select(F.explode(F.sequence(F.lit(ltprobb[0]), F.lit(ltprobb[1]), F.lit(ltprobb[2]))).alias("LtProbB"))
@@ -94,101 +99,6 @@ def density(reads: DataFrame, features: DataFrame, bins: int = 100) -> DataFrame
     return counts.crossJoin(F.broadcast(total)).select("bin", "n", F.round(F.col("n") / F.col("features"), 6).alias("per_feature"))  # one row
 
 
-def active_stretches(counts: DataFrame, keys: tuple[str, ...], gap: int, block: int = STRETCH) -> DataFrame:
-    """counts (keys, bin, n) with stretch: bins at most `gap` apart. Segmentation then runs stretch by stretch, not contig by contig.
-
-    Gaps are found within blocks of bins; one row a block carries the last bin and the last opening on to the next.
-    """
-    keys = list(keys)
-    rows = counts.withColumn("_block", F.floor(F.col("bin") / block))
-    along = W.partitionBy(*keys).orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
-    within = W.partitionBy(*keys, "_block").orderBy("bin")
-    last = rows.groupBy(*keys, "_block").agg(F.max("bin").alias("_last")).select(*keys, "_block", F.max("_last").over(along).alias("_before"))
-    rows = rows.join(last, [*keys, "_block"]).withColumn("_before", F.coalesce(F.lag("bin").over(within), "_before"))
-    rows = rows.withColumn("_opens", F.when(F.col("_before").isNull() | (F.col("bin") - F.col("_before") > gap), F.col("bin")))
-    opened = rows.groupBy(*keys, "_block").agg(F.max("_opens").alias("_open")).select(*keys, "_block", F.max("_open").over(along).alias("_open"))
-    rows = rows.join(opened, [*keys, "_block"])
-    return rows.select(*counts.columns, F.coalesce(F.max("_opens").over(within.rowsBetween(W.unboundedPreceding, 0)), "_open").alias("stretch"))
-
-
-def _segments(states: np.ndarray) -> list[tuple[int, int]]:
-    edges = np.flatnonzero(np.diff(np.concatenate([[0], states.astype(np.int8), [0]])))
-    return list(zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True))
-
-
-def viterbi(n: np.ndarray, log_leave: float, variance: float, mean: float) -> np.ndarray:
-    """The likelier path of two states (1 transcribed) over counts by bin.
-
-    Silent counts follow a half normal law of the given variance, transcribed ones an exponential law of the given mean. log_leave
-    is the logarithm of the chance to fall silent; entering is as likely as leaving.
-    """
-    stay = math.log1p(-math.exp(log_leave)) if log_leave < -1e-9 else -50.0
-    silent = 0.5 * math.log(2 / (math.pi * variance)) - n * n / (2 * variance)
-    loud = -math.log(mean) - n / mean
-    back = np.zeros((len(n), 2), np.int8)
-    a, b = float(silent[0]), float(loud[0]) + log_leave
-    for i in range(1, len(n)):
-        back[i, 0], back[i, 1] = b + log_leave > a + stay, b + stay >= a + log_leave
-        a, b = max(a + stay, b + log_leave) + float(silent[i]), max(b + stay, a + log_leave) + float(loud[i])
-    out = np.zeros(len(n), np.int8)
-    out[-1] = b > a
-    for i in range(len(n) - 1, 0, -1):
-        out[i - 1] = back[i, out[i]]
-    return out
-
-
-def viterbi_many(n: np.ndarray, log_leave: np.ndarray, variance: np.ndarray, mean: float) -> np.ndarray:
-    """viterbi for several pairs of log_leave and variance at once: a column of states for each."""
-    stay = np.where(log_leave < -1e-9, np.log1p(-np.exp(np.minimum(log_leave, -1e-9))), -50.0)
-    silent = 0.5 * np.log(2 / (np.pi * variance)) - n[:, None] ** 2 / (2 * variance)
-    loud = -math.log(mean) - n / mean
-    back = np.zeros((len(n), 2, len(variance)), bool)
-    a, b = silent[0].copy(), loud[0] + log_leave
-    for i in range(1, len(n)):
-        leave, enter, a, b = b + log_leave, a + log_leave, a + stay, b + stay
-        back[i, 0], back[i, 1] = leave > a, b >= enter
-        a, b = np.maximum(a, leave) + silent[i], np.maximum(b, enter) + loud[i]
-    out = np.zeros((len(n), len(variance)), np.int8)
-    out[-1] = b > a
-    for i in range(len(n) - 1, 0, -1):
-        out[i - 1] = np.where(out[i], back[i, 1], back[i, 0])
-    return out
-
-
-def hmm_grid(counts: DataFrame, params: DataFrame, size: int = 50, gap: int = 200, keys: tuple[str, ...] = ("chrom", "strand")) -> DataFrame:
-    """hmm_transcripts for every row of params (LtProbB, UTS, row_no): row_no, keys, start, end. A stretch is read once for all of them."""
-    mean = float(counts.agg(F.avg("n")).first()[0] or 1.0)  # one number
-    pairs = params.select(F.col("row_no").cast("long"), F.col("LtProbB").cast("double"), F.col("UTS").cast("double")).collect()  # the grid
-    rows, leave, variance = [r[0] for r in pairs], np.array([r[1] for r in pairs]), np.array([r[2] for r in pairs])
-
-    def call(pdf: pd.DataFrame) -> pd.DataFrame:
-        low = int(pdf["bin"].min()) - 1
-        n = np.zeros(int(pdf["bin"].max()) - low + 2)
-        n[pdf["bin"].to_numpy() - low] = pdf["n"]
-        states = viterbi_many(n, leave, variance, mean)
-        found = [(r, *(pdf[k].iloc[0] for k in keys), (low + a) * size, (low + b) * size) for k, r in enumerate(rows) for a, b in _segments(states[:, k])]
-        return pd.DataFrame(found, columns=["row_no", *keys, "start", "end"])
-
-    schema = "row_no long, " + ", ".join(f"{c} {t}" for c, t in counts.select(*keys).dtypes) + ", start long, end long"
-    return active_stretches(counts, keys, gap).groupBy(*keys, "stretch").applyInPandas(call, schema)
-
-
-def hmm_transcripts(counts: DataFrame, size: int = 50, log_leave: float = -200.0, variance: float = 5.0, gap: int = 200, keys: tuple[str, ...] = ("chrom", "strand")) -> DataFrame:
-    """Transcribed stretches of binned counts: keys, start, end. Bins without reads between two active ones are silent evidence."""
-    mean = float(counts.agg(F.avg("n")).first()[0] or 1.0)  # one number
-    names = counts.select(*keys).dtypes
-
-    def call(pdf: pd.DataFrame) -> pd.DataFrame:
-        low = int(pdf["bin"].min()) - 1
-        n = np.zeros(int(pdf["bin"].max()) - low + 2)
-        n[pdf["bin"].to_numpy() - low] = pdf["n"]
-        found = _segments(viterbi(n, log_leave, variance, mean))
-        return pd.DataFrame([[*(pdf[k].iloc[0] for k in keys), (low + a) * size, (low + b) * size] for a, b in found], columns=[*keys, "start", "end"])
-
-    schema = ", ".join(f"{c} {t}" for c, t in names) + ", start long, end long"
-    return active_stretches(counts, keys, gap).groupBy(*keys, "stretch").applyInPandas(call, schema)
-
-
 def dense_transcripts(counts: DataFrame, size: int = 50, start_fold: float = 4.0, body_fold: float = 3.0, least: int = 600, most: int = 10_000, window: int = 5, gap: int = 200, keys: tuple[str, ...] = ("chrom", "strand")) -> DataFrame:
     """Transcripts by density: one starts where the mean over a window is start_fold times the background, ends where it falls below
     background / body_fold, and a new one starts on a lasting rise by body_fold. Shorter ones than `least` bases go; a body's level is
@@ -222,19 +132,6 @@ def dense_transcripts(counts: DataFrame, size: int = 50, start_fold: float = 4.0
     return active_stretches(counts, keys, gap).groupBy(*keys, "stretch").applyInPandas(call, schema)
 
 
-def _poisson_tail(n: np.ndarray, rate: np.ndarray) -> np.ndarray:
-    """P(X >= n) of Poisson laws."""
-    n = n.astype(np.int64)
-    factorials = np.concatenate([[0.0], np.cumsum(np.log(np.arange(1, n.max(initial=1) + 1)))])
-    term = np.exp(n * np.log(rate) - rate - factorials[n])
-    total, step = term.copy(), 0
-    while step < 1000 and (term > total * 1e-12).any():
-        step += 1
-        term = term * rate / (n + step)
-        total += term
-    return np.where(n > 0, np.minimum(total, 1.0), 1.0)
-
-
 def on_contigs(rows: DataFrame, prefixes: tuple[str, ...]) -> DataFrame:
     """Rows of contigs whose name starts with one of the prefixes."""
     hit = F.lit(False)
@@ -261,7 +158,7 @@ def tss_peaks(ends: DataFrame, reach: int = 100, false_rate: float = 0.1, pair_d
 
     def test(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
-            yield pdf.assign(p=np.round(np.maximum(_poisson_tail(pdf["n"].to_numpy(), pdf["rate"].to_numpy()), 1e-300), 12))[["chrom", "strand", "pos", "n", "p"]]
+            yield pdf.assign(p=np.round(np.maximum(poisson_tail(pdf["n"].to_numpy(), pdf["rate"].to_numpy()), 1e-300), P_DIGITS))[["chrom", "strand", "pos", "n", "p"]]
 
     tested = local.select("chrom", "strand", "pos", "n", "rate").mapInPandas(test, "chrom string, strand string, pos long, n long, p double")
     levels = tested.groupBy("p").agg(F.count(F.lit(1)).alias("m")).withColumn("bucket", F.floor(F.col("p") * 4096))

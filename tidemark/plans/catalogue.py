@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import alignment as al
-from tidemark.operators import annotation, coverage, dedup, intervals, qc, quantify, samples, transcripts
+from tidemark.operators import annotation, coverage, dedup, hmm, intervals, qc, quantify, samples, transcripts
 from tidemark.sources import proxies
 from tidemark.sources.proxies import table
 from tidemark.streaming import sessions
@@ -94,6 +95,44 @@ def _tuning(spark: SparkSession, d: str) -> DataFrame:
     return transcripts.tune(counts, proxies.features(spark, d), transcripts.grid(spark), 10)
 
 
+_STAY, _LEAVE = (int(hmm.scores(np.array(x))) for x in hmm.moves(-5.0))
+
+
+def _viterbi_sql(params: str, more: str = "") -> str:
+    """Paths of two states by a recursion over bins, for every row of params (k, stay, leave, variance): called (k, chrom, strand, start, end)."""
+    score = lambda x: f"CAST(round(greatest({x}, {hmm.LEAST_SCORE}) * {hmm.UNIT}) AS BIGINT)"
+    return f"""RECURSIVE {READS}, {more} params AS ({params}),
+      counts AS (SELECT chrom, strand, "start" // 10 AS bin, count(*) AS n FROM reads GROUP BY ALL),
+      mean AS (SELECT avg(n) AS m FROM counts),
+      o AS (SELECT *, CASE WHEN coalesce(bin - lag(bin) OVER (PARTITION BY chrom, strand ORDER BY bin) > 200, TRUE) THEN bin END AS opens FROM counts),
+      s AS (SELECT *, max(opens) OVER (PARTITION BY chrom, strand ORDER BY bin ROWS UNBOUNDED PRECEDING) AS stretch FROM o),
+      w AS (SELECT chrom, strand, stretch, unnest(generate_series(0, length)) AS x FROM (SELECT chrom, strand, stretch, max(bin) - stretch + 2 AS length FROM s GROUP BY chrom, strand, stretch)),
+      e AS MATERIALIZED (SELECT k, w.chrom, w.strand, w.stretch, x, stay, leave, {score("0.5 * ln(2 / (pi() * variance)) - coalesce(n, 0) * coalesce(n, 0) / (2 * variance)")} AS quiet, {score("-ln(m) - coalesce(n, 0) / m")} AS loud
+        FROM w CROSS JOIN params CROSS JOIN mean LEFT JOIN s ON s.chrom = w.chrom AND s.strand = w.strand AND s.stretch = w.stretch AND s.bin = w.stretch - 1 + x),
+      lasts AS (SELECT chrom, strand, stretch, max(x) AS last FROM w GROUP BY ALL),
+      v AS (SELECT k, chrom, strand, stretch, x, quiet AS a, loud + leave AS b, FALSE AS to0, FALSE AS to1 FROM e WHERE x = 0
+        UNION ALL SELECT e.k, e.chrom, e.strand, e.stretch, e.x, greatest(a + stay, b + leave) + quiet, greatest(b + stay, a + leave) + loud, b + leave > a + stay, b + stay >= a + leave
+        FROM v JOIN e ON e.k = v.k AND e.chrom = v.chrom AND e.strand = v.strand AND e.stretch = v.stretch AND e.x = v.x + 1),
+      t AS (SELECT k, chrom, strand, stretch, x, b > a AS state FROM v JOIN lasts USING (chrom, strand, stretch) WHERE x = last
+        UNION ALL SELECT t.k, t.chrom, t.strand, t.stretch, t.x - 1, CASE WHEN t.state THEN to1 ELSE to0 END
+        FROM t JOIN v ON v.k = t.k AND v.chrom = t.chrom AND v.strand = t.strand AND v.stretch = t.stretch AND v.x = t.x WHERE t.x > 0),
+      i AS (SELECT *, x - row_number() OVER (PARTITION BY k, chrom, strand, stretch ORDER BY x) AS island FROM t WHERE state),
+      called AS (SELECT k, chrom, strand, (stretch - 1 + min(x)) * 10 AS "start", (stretch + max(x)) * 10 AS "end" FROM i GROUP BY k, chrom, strand, stretch, island)"""
+
+
+def _tuned_sql() -> str:
+    grid = [(p, u) for p in range(-100, -401, -50) for u in range(5, 46, 5)]
+    rows = ", ".join(f"({n}, {', '.join(str(int(hmm.scores(np.array(x)))) for x in hmm.moves(float(p)))}, CAST({u} AS DOUBLE))" for n, (p, u) in enumerate(grid))
+    return f"""WITH {_viterbi_sql(f"SELECT * FROM (VALUES {rows}) AS g(k, stay, leave, variance)", f"{FEATURES},")},
+      pairs AS (SELECT DISTINCT a.k, a.chrom, a.strand, a."start" AS s, b.gene FROM called a JOIN features b ON {OVER} AND a.strand = b.strand),
+      m AS (SELECT k, count(*) FILTER (n > 1) AS merged FROM (SELECT k, count(DISTINCT gene) AS n FROM pairs GROUP BY k, chrom, strand, s) GROUP BY k),
+      q AS (SELECT k, CAST(sum(n - 1) AS BIGINT) AS dissociated FROM (SELECT k, gene, count(*) AS n FROM pairs GROUP BY ALL) GROUP BY k),
+      z AS (SELECT k, count(*) AS tx_size FROM called GROUP BY k),
+      tuned AS (SELECT CAST(-100 - 50 * (k // 9) AS INT) AS LtProbB, CAST(5 + 5 * (k % 9) AS INT) AS UTS, CAST(k AS BIGINT) AS row_no, CASE WHEN tx_size > 0 THEN coalesce(merged, 0) END AS merged, CASE WHEN tx_size > 0 THEN coalesce(dissociated, 0) END AS dissociated,
+        CASE WHEN tx_size > 0 THEN coalesce(merged, 0) + coalesce(dissociated, 0) END AS total, round((coalesce(merged, 0) + coalesce(dissociated, 0)) / (tx_size + (SELECT count(*) FROM features)), 6) AS error_rate, tx_size
+        FROM params LEFT JOIN z USING (k) LEFT JOIN m USING (k) LEFT JOIN q USING (k))"""
+
+
 def _best(spark: SparkSession, d: str) -> DataFrame:
     return annotation.first_wins(_tuning(spark, d).where("error_rate IS NOT NULL"), "error_rate", "row_no")
 
@@ -117,6 +156,16 @@ def _peaks(spark: SparkSession, d: str) -> DataFrame:
     return transcripts.tss_peaks(_ends(spark, d).groupBy("chrom", "strand", "pos").agg(F.count(F.lit(1)).alias("n")))
 
 
+_PEAKS = f"""ends AS (SELECT chrom, strand, CASE WHEN strand = '+' THEN "start" ELSE "end" - 1 END AS pos, count(*) AS n FROM reads GROUP BY ALL),
+      near AS (SELECT *, greatest((sum(n) OVER (PARTITION BY chrom, strand ORDER BY pos RANGE BETWEEN 100 PRECEDING AND 100 FOLLOWING) - n) / 200.0, 0.01) AS rate FROM ends),
+      tested AS (SELECT chrom, strand, pos, n, round(CASE WHEN n > rate THEN list_sum(list_transform(generate_series(n, n + 400), lambda x: exp(x * ln(rate) - rate - lgamma(x + 1.0))))
+        ELSE 1 - list_sum(list_transform(generate_series(0, n - 1), lambda x: exp(x * ln(rate) - rate - lgamma(x + 1.0)))) END, {transcripts.P_DIGITS}) AS p FROM near),
+      ranked AS (SELECT p, count(*) OVER (ORDER BY p RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS rank, count(*) OVER () AS total FROM tested),
+      cut AS (SELECT max(p) AS low FROM ranked WHERE p <= 0.1 * rank / total),
+      peaks AS (SELECT t.* FROM tested t, cut WHERE p <= low),
+      kinds AS (SELECT *, CASE WHEN EXISTS (SELECT 1 FROM peaks b WHERE b.chrom = a.chrom AND b.strand <> a.strand AND b.pos BETWEEN a.pos - 300 AND a.pos + 300) THEN 'divergent' ELSE 'unidirectional' END AS kind FROM peaks a)"""
+
+
 def _classes(spark: SparkSession, d: str) -> DataFrame:
     f = proxies.features(spark, d)
     return f.select("chrom", "start", "end", F.when(F.col("gene") % 3 == 0, "cds").when(F.col("gene") % 3 == 1, "utr").otherwise("intron").alias("class"), (F.col("gene") % 3).alias("priority"))
@@ -248,6 +297,11 @@ def oracle_sql() -> dict[str, str]:
     flags = ", ".join(f"count(*) FILTER ({c}) AS {n}" for n, c in _FLAGS.items())
     metrics = {"reads": "count(*)", "reads mapped": "count(*) FILTER (flag & 4 = 0)", "reads of quality 0": "count(*) FILTER (flag & 2308 = 0 AND mapq = 0)", "bases mapped": 'sum(CASE WHEN flag & 4 = 0 THEN "end" - "start" ELSE 0 END)', "longest": 'max("end" - "start")', "shortest": 'min("end" - "start")'}
     out = {
+        "hmm_transcripts": f"""WITH {_viterbi_sql(f"SELECT 0 AS k, {_STAY} AS stay, {_LEAVE} AS leave, CAST(5 AS DOUBLE) AS variance")} SELECT chrom, strand, "start", "end" FROM called""",
+        "hmm_tuning": f"{_tuned_sql()} SELECT * FROM tuned",
+        "grid_search_argmin": f"{_tuned_sql()} SELECT * FROM tuned WHERE error_rate IS NOT NULL ORDER BY error_rate, row_no LIMIT 1",
+        "tss_peaks": f"WITH {READS}, {_PEAKS} SELECT * FROM kinds",
+        "tss_peaks_gather": f"""WITH {READS}, {_PEAKS}, x AS (SELECT chrom, pos AS "start", pos + 1 AS "end" FROM kinds WHERE kind = 'unidirectional'), {_merged("x")} SELECT * FROM merged""",
         "coverage_plus": f"WITH {READS}, {_runs(strand('+'))} {runs.format(k='chrom', v='depth')}",
         "coverage_minus": f"WITH {READS}, {_runs(strand('-'))} {runs.format(k='chrom', v='depth')}",
         "coverage_all": f"WITH {READS}, {_runs('reads', 'sample, chrom, strand')} {runs.format(k='sample, chrom, strand', v='depth')}",

@@ -29,9 +29,9 @@ from .bpe import pieces
 from .common import by_bytes, id_text, pack_arrays, unpack_arrays, written
 from .words import public_file
 
-PIECE, BATCH_BYTES, FAN = 1 << 16, 4 << 20, 16
-#: Units that a worker remembers.
-MOST_KEPT = 200_000
+PIECE, BATCH_BYTES, FAN = 1 << 16, 2 << 20, 16
+#: Units that a worker remembers, and that it hands to a library at once.
+MOST_KEPT, UNITS = 100_000, 8192
 NO_ID = -(2**63)
 
 
@@ -91,9 +91,12 @@ class Side:
         place = np.fromiter(map(self.place.get, distinct, repeat(-1)), np.int64, len(distinct))
         fresh = np.flatnonzero(place < 0)
         fresh = fresh[np.argsort(np.bincount(index, minlength=len(distinct))[fresh] < 2, kind="stable")]  # repeated ones first
-        got = self.encode([distinct[i] for i in fresh])
-        lengths = np.fromiter(map(len, got), np.int64, len(got))
-        ids = np.concatenate([self.ids, np.fromiter((x for g in got for x in g), np.int64, int(lengths.sum()))])
+        ids, lengths = [self.ids], [np.zeros(0, np.int64)]
+        for at in range(0, len(fresh), UNITS):
+            got = self.encode([distinct[i] for i in fresh[at : at + UNITS]])
+            lengths.append(np.fromiter(map(len, got), np.int64, len(got)))
+            ids.append(np.fromiter((x for g in got for x in g), np.int64, int(lengths[-1].sum())))
+        ids, lengths = np.concatenate(ids), np.concatenate(lengths)
         place[fresh] = len(self.lengths) + np.arange(len(fresh))
         keep = min(len(fresh), MOST_KEPT - len(self.place))
         lengths = np.concatenate([self.lengths, lengths])
@@ -357,6 +360,7 @@ def _blocks(docs: DataFrame, pair: Pair, digest: bool) -> DataFrame:
         for b in by_bytes(it, BATCH_BYTES):
             (x, y), (ends_x, ends_y) = encode(pc.binary_join_element_wise("", b.column(1), " "), pair)
             yield _block(b.column(0).to_pylist(), x, ends_x, y, ends_y, *closings(np.cumsum(size[0][x]), np.cumsum(size[1][y])), pair, digest)
+            pa.default_memory_pool().release_unused()
 
     return docs.mapInArrow(of, _BLOCK)
 

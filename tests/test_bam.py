@@ -1,0 +1,103 @@
+"""The BAM source against the reader of SAM text, for ranges of any size."""
+
+import random
+import struct
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.sources import bam, formats
+
+CONTIGS = [("chr1", 100_000), ("chr2", 50_000), ("chrUn_x", 900)]
+
+
+@pytest.fixture(scope="module")
+def lines():
+    rng = random.Random(6)
+    out = []
+    for i in range(900):
+        n = rng.choice([0, 1, 7, 50, 51, 150]) if i % 50 else 30_000  # some records are longer than a block
+        seq = "".join(rng.choice("ACGTN") for _ in range(n))
+        qual = "".join(chr(33 + rng.randint(0, 60)) for _ in range(n))
+        cigar = "*" if not n or i % 11 == 0 else f"{n}M" if n < 40 else f"3S{n - 20}M2D5N{10}M{2}I5H5="
+        chrom, pos = (rng.choice(CONTIGS)[0], rng.randint(1, 800)) if i % 13 else ("*", 0)
+        mate = rng.choice(["*", "=", "chr2"])
+        tags = [f"NM:Z:{i % 5}", "XT:Z:a b:c"] if i % 3 else []
+        out.append("\t".join([f"read{i}", str(rng.choice([0, 16, 99, 147, 4])), chrom, str(pos), str(rng.randint(0, 60)), cigar, mate if chrom != "*" or mate != "=" else "*", str(rng.randint(0, 500)), str(rng.randint(-300, 300)), seq or "*", qual or "*", *tags]))
+    return out
+
+
+def rows_of(df):
+    return sorted(map(str, df.withColumn("tags", F.array_sort(F.map_entries("tags"))).collect()))
+
+
+@pytest.fixture(scope="module")
+def both(spark, lines, tmp_path_factory):
+    where = tmp_path_factory.mktemp("bam")
+    (where / "a.sam").write_text("@HD\tVN:1.6\n" + "\n".join(lines) + "\n")
+    sam = formats.read_sam(spark, str(where / "a.sam"))
+    number = {c: i for i, (c, _) in enumerate(CONTIGS)}
+    rows = sorted((r.asDict() for r in sam.withColumn("tags", F.map_entries("tags")).collect()), key=lambda r: int(r["name"][4:]))
+    data = bam.header(CONTIGS) + b"".join(bam.encode({**r, "tags": [tuple(t) for t in r["tags"]]}, number) for r in rows)
+    rng, at, out = random.Random(1), 0, []
+    while at < len(data):  # blocks of any size, empty ones too
+        n = rng.choice([0, 100, 3000, 65_000])
+        out.append(bam.deflate(data[at : at + n]) or bam.END)
+        at += n
+    (where / "a.bam").write_bytes(b"".join(out) + bam.END)
+    return sam, str(where / "a.bam")
+
+
+@pytest.mark.parametrize("split", [1, 2])
+def test_ranges(spark, both, split):
+    """Ranges from a few bytes to the whole file give each record once."""
+    sam, path = both
+    want = rows_of(sam)
+    for size in (997, 20_000) if split == 1 else (70_000, 1 << 30):
+        got = bam.read_bam(spark, path, size)
+        assert rows_of(got) == want
+        assert got.columns == sam.columns
+
+
+def test_no_task_reads_the_file(spark, both):
+    """A range reads its own blocks and what its last record needs."""
+    _, path = both
+    reader = bam.BamReader(path, 30_000)
+    parts = reader.partitions()
+    assert len(parts) > 5 and sum(p.end - p.start for p in parts) == parts[0].size
+    counts = [sum(b.num_rows for b in reader.read(p)) for p in parts]
+    assert sum(counts) == 900 and max(counts) < 450
+
+
+def test_tags():
+    data = b"".join([b"NMC\x05", b"ASs" + struct.pack("<h", -300), b"XFf" + struct.pack("<f", 2.5), b"XAAq", b"XZZhi there\0", b"XBBs" + struct.pack("<Ihh", 2, -1, 7), b"XIi" + struct.pack("<i", -70000)])
+    name = b"r\0"
+    record = bam._FIXED.pack(0, 10, len(name), 3, 0, 1, 16, 3, -1, -1, 0) + name + struct.pack("<I", 3 << 4) + bytes([0x12, 0x40]) + b"\xff\xff\xff" + data
+    row = bam.decode(record, ["c"])
+    assert row[:13] == ("r", 16, "c", 10, 13, "-", 3, "3M", None, -1, 0, "ACG", "*")
+    assert row[13] == [("NM", "5"), ("AS", "-300"), ("XF", "2.5"), ("XA", "q"), ("XZ", "hi there"), ("XB", "s,-1,7"), ("XI", "-70000")]
+
+
+def test_long_cigars():
+    """More operations than a record has room for go through a tag."""
+    cigar = "1M1I" * 40_000
+    row = {"name": "x", "flag": 0, "chrom": "c", "start": 5, "end": 40_005, "mapq": 1, "cigar": cigar, "mate_chrom": None, "mate_start": -1, "tlen": 0, "seq": "A" * 80_000, "qual": "*", "tags": []}
+    got = bam.decode(bam.encode(row, {"c": 0})[4:], ["c"])
+    assert got[7] == cigar and got[4] == 40_005 and got[13] == []
+
+
+def test_write(spark, both, tmp_path):
+    sam, _ = both
+    bam.write_bam(sam.repartition(3), CONTIGS, str(tmp_path / "out"))
+    files = list((tmp_path / "out").iterdir())
+    assert len(files) == 3 and all(f.suffix == ".bam" and f.read_bytes().endswith(bam.END) for f in files)
+    assert rows_of(bam.read_bam(spark, str(tmp_path / "out"), 5000)) == rows_of(sam)
+    with pytest.raises(Exception, match="not a BAM file"):
+        (tmp_path / "bad.bam").write_bytes(bam.deflate(b"no such thing at all"))
+        bam.read_bam(spark, str(tmp_path / "bad.bam")).count()
+
+
+def test_bins():
+    assert [bam._bin(a, b) for a, b in ((0, 1), (0, 1 << 14), (16_000, 17_000), (0, 1 << 29), (1 << 28, (1 << 28) + 5))] == [4681, 4681, 585, 0, 4681 + (1 << 14)]
+    assert np.array_equal(bam._PAIRS[0x12], np.frombuffer(b"AC", np.uint8))

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .intervals import STRETCH
+
 
 def gtf_to_bed12(gtf: DataFrame) -> DataFrame:
     """Transcripts with their exons as blocks: chrom, start, end, name, score, strand, thick_start, thick_end, rgb, block_count, block_sizes, block_starts.
@@ -125,6 +127,15 @@ def first_wins(table: DataFrame, value: str, order: str) -> DataFrame:
 
 
 def number(rows: DataFrame, prefix: str = "TX") -> DataFrame:
-    """rows with names where they have none: the prefix and their place by contig and start, counted per contig."""
-    w = W.partitionBy("chrom").orderBy("start", "end", "strand")
-    return rows.withColumn("name", F.coalesce("name", F.concat(F.lit(prefix), F.col("chrom"), F.lit("."), F.row_number().over(w))))
+    """rows with names where they have none: the prefix and their place by contig and start, counted per contig.
+
+    Places are counted within stretches of a contig, and stretches by their sizes. A row without a start comes first.
+    """
+    rows = rows.withColumn("_stretch", F.coalesce(F.floor(F.col("start") / STRETCH), F.lit(-1)))
+    along = W.partitionBy("_c").orderBy("_s").rowsBetween(W.unboundedPreceding, -1)
+    sizes = rows.groupBy(F.col("chrom").alias("_c"), F.col("_stretch").alias("_s")).agg(F.count(F.lit(1)).alias("_n"))
+    sizes = sizes.select("_c", "_s", F.coalesce(F.sum("_n").over(along), F.lit(0)).alias("_base"))
+    placed = rows.join(sizes, F.col("chrom").eqNullSafe(F.col("_c")) & (F.col("_stretch") == F.col("_s")))
+    w = W.partitionBy("chrom", "_stretch").orderBy("start", "end", "strand")
+    nth = F.col("_base") + F.row_number().over(w)
+    return placed.withColumn("name", F.coalesce("name", F.concat(F.lit(prefix), F.col("chrom"), F.lit("."), nth))).drop("_stretch", "_c", "_s", "_base")

@@ -17,7 +17,10 @@ def coverage(intervals: DataFrame, keys: tuple[str, ...] = ("chrom",), scale: fl
     """Maximal runs of equal, nonzero depth: keys, start, end, depth (times scale). Empty intervals and nulls count for nothing."""
     keys = list(keys)
     ends = intervals.where("start < `end`").select(*keys, F.explode(F.array(F.struct(F.col("start").alias("pos"), F.lit(1).alias("d")), F.struct(F.col("end").alias("pos"), F.lit(-1).alias("d")))).alias("e"))
-    events = ends.groupBy(*keys, F.col("e.pos").cast("long").alias("pos")).agg(F.sum("e.d").alias("d")).where("d <> 0").withColumn("stretch", F.floor(F.col("pos") / stretch))
+    events = ends.select(*keys, F.col("e.pos").cast("long").alias("pos"), "e.d").withColumn("stretch", F.floor(F.col("pos") / stretch))
+    # Both branches below need rows without nulls: said here, the shuffle of one serves the other.
+    events = events.where(" AND ".join(f"`{k}` IS NOT NULL" for k in [*keys, "stretch"]))
+    events = events.groupBy(*keys, "stretch", "pos").agg(F.sum("d").alias("d")).where("d <> 0")
     along = W.partitionBy(*keys).orderBy("stretch")
     totals = events.groupBy(*keys, "stretch").agg(F.sum("d").alias("d"), F.min("pos").alias("first"))
     totals = totals.select(*keys, "stretch", F.coalesce(F.sum("d").over(along.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("base"), F.lead("first").over(along).alias("next"))

@@ -110,7 +110,11 @@ def c_curve(histogram: DataFrame, steps: int = 10) -> DataFrame:
     return seen.groupBy("step").agg(F.floor(total * F.first(share)).alias("total_reads"), F.round(F.sum(F.col("n_j") * (1 - F.pow(1 - share, F.col("j")))), 4).alias("distinct"))
 
 
-def extrapolate(n_j: np.ndarray, times: np.ndarray, terms: int = 20) -> np.ndarray:
+#: Terms of the series that the extrapolation uses.
+TERMS = 20
+
+
+def extrapolate(n_j: np.ndarray, times: np.ndarray, terms: int = TERMS) -> np.ndarray:
     """New molecules at `times` as many reads beyond the first, by the continued fraction of the alternating series sum (-1)^(j+1) n_j t^j.
 
     The quotient-difference scheme turns the series into the fraction; the highest stable, even number of terms is used.
@@ -160,14 +164,19 @@ def lc_extrap(histogram: DataFrame, steps: int = 10, step: float = 1.0, bootstra
         pdf = pd.concat(list(frames))
         if not len(pdf):
             return
-        n_j = np.zeros(int(pdf["j"].max()))
-        n_j[pdf["j"].to_numpy() - 1] = pdf["n_j"]
-        total, times = float((pdf["j"] * pdf["n_j"]).sum()), np.arange(0, steps + 1) * step
-        out = pd.DataFrame({"total_reads": total * (1 + times), "expected_distinct": n_j.sum() + extrapolate(n_j, times)})
+        pdf = pdf.sort_values("j")
+        j, n = pdf["j"].to_numpy(np.int64), pdf["n_j"].to_numpy(np.int64)
+
+        def first_counts(n: np.ndarray) -> np.ndarray:
+            """What the series uses: molecules of 1, 2, ... reads, as far as its terms go; a deep place takes no room."""
+            return np.bincount(j[j <= TERMS] - 1, weights=n[j <= TERMS], minlength=min(TERMS, int(j.max())))
+
+        total, times = float((j * n).sum()), np.arange(0, steps + 1) * step
+        out = pd.DataFrame({"total_reads": total * (1 + times), "expected_distinct": n.sum() + extrapolate(first_counts(n), times)})
         if bootstraps:
             rng = np.random.default_rng(seed)
-            draws = rng.multinomial(int(n_j.sum()), n_j / n_j.sum(), bootstraps)
-            yields = np.array([d.sum() + extrapolate(d, times) for d in draws])
+            draws = rng.multinomial(int(n.sum()), n / n.sum(), bootstraps)
+            yields = np.array([d.sum() + extrapolate(first_counts(d), times) for d in draws])
             out["lower"], out["upper"] = np.quantile(yields, ((1 - level) / 2, (1 + level) / 2), axis=0)
         yield out
 

@@ -14,17 +14,29 @@ BIN, STRETCH = 1 << 10, 1 << 16
 
 
 def merge_intervals(intervals: DataFrame, keys: tuple[str, ...] = ("chrom",), gap: int = 0, stretch: int = STRETCH) -> DataFrame:
-    """Overlapping and book-ended intervals (or those at most `gap` apart) become one: keys, start, end, n."""
+    """Overlapping and book-ended intervals (or those at most `gap` apart) become one: keys, start, end, n. Rows with a null key or place count for nothing.
+
+    Stretches of a contig are merged by themselves; one row a stretch (where it reaches, where its last island opens) then says
+    which of its islands go on with an earlier one.
+    """
     keys = list(keys)
-    rows = intervals.where("start < `end`").groupBy(*keys, F.col("start").cast("long").alias("start")).agg(F.max("end").cast("long").alias("end"), F.count(F.lit(1)).alias("n")).withColumn("stretch", F.floor(F.col("start") / stretch))
+    place = [*keys, "stretch"]
+    rows = intervals.where("start < `end`").select(*keys, F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"))
+    rows = rows.withColumn("stretch", F.floor(F.col("start") / stretch)).where(" AND ".join(f"`{k}` IS NOT NULL" for k in place))
+    rows = rows.groupBy(*place, "start").agg(F.max("end").alias("end"), F.count(F.lit(1)).alias("n"))
+    within = W.partitionBy(*place).orderBy("start")
+    before = F.max("end").over(within.rowsBetween(W.unboundedPreceding, -1))
+    rows = rows.withColumn("before", before).withColumn("opens", F.when(F.col("before").isNull() | (F.col("start") > F.col("before") + gap), F.col("start")))
+    rows = rows.withColumn("island", F.max("opens").over(within.rowsBetween(W.unboundedPreceding, 0)))
+    islands = rows.groupBy(*place, "island").agg(F.max("end").alias("end"), F.sum("n").alias("n"))
     along = W.partitionBy(*keys).orderBy("stretch").rowsBetween(W.unboundedPreceding, -1)
-    within = W.partitionBy(*keys, "stretch").orderBy("start")
-    reach = rows.groupBy(*keys, "stretch").agg(F.max("end").alias("end")).select(*keys, "stretch", F.max("end").over(along).alias("base"))
-    rows = rows.join(reach, [*keys, "stretch"]).withColumn("before", F.greatest("base", F.max("end").over(within.rowsBetween(W.unboundedPreceding, -1))))
-    rows = rows.withColumn("opens", F.when(F.col("before").isNull() | (F.col("start") > F.col("before") + gap), F.col("start")))
-    opened = rows.groupBy(*keys, "stretch").agg(F.max("opens").alias("opens")).select(*keys, "stretch", F.max("opens").over(along).alias("open"))
-    rows = rows.drop("base").join(opened, [*keys, "stretch"]).withColumn("island", F.coalesce(F.max("opens").over(within.rowsBetween(W.unboundedPreceding, 0)), "open"))
-    return rows.groupBy(*keys, F.col("island").alias("start")).agg(F.max("end").alias("end"), F.sum("n").alias("n"))
+    # The total keeps both branches' columns alike, so that the shuffle of one serves the other.
+    ends = islands.groupBy(*place).agg(F.max("end").alias("end"), F.max("island").alias("last"), F.sum("n").alias("total")).where("total > 0")
+    ends = ends.withColumn("base", F.max("end").over(along))
+    ends = ends.withColumn("open", F.max(F.when(F.col("base").isNull() | (F.col("last") > F.col("base") + gap), F.col("last"))).over(along))
+    start = F.when(F.col("base").isNull() | (F.col("island") > F.col("base") + gap), F.col("island")).otherwise(F.col("open"))
+    both = islands.join(ends.select(*place, "base", "open"), place).select(*keys, start.alias("start"), "end", "n")
+    return both.groupBy(*keys, "start").agg(F.max("end").alias("end"), F.sum("n").alias("n"))
 
 
 def sort_bed(intervals: DataFrame, order: DataFrame | None = None) -> DataFrame:
@@ -68,8 +80,9 @@ def intersect(a: DataFrame, b: DataFrame, how: str = "each", keys: tuple[str, ..
 
 def count_overlaps(a: DataFrame, b: DataFrame, id_col: str, keys: tuple[str, ...] = ("chrom",), bin_size: int = BIN) -> DataFrame:
     """id_col of every row of a, and how many intervals of b overlap it, 0 included."""
-    pairs = overlap_join(a.select(id_col, *keys, "start", "end"), b.select(*keys, "start", "end"), keys, bin_size)
-    found = pairs.groupBy(F.col(f"a_{id_col}").alias(id_col)).agg(F.count(F.lit(1)).alias("n"))
+    places = b.groupBy(*keys, "start", "end").agg(F.count(F.lit(1)).alias("times"))  # a deep place is one row
+    pairs = overlap_join(a.select(id_col, *keys, "start", "end"), places, keys, bin_size)
+    found = pairs.groupBy(F.col(f"a_{id_col}").alias(id_col)).agg(F.sum("b_times").alias("n"))
     return a.select(id_col).join(found, id_col, "left").select(id_col, F.coalesce("n", F.lit(0)).alias("n"))
 
 

@@ -252,7 +252,7 @@ def trim(reads: DataFrame, adapter: str | None = None, head: int = 0, tail: int
     out = out.where(F.length(s) >= least)
     if complexity is not None:
         chars = F.split(s, "")
-        unlike = F.size(F.filter(F.arrays_zip(chars.alias("a"), F.slice(chars, 2, 1_000_000).alias("b")), lambda z: z["b"].isNotNull() & (z["b"] != "") & (z["a"] != z["b"])))
+        unlike = F.size(F.filter(F.arrays_zip(chars.alias("a"), F.slice(chars, F.lit(2), F.greatest(F.size(chars) - 1, F.lit(0))).alias("b")), lambda z: z["b"].isNotNull() & (z["b"] != "") & (z["a"] != z["b"])))
         out = out.where(unlike >= complexity * (F.length(s) - 1))
     return out
 

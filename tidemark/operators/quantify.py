@@ -12,7 +12,7 @@ from .samples import mix
 
 
 def assign(reads: DataFrame, features: DataFrame, strandedness: int = 0, least_mapq: int = 0, both_ends: bool = False, chimeric: bool = True) -> DataFrame:
-    """id, sample, gene, status of every read.
+    """id, sample, gene, status of every read; ids may be null or repeat.
 
     features: gene, chrom, start, end, strand; several rows of a gene count as one. strandedness: 0 any strand, 1 that of the gene,
     2 the other. Reads over several genes are Unassigned_Ambiguity, over none Unassigned_NoFeatures; unmapped, secondary, low
@@ -26,14 +26,15 @@ def assign(reads: DataFrame, features: DataFrame, strandedness: int = 0, least_m
         early = early.when(al.has(f, al.PAIRED) & al.has(f, al.MATE_UNMAPPED), "Unassigned_Singleton")
     if not chimeric:
         early = early.when(al.has(f, al.PAIRED) & al.lacks(f, al.MATE_UNMAPPED) & (F.col("mate_chrom") != F.col("chrom")), "Unassigned_Chimera")
-    rows = reads.select("id", "sample", "chrom", "start", "end", "strand", early.alias("early"))
-    asked, keys = rows.where("early IS NULL").drop("early"), ("chrom",)
-    if strandedness:
-        keys = ("chrom", "strand")
-        asked = asked.withColumn("strand", F.when(F.lit(strandedness == 1), F.col("strand")).otherwise(F.translate("strand", "+-", "-+")))
-    hits = overlap_join(asked.select("id", *keys, "start", "end"), features.select("gene", *keys, "start", "end"), keys)
-    hits = hits.groupBy("a_id").agg(F.min("b_gene").alias("low"), F.max("b_gene").alias("high"))
-    out = rows.join(hits, rows["id"] == hits["a_id"], "left")
+    side = F.translate("strand", "+-", "-+") if strandedness == 2 else F.col("strand")
+    rows = reads.select("id", "sample", "chrom", "start", "end", side.alias("strand"), early.alias("early"))
+    keys = ("chrom", "strand") if strandedness else ("chrom",)
+    place = [*keys, "start", "end"]
+    # Reads at one place fare alike: each place is looked up once, however deep it is, and reads need no id.
+    places = rows.where("early IS NULL").select(*place).distinct()
+    hits = overlap_join(places, features.select("gene", *keys, "start", "end"), keys)
+    hits = hits.groupBy(*[F.col(f"a_{c}").alias(c) for c in place]).agg(F.min("b_gene").alias("low"), F.max("b_gene").alias("high"))
+    out = rows.join(hits, place, "left")
     status = F.coalesce("early", F.when(F.col("low").isNull(), "Unassigned_NoFeatures").when(F.col("low") != F.col("high"), "Unassigned_Ambiguity").otherwise("Assigned"))
     return out.select("id", "sample", F.when(status == "Assigned", F.col("low")).alias("gene"), status.alias("status"))
 
@@ -56,7 +57,7 @@ def lengths(features: DataFrame) -> DataFrame:
 def counts(assigned: DataFrame, features: DataFrame, samples: DataFrame) -> DataFrame:
     """gene, length, sample, n for every gene and sample, 0 included."""
     n = assigned.where("status = 'Assigned'").groupBy("gene", "sample").agg(F.count(F.lit(1)).alias("n"))
-    every = lengths(features).crossJoin(F.broadcast(samples.select("sample").distinct()))  # a sample sheet
+    every = lengths(features).crossJoin(samples.select("sample").distinct())  # a sample sheet
     return every.join(n, ["gene", "sample"], "left").select("gene", "length", "sample", F.coalesce("n", F.lit(0)).alias("n"))
 
 

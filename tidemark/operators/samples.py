@@ -39,8 +39,8 @@ def join_remainder(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
 
 
 def combine(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Every row of a with every row of b, a parameter table of a few rows."""
-    return a.crossJoin(F.broadcast(b))
+    """Every row of a with every row of b, a parameter table of a few rows; Spark judges by its size whether to broadcast it."""
+    return a.crossJoin(b)
 
 
 def mix(*tables: DataFrame) -> DataFrame:

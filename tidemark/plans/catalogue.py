@@ -232,7 +232,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "samplesheet_group": lambda s, d: samples.check_groups(samples.group_samples(_sheet(s, d))).select("id", "single_end", "n_runs", F.array_join("fastqs", ",").alias("fastqs")),
         "samplesheet_validate": lambda s, d: samples.invalid_rows(_sheet(s, d)),
         "replicate_group": lambda s, d: reads(s, d).groupBy(al.group_of(F.col("sample")).alias("group")).agg(F.count_distinct("sample").alias("samples"), F.count(F.lit(1)).alias("reads")),
-        "join_remainder_coalesce": lambda s, d: samples.join_remainder(table(s, d, "customer").where("c_custkey % 3 > 0").selectExpr("c_nationkey AS k", "c_custkey").groupBy("k").agg(F.max("c_custkey").alias("bai")), table(s, d, "supplier").where("s_suppkey % 2 = 0").selectExpr("s_nationkey AS k", "s_suppkey").groupBy("k").agg(F.max("s_suppkey").alias("csi")), "k").select("k", F.coalesce("bai", "csi").alias("index")),
+        "join_remainder_coalesce": lambda s, d: samples.join_remainder(table(s, d, "orders").groupBy(F.col("o_custkey").alias("k")).agg(F.max("o_orderkey").alias("bai")), table(s, d, "customer").selectExpr("c_custkey AS k", "CAST(c_nationkey AS BIGINT) AS csi"), "k").select("k", F.coalesce("bai", "csi").alias("index")),
         "combine_cross": lambda s, d: samples.combine(table(s, d, "supplier").select("s_suppkey"), table(s, d, "region").select("r_name")),
         "mix_union": lambda s, d: samples.mix(bed(features(s, d)), bed(regions(s, d)), bed(regions(s, d, False))),
         "versions_distinct": lambda s, d: table(s, d, "part").select(F.element_at(F.split("p_type", " "), -1).alias("tool"), "p_brand").distinct(),
@@ -359,7 +359,7 @@ def oracle_sql() -> dict[str, str]:
         "samplesheet_validate": rf"""WITH {_SHEET} SELECT sample, 'fastq_1 must be given and end in .fastq.gz or .fq.gz' AS reason FROM sheet WHERE NOT regexp_matches(fastq_1, '^\S+\.f(ast)?q\.gz$')
             UNION ALL SELECT sample, 'sample must be given without spaces' FROM sheet WHERE NOT regexp_matches(sample, '^\S+$')""",
         "replicate_group": f"WITH {READS} SELECT split_part(sample, '_', 1) AS \"group\", count(DISTINCT sample) AS samples, count(*) AS reads FROM reads GROUP BY ALL",
-        "join_remainder_coalesce": 'SELECT coalesce(a.k, b.k) AS k, coalesce(bai, csi) AS "index" FROM (SELECT c_nationkey AS k, max(c_custkey) AS bai FROM customer WHERE c_custkey % 3 > 0 GROUP BY 1) a FULL JOIN (SELECT s_nationkey AS k, max(s_suppkey) AS csi FROM supplier WHERE s_suppkey % 2 = 0 GROUP BY 1) b ON a.k = b.k',
+        "join_remainder_coalesce": 'SELECT coalesce(a.k, b.k) AS k, coalesce(bai, csi) AS "index" FROM (SELECT o_custkey AS k, max(o_orderkey) AS bai FROM orders GROUP BY 1) a FULL JOIN (SELECT c_custkey AS k, CAST(c_nationkey AS BIGINT) AS csi FROM customer) b ON a.k = b.k',
         "combine_cross": "SELECT s_suppkey, r_name FROM supplier CROSS JOIN region",
         "mix_union": f'WITH {FEATURES}, {REGIONS} SELECT chrom, "start", "end" FROM features UNION ALL SELECT chrom, "start", "end" FROM regions',
         "versions_distinct": "SELECT DISTINCT string_split(p_type, ' ')[-1] AS tool, p_brand FROM part",

@@ -100,13 +100,13 @@ def read_fastq(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_sam(spark: SparkSession, path: str) -> DataFrame:
-    """Alignments of SAM text as intervals; optional fields as a map."""
+    """Alignments of SAM text as intervals; optional fields as a map; a mate's contig given as '=' is the read's own."""
     fields = F.split("value", "\t")
-    rows = spark.read.text(path).where("NOT value RLIKE '^@[A-Z][A-Z]\t'").select(*[fields[i].alias(c) for i, c in enumerate(SAM)], F.slice(fields, 12, 10_000).alias("extra"))
+    rows = spark.read.text(path).where("NOT value RLIKE '^@[A-Z][A-Z]\t'").select(*[fields[i].alias(c) for i, c in enumerate(SAM)], F.slice(fields, F.lit(12), F.greatest(F.size(fields) - 11, F.lit(0))).alias("extra"))
     start = F.col("pos").cast("long") - 1
     tags = F.map_from_entries(F.transform("extra", lambda x: F.struct(F.substring_index(x, ":", 1), F.regexp_replace(x, "^[^:]*:[^:]*:", ""))))
     flag = F.col("flag").cast("int")
-    return rows.select("name", flag.alias("flag"), F.nullif("chrom", F.lit("*")).alias("chrom"), start.alias("start"), (start + al.reference_length(F.col("cigar"))).alias("end"), F.when(al.has(flag, al.REVERSE), "-").otherwise("+").alias("strand"), F.col("mapq").cast("int").alias("mapq"), "cigar", F.nullif("mate_chrom", F.lit("*")).alias("mate_chrom"), (F.col("mate_pos").cast("long") - 1).alias("mate_start"), F.col("tlen").cast("int").alias("tlen"), "seq", "qual", tags.alias("tags"))
+    return rows.select("name", flag.alias("flag"), F.nullif("chrom", F.lit("*")).alias("chrom"), start.alias("start"), (start + al.reference_length(F.col("cigar"))).alias("end"), F.when(al.has(flag, al.REVERSE), "-").otherwise("+").alias("strand"), F.col("mapq").cast("int").alias("mapq"), "cigar", F.when(F.col("mate_chrom") == "=", F.nullif("chrom", F.lit("*"))).otherwise(F.nullif("mate_chrom", F.lit("*"))).alias("mate_chrom"), (F.col("mate_pos").cast("long") - 1).alias("mate_start"), F.col("tlen").cast("int").alias("tlen"), "seq", "qual", tags.alias("tags"))
 
 
 def read_samplesheet(spark: SparkSession, path: str) -> DataFrame:

@@ -6,13 +6,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.functions import alignment as al
+from tidemark.sources.shared import kept
 
 PLACE = ("sample", "chrom", "pos", "strand")
+#: UMIs of a place that one task clusters at most.
+CROWD = 10_000
 
 
 def by_position(reads: DataFrame) -> DataFrame:
@@ -61,10 +65,38 @@ def _roots(umis: list[str], n: list[int]) -> list[int]:
     return root
 
 
-def directional_umis(reads: DataFrame, place: tuple[str, ...] = PLACE) -> DataFrame:
+def _crowded(counted: DataFrame, place: list[str]) -> DataFrame:
+    """directional_umis of places with many UMIs, as joins: no task holds a place.
+
+    A UMI's root is the first, by falling count, of all that reach it. UMIs one letter apart agree in what is left when that letter
+    goes, so they meet by place, letter and rest, a few at a time. Roots then travel along the steps, and each UMI also takes over its
+    root's root, until none changes; only whether one did reaches the driver.
+    """
+    rank = F.struct((-F.col("n")).alias("less"), "umi")
+    nodes = kept(counted.select(F.to_json(F.struct(*place)).alias("at"), "umi", "n", rank.alias("root")), "umis")
+    letters = F.explode(F.sequence(F.lit(1), F.length("umi")))
+    gaps = nodes.where("umi <> ''").select("at", "umi", "n", letters.alias("k")).withColumn("rest", F.concat(F.expr("substring(umi, 1, k - 1)"), F.expr("substring(umi, k + 1)")))
+    a, b = (gaps.select("at", "k", "rest", F.col("umi").alias(f"{x}_umi"), F.col("n").alias(f"{x}_n")) for x in ("from", "to"))
+    steps = kept(a.join(b, ["at", "k", "rest"]).where("from_umi <> to_umi AND length(from_umi) = length(to_umi) AND from_n >= 2 * to_n - 1").select("at", "from_umi", "to_umi").distinct(), "umi-steps")
+    while True:
+        known = nodes.select("at", F.col("umi").alias("from_umi"), "root")
+        reached = steps.join(known, ["at", "from_umi"]).select("at", F.col("to_umi").alias("umi"), "root")
+        roots = nodes.select("at", "umi", F.col("root.umi").alias("from_umi")).join(known, ["at", "from_umi"]).select("at", "umi", "root")
+        best = reached.union(roots).groupBy("at", "umi").agg(F.min("root").alias("best"))
+        moved = kept(nodes.join(best, ["at", "umi"], "left").select("at", "umi", "n", F.least("root", F.coalesce("best", "root")).alias("root"), (F.col("best") < F.col("root")).alias("moved")), "umis")
+        nodes = moved.drop("moved")
+        if moved.where("moved").isEmpty():
+            break
+    molecules = nodes.groupBy("at", F.col("root.umi").alias("umi")).agg(F.sum("n").alias("reads"), F.count(F.lit(1)).alias("umis"))
+    fields = ", ".join(f"{c} {t}" for c, t in counted.dtypes if c in place)
+    return molecules.withColumn("at", F.from_json("at", fields)).select("at.*", "umi", "reads", "umis")
+
+
+def directional_umis(reads: DataFrame, place: tuple[str, ...] = PLACE, crowd: int = CROWD) -> DataFrame:
     """One row for each molecule: place, umi (its most frequent), reads, umis. Reads without a UMI are left out.
 
-    Counts are made in Spark. A task holds one place at a time, of at most 4^length UMIs, however many places it is dealt.
+    Counts are made in Spark. A task holds one place at a time, however many it is dealt; places of more than `crowd` UMIs are
+    clustered by joins instead, with the same result.
     """
     counted = reads.where("umi IS NOT NULL").groupBy(*place, "umi").agg(F.count(F.lit(1)).alias("n"))
     fields = ", ".join(f"{c} {t}" for c, t in counted.dtypes if c in place)
@@ -72,9 +104,12 @@ def directional_umis(reads: DataFrame, place: tuple[str, ...] = PLACE) -> DataFr
     same = F.lit(True)
     for c in place:
         same = same & F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}"))
-    counted = counted.alias("a").join(kinds.alias("b"), same).select("a.*", "kinds")
+    counted = counted.alias("a").join(kinds.alias("b"), same).select("a.*", "kinds").persist(StorageLevel.MEMORY_AND_DISK)  # read three times
     alone = counted.where("kinds = 1").select(*place, "umi", F.col("n").alias("reads"), F.lit(1).cast("long").alias("umis"))  # nothing to cluster
-    several = counted.where("kinds > 1").select(*place, "umi", "n", "kinds").repartition(*place).sortWithinPartitions(*place, "umi")
+    crowded = counted.where(F.col("kinds") > crowd)
+    if not crowded.isEmpty():
+        alone = alone.unionByName(_crowded(crowded, list(place)))
+    several = counted.where((F.col("kinds") > 1) & (F.col("kinds") <= crowd)).select(*place, "umi", "n", "kinds").repartition(*place).sortWithinPartitions(*place, "umi")
 
     def cluster(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         umis, n, need = [], [], 0

@@ -11,6 +11,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 BIN, STRETCH = 1 << 10, 1 << 16
+#: Nested bins: levels, how many times (a power of 2) the bins of one are wider than those below, and bins of an interval at its own level at most.
+LEVELS, GROWTH, FEW = 5, 5, 8
 
 
 def merge_intervals(intervals: DataFrame, keys: tuple[str, ...] = ("chrom",), gap: int = 0, stretch: int = STRETCH) -> DataFrame:
@@ -53,16 +55,46 @@ def _spread(side: DataFrame, prefix: str, keys: list[str], bin_size: int) -> Dat
     return side.withColumn(f"{prefix}bin", F.explode(F.sequence(first, F.floor((F.col(f"{prefix}end") - 1) / bin_size))))
 
 
-def overlap_join(a: DataFrame, b: DataFrame, keys: tuple[str, ...] = ("chrom",), bin_size: int = BIN) -> DataFrame:
-    """Every pair of overlapping intervals once: columns of a as a_*, of b as b_*."""
+def overlap_join(a: DataFrame, b: DataFrame, keys: tuple[str, ...] = ("chrom",), bin_size: int = BIN, nested: bool = False) -> DataFrame:
+    """Every pair of overlapping intervals once: columns of a as a_*, of b as b_*.
+
+    nested is for tables with intervals of very different lengths: bins of several sizes (see _nested) in place of one.
+    """
     keys = list(keys)
-    left, right = _spread(a, "a_", keys, bin_size), _spread(b, "b_", keys, bin_size)
+    left, right = _nested(a, b, keys, bin_size) if nested else (_spread(a, "a_", keys, bin_size), _spread(b, "b_", keys, bin_size))
     on = F.col("a_bin") == F.col("b_bin")
     for k in keys:
         on &= F.col(f"a_{k}") == F.col(f"b_{k}")
     on &= (F.col("a_start") < F.col("b_end")) & (F.col("b_start") < F.col("a_end"))
-    on &= F.col("a_bin") == F.floor(F.greatest("a_start", "b_start") / bin_size)
-    return left.join(right, on).drop("a_bin", "b_bin")
+    if nested:
+        on &= (F.col("a_level") == F.col("b_level")) & (F.col("a_level") == F.greatest("a_own", "b_own"))
+        width = F.element_at(F.array(*[F.lit(bin_size << (GROWTH * k)) for k in range(LEVELS)]), F.col("a_level") + 1)
+    else:
+        width = F.lit(bin_size)
+    on &= F.col("a_bin") == F.floor(F.greatest("a_start", "b_start") / width)
+    return left.join(right, on).drop("a_bin", "b_bin", "a_level", "b_level", "a_own", "b_own")
+
+
+def _nested(a: DataFrame, b: DataFrame, keys: list[str], bin_size: int) -> list[DataFrame]:
+    """Both sides spread over bins of several sizes. An interval's own level is the finest with at most FEW bins in it; a pair
+    meets at the coarser of its two levels. So a row goes to its own level and to those coarser ones that the other side has:
+    a whole contig is a handful of rows, and so is a read that lies in one. Which levels a side has is one small row."""
+    sides = []
+    for side, x in ((a, "a_"), (b, "b_")):
+        side = side.where("start < `end`").select(*[F.col(c).alias(f"{x}{c}") for c in side.columns])
+        length = F.col(f"{x}end") - F.col(f"{x}start")
+        own = F.lit(LEVELS - 1)
+        for level in range(LEVELS - 2, -1, -1):
+            own = F.when(length <= FEW * (bin_size << (GROWTH * level)), level).otherwise(own)
+        sides.append(side.withColumn(f"{x}own", own))
+    out = []
+    for side, other, x, y in ((sides[0], sides[1], "a_", "b_"), (sides[1], sides[0], "b_", "a_")):
+        has = other.agg(F.collect_set(f"{y}own").alias("has"))  # LEVELS numbers at most
+        level = F.explode(F.expr(f"array_distinct(transform(has, h -> greatest(h, {x}own)))")).alias(f"{x}level")
+        rows = side.crossJoin(F.broadcast(has)).select(*side.columns, level)
+        width = F.element_at(F.array(*[F.lit(bin_size << (GROWTH * k)) for k in range(LEVELS)]), F.col(f"{x}level") + 1)
+        out.append(rows.withColumn(f"{x}bin", F.explode(F.sequence(F.floor(F.col(f"{x}start") / width), F.floor((F.col(f"{x}end") - 1) / width)))))
+    return out
 
 
 def intersect(a: DataFrame, b: DataFrame, how: str = "each", keys: tuple[str, ...] = ("chrom",), bin_size: int = BIN) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import alignment as al
 from tidemark.operators import annotation, coverage, dedup, hmm, intervals, qc, quantify, samples, transcripts
-from tidemark.sources import proxies
+from tidemark.sources import bam, proxies, shared
 from tidemark.sources.proxies import table
 from tidemark.streaming import sessions
 
@@ -166,6 +166,15 @@ _PEAKS = f"""ends AS (SELECT chrom, strand, CASE WHEN strand = '+' THEN "start"
       kinds AS (SELECT *, CASE WHEN EXISTS (SELECT 1 FROM peaks b WHERE b.chrom = a.chrom AND b.strand <> a.strand AND b.pos BETWEEN a.pos - 300 AND a.pos + 300) THEN 'divergent' ELSE 'unidirectional' END AS kind FROM peaks a)"""
 
 
+def _bam(spark: SparkSession, d: str) -> DataFrame:
+    """Reads written as BAM files and read back by ranges of their blocks."""
+    path = shared.new_path(spark, "bam")
+    contigs = [(r.chrom, r.length) for r in proxies.sizes(spark, d).collect()]  # the header
+    rows = proxies.reads(spark, d).selectExpr("replace(id, ' ', '_') AS name", "flag", "chrom", "start", "`end`", "strand", "mapq", "concat(`end` - start, 'M') AS cigar", "mate_chrom", "greatest(mate_start, 0) AS mate_start", "0 AS tlen", "'*' AS seq", "'*' AS qual", "map('RX', umi) AS tags")
+    bam.write_bam(rows, contigs, path)
+    return bam.read_bam(spark, path, 1 << 20).selectExpr("name", "CAST(flag AS BIGINT) AS flag", "chrom", "start", "`end`", "strand", "CAST(mapq AS BIGINT) AS mapq", "mate_chrom", "mate_start", "tags['RX'] AS umi")
+
+
 def _classes(spark: SparkSession, d: str) -> DataFrame:
     f = proxies.features(spark, d)
     return f.select("chrom", "start", "end", F.when(F.col("gene") % 3 == 0, "cds").when(F.col("gene") % 3 == 1, "utr").otherwise("intron").alias("class"), (F.col("gene") % 3).alias("priority"))
@@ -257,6 +266,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "fastqc_adapters": lambda s, d: qc.adapter_content(_texts(s, d), _ADAPTERS),
         "fastp_trim_filter": lambda s, d: qc.trim(_texts(s, d), adapter="Licensed", head=1, tail=2, least=100, umi=6).select("name", F.md5("seq").alias("seq_md5"), F.length("seq").cast("long").alias("length")),
         "session_merge_events": lambda s, d: sessions.merge_sessions(table(s, d, "events"), "2 hours").selectExpr("user_id", "unix_timestamp(start) AS start", "unix_timestamp(`end`) AS end", "n", "round(total, 4) AS total"),
+        "bam_round_trip": _bam,
+        "stream_merge_intervals": lambda s, d: sessions.merge_islands(features(s, d), ("chrom", "strand"), 3),
         "windowed_events": lambda s, d: sessions.windowed_counts(table(s, d, "events")).selectExpr("event_type", "unix_timestamp(start) AS start", "n", "round(total, 4) AS total"),
         "hmm_transcripts": lambda s, d: transcripts.hmm_transcripts(coverage.binned(reads(s, d), 10), 10, log_leave=-5.0),
         "homer_transcripts": lambda s, d: transcripts.dense_transcripts(coverage.binned(reads(s, d), 10), 10, least=50),
@@ -312,6 +323,8 @@ def oracle_sql() -> dict[str, str]:
         "dreg_coverage_signed": f"WITH {READS}, {one}, {_runs('one', 'chrom, strand')} " + runs.format(k="chrom, strand", v="CASE WHEN strand = '-' THEN -depth ELSE depth END"),
         "rna_strand_coverage": f"WITH {READS}, x AS (SELECT chrom, CASE WHEN (flag & 128 <> 0) = (flag & 16 <> 0) THEN '+' ELSE '-' END AS strand, \"start\", \"end\" FROM reads WHERE flag & 260 = 0), {_runs('x', 'chrom, strand')} {runs.format(k='chrom, strand', v='depth')}",
         "merge_intervals": f"WITH {FEATURES}, {_merged('features')} SELECT * FROM merged",
+        "bam_round_trip": f"""WITH {READS} SELECT replace(id, ' ', '_') AS name, flag, chrom, "start", "end", strand, mapq, mate_chrom, greatest(mate_start, 0) AS mate_start, umi FROM reads""",
+        "stream_merge_intervals": f"WITH {FEATURES}, {_merged('features', 'chrom, strand').replace('> pm ', '> pm + 3 ')} SELECT * FROM merged",
         "merge_by_strand": f"WITH {FEATURES}, {_merged('features', 'chrom, strand').replace('> pm ', '> pm + 3 ')} SELECT * FROM merged",
         "sort_bed": f'WITH {FEATURES} SELECT {genes} FROM features a ORDER BY chrom, "start", "end"',
         "bed_to_saf": f"""WITH {FEATURES} SELECT chrom || '.' || "start" || '.' || "end" AS gene_id, chrom, "start", "end", '.' AS strand FROM features""",

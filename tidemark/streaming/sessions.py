@@ -15,6 +15,22 @@ def merge_sessions(events: DataFrame, gap: str = "10 minutes", late: str = "30 m
     return by.select(key, F.col("w.start").alias("start"), F.col("w.end").alias("end"), "n", "total")
 
 
+def merge_islands(intervals: DataFrame, keys: tuple[str, ...] = ("chrom",), gap: int = 0, late: int = 100_000) -> DataFrame:
+    """Intervals that overlap, meet or are at most `gap` apart as one, on a stream or a table: keys, start, end, n, as merge_intervals gives them.
+
+    An interval is a session that lasts as long as the interval itself, so the gap comes from the data. Places stand for seconds: on
+    a stream an island closes once places come that lie `late` beyond it; what begins before that is late and left out. Empty
+    intervals and rows with a null key or place count for nothing.
+    """
+    named = " AND ".join(f"`{k}` IS NOT NULL" for k in keys)
+    rows = intervals.where("start < `end`").where(named).withColumn("_at", F.timestamp_seconds("start"))
+    if rows.isStreaming:
+        rows = rows.withWatermark("_at", f"{late} seconds")
+    lasts = F.concat((F.col("end") - F.col("start") + gap).cast("string"), F.lit(" seconds 1 microseconds"))  # sessions that only meet would stay apart
+    by = rows.groupBy(*keys, F.session_window("_at", lasts).alias("w")).agg(F.max("end").cast("long").alias("end"), F.count(F.lit(1)).alias("n"))
+    return by.select(*keys, F.unix_seconds("w.start").alias("start"), "end", "n")
+
+
 def windowed_counts(events: DataFrame, size: str = "1 hour", slide: str | None = None, late: str = "30 minutes") -> DataFrame:
     """Events and their sum by type and window: event_type, start, n, total."""
     rows = events.withColumn("ts", F.col("ts").cast("timestamp"))

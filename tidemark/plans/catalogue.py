@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import alignment as al
-from tidemark.operators import annotation, coverage, dedup, hmm, intervals, qc, quantify, samples, transcripts
+from tidemark.operators import annotation, coverage, dedup, hmm, intervals, mates, qc, quantify, samples, transcripts
 from tidemark.sources import bam, proxies, shared
 from tidemark.sources.proxies import table
 from tidemark.streaming import sessions
@@ -175,6 +175,20 @@ def _bam(spark: SparkSession, d: str) -> DataFrame:
     return bam.read_bam(spark, path, 1 << 20).selectExpr("name", "CAST(flag AS BIGINT) AS flag", "chrom", "start", "`end`", "strand", "CAST(mapq AS BIGINT) AS mapq", "mate_chrom", "mate_start", "tags['RX'] AS umi")
 
 
+_LETTERS = "'0123456789abcdef', 'ACGTACGTACGTACGT'"
+_FIRST_ADAPTER, _SECOND_ADAPTER = "AGATCGGAAGAGCACACGTCTGAACTCCAGTCAC", "AGATCGGAAGAGCGTCGTGTAGGGAAAGAGTGTA"
+
+
+def _mates(spark: SparkSession, d: str) -> DataFrame:
+    """Pairs of 75 bases from inserts of 42 to 140, which are made of each read's id."""
+    rows = proxies.reads(spark, d).selectExpr("id AS name", f"substring(translate(concat(md5(id), md5(concat(id, 'a')), md5(concat(id, 'b')), md5(concat(id, 'c')), md5(concat(id, 'd'))), {_LETTERS}), 1, CAST(40 + 2 * (`end` - start) AS INT)) AS whole")
+    pairs = rows.selectExpr("name", f"substring(concat(whole, '{_FIRST_ADAPTER}'), 1, 75) AS seq1", "repeat('I', 75) AS qual1", f"substring(concat(reverse(translate(whole, 'ACGT', 'TGCA')), '{_SECOND_ADAPTER}'), 1, 75) AS seq2", "repeat('I', 75) AS qual2")
+    return mates.overlap_mates(pairs).selectExpr("name", "insert", "overlap", "mismatches", "md5(merged_seq) AS merged_md5", "md5(seq1) AS md5_1", "md5(seq2) AS md5_2")
+
+
+_MATES = f"""whole AS (SELECT id AS name, CAST(40 + 2 * ("end" - "start") AS INT) AS n, substr(translate(md5(id) || md5(id || 'a') || md5(id || 'b') || md5(id || 'c') || md5(id || 'd'), {_LETTERS}), 1, CAST(40 + 2 * ("end" - "start") AS INT)) AS s FROM reads)"""
+
+
 def _classes(spark: SparkSession, d: str) -> DataFrame:
     f = proxies.features(spark, d)
     return f.select("chrom", "start", "end", F.when(F.col("gene") % 3 == 0, "cds").when(F.col("gene") % 3 == 1, "utr").otherwise("intron").alias("class"), (F.col("gene") % 3).alias("priority"))
@@ -267,6 +281,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "fastp_trim_filter": lambda s, d: qc.trim(_texts(s, d), adapter="Licensed", head=1, tail=2, least=100, umi=6).select("name", F.md5("seq").alias("seq_md5"), F.length("seq").cast("long").alias("length")),
         "session_merge_events": lambda s, d: sessions.merge_sessions(table(s, d, "events"), "2 hours").selectExpr("user_id", "unix_timestamp(start) AS start", "unix_timestamp(`end`) AS end", "n", "round(total, 4) AS total"),
         "bam_round_trip": _bam,
+        "fastp_overlap": _mates,
         "stream_merge_intervals": lambda s, d: sessions.merge_islands(features(s, d), ("chrom", "strand"), 3),
         "windowed_events": lambda s, d: sessions.windowed_counts(table(s, d, "events")).selectExpr("event_type", "unix_timestamp(start) AS start", "n", "round(total, 4) AS total"),
         "hmm_transcripts": lambda s, d: transcripts.hmm_transcripts(coverage.binned(reads(s, d), 10), 10, log_leave=-5.0),
@@ -323,6 +338,8 @@ def oracle_sql() -> dict[str, str]:
         "dreg_coverage_signed": f"WITH {READS}, {one}, {_runs('one', 'chrom, strand')} " + runs.format(k="chrom, strand", v="CASE WHEN strand = '-' THEN -depth ELSE depth END"),
         "rna_strand_coverage": f"WITH {READS}, x AS (SELECT chrom, CASE WHEN (flag & 128 <> 0) = (flag & 16 <> 0) THEN '+' ELSE '-' END AS strand, \"start\", \"end\" FROM reads WHERE flag & 260 = 0), {_runs('x', 'chrom, strand')} {runs.format(k='chrom, strand', v='depth')}",
         "merge_intervals": f"WITH {FEATURES}, {_merged('features')} SELECT * FROM merged",
+        "fastp_overlap": f"""WITH {READS}, {_MATES} SELECT name, CASE WHEN n <= 120 THEN n END AS insert, CASE WHEN n <= 75 THEN n WHEN n <= 120 THEN 150 - n END AS overlap, CASE WHEN n <= 120 THEN 0 END AS mismatches, CASE WHEN n <= 120 THEN md5(s) END AS merged_md5,
+            md5(substr(s, 1, 75)) AS md5_1, md5(substr(reverse(translate(s, 'ACGT', 'TGCA')), 1, 75)) AS md5_2 FROM whole""",
         "bam_round_trip": f"""WITH {READS} SELECT replace(id, ' ', '_') AS name, flag, chrom, "start", "end", strand, mapq, mate_chrom, greatest(mate_start, 0) AS mate_start, umi FROM reads""",
         "stream_merge_intervals": f"WITH {FEATURES}, {_merged('features', 'chrom, strand').replace('> pm ', '> pm + 3 ')} SELECT * FROM merged",
         "merge_by_strand": f"WITH {FEATURES}, {_merged('features', 'chrom, strand').replace('> pm ', '> pm + 3 ')} SELECT * FROM merged",

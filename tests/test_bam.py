@@ -1,4 +1,4 @@
-"""The BAM source against the reader of SAM text, for ranges of any size."""
+"""Sources that are read by ranges: BAM against the reader of SAM text, FASTA by splits."""
 
 import random
 import struct
@@ -101,3 +101,35 @@ def test_write(spark, both, tmp_path):
 def test_bins():
     assert [bam._bin(a, b) for a, b in ((0, 1), (0, 1 << 14), (16_000, 17_000), (0, 1 << 29), (1 << 28, (1 << 28) + 5))] == [4681, 4681, 585, 0, 4681 + (1 << 14)]
     assert np.array_equal(bam._PAIRS[0x12], np.frombuffer(b"AC", np.uint8))
+
+
+@pytest.mark.parametrize("split", ["61", "1000", "134217728"])
+def test_contigs_by_splits(spark, tmp_path, split):
+    """A chromosome over many splits: pieces know their header and place; empty records, blank lines, lower case, a file without a last line end."""
+    rng = random.Random(3)
+    want = {}
+    for f in range(2):
+        out = ["\n", ">empty%d\n" % f]
+        want["empty%d" % f] = ""
+        for k, n in enumerate([0, 5, 3000, 60, 700]):
+            seq = "".join(rng.choice("ACGTNacgt") for _ in range(n))
+            want[f"chr{f}_{k} some text"] = seq
+            out += [f">chr{f}_{k} some text\n"] + [seq[i : i + 60] + rng.choice(["\n", "\r\n", "\n\n"]) for i in range(0, n, 60)]
+        (tmp_path / f"{f}.fa").write_text("".join(out).rstrip("\n"))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        got = formats.read_contigs(spark, str(tmp_path), most=100)
+        rows = got.collect()
+        found = {}
+        for r in sorted(rows, key=lambda r: (r.header, r.start, r.end)):
+            assert r.end == r.start + len(r.seq) and r.start == len(found.get(r.header, ""))
+            found[r.header] = found.get(r.header, "") + r.seq
+        assert found == want
+        assert max(len(r.seq) for r in rows) <= 160
+        assert {r.chrom: r.length for r in formats.contig_lengths(got).collect()} == {h.split(" ")[0]: len(s) for h, s in want.items()}
+        gc = {r.header: (r.bases, r.gc) for r in formats.contig_gc(got).collect()}
+        assert gc == {h: (len(s), round(sum(c in "GCgc" for c in s) / len(s), 6) if s else None) for h, s in want.items()}
+        lines = spark.read.text(str(tmp_path)).select("_metadata.file_block_start", "_metadata.file_path").distinct().count()
+        assert lines > 50 if split == "61" else lines == 2 if split == "134217728" else lines > 5
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")

@@ -44,6 +44,78 @@ def read_fasta(spark: SparkSession, path: str) -> DataFrame:
     return records.where(F.trim(text) != "").select(F.trim(parts[0]).alias("header"), F.coalesce(F.regexp_replace(F.get(parts, 1), r"\s", ""), F.lit("")).alias("seq"))
 
 
+def _fasta_parts(most: int):
+    def parts(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Pieces of sequences as a split has them: header where one opens in the split, else null; offset since it, or since the split's start."""
+        kinds = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string()]
+        split, nth, header, done, held, size, out = None, 0, None, 0, [], 0, []
+
+        def give(always: bool = False) -> None:
+            nonlocal nth, done, held, size
+            if held or always:
+                out.append((*split, nth, header, done, "".join(held)))
+                nth, done, held, size = nth + 1, done + size, [], 0
+
+        for b in frames:
+            for value, file, start in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if (file, start) != split:
+                    give()
+                    split, nth, header, done = (file, start), 0, None, 0
+                if value.startswith(">"):
+                    give()
+                    header, done = value[1:].strip(), 0
+                    give(always=True)  # a record without a sequence is one all the same
+                    continue
+                line = "".join(value.split())
+                if line:
+                    held.append(line)
+                    size += len(line)
+                if size >= most:
+                    give()
+            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(list(zip(*out, strict=True)) or [()] * 6, kinds, strict=True)], ["file", "at", "nth", "header", "offset", "seq"])
+            out = []
+        give()
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*out, strict=True), kinds, strict=True)], ["file", "at", "nth", "header", "offset", "seq"])
+
+    return parts
+
+
+def read_contigs(spark: SparkSession, path: str, most: int = 1 << 16) -> DataFrame:
+    """FASTA split by split: header, start, end, seq, a row for each piece of some `most` letters; every record opens with an empty piece.
+
+    A split does not know what record its first lines belong to. One row a split (its last header, and how many letters follow it)
+    goes through windows along each file; what they carry, header and offset, joins back to the pieces that lack it. So a
+    chromosome is read by as many tasks as it has splits. gzip files are one split each. Letters before the first header are left out.
+    """
+    lines = spark.read.text(path).select("value", "_metadata.file_path", "_metadata.file_block_start")
+    parts = lines.mapInArrow(_fasta_parts(most), "file string, at long, nth long, header string, offset long, seq string")
+    letters = F.length("seq")
+    opened = F.max_by("nth", F.when(F.col("header").isNotNull(), F.col("nth")))
+    splits = parts.groupBy("file", "at").agg(F.max_by("header", F.when(F.col("header").isNotNull(), F.col("nth"))).alias("last"), opened.alias("opened"), F.max(F.struct("nth", (F.col("offset") + letters).alias("tail"))).alias("x"))
+    along = W.partitionBy("file").orderBy("at").rowsBetween(W.unboundedPreceding, -1)  # a row for each split
+    splits = splits.select("file", "at", "last", "opened", F.coalesce(F.sum("x.tail").over(along), F.lit(0)).alias("before"))
+    here = F.when(F.col("last").isNotNull(), F.struct("last", "before", "at", "opened"))
+    splits = splits.withColumn("from", F.last(here, ignorenulls=True).over(along)).select("file", "at", F.col("from.last").alias("carried"), (F.col("before") - F.col("from.before")).alias("shift"))
+    both = parts.join(splits, ["file", "at"]).withColumn("own", F.col("header").isNotNull())
+    start = F.col("offset") + F.when(F.col("own"), 0).otherwise(F.col("shift"))
+    rows = both.select(F.coalesce("header", "carried").alias("header"), start.alias("start"), (start + letters).alias("end"), "seq").where("header IS NOT NULL")
+    return rows.where("seq <> '' OR start = 0")
+
+
+def contig_lengths(contigs: DataFrame) -> DataFrame:
+    """Of read_contigs: chrom (the header up to its first blank), length."""
+    return contigs.groupBy(F.regexp_extract("header", r"^(\S*)", 1).alias("chrom")).agg(F.max("end").alias("length"))
+
+
+def contig_gc(contigs: DataFrame) -> DataFrame:
+    """Of read_contigs: header, bases, gc (their share of G and C; null without a base)."""
+    upper = F.upper("seq")
+    of = lambda c: F.length("seq") - F.length(F.translate(upper, c, ""))
+    by = contigs.groupBy("header").agg(F.sum(F.length("seq")).alias("bases"), F.sum(of("GC")).alias("n"))
+    return by.select("header", "bases", F.when(F.col("bases") > 0, F.round(F.col("n") / F.col("bases"), 6)).alias("gc"))
+
+
 def _fastq_pieces(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Records out of text cut where a line starts with '@'. A quality line that does so too is a piece of its own; where a split's end
     parts it from its record, the two leave as rows with a place: `opens` for what lacks a quality, `closes` for a quality."""

@@ -7,6 +7,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.functions import alignment
+from tidemark.operators import annotation
 from tidemark.sources import bam, formats
 
 CONTIGS = [("chr1", 100_000), ("chr2", 50_000), ("chrUn_x", 900)]
@@ -133,3 +135,56 @@ def test_contigs_by_splits(spark, tmp_path, split):
         assert lines > 50 if split == "61" else lines == 2 if split == "134217728" else lines > 5
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_region_reads_open_few_files(spark, tmp_path):
+    """A region opens the files of bins that reach it, long reads from bins before it included."""
+    rng = random.Random(8)
+    rows = [(i, rng.choice("ab"), s, s + rng.choice([1, 50, 3000])) for i, s in enumerate(rng.randint(0, 100_000) for _ in range(600))] + [(900, None, 5, 9), (901, "a", 0, 99_000)]
+    table = spark.createDataFrame(rows, "id long, chrom string, start long, end long")
+    formats.write_tags(table, str(tmp_path / "tags"), 1000)
+    for start, end in ((40_000, 40_500), (0, 10), (99_990, 200_000), (150_000, 160_000)):
+        got = formats.read_region(spark, str(tmp_path / "tags"), "a", start, end)
+        assert sorted(r.id for r in got.collect()) == sorted(i for i, c, s, e in rows if c == "a" and s < end and e > start)
+        opened = got.select(F.input_file_name()).distinct().count()
+        assert opened <= 8
+    every = spark.read.parquet(str(tmp_path / "tags" / "tags")).select(F.input_file_name()).distinct().count()
+    assert every > 150
+
+
+def test_readers_and_writers(spark, tmp_path):
+    """What is written comes back; lines that are no rows are left out; coordinates as each format has them."""
+    write = lambda name, text: ((tmp_path / name).write_text(text), str(tmp_path / name))[1]
+    gtf = write("a.gtf", '#!genome\nc\tsrc\texon\t11\t20\t.\t+\t.\tgene_id "g1"; transcript_id "t1";\nc\tsrc\texon\t31\t40\t.\t+\t.\tgene_id "g1"; transcript_id "t1";\n')
+    rows = formats.read_gtf(spark, gtf)
+    assert [(r.start, r.end) for r in rows.orderBy("start").collect()] == [(11, 20), (31, 40)]
+    assert [tuple(r) for r in annotation.transcript_table(rows).collect()] == [("g1", "t1", "c", "+", 10, 40, 2)]
+    saf = write("a.saf", "GeneID\tChr\tStart\tEnd\tStrand\ng\tc\t1\t9\t+\n")
+    assert [tuple(r) for r in formats.read_saf(spark, saf).collect()] == [("g", "c", 1, 9, "+")]
+    sheet = write("s.csv", "sample,fastq_1,fastq_2\nA,a_1.fq.gz,a_2.fq.gz\nB,b.fq.gz,\n")
+    assert [tuple(r) for r in formats.read_samplesheet(spark, sheet).collect()] == [("A", "a_1.fq.gz", "a_2.fq.gz"), ("B", "b.fq.gz", None)]
+    tuning = write("t.csv", "LtProbB,UTS,merged,dissociated,total,errorRate,txSize\n-100,5,10,0,10,0.0061,921\n-150,5,9,0,9,0.0061,900\n")
+    best = annotation.first_wins(formats.read_tuning(spark, tuning).withColumn("row_no", F.monotonically_increasing_id()), "errorRate", "row_no").first()
+    assert (best.LtProbB, best.UTS, best.total) == (-100, 5, 10)
+    bed = write("a.bed", "track name=x\n#c\nc\t5\t9\tn\t1.5\t-\n")
+    assert [tuple(r) for r in formats.read_bed(spark, bed, 6).collect()] == [("c", 5, 9, "n", 1.5, "-")]
+    depth = spark.createDataFrame([("c", 0, 5, 2), ("c", 5, 9, 1)], "chrom string, start long, end long, depth long")
+    formats.write_bedgraph(depth, str(tmp_path / "d"))
+    assert sorted(map(tuple, formats.read_bedgraph(spark, str(tmp_path / "d")).collect())) == [("c", 0, 5, 2.0), ("c", 5, 9, 1.0)]
+    formats.write_by_key(spark.createDataFrame([("g1", 1, 2.5), ("g1", 2, 0.5), ("g2", 3, 1.0)], "group string, n int, x double"), "group", str(tmp_path / "k"))
+    for group, n in (("g1", 2), ("g2", 1)):
+        back = spark.read.csv(str(tmp_path / "k" / f"group={group}"), header=True)
+        assert back.columns == ["n", "x"] and back.count() == n
+    assert [r.chrom for r in spark.createDataFrame([("chr1",), ("X",), ("chrUn_1",), ("MT",), ("random",)], "chrom string").where(alignment.is_standard(F.col("chrom"))).collect()] == ["chr1", "X", "MT"]
+
+
+def test_ancestors_over_several_levels(spark):
+    lines = [("gene", "ID=g1"), ("pseudo", "ID=p1;Parent=g1"), ("mRNA", "ID=t1;Parent=p1"), ("exon", "ID=e1;Parent=t1,t2"), ("mRNA", "ID=t2;Parent=g1"), ("CDS", "Parent=t2"), ("exon", "Parent=lone")]
+    gff = spark.createDataFrame([("c", "s", f, 1, 9, ".", "+", ".", a) for f, a in lines], formats.GTF)
+    got = sorted((r.feature, r.attributes) for r in annotation.gff_to_gtf(gff).collect())
+    name = lambda t, g: f'transcript_id "{t}"; gene_id "{g}";'
+    assert got == sorted([("exon", name("t1", "g1")), ("exon", name("t2", "g1")), ("CDS", name("t2", "g1")), ("exon", name("lone", "lone"))])
+    deep = spark.createDataFrame([(f"n{i}", f"n{i + 1}") for i in range(50)], "id string, parent string")
+    assert {r.root for r in annotation.ancestors(deep).collect()} == {"n50"}
+    with pytest.raises(ValueError, match="cycle"):
+        annotation.ancestors(spark.createDataFrame([("a", "b"), ("b", "a")], "id string, parent string"), most=4)

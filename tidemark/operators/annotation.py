@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tidemark.sources.shared import kept
+
 from .intervals import STRETCH
 
 
@@ -86,10 +88,25 @@ def attribute(attributes: Column, key: str) -> Column:
     return F.nullif(F.coalesce(F.nullif(F.regexp_extract(attributes, rf'(?:^|;)\s*{key} "([^"]*)"', 1), F.lit("")), F.regexp_extract(attributes, rf"(?:^|;)\s*{key}=([^;]*)", 1)), F.lit(""))
 
 
+def ancestors(links: DataFrame, most: int = 40) -> DataFrame:
+    """id, root: of links (id, parent), the topmost ancestor of every id that has a parent, over any number of levels.
+
+    Each round every id takes over its ancestor's ancestor, so n levels take log2(n) rounds; only whether one changed reaches the
+    driver. An id with several parents keeps the one of the smallest name at each step; a cycle is an error.
+    """
+    up = links.where("id IS NOT NULL AND parent IS NOT NULL").groupBy("id").agg(F.min("parent").alias("root"))
+    for _ in range(most):
+        up = kept(up.join(up.select(F.col("id").alias("root"), F.col("root").alias("above")), "root", "left").select("id", F.coalesce("above", "root").alias("root"), F.col("above").isNotNull().alias("moved")), "ancestors")
+        if up.where("moved").isEmpty():
+            return up.drop("moved")
+        up = up.drop("moved")
+    raise ValueError("parents form a cycle")
+
+
 def gff_to_gtf(gff: DataFrame) -> DataFrame:
-    """Exons and coding parts of a GFF3 table with transcript and gene names from their parents: attributes in GTF form."""
+    """Exons and coding parts of a GFF3 table with transcript names from their parents and gene names from the topmost ancestor: attributes in GTF form."""
     rows = gff.withColumn("id", attribute(F.col("attributes"), "ID")).withColumn("parent", attribute(F.col("attributes"), "Parent"))
-    genes = rows.where("parent IS NOT NULL AND id IS NOT NULL").select(F.col("id").alias("transcript_id"), F.col("parent").alias("gene_id")).distinct()
+    genes = ancestors(rows.select("id", F.explode(F.split("parent", ",")).alias("parent"))).select(F.col("id").alias("transcript_id"), F.col("root").alias("gene_id"))
     parts = rows.where(F.col("feature").isin("exon", "CDS")).withColumn("transcript_id", F.explode(F.split("parent", ",")))
     named = parts.join(genes, "transcript_id", "left").withColumn("gene_id", F.coalesce("gene_id", "transcript_id"))
     return named.withColumn("attributes", F.format_string('transcript_id "%s"; gene_id "%s";', "transcript_id", "gene_id")).select(*gff.columns)

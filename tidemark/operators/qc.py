@@ -15,8 +15,11 @@ PRIMARY = al.SECONDARY | al.SUPPLEMENTARY
 DUPLICATION = (1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 50, 100, 500, 1000, 5000, 10000)
 
 
-def flagstat(alignments: DataFrame, keys: tuple[str, ...] = ("sample",)) -> DataFrame:
-    """Counts by flag in one pass: keys, then a column for each class; with mate_chrom also the pairs whose mates lie on two contigs."""
+def flagstat(alignments: DataFrame, keys: tuple[str, ...] = ("sample",), by_quality: bool = False) -> DataFrame:
+    """Counts by flag in one pass: keys, then a column for each class; with mate_chrom also the pairs whose mates lie on two contigs.
+
+    by_quality gives two columns for each class, of reads that passed the quality checks of their platform and of those that failed.
+    """
     f = F.col("flag")
     first, pair = al.lacks(f, PRIMARY), al.lacks(f, PRIMARY) & al.has(f, al.PAIRED)
     both = pair & al.lacks(f, al.UNMAPPED | al.MATE_UNMAPPED)
@@ -40,6 +43,9 @@ def flagstat(alignments: DataFrame, keys: tuple[str, ...] = ("sample",)) -> Data
     if "mate_chrom" in alignments.columns:
         apart = both & (F.col("mate_chrom") != F.col("chrom"))
         classes |= {"mate_elsewhere": apart, "mate_elsewhere_mapq5": apart & (F.col("mapq") >= 5)}
+    if by_quality:
+        failed = classes.pop("qc_failed")
+        classes = {f"{name}_{which}": c & (failed if which == "failed" else ~failed) for name, c in classes.items() for which in ("passed", "failed")}
     return alignments.groupBy(*keys).agg(*[F.count_if(c).alias(name) for name, c in classes.items()])
 
 
@@ -87,15 +93,19 @@ def duplication(rows: DataFrame, *key: str | Column) -> DataFrame:
     return rows.groupBy(*key).agg(F.count(F.lit(1)).alias("occurrence")).groupBy("occurrence").agg(F.count(F.lit(1)).alias("n"))
 
 
-def infer_experiment(reads: DataFrame, genes: DataFrame) -> DataFrame:
+def infer_experiment(reads: DataFrame, genes: DataFrame, paired: bool = False) -> DataFrame:
     """Share of the reads of each sample by their strand and the strand of the genes they overlap: sample, class, n, fraction.
 
-    A read over genes of both strands is undetermined; reads over no gene are left out.
+    A read over genes of both strands is undetermined; reads over no gene are left out. paired puts the mate's number, 1 or 2 by
+    the flag, before the strands. Reads of one place fare alike, so each place is looked up once.
     """
-    pairs = overlap_join(reads.select("id", "sample", "chrom", "start", "end", "strand"), genes.select("chrom", "start", "end", "strand"))
-    of_read = pairs.groupBy("a_sample", "a_id", "a_strand").agg(F.min("b_strand").alias("low"), F.max("b_strand").alias("high"))
-    named = of_read.select(F.col("a_sample").alias("sample"), F.when(F.col("low") != F.col("high"), "undetermined").otherwise(F.concat("a_strand", "low")).alias("class"))
-    counts = named.groupBy("sample", "class").agg(F.count(F.lit(1)).alias("n"))
+    mate = F.when(al.has(F.col("flag"), al.FIRST), "1").otherwise("2") if paired else F.lit("")
+    kinds = reads.withColumn("mate", mate).groupBy("sample", "chrom", "start", "end", "strand", "mate").agg(F.count(F.lit(1)).alias("times"))
+    pairs = overlap_join(kinds.select("chrom", "start", "end").distinct(), genes.select("chrom", "start", "end", "strand"))
+    over = pairs.groupBy(*[F.col(f"a_{c}").alias(c) for c in ("chrom", "start", "end")]).agg(F.min("b_strand").alias("low"), F.max("b_strand").alias("high"))
+    of_place = kinds.join(over, ["chrom", "start", "end"])
+    named = of_place.select("sample", "times", F.when(F.col("low") != F.col("high"), "undetermined").otherwise(F.concat("mate", "strand", "low")).alias("class"))
+    counts = named.groupBy("sample", "class").agg(F.sum("times").alias("n"))
     total = counts.groupBy("sample").agg(F.sum("n").alias("total"))
     return counts.join(total, "sample").select("sample", "class", "n", F.round(F.col("n") / F.col("total"), 6).alias("fraction"))
 

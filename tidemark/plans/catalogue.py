@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import alignment as al
 from tidemark.operators import annotation, coverage, dedup, hmm, intervals, mates, qc, quantify, samples, transcripts
-from tidemark.sources import bam, proxies, shared
+from tidemark.sources import bam, formats, proxies, shared
 from tidemark.sources.proxies import table
 from tidemark.streaming import sessions
 
@@ -189,6 +189,13 @@ def _mates(spark: SparkSession, d: str) -> DataFrame:
 _MATES = f"""whole AS (SELECT id AS name, CAST(40 + 2 * ("end" - "start") AS INT) AS n, substr(translate(md5(id) || md5(id || 'a') || md5(id || 'b') || md5(id || 'c') || md5(id || 'd'), {_LETTERS}), 1, CAST(40 + 2 * ("end" - "start") AS INT)) AS s FROM reads)"""
 
 
+def _tags(spark: SparkSession, d: str) -> DataFrame:
+    """Reads in a directory by contig and bin, and what of them overlaps a region."""
+    path = shared.new_path(spark, "tags")
+    formats.write_tags(proxies.reads(spark, d).select("id", "chrom", "start", "end", "strand"), path, 4096)
+    return formats.read_region(spark, path, "chr3", 150, 900).select("id", F.col("chrom").cast("string").alias("chrom"), "start", "end", "strand")
+
+
 def _classes(spark: SparkSession, d: str) -> DataFrame:
     f = proxies.features(spark, d)
     return f.select("chrom", "start", "end", F.when(F.col("gene") % 3 == 0, "cds").when(F.col("gene") % 3 == 1, "utr").otherwise("intron").alias("class"), (F.col("gene") % 3).alias("priority"))
@@ -281,6 +288,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "fastp_trim_filter": lambda s, d: qc.trim(_texts(s, d), adapter="Licensed", head=1, tail=2, least=100, umi=6).select("name", F.md5("seq").alias("seq_md5"), F.length("seq").cast("long").alias("length")),
         "session_merge_events": lambda s, d: sessions.merge_sessions(table(s, d, "events"), "2 hours").selectExpr("user_id", "unix_timestamp(start) AS start", "unix_timestamp(`end`) AS end", "n", "round(total, 4) AS total"),
         "bam_round_trip": _bam,
+        "tag_directory_region": _tags,
+        "flagstat_by_quality": lambda s, d: qc.flagstat(reads(s, d).withColumn("flag", F.expr("flag + CASE WHEN mapq = 20 THEN 512 ELSE 0 END")), by_quality=True),
+        "infer_experiment_paired": lambda s, d: qc.infer_experiment(_ids(reads(s, d)), features(s, d), paired=True),
         "fastp_overlap": _mates,
         "stream_merge_intervals": lambda s, d: sessions.merge_islands(features(s, d), ("chrom", "strand"), 3),
         "windowed_events": lambda s, d: sessions.windowed_counts(table(s, d, "events")).selectExpr("event_type", "unix_timestamp(start) AS start", "n", "round(total, 4) AS total"),
@@ -340,6 +350,11 @@ def oracle_sql() -> dict[str, str]:
         "merge_intervals": f"WITH {FEATURES}, {_merged('features')} SELECT * FROM merged",
         "fastp_overlap": f"""WITH {READS}, {_MATES} SELECT name, CASE WHEN n <= 120 THEN n END AS insert, CASE WHEN n <= 75 THEN n WHEN n <= 120 THEN 150 - n END AS overlap, CASE WHEN n <= 120 THEN 0 END AS mismatches, CASE WHEN n <= 120 THEN md5(s) END AS merged_md5,
             md5(substr(s, 1, 75)) AS md5_1, md5(substr(reverse(translate(s, 'ACGT', 'TGCA')), 1, 75)) AS md5_2 FROM whole""",
+        "tag_directory_region": f"""WITH {READS} SELECT id, chrom, "start", "end", strand FROM reads WHERE chrom = 'chr3' AND "start" < 900 AND "end" > 150""",
+        "flagstat_by_quality": f"WITH {READS} SELECT sample, " + ", ".join(f"count(*) FILTER ({c} AND {'NOT ' if which == 'passed' else ''}(mapq = 20)) AS {n}_{which}" for n, c in _FLAGS.items() if n != "qc_failed" for which in ("passed", "failed")) + " FROM reads GROUP BY sample",
+        "infer_experiment_paired": f"""WITH {READS}, {FEATURES}, r AS (SELECT *, row_number() OVER () AS rid FROM reads), o AS (SELECT a.rid, min(b.strand) AS low, max(b.strand) AS high FROM r a JOIN features b ON {OVER} GROUP BY a.rid),
+            k AS (SELECT sample, CASE WHEN low <> high THEN 'undetermined' ELSE (CASE WHEN flag & 64 <> 0 THEN '1' ELSE '2' END) || strand || low END AS class FROM r JOIN o USING (rid)), c AS (SELECT sample, class, count(*) AS n FROM k GROUP BY ALL)
+            SELECT sample, class, n, round(n / sum(n) OVER (PARTITION BY sample), 6) AS fraction FROM c""",
         "bam_round_trip": f"""WITH {READS} SELECT replace(id, ' ', '_') AS name, flag, chrom, "start", "end", strand, mapq, mate_chrom, greatest(mate_start, 0) AS mate_start, umi FROM reads""",
         "stream_merge_intervals": f"WITH {FEATURES}, {_merged('features', 'chrom, strand').replace('> pm ', '> pm + 3 ')} SELECT * FROM merged",
         "merge_by_strand": f"WITH {FEATURES}, {_merged('features', 'chrom, strand').replace('> pm ', '> pm + 3 ')} SELECT * FROM merged",

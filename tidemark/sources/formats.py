@@ -203,6 +203,19 @@ def write_by_key(table: DataFrame, key: str, path: str, header: bool = True) ->
     table.write.partitionBy(key).csv(path, header=header)
 
 
-def write_tags(reads: DataFrame, path: str) -> None:
-    """Read positions by contig, sorted within: a directory that later scans prune by contig."""
-    reads.repartition("chrom", F.floor(F.col("start") / 10_000_000)).sortWithinPartitions("chrom", "start").write.partitionBy("chrom").parquet(path)
+def write_tags(reads: DataFrame, path: str, size: int = 1 << 20) -> None:
+    """Alignments by contig and bins of `size` bases, sorted by start within: path/tags, and path/bins, one row a bin: how many reads begin in it, and
+    how far they reach. Rows of a null contig or start are left out."""
+    rows = reads.where("chrom IS NOT NULL AND start IS NOT NULL").withColumn("bin", F.floor(F.col("start") / size))
+    rows.repartition("chrom", "bin").sortWithinPartitions("chrom", "bin", "start").write.partitionBy("chrom", "bin").parquet(f"{path}/tags")
+    spark = reads.sparkSession
+    spark.read.parquet(f"{path}/tags").groupBy("chrom", "bin").agg(F.min("start").alias("first"), F.max("end").alias("reach"), F.count(F.lit(1)).alias("n")).write.parquet(f"{path}/bins")
+
+
+def read_region(spark: SparkSession, path: str, chrom: str, start: int, end: int) -> DataFrame:
+    """What write_tags wrote and overlaps a region. Only files of bins are opened that hold a read that could: those that begin before its end
+    and reach beyond its start."""
+    bins = spark.read.schema("chrom string, bin long, first long, reach long, n long").parquet(f"{path}/bins").where((F.col("chrom") == chrom) & (F.col("first") < end) & (F.col("reach") > start))
+    wanted = [r.bin for r in bins.select("bin").collect()]  # bins of the region
+    rows = spark.read.parquet(f"{path}/tags").where((F.col("chrom") == chrom) & F.col("bin").isin(wanted))
+    return rows.where((F.col("start") < end) & (F.col("end") > start)).drop("bin")

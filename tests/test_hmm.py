@@ -170,3 +170,26 @@ def test_gamma_fit():
     x = np.random.default_rng(1).gamma(2.5, 4.0, 200_000)
     shape, scale = laws.gamma_fit(x.mean(), np.log(x).mean())
     assert abs(shape - 2.5) < 0.05 and abs(scale - 4) < 0.1
+
+
+def test_bidirectional_pairs(spark):
+    """Each other's nearest sites within the distance, by brute force."""
+    rng = np.random.default_rng(6)
+    rows = [(c, s, int(p), int(rng.integers(1, 9))) for c in "ab" for s in "+-" for p in rng.choice(4000, 60, replace=False)]
+    got = sorted((r.chrom, r.minus, r.plus, r.reads, r.start, r.end) for r in transcripts.bidirectional(spark.createDataFrame(rows, "chrom string, strand string, pos long, n long"), 50).collect())
+    want = []
+    for c in "ab":
+        minus, plus = ({p: n for k, s, p, n in rows if k == c and s == x} for x in "-+")
+        for m in minus:
+            near = [p for p in plus if m <= p <= m + 50]
+            if near and m == max(x for x in minus if min(near) - 50 <= x <= min(near)):
+                want.append((c, m, min(near), minus[m] + plus[min(near)], m, min(near) + 1))
+    assert got == sorted(want) and len(got) > 10
+
+
+def test_zero_inflated_surroundings(spark):
+    """Busy but sparse surroundings: what is usual among the positions in use is no peak, what towers over them is."""
+    ends = [("c", "+", p, 20) for p in range(0, 4000, 40)] + [("c", "+", 2010, 90)]
+    table = spark.createDataFrame(ends, "chrom string, strand string, pos long, n long")
+    assert [r.pos for r in transcripts.tss_peaks(table, inflated=True).collect()] == [2010]
+    assert transcripts.tss_peaks(table).count() > 50

@@ -145,22 +145,31 @@ def gather_peaks(peaks: DataFrame, gap: int = 0) -> DataFrame:
     return merge_intervals(peaks.select("chrom", F.col("pos").alias("start"), (F.col("pos") + 1).alias("end")), gap=gap)
 
 
-def tss_peaks(ends: DataFrame, reach: int = 100, false_rate: float = 0.1, pair_distance: int = 300) -> DataFrame:
+def tss_peaks(ends: DataFrame, reach: int = 100, false_rate: float = 0.1, pair_distance: int = 300, inflated: bool = False) -> DataFrame:
     """Start sites from 5'-end counts (chrom, strand, pos, n): positions far above the mean of their surroundings (Poisson tail, corrected
     after Benjamini and Hochberg). chrom, strand, pos, n, p, kind: divergent if a peak of the other strand is near, else unidirectional.
 
+    inflated takes the surroundings for a Poisson law with too many zeros, fitted by its moments: the rate is that of the
+    positions in use, so sparse but busy surroundings give fewer peaks, and the chance is that of being in use and as high.
+
     Surroundings are summed by blocks of positions with copies of what lies within `reach` of their edges, ranks by buckets of p."""
     block = max(STRETCH, reach)
     own = F.floor(F.col("pos") / block)
     spread = ends.select("chrom", "strand", "pos", "n", own.alias("own"), F.explode(F.sequence(F.floor((F.col("pos") - reach) / block), F.floor((F.col("pos") + reach) / block))).alias("block"))
     w = W.partitionBy("chrom", "strand", "block").orderBy("pos").rangeBetween(-reach, reach)
-    local = spread.withColumn("rate", F.greatest((F.sum("n").over(w) - F.col("n")) / F.lit(2.0 * reach), F.lit(1.0 / reach))).where("block = own")
+    mean = (F.sum("n").over(w) - F.col("n")) / F.lit(2.0 * reach)
+    local = spread.withColumn("mean", mean).withColumn("rate", F.greatest("mean", F.lit(1.0 / reach))).withColumn("used", F.lit(1.0))
+    if inflated:
+        squares = (F.sum(F.col("n") * F.col("n")).over(w) - F.col("n") * F.col("n")) / F.lit(2.0 * reach)
+        local = local.withColumn("squares", squares).withColumn("rate", F.greatest("rate", F.when(F.col("mean") > 0, F.col("squares") / F.col("mean") - 1)))
+        local = local.withColumn("used", F.when(F.col("mean") > 0, F.least(F.lit(1.0), F.col("mean") / F.col("rate"))).otherwise(1.0))
+    local = local.where("block = own")
 
     def test(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
-            yield pdf.assign(p=np.round(np.maximum(poisson_tail(pdf["n"].to_numpy(), pdf["rate"].to_numpy()), 1e-300), P_DIGITS))[["chrom", "strand", "pos", "n", "p"]]
+            yield pdf.assign(p=np.round(np.maximum(pdf["used"].to_numpy() * poisson_tail(pdf["n"].to_numpy(), pdf["rate"].to_numpy()), 1e-300), P_DIGITS))[["chrom", "strand", "pos", "n", "p"]]
 
-    tested = local.select("chrom", "strand", "pos", "n", "rate").mapInPandas(test, "chrom string, strand string, pos long, n long, p double")
+    tested = local.select("chrom", "strand", "pos", "n", "rate", "used").mapInPandas(test, "chrom string, strand string, pos long, n long, p double")
     levels = tested.groupBy("p").agg(F.count(F.lit(1)).alias("m")).withColumn("bucket", F.floor(F.col("p") * 4096))
     buckets = levels.groupBy("bucket").agg(F.sum("m").alias("m"))  # 4,097 rows at most
     before = W.orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
@@ -174,3 +183,18 @@ def tss_peaks(ends: DataFrame, reach: int = 100, false_rate: float = 0.1, pair_d
     points = peaks.select("chrom", "strand", F.col("pos").alias("start"), (F.col("pos") + 1).alias("end"))
     near = overlap_join(points, around, ("chrom", "strand")).select(F.col("a_chrom").alias("chrom"), F.col("a_strand").alias("strand"), F.col("a_start").alias("pos")).distinct().withColumn("near", F.lit(True))
     return peaks.join(near, ["chrom", "strand", "pos"], "left").select("chrom", "strand", "pos", "n", "p", F.when(F.col("near"), "divergent").otherwise("unidirectional").alias("kind"))
+
+
+def bidirectional(peaks: DataFrame, distance: int = 300) -> DataFrame:
+    """Start sites of both strands (chrom, strand, pos, n) as pairs: chrom, start, end, minus, plus, reads.
+
+    A site of the minus strand and one of the plus strand at the same place or downstream, at most `distance` away, are a pair if each is the other's
+    nearest. A site is in one pair at most; those without a partner give no row.
+    """
+    minus = peaks.where("strand = '-'").select("chrom", F.col("pos").alias("start"), (F.col("pos") + distance + 1).alias("end"), F.col("pos").alias("at"), "n")
+    plus = peaks.where("strand = '+'").select("chrom", F.col("pos").alias("start"), (F.col("pos") + 1).alias("end"), F.col("pos").alias("at"), "n")
+    near = overlap_join(minus, plus).select(F.col("a_chrom").alias("chrom"), F.col("a_at").alias("minus"), F.col("b_at").alias("plus"), (F.col("a_n") + F.col("b_n")).alias("reads"))
+    first = near.groupBy("chrom", "minus").agg(F.min("plus").alias("plus"))
+    last = near.groupBy("chrom", "plus").agg(F.max("minus").alias("minus"))
+    pairs = near.join(first, ["chrom", "minus", "plus"]).join(last, ["chrom", "minus", "plus"])
+    return pairs.select("chrom", F.col("minus").alias("start"), (F.col("plus") + 1).alias("end"), "minus", "plus", "reads")

@@ -152,8 +152,13 @@ def _ends(spark: SparkSession, d: str) -> DataFrame:
     return dedup.by_position(proxies.reads(spark, d))
 
 
-def _peaks(spark: SparkSession, d: str) -> DataFrame:
-    return transcripts.tss_peaks(_ends(spark, d).groupBy("chrom", "strand", "pos").agg(F.count(F.lit(1)).alias("n")))
+def _peaks(spark: SparkSession, d: str, inflated: bool = False) -> DataFrame:
+    return transcripts.tss_peaks(_ends(spark, d).groupBy("chrom", "strand", "pos").agg(F.count(F.lit(1)).alias("n")), inflated=inflated)
+
+
+_ZERO_INFLATED = """near AS (SELECT chrom, strand, pos, n, rate, CASE WHEN mean > 0 THEN least(1.0, mean / rate) ELSE 1.0 END AS used
+        FROM (SELECT *, greatest(mean, 0.01, CASE WHEN mean > 0 THEN squares / mean - 1 END) AS rate
+          FROM (SELECT *, (sum(n) OVER w - n) / 200.0 AS mean, (sum(n * n) OVER w - n * n) / 200.0 AS squares FROM ends WINDOW w AS (PARTITION BY chrom, strand ORDER BY pos RANGE BETWEEN 100 PRECEDING AND 100 FOLLOWING)))),"""
 
 
 _PEAKS = f"""ends AS (SELECT chrom, strand, CASE WHEN strand = '+' THEN "start" ELSE "end" - 1 END AS pos, count(*) AS n FROM reads GROUP BY ALL),
@@ -308,6 +313,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "pileup_gc": lambda s, d: annotation.gc_content(table(s, d, "documents").selectExpr("concat(source, ' ', lang) AS header", "coalesce(text, '') AS seq")),
         "transcript_table": lambda s, d: annotation.transcript_table(proxies.exons(s, d).withColumn("attributes", F.expr("""concat('gene_id "g', CAST(substring(transcript_id, 3) AS BIGINT) DIV 4, '"; transcript_id "', transcript_id, '";')"""))),
         "peaks_gather": lambda s, d: transcripts.gather_peaks(transcripts.on_contigs(_ends(s, d).groupBy("chrom", "strand", "pos").count().where("count >= 3"), ("chr",)), 2),
+        "tss_peaks_zero_inflated": lambda s, d: _peaks(s, d, inflated=True),
+        "tss_bidirectional": lambda s, d: transcripts.bidirectional(_ends(s, d).groupBy("chrom", "strand", "pos").agg(F.count(F.lit(1)).alias("n")).where("n >= 3"), 20),
         "tss_peaks_gather": lambda s, d: transcripts.gather_peaks(_peaks(s, d).where("kind = 'unidirectional'")),
         "featurecounts_groups": lambda s, d: quantify.assign_each(_ids(reads(s, d)), {"genes": features(s, d), "predicted": intervals.bed_to_saf(_calls(s, d)).withColumnRenamed("gene_id", "gene")}, least_mapq=10).groupBy("annotation", "group", "status").agg(F.count(F.lit(1)).alias("n")),
         "set_common": lambda s, d: samples.common(table(s, d, "customer").selectExpr("c_nationkey AS k", "c_mktsegment AS v"), table(s, d, "customer").where("c_acctbal < 0").selectExpr("c_mktsegment AS v", "c_nationkey AS k")),
@@ -336,6 +343,11 @@ def oracle_sql() -> dict[str, str]:
         "hmm_transcripts": f"""WITH {_viterbi_sql(f"SELECT 0 AS k, {_STAY} AS stay, {_LEAVE} AS leave, CAST(5 AS DOUBLE) AS variance")} SELECT chrom, strand, "start", "end" FROM called""",
         "hmm_tuning": f"{_tuned_sql()} SELECT * FROM tuned",
         "grid_search_argmin": f"{_tuned_sql()} SELECT * FROM tuned WHERE error_rate IS NOT NULL ORDER BY error_rate, row_no LIMIT 1",
+        "tss_peaks_zero_inflated": f"WITH {READS}, " + _PEAKS[: _PEAKS.index("near AS")] + _ZERO_INFLATED + " " + _PEAKS[_PEAKS.index("tested AS") :].replace("round(CASE", "round(used * CASE") + " SELECT * FROM kinds",
+        "tss_bidirectional": f"""WITH {READS}, ends AS (SELECT chrom, strand, CASE WHEN strand = '+' THEN "start" ELSE "end" - 1 END AS pos, count(*) AS n FROM reads GROUP BY ALL HAVING count(*) >= 3),
+            near AS (SELECT a.chrom, a.pos AS minus, b.pos AS plus, a.n + b.n AS reads FROM ends a JOIN ends b ON a.chrom = b.chrom AND a.strand = '-' AND b.strand = '+' AND b.pos BETWEEN a.pos AND a.pos + 20),
+            ranked AS (SELECT *, min(plus) OVER (PARTITION BY chrom, minus) AS first, max(minus) OVER (PARTITION BY chrom, plus) AS last FROM near)
+            SELECT chrom, minus AS "start", plus + 1 AS "end", minus, plus, reads FROM ranked WHERE plus = first AND minus = last""",
         "tss_peaks": f"WITH {READS}, {_PEAKS} SELECT * FROM kinds",
         "tss_peaks_gather": f"""WITH {READS}, {_PEAKS}, x AS (SELECT chrom, pos AS "start", pos + 1 AS "end" FROM kinds WHERE kind = 'unidirectional'), {_merged("x")} SELECT * FROM merged""",
         "coverage_plus": f"WITH {READS}, {_runs(strand('+'))} {runs.format(k='chrom', v='depth')}",

@@ -150,7 +150,7 @@ def tss_peaks(ends: DataFrame, reach: int = 100, false_rate: float = 0.1, pair_d
     after Benjamini and Hochberg). chrom, strand, pos, n, p, kind: divergent if a peak of the other strand is near, else unidirectional.
 
     inflated takes the surroundings for a Poisson law with too many zeros, fitted by its moments: the rate is that of the
-    positions in use, so sparse but busy surroundings give fewer peaks, and the chance is that of being in use and as high.
+    positions in use, so sparse but busy surroundings give fewer peaks (the positions tested are in use themselves).
 
     Surroundings are summed by blocks of positions with copies of what lies within `reach` of their edges, ranks by buckets of p."""
     block = max(STRETCH, reach)
@@ -158,18 +158,17 @@ def tss_peaks(ends: DataFrame, reach: int = 100, false_rate: float = 0.1, pair_d
     spread = ends.select("chrom", "strand", "pos", "n", own.alias("own"), F.explode(F.sequence(F.floor((F.col("pos") - reach) / block), F.floor((F.col("pos") + reach) / block))).alias("block"))
     w = W.partitionBy("chrom", "strand", "block").orderBy("pos").rangeBetween(-reach, reach)
     mean = (F.sum("n").over(w) - F.col("n")) / F.lit(2.0 * reach)
-    local = spread.withColumn("mean", mean).withColumn("rate", F.greatest("mean", F.lit(1.0 / reach))).withColumn("used", F.lit(1.0))
+    local = spread.withColumn("mean", mean).withColumn("rate", F.greatest("mean", F.lit(1.0 / reach)))
     if inflated:
         squares = (F.sum(F.col("n") * F.col("n")).over(w) - F.col("n") * F.col("n")) / F.lit(2.0 * reach)
         local = local.withColumn("squares", squares).withColumn("rate", F.greatest("rate", F.when(F.col("mean") > 0, F.col("squares") / F.col("mean") - 1)))
-        local = local.withColumn("used", F.when(F.col("mean") > 0, F.least(F.lit(1.0), F.col("mean") / F.col("rate"))).otherwise(1.0))
     local = local.where("block = own")
 
     def test(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
-            yield pdf.assign(p=np.round(np.maximum(pdf["used"].to_numpy() * poisson_tail(pdf["n"].to_numpy(), pdf["rate"].to_numpy()), 1e-300), P_DIGITS))[["chrom", "strand", "pos", "n", "p"]]
+            yield pdf.assign(p=np.round(np.maximum(poisson_tail(pdf["n"].to_numpy(), pdf["rate"].to_numpy()), 1e-300), P_DIGITS))[["chrom", "strand", "pos", "n", "p"]]
 
-    tested = local.select("chrom", "strand", "pos", "n", "rate", "used").mapInPandas(test, "chrom string, strand string, pos long, n long, p double")
+    tested = local.select("chrom", "strand", "pos", "n", "rate").mapInPandas(test, "chrom string, strand string, pos long, n long, p double")
     levels = tested.groupBy("p").agg(F.count(F.lit(1)).alias("m")).withColumn("bucket", F.floor(F.col("p") * 4096))
     buckets = levels.groupBy("bucket").agg(F.sum("m").alias("m"))  # 4,097 rows at most
     before = W.orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)

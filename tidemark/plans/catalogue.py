@@ -156,9 +156,8 @@ def _peaks(spark: SparkSession, d: str, inflated: bool = False) -> DataFrame:
     return transcripts.tss_peaks(_ends(spark, d).groupBy("chrom", "strand", "pos").agg(F.count(F.lit(1)).alias("n")), inflated=inflated)
 
 
-_ZERO_INFLATED = """near AS (SELECT chrom, strand, pos, n, rate, CASE WHEN mean > 0 THEN least(1.0, mean / rate) ELSE 1.0 END AS used
-        FROM (SELECT *, greatest(mean, 0.01, CASE WHEN mean > 0 THEN squares / mean - 1 END) AS rate
-          FROM (SELECT *, (sum(n) OVER w - n) / 200.0 AS mean, (sum(n * n) OVER w - n * n) / 200.0 AS squares FROM ends WINDOW w AS (PARTITION BY chrom, strand ORDER BY pos RANGE BETWEEN 100 PRECEDING AND 100 FOLLOWING)))),"""
+_ZERO_INFLATED = """near AS (SELECT chrom, strand, pos, n, greatest(mean, 0.01, CASE WHEN mean > 0 THEN squares / mean - 1 END) AS rate
+        FROM (SELECT *, (sum(n) OVER w - n) / 200.0 AS mean, (sum(n * n) OVER w - n * n) / 200.0 AS squares FROM ends WINDOW w AS (PARTITION BY chrom, strand ORDER BY pos RANGE BETWEEN 100 PRECEDING AND 100 FOLLOWING))),"""
 
 
 _PEAKS = f"""ends AS (SELECT chrom, strand, CASE WHEN strand = '+' THEN "start" ELSE "end" - 1 END AS pos, count(*) AS n FROM reads GROUP BY ALL),
@@ -343,7 +342,7 @@ def oracle_sql() -> dict[str, str]:
         "hmm_transcripts": f"""WITH {_viterbi_sql(f"SELECT 0 AS k, {_STAY} AS stay, {_LEAVE} AS leave, CAST(5 AS DOUBLE) AS variance")} SELECT chrom, strand, "start", "end" FROM called""",
         "hmm_tuning": f"{_tuned_sql()} SELECT * FROM tuned",
         "grid_search_argmin": f"{_tuned_sql()} SELECT * FROM tuned WHERE error_rate IS NOT NULL ORDER BY error_rate, row_no LIMIT 1",
-        "tss_peaks_zero_inflated": f"WITH {READS}, " + _PEAKS[: _PEAKS.index("near AS")] + _ZERO_INFLATED + " " + _PEAKS[_PEAKS.index("tested AS") :].replace("round(CASE", "round(used * CASE") + " SELECT * FROM kinds",
+        "tss_peaks_zero_inflated": f"WITH {READS}, " + _PEAKS[: _PEAKS.index("near AS")] + _ZERO_INFLATED + " " + _PEAKS[_PEAKS.index("tested AS") :] + " SELECT * FROM kinds",
         "tss_bidirectional": f"""WITH {READS}, ends AS (SELECT chrom, strand, CASE WHEN strand = '+' THEN "start" ELSE "end" - 1 END AS pos, count(*) AS n FROM reads GROUP BY ALL HAVING count(*) >= 3),
             near AS (SELECT a.chrom, a.pos AS minus, b.pos AS plus, a.n + b.n AS reads FROM ends a JOIN ends b ON a.chrom = b.chrom AND a.strand = '-' AND b.strand = '+' AND b.pos BETWEEN a.pos AND a.pos + 20),
             ranked AS (SELECT *, min(plus) OVER (PARTITION BY chrom, minus) AS first, max(minus) OVER (PARTITION BY chrom, plus) AS last FROM near)

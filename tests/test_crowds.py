@@ -1,7 +1,9 @@
 """Places and intervals that are crowded or long: the same results, dealt over tasks."""
 
+import math
 import random
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from tidemark.operators import annotation, coverage, dedup, intervals, quantify
@@ -109,3 +111,20 @@ def test_numbering_in_stretches(spark):
     got = annotation.number(spark.createDataFrame(rows, "chrom string, start long, end long, strand string, name string").repartition(3)).collect()
     assert [r.name for r in sorted((r for r in got if r.chrom == "a"), key=lambda r: r.start)] == [f"TXa.{k + 1}" for k in range(14)]
     assert {(r.start, r.name) for r in got if r.chrom == "b"} == {(None, "TXb.1"), (7, "own"), (8, "TXb.3")} and len(got) == len(rows)
+
+
+def test_yield_against_known_laws():
+    """Molecules of known laws: equal rates, where the series has a closed form, and gamma rates, whose yield is a power."""
+    times = np.array([0.0, 0.25, 0.5, 1.0])
+    j = np.arange(1, 21)
+    equal = 1e6 * np.array([math.exp(-1.2 + k * math.log(1.2) - math.lgamma(k + 1)) for k in j])
+    want = 1e6 * math.exp(-1.2) * (1 - np.exp(-1.2 * times))
+    assert np.allclose(dedup.extrapolate(equal, times), want, rtol=0.02, atol=1)
+    shape, p = 0.8, 0.5  # counts of a negative binomial law; t times as many reads leave (p / (1 + t (1 - p)))^shape unseen
+    gamma = 1e6 * np.array([math.exp(math.lgamma(k + shape) - math.lgamma(shape) - math.lgamma(k + 1) + shape * math.log(p) + k * math.log(1 - p)) for k in j])
+    unseen = lambda t: 1e6 * (1 / (1 + (1 + t) * (1 - p) / p)) ** shape
+    assert np.allclose(dedup.extrapolate(gamma, times), unseen(0) - unseen(times), rtol=0.02, atol=1)
+    assert np.allclose(dedup.extrapolate(gamma, times, defects=True), unseen(0) - unseen(times), rtol=0.02, atol=1)
+    noisy = np.array([5.0, 400.0, 1.0, 300.0])
+    assert (np.diff(dedup.extrapolate(noisy, times)) >= 0).all() and np.isfinite(dedup.extrapolate(noisy, times, defects=True)).all()
+    assert dedup.extrapolate(np.zeros(0), times).tolist() == [0, 0, 0, 0]

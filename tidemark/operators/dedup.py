@@ -149,10 +149,11 @@ def c_curve(histogram: DataFrame, steps: int = 10) -> DataFrame:
 TERMS = 20
 
 
-def extrapolate(n_j: np.ndarray, times: np.ndarray, terms: int = TERMS) -> np.ndarray:
+def extrapolate(n_j: np.ndarray, times: np.ndarray, terms: int = TERMS, defects: bool = False) -> np.ndarray:
     """New molecules at `times` as many reads beyond the first, by the continued fraction of the alternating series sum (-1)^(j+1) n_j t^j.
 
-    The quotient-difference scheme turns the series into the fraction; the highest stable, even number of terms is used.
+    The quotient-difference scheme turns the series into the fraction; the highest stable, even number of terms is used. With
+    defects the fraction of all terms counts, whether or not it is stable, as long as it is finite.
     """
     series = np.array([(-1) ** j * float(n_j[j]) for j in range(min(terms, len(n_j)))])  # coefficients of t, t^2, ...
     while len(series) and series[-1] == 0:
@@ -183,15 +184,15 @@ def extrapolate(n_j: np.ndarray, times: np.ndarray, terms: int = TERMS) -> np.nd
         for a in fraction[count - 1 : 0 : -1]:
             out = a * times / (1 + out)
         out = fraction[0] * times / (1 + out)
-        if np.isfinite(out).all() and (np.diff(out) >= -1e-9).all() and (out >= 0).all():
+        if np.isfinite(out).all() and (defects or ((np.diff(out) >= -1e-9).all() and (out >= 0).all())):
             return out
     return np.zeros(len(times))
 
 
-def lc_extrap(histogram: DataFrame, steps: int = 10, step: float = 1.0, bootstraps: int = 0, level: float = 0.95, seed: int = 0) -> DataFrame:
+def lc_extrap(histogram: DataFrame, steps: int = 10, step: float = 1.0, bootstraps: int = 0, level: float = 0.95, seed: int = 0, defects: bool = False) -> DataFrame:
     """Expected distinct molecules at multiples of the reads: total_reads, expected_distinct. The histogram is short: one row per multiplicity.
 
-    With bootstraps also lower and upper: the middle `level` of the yields of so many histograms, drawn from this one.
+    defects skips the tests of stability (see extrapolate). With bootstraps also lower and upper: the middle `level` of the yields of so many histograms, drawn from this one.
     """
     with_range = ", lower double, upper double" if bootstraps else ""
 
@@ -207,11 +208,11 @@ def lc_extrap(histogram: DataFrame, steps: int = 10, step: float = 1.0, bootstra
             return np.bincount(j[j <= TERMS] - 1, weights=n[j <= TERMS], minlength=min(TERMS, int(j.max())))
 
         total, times = float((j * n).sum()), np.arange(0, steps + 1) * step
-        out = pd.DataFrame({"total_reads": total * (1 + times), "expected_distinct": n.sum() + extrapolate(first_counts(n), times)})
+        out = pd.DataFrame({"total_reads": total * (1 + times), "expected_distinct": n.sum() + extrapolate(first_counts(n), times, defects=defects)})
         if bootstraps:
             rng = np.random.default_rng(seed)
             draws = rng.multinomial(int(n.sum()), n / n.sum(), bootstraps)
-            yields = np.array([d.sum() + extrapolate(first_counts(d), times) for d in draws])
+            yields = np.array([d.sum() + extrapolate(first_counts(d), times, defects=defects) for d in draws])
             out["lower"], out["upper"] = np.quantile(yields, ((1 - level) / 2, (1 + level) / 2), axis=0)
         yield out
 

@@ -367,6 +367,29 @@ def test_stages_with_clashing_names(spark):
     assert decontaminate.drop_contaminated(docs, spark.createDataFrame([(1, text)], "item_id long, text string")).count() == 0
 
 
+def test_language_by_brute_force(spark):
+    """The network's answer for whole texts, position by position and filter by filter."""
+    rng = np.random.default_rng(4)
+    names, width = ["aa", "bb", "cc"], {f: 2 + f // langid.FILTERS for f in range(3 * langid.FILTERS)}
+    shape = (langid.WIDEST * langid.EMBED, len(width))
+    net = langid.Network(names, rng.normal(size=(257, langid.EMBED)).astype(np.float32), (rng.normal(size=shape) * langid._mask()).astype(np.float32), rng.normal(size=len(width)).astype(np.float32), rng.normal(size=(len(width), 3)).astype(np.float32), rng.normal(size=3).astype(np.float32))
+    texts = ["abc", "é" * 40 + " word", "some longer text " * 40, "x" * 256, "y" * 257]
+    got = {r.doc_id: r for r in langid.identify(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), net).collect()}
+    for i, t in enumerate(texts):
+        raw, logits = list(t.encode()), []
+        for at in range(0, len(raw), langid.WINDOW):
+            codes = raw[at : at + langid.WINDOW]
+            codes += [256] * (langid.WINDOW + langid.WIDEST - 1 - len(codes))
+            hidden = []
+            for f, w in width.items():
+                best = max(sum(float(net.embed[codes[p + k]].astype(float) @ net.conv[k * langid.EMBED : (k + 1) * langid.EMBED, f]) for k in range(w)) for p in range(langid.WINDOW))
+                hidden.append(max(0.0, best + float(net.bias[f])))
+            logits.append(np.array(hidden) @ net.out + net.out_bias)
+        z = np.mean(logits, axis=0)
+        p = np.exp(z - z.max()) / np.exp(z - z.max()).sum()
+        assert got[i].lang_pred == names[int(p.argmax())] and abs(got[i].score - p.max()) < 1e-4
+
+
 def test_training_windows(spark):
     """A language is learned from any part of a text, and from one row of an id."""
     noise = "zz qq " * 100

@@ -36,18 +36,21 @@ AT_ONCE = 512
 def active_stretches(counts: DataFrame, keys: tuple[str, ...], gap: int, block: int = STRETCH) -> DataFrame:
     """counts (keys, bin, n) with stretch: bins at most `gap` apart. Segmentation then runs stretch by stretch, not contig by contig.
 
-    Gaps are found within blocks of bins; one row a block carries the last bin and the last opening on to the next.
+    Gaps are found within blocks of bins; one row a block carries the last bin and the last opening on to the next. Rows with a null key or bin go.
     """
     keys = list(keys)
-    rows = counts.withColumn("_block", F.floor(F.col("bin") / block))
+    place = [*keys, "_block"]
+    rows = counts.withColumn("_block", F.floor(F.col("bin") / block)).where(" AND ".join(f"`{k}` IS NOT NULL" for k in place))
+    within = W.partitionBy(*place).orderBy("bin")
+    rows = rows.withColumn("_before", F.lag("bin").over(within)).withColumn("_opens", F.when(F.col("bin") - F.col("_before") > gap, F.col("bin"))).drop("_before")
+    rows = rows.withColumn("_stretch", F.max("_opens").over(within.rowsBetween(W.unboundedPreceding, 0)))
     along = W.partitionBy(*keys).orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
-    within = W.partitionBy(*keys, "_block").orderBy("bin")
-    last = rows.groupBy(*keys, "_block").agg(F.max("bin").alias("_last")).select(*keys, "_block", F.max("_last").over(along).alias("_before"))
-    rows = rows.join(last, [*keys, "_block"]).withColumn("_before", F.coalesce(F.lag("bin").over(within), "_before"))
-    rows = rows.withColumn("_opens", F.when(F.col("_before").isNull() | (F.col("bin") - F.col("_before") > gap), F.col("bin")))
-    opened = rows.groupBy(*keys, "_block").agg(F.max("_opens").alias("_open")).select(*keys, "_block", F.max("_open").over(along).alias("_open"))
-    rows = rows.join(opened, [*keys, "_block"])
-    return rows.select(*counts.columns, F.coalesce(F.max("_opens").over(within.rowsBetween(W.unboundedPreceding, 0)), "_open").alias("stretch"))
+    # The hash keeps both branches' columns alike, so that the shuffle of one serves the other.
+    ends = rows.groupBy(*place).agg(F.min("bin").alias("_first"), F.max("bin").alias("_last"), F.max("_opens").alias("_open"), F.sum(F.hash(*counts.columns)).alias("_all")).where("_all IS NOT NULL")
+    ends = ends.withColumn("_reach", F.max("_last").over(along)).withColumn("_own", F.when(F.col("_reach").isNull() | (F.col("_first") - F.col("_reach") > gap), F.col("_first")))
+    ends = ends.withColumn("_carried", F.max(F.coalesce("_open", "_own")).over(along)).select(*place, F.coalesce("_own", "_carried").alias("_begun"))
+    return rows.join(ends, place).select(*counts.columns, F.coalesce("_stretch", "_begun").alias("stretch"))
+
 
 @dataclass(frozen=True)
 class Emissions:
@@ -101,9 +104,10 @@ def _block_rows(counts: DataFrame, gap: int, keys: list[str], size: int) -> Data
         raise ValueError("a block must hold more bins than the longest gap of a stretch")
     rows = active_stretches(counts, tuple(keys), gap).select(*keys, "stretch", (F.col("bin") - F.col("stretch") + 1).alias("x"), F.col("n").cast("double").alias("n"))
     rows = rows.withColumn("block", F.floor(F.col("x") / size))
-    last = rows.groupBy(*keys, "stretch").agg(F.max("x").alias("last"))
-    blocks = rows.groupBy(*keys, "stretch", "block").agg(F.sort_array(F.collect_list(F.struct((F.col("x") - F.col("block") * size).alias("x"), "n"))).alias("bins"))  # a block's bins
-    blocks = blocks.join(last, [*keys, "stretch"])
+    blocks = rows.groupBy(*keys, "stretch", "block").agg(F.sort_array(F.collect_list(F.struct((F.col("x") - F.col("block") * size).alias("x"), "n"))).alias("bins"), F.max("x").alias("last"))  # a block's bins
+    # The sizes keep both branches' columns alike, so that the shuffle of one serves the other.
+    last = blocks.groupBy(*keys, "stretch").agg(F.max("last").alias("last"), F.sum(F.size("bins")).alias("all")).where("all > 0").drop("all")
+    blocks = blocks.drop("last").join(last, [*keys, "stretch"])
     final = F.floor(F.col("last") / size) == F.col("block")
     length = F.when(final, F.col("last") + 2 - F.col("block") * size).otherwise(size)
     return blocks.select(*keys, "stretch", "block", final.alias("final"), length.alias("length"), F.col("bins.x").alias("x"), F.col("bins.n").alias("n"))

@@ -131,7 +131,7 @@ def train(labelled: DataFrame, limit: int = TRAIN_DOCS, each: int = TRAIN_WINDOW
 
 
 def identify(docs: DataFrame, network: Network | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of docs: doc_id, lang_pred, score (probability of lang_pred).
+    """One row per row of docs: doc_id, lang_pred, score (probability of lang_pred to five places; beyond, it hangs on the batch).
 
     A text that is null or has no letter is `und` with score 1, as is every text where nothing was learned. Other columns are
     ignored; rows that repeat are judged alike; an empty table gives an empty result.
@@ -148,7 +148,7 @@ def identify(docs: DataFrame, network: Network | None, id_col: str = "doc_id", t
                 logits = np.add.reduceat(net.logits(windows), ends[:-1], axis=0) / np.diff(ends)[:, None]
                 p = np.exp(logits - logits.max(axis=1, keepdims=True))
                 p /= p.sum(axis=1, keepdims=True)
-                names[letters], scores[letters] = np.array(net.languages, object)[p.argmax(axis=1)], p.max(axis=1)
+                names[letters], scores[letters] = np.array(net.languages, object)[p.argmax(axis=1)], p.max(axis=1).round(5)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(names, pa.string()), pa.array(scores, pa.float64())], ["doc_id", "lang_pred", "score"])
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(of, "doc_id long, lang_pred string, score double")

@@ -245,6 +245,7 @@ def _link_counts(known: DataFrame, component: DataFrame, least: float, chunk: in
     cells = placed.groupBy("component", "cell").agg(F.count(F.lit(1)).alias("rows"), F.sum("weight").alias("all"))
     cells = cells.join(sizes, "component").select("component", "cell", "all", F.ceil(F.col("rows") / chunk).cast("int").alias("subs"), (F.col("size") > chunk).alias("split"))
     placed = placed.join(cells.select("component", "cell", "subs"), ["component", "cell"]).withColumn("sub", F.pmod(F.xxhash64("class_key"), F.col("subs")).cast("int")).drop("subs")
+    cells, placed = written(cells, "cells"), written(placed, "placed")  # short plans for the driver: several branches read both
     i = cells.select("component", "split", F.col("cell").alias("i"), F.col("all").alias("all_i"), F.col("subs").alias("subs_i"))
     j = cells.select("component", F.col("cell").alias("j"), F.col("all").alias("all_j"), F.col("subs").alias("subs_j"))
     sure, never = CELLS - 1e-7, CELLS + 1e-7  # angles in cells
@@ -298,7 +299,7 @@ def near_vectors(
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(label_col).cast("string").alias("label"), F.col(vector_col).cast("array<double>").alias("vec"))
     all_ = written(_sketches(rows, tables, hashes, probes), "vectors")
     classes = written(all_.where("class_key IS NOT NULL").groupBy("class_key").agg(F.min("vec_id").alias("node"), F.count(F.lit(1)).alias("weight")), "classes")
-    one_each = all_.withColumnRenamed("vec_id", "node").join(classes, ["class_key", "node"]).dropDuplicates(["class_key"])
+    one_each = written(all_.withColumnRenamed("vec_id", "node").join(classes, ["class_key", "node"]).dropDuplicates(["class_key"]), "representatives")
     spread = one_each.select("node", F.explode("buckets").alias("bucket"))
     shared = spread.groupBy("bucket").agg(F.min("node").alias("pivot"), F.max("node").alias("last")).where("pivot < last").select("bucket", "pivot")
     members = written(spread.join(shared, "bucket").distinct(), "members")
@@ -320,7 +321,7 @@ def near_vectors(
         if not more.isEmpty():
             component = connected_components(component.select(F.col("id").alias("a"), F.col("component").alias("b")).union(more.select("a", "b")))
     within = component.union(several.join(component, F.col("node") == F.col("id"), "left_anti").select("node", "node"))
-    n = _link_counts(known, within, least, chunk)
+    n = written(_link_counts(known, within, least, chunk), "link-counts")
     found = classes.join(component.withColumnRenamed("id", "node"), "node", "left").join(n, "class_key", "left")
     found = found.select("class_key", F.coalesce("component", "node").alias("component_id"), (F.col("weight") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"))
     # A third of all rows may be one class: its row is sent once for each salt that its rows have.

@@ -40,8 +40,35 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
 
 
+#: From links (a, b): reached (a, low), the smallest id that links lead to.
+_REACHED = """sides AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+            walk AS (SELECT a, b FROM sides UNION SELECT walk.a, sides.b FROM walk JOIN sides ON walk.b = sides.a),
+            reached AS (SELECT a, min(b) AS low FROM walk GROUP BY a)"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "op10_minhash": f"""
+            WITH RECURSIVE d AS (
+                SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+            s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) < 2 THEN w ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END) AS x FROM d),
+            n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+            p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY ALL),
+            links AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
+            {_REACHED}
+            SELECT d.doc_id, coalesce(n, 0) AS n_shingles, least(d.doc_id, coalesce(low, d.doc_id)) AS component_id, d.doc_id <= coalesce(low, d.doc_id) AS kept
+            FROM d LEFT JOIN n USING (doc_id) LEFT JOIN reached ON a = d.doc_id
+        """,
+        "op13_embedding_dedup": f"""
+            WITH RECURSIVE v AS (
+                SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+                WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: isfinite(x))) = len(embedding) AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+            links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id < b.vec_id AND len(a.e) = len(b.e) WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+            {_REACHED},
+            n AS (SELECT a, count(*) AS n FROM sides GROUP BY a)
+            SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(low, vec_id)) AS component_id, vec_id <= coalesce(low, vec_id) AS kept
+            FROM embeddings LEFT JOIN n ON n.a = vec_id LEFT JOIN reached ON reached.a = vec_id
+        """,
         "op5_url_filter": url_filter.ORACLE_SQL,
         "op8_exact_dedup": """
             WITH d AS (

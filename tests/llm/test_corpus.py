@@ -180,6 +180,25 @@ def test_repeats_of_a_part_of_the_columns(spark, docs):
     assert repeats.remove_repeats(spark.createDataFrame([(1, "abc" * 200), (2, "abc" * 200)], "doc_id long, text string")).select("doc_id").count() == 2
 
 
+def test_repeats_keep_nothing_in_the_heap(spark, docs):
+    """What is kept between the jobs lies on disk: the blocks of a large corpus would fill the executors' heap."""
+
+    def kept():
+        return {x.id(): (x.memSize(), x.diskSize()) for x in spark.sparkContext._jsc.sc().getRDDStorageInfo()}
+
+    before, own = kept(), docs.select((F.col("doc_id") * 7).alias("doc_id"), "text")  # no plan that is kept already
+    assert repeats.remove_repeats(own, digest=True).count() == docs.count()
+    new = [v for k, v in kept().items() if k not in before]
+    assert new and all(memory == 0 and disk > 0 for memory, disk in new)
+
+
+def test_repeats_meet_blocks_in_place(docs):
+    """The blocks are dealt out once: neither cogroup moves them again."""
+    plan = repeats.remove_repeats(docs, digest=True)._jdf.queryExecution().executedPlan().toString()
+    left = plan[plan.index("FlatMapCoGroupsInArrow") :].split("FlatMapGroupsInArrow")[0]
+    assert "InMemoryTableScan" in left[: left.index("Exchange")]
+
+
 def test_equal_hashes_remove_nothing(monkeypatch):
     """Strings of a hot anchor whose hashes collide stay apart."""
     a, b = b"a" * 100, b"b" * 100

@@ -18,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
@@ -249,7 +250,7 @@ def merged(text: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.nda
 
 
 _STAGE = "block long, kind int, bucket int, data binary"
-_DOCS, _RECORDS, _SPANS, _ASKED = range(4)
+_RECORDS, _SPANS, _ASKED = range(3)
 
 
 def _row(block: int, kind: int, bucket: int, *arrays: np.ndarray) -> tuple:
@@ -273,23 +274,37 @@ def _first_of(digest: np.ndarray, check: np.ndarray) -> np.ndarray:
     return np.concatenate([[True], (digest[1:] != digest[:-1]) | (check[1:] != check[:-1])]) if len(digest) else np.zeros(0, bool)
 
 
+def _blocks(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    ordinal = 0
+    for b in by_bytes(it, BLOCK_BYTES):
+        if b.num_rows:
+            ids, texts = b.column(0).fill_null(NO_ID).to_numpy(zero_copy_only=False).astype(np.int64), as_binary(b.column(1))
+            flat = b"".join(texts)
+            block, ordinal = block_number(ordinal, ids.tobytes(), flat), ordinal + 1
+            data = pack_arrays(ids, np.array([len(t) for t in texts], np.uint32), np.frombuffer(flat, np.uint8))
+            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([data], pa.binary())], ["block", "data"])
+            del texts, flat, data
+            pa.default_memory_pool().release_unused()
+
+
 def _scan(buckets: int, length: int, part: int, row: int):
     def scan(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ordinal = 0
-        for b in by_bytes(it, BLOCK_BYTES):
-            if b.num_rows:
-                own_ids, own = b.column(0).fill_null(NO_ID).to_numpy(zero_copy_only=False).astype(np.int64), as_binary(b.column(1))
-                flat = b"".join(own)
-                block, ordinal = block_number(ordinal, own_ids.tobytes(), flat), ordinal + 1
+        """Of each block, a row for each bucket of its records, and one with the spans that repeat within it."""
+        for b in it:
+            for block, data in zip(b.column("block").to_pylist(), b.column("data"), strict=True):
+                own_ids, sizes, flat = unpack_arrays(data.as_py())
+                ends = np.cumsum(sizes, dtype=np.int64)
+                own = [flat[e - n : e].tobytes() for e, n in zip(ends.tolist(), sizes.tolist(), strict=True)]
+                del flat
                 r = block_records(own, length, part, row)
                 rank = np.empty(len(own), np.int64)
                 rank[np.argsort(own_ids, kind="stable")] = np.arange(len(own))
                 order = np.lexsort((r["first"], rank[r["text"]], r["check"], r["digest"]))
                 earliest = _first_of(r["digest"][order], r["check"][order])
                 again = order[~earliest]
-                rows = [_row(block, _DOCS, 0, own_ids, np.array([len(t) for t in own], np.uint32), np.frombuffer(flat, np.uint8))]
+                rows = []
                 if len(again):
-                    rows.append(_row(block, _SPANS, 0, *merged(r["text"][again], r["first"][again], r["last"][again] + length)))
+                    rows.append(_row(block, _SPANS, block % buckets, *merged(r["text"][again], r["first"][again], r["last"][again] + length)))
                 sent = np.sort(order[earliest])
                 home = (r["fp"][sent] >> np.uint64(32)).astype(np.int64) % buckets
                 for bucket, n in _by(home):
@@ -298,7 +313,7 @@ def _scan(buckets: int, length: int, part: int, row: int):
                         _row(block, _RECORDS, bucket, r["digest"][n], r["check"][n], r["fp"][n].astype(np.uint32), own_ids[r["text"][n]], r["text"][n].astype(np.uint32), r["first"][n].astype(np.uint32), (r["anchor"][n] - r["first"][n]).astype(np.uint8), (r["last"][n] - r["first"][n]).astype(np.uint8))
                     )
                 yield _batch(rows)
-                del rows, r, flat, own
+                del rows, r, own
                 pa.default_memory_pool().release_unused()
 
     return scan
@@ -306,12 +321,18 @@ def _scan(buckets: int, length: int, part: int, row: int):
 
 def _compare(length: int, many: int):
     def compare(key: tuple, it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Records of one bucket: those whose digest is not the earliest are repeats; anchors with several digests need a closer look."""
+        """Records of one bucket: those whose digest is not the earliest are repeats; anchors with several digests need a closer look.
+        Spans that the scan found pass through."""
         blocks, parts = [], []
         for b in it:
+            of_scan = pc.equal(b.column("kind"), _SPANS)
+            yield b.filter(of_scan).select(["block", "kind", "bucket", "data"])
+            b = b.filter(pc.invert(of_scan))
             for block, data in zip(b.column("block").to_pylist(), b.column("data").to_pylist(), strict=True):
                 parts.append(unpack_arrays(data))
                 blocks.append(np.full(len(parts[-1][0]), block))
+        if not parts:
+            return
         block = np.concatenate(blocks)
         digest, check, fp, ids, text, first, anchor, more = (np.concatenate(x) for x in zip(*parts, strict=True))
         order = np.lexsort((text, block, first, ids, check, digest))
@@ -438,20 +459,21 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, part: int = PART, id_c
     """
     if not part < length <= part + 256:
         raise ValueError("the parts must be shorter than the strings, by 256 bytes at most")
-    buckets = 4 * shuffle_partitions(docs.sparkSession)
-    scanned = id_text(docs, id_col, text_col).mapInArrow(_scan(buckets, length, part, FLAT), _STAGE).persist(StorageLevel.MEMORY_AND_DISK)
-    with batch_bytes(docs.sparkSession, BLOCK_BYTES):
-        scanned.count()  # several branches read it: the scan runs once
-    whole = scanned.where(F.col("kind") == _DOCS).select("block", "data")
-    compared = scanned.where(F.col("kind") == _RECORDS).select("bucket", "block", "data").groupBy("bucket").applyInArrow(_compare(length, HOT), _STAGE).persist(StorageLevel.MEMORY_AND_DISK)
-    compared.count()
+    spark = docs.sparkSession
+    buckets = 4 * shuffle_partitions(spark)
+    # On disk alone: blocks kept in the heap leave no room for the tasks once the corpus is larger than the executors' memory.
+    # Dealt out before they are kept, so that both cogroups find them in place and only what is small moves to them.
+    whole = id_text(docs, id_col, text_col).mapInArrow(_blocks, "block long, data binary").repartition(shuffle_partitions(spark), "block").persist(StorageLevel.DISK_ONLY)
+    with batch_bytes(spark, BLOCK_BYTES):
+        whole.count()  # several branches read it: the texts are read once
+        scanned = whole.mapInArrow(_scan(buckets, length, part, FLAT), _STAGE)
+        compared = scanned.groupBy("bucket").applyInArrow(_compare(length, HOT), _STAGE).persist(StorageLevel.DISK_ONLY)
+        compared.count()
     asked = compared.where(F.col("kind") == _ASKED).select("block", "bucket", "data")
-    fetched = whole.groupBy("block").cogroup(asked.groupBy("block")).applyInArrow(_fetch(buckets, length), _STAGE).persist(StorageLevel.MEMORY_AND_DISK)
+    fetched = whole.groupBy("block").cogroup(asked.groupBy("block")).applyInArrow(_fetch(buckets, length), _STAGE).persist(StorageLevel.DISK_ONLY)
     fetched.count()
     resolved = fetched.where(F.col("kind") == _ASKED).select("bucket", "block", "data").groupBy("bucket").applyInArrow(_resolve(length, SORT_BYTES), _STAGE)
-    spans = scanned
-    for other in (compared, fetched, resolved):
-        spans = spans.unionByName(other)
+    spans = compared.unionByName(fetched).unionByName(resolved)
     # Under names of their own: the union has the columns of the scan, as has the other side of the cogroup.
     spans = spans.where(F.col("kind") == _SPANS).select(F.col("block").alias("of"), F.col("data").alias("span"))
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" if digest else "doc_id long, n_bytes long, spans array<struct<start: long, end: long>>, kept binary"

@@ -100,6 +100,28 @@ def test_write(spark, both, tmp_path):
         bam.read_bam(spark, str(tmp_path / "bad.bam")).count()
 
 
+def test_far_places_are_no_false_starts(tmp_path):
+    """One byte before a record on the first contig at 2^24 and beyond, its bytes read as another record with an empty name."""
+    rng = random.Random(2)
+    data = [bam.header([("chr0", 1 << 26)])]
+    for i in range(3000):
+        start = (1 << 24) + rng.randrange(1 << 20)
+        data.append(bam.encode({"name": "r" * rng.randint(30, 50), "flag": 99, "chrom": "chr0", "start": start, "end": start + 9, "mapq": 30, "cigar": "9M", "mate_chrom": "chr0", "mate_start": start + 20, "tlen": 0, "seq": "*", "qual": "*", "tags": [("RX", "AC")]}, {"chr0": 0}))
+    begins = set(np.cumsum([len(x) for x in data])[:-1].tolist())
+    data, blocks, places, at = b"".join(data), [], [], 0
+    while at < len(data):
+        places.append((sum(map(len, blocks)), at))
+        blocks.append(bam.deflate(data[at : at + 700]))
+        at += 700
+    (tmp_path / "far.bam").write_bytes(b"".join(blocks) + bam.END)
+    size = (tmp_path / "far.bam").stat().st_size
+    with open(tmp_path / "far.bam", "rb") as file:
+        for place, at in places[1:-1]:
+            assert at + bam.first_record(bam.Stream(file, size, place), 1, size) in begins
+    reader = bam.BamReader(str(tmp_path / "far.bam"), 2000)
+    assert sum(b.num_rows for p in reader.partitions() for b in reader.read(p)) == 3000
+
+
 def test_bins():
     assert [bam._bin(a, b) for a, b in ((0, 1), (0, 1 << 14), (16_000, 17_000), (0, 1 << 29), (1 << 28, (1 << 28) + 5))] == [4681, 4681, 585, 0, 4681 + (1 << 14)]
     assert np.array_equal(bam._PAIRS[0x12], np.frombuffer(b"AC", np.uint8))

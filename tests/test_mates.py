@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tidemark.operators import mates
@@ -75,3 +76,33 @@ def test_overlap_mates(spark, pairs):
     assert sizes[None] == 23 and sum(sizes.values()) == 123
     with pytest.raises(Exception, match="two lengths"):
         mates.overlap_mates(spark.createDataFrame([("x", "ACG", "II", "A", "I")], SCHEMA)).collect()
+
+
+@pytest.mark.parametrize(("lengths", "limits", "wrong"), [([70], (30, 5, 0.2), 0.03), ([0, 5, 31, 33, 70, 300], (8, 3, 0.2), 0.03), ([40, 41], (10, 9, 0.5), 0.1)])
+def test_many_pairs_as_one_by_one(spark, lengths, limits, wrong, monkeypatch):
+    """Batches of reads of one or several lengths give what each pair gives by itself, and no pair is looked at by itself."""
+    rng = random.Random(4)
+    rows = []
+    for i in range(600):
+        insert, more = ("".join(rng.choice("ACGT") for _ in range(n)) for n in (rng.randint(1, 150), 80))
+        reads = []
+        for s in (insert, flip(insert)):
+            s = "".join(c if rng.random() > wrong else rng.choice("ACGTNac") for c in (s + more)[: rng.choice(lengths)])
+            reads += [s, "".join(rng.choice("#+/5?I") for _ in s)]
+        if i % 29 == 0:
+            reads[rng.randrange(4)] = None
+        rows.append((f"p{i}", *reads))
+    want = {n: (None, None, None, None, 0, *r, None, None) if None in r else mates._pair(*r, limits, True, 30, 14) for n, *r in rows}
+    assert sum(w[4] for w in want.values()) > 20 < sum(w[0] is None for w in want.values())
+    monkeypatch.setattr(mates, "best_offset", None)
+    frame = spark.createDataFrame(rows, SCHEMA).coalesce(1)
+    assert {r.name: tuple(r)[1:] for r in mates.overlap_mates(frame, *limits).collect()} == want
+    parts = [pa.array(c, pa.string()) for c in list(zip(*rows, strict=True))[1:]]
+    assert list(zip(*(c.to_pylist() for c in mates._pairs(parts, limits, True, 30, 14)), strict=True)) == list(want.values())
+
+
+def test_letters_beyond_ascii_and_empty_batches(spark):
+    rows = [("x", "ACGTé" * 8, "I" * 40, flip("ACGT" * 10), "I" * 40), ("y", None, None, None, None)]
+    got = {r.name: r for r in mates.overlap_mates(spark.createDataFrame(rows, SCHEMA), least=100).collect()}
+    assert tuple(got["x"])[6:10] == rows[0][1:] and got["y"].seq1 is None
+    assert mates.overlap_mates(spark.createDataFrame([], SCHEMA)).count() == 0

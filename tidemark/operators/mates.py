@@ -6,12 +6,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 _COMPLEMENT = bytes.maketrans(b"ACGTNacgtn", b"TGCANtgcan")
-#: Pairs in a batch.
-ROWS = 4096
+_OTHER = np.frombuffer(_COMPLEMENT, np.uint8)
+#: Letters of either mate that are worked on at a time, padded; bases that are compared first.
+CELLS, HEAD = 1 << 18, 24
+#: What no letter is, beyond the end of a first and of a second mate.
+_PAD = (0xFF, 0xFE)
 
 
 def best_offset(a: np.ndarray, b: np.ndarray, least: int, most: int, share: float) -> tuple[int, int, int] | None:
@@ -59,6 +63,100 @@ def _pair(s1: str, q1: str, s2: str, q2: str, limits: tuple[int, int, float], co
     return offset, size, unlike, insert, fixed, a.decode(), qa.decode(), mate.decode(), mate_quality.decode(), merged.decode(), quality.decode()
 
 
+def _letters(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all texts, one after the other, and how many each has."""
+    texts = texts.cast(pa.large_string())
+    offsets = np.frombuffer(texts.buffers()[1], np.int64, len(texts) + 1, texts.offset * 8)
+    data = texts.buffers()[2]
+    return np.frombuffer(data, np.uint8, offsets[-1] - offsets[0], offsets[0]) if data and offsets[-1] > offsets[0] else np.zeros(0, np.uint8), np.diff(offsets)
+
+
+def _square(letters: np.ndarray, size: np.ndarray, pad: int, flip: bool = False) -> np.ndarray:
+    """A row for each text, padded at its end; flipped texts begin with their last letter."""
+    wide = int(size.max(initial=0))
+    out = np.full((len(size), wide), pad, np.uint8)
+    out[np.arange(wide) >= wide - size[:, None] if flip else np.arange(wide) < size[:, None]] = letters
+    return out[:, ::-1] if flip else out
+
+
+def _texts(rows: np.ndarray, size: np.ndarray) -> pa.Array:
+    """The first letters of each row as texts."""
+    letters = rows[np.arange(rows.shape[1]) < size[:, None]]
+    offsets = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
+    return pa.Array.from_buffers(pa.large_string(), len(size), [None, pa.py_buffer(offsets), pa.py_buffer(letters)]).cast(pa.string())
+
+
+def best_offsets(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray, least: int, most: int, share: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """best_offset of many pairs, a row each, padded by _PAD: offsets, lengths (0 without an overlap) and mismatches.
+
+    At each offset the first bases of all pairs are compared, and the others of those pairs only that have few mismatches there.
+    """
+    long_a, long_b = a.shape[1], b.shape[1]
+    a, b = np.ascontiguousarray(a.T), np.ascontiguousarray(b.T)
+    offset, length, wrong = np.zeros((3, len(size_a)), np.int64)
+    for d in range(least - long_b, long_a - least + 1):
+        low, high = max(0, d), min(long_a, d + long_b)
+        size = np.minimum(size_a, size_b + d) - low
+        most_here = most + (high - low) - size  # what lies beyond a mate's end never agrees
+        head = min(low + HEAD, high)
+        unlike = (a[low:head] != b[low - d : head - d]).view(np.uint8).sum(axis=0, dtype=np.uint8)
+        at = np.flatnonzero((unlike <= most_here) & (size >= max(least, 1)))
+        if not len(at):
+            continue
+        unlike = unlike[at].astype(np.int64)
+        for i in range(head, high, 255):
+            j = min(i + 255, high)
+            unlike += (a[i:j, at] != b[i - d : j - d, at]).view(np.uint8).sum(axis=0, dtype=np.uint8)
+        size = size[at]
+        unlike -= (high - low) - size
+        left, right = unlike * length[at], wrong[at] * size
+        better = (unlike <= most) & (unlike <= share * size) & ((length[at] == 0) | (left < right) | (left == right) & (size > length[at]))
+        at = at[better]
+        offset[at], length[at], wrong[at] = d, size[better], unlike[better]
+    return offset, length, wrong
+
+
+def _pairs(part: list[pa.Array], limits: tuple[int, int, float], correct: bool, high: int, low: int) -> list[pa.Array]:
+    """_pair of many pairs of ASCII letters: the same eleven columns."""
+    known = np.ones(len(part[0]), bool)
+    for c in part:
+        known &= c.is_valid().to_numpy(zero_copy_only=False)
+    (s1, n1), (q1, m1), (s2, n2), (q2, m2) = (_letters(pc.fill_null(c, "")) for c in part)
+    a, qa, c, qc, b, qb = _square(s1, n1, _PAD[0]), _square(q1, m1, 0), _square(s2, n2, _PAD[1]), _square(q2, m2, 0), _square(_OTHER[s2], n2, _PAD[1], flip=True), _square(q2, m2, 0, flip=True)
+    offset, length, unlike = best_offsets(a, b, n1, n2, *limits)
+    found = (length > 0) & known
+    insert = np.where(found, offset + n2, 0)
+    used_a, used_b = np.minimum(n1, insert), np.where(found, n2 - np.maximum(0, -offset), 0)
+    fixed = np.zeros(len(found), np.int64)
+    if correct:
+        rows = np.flatnonzero(found & (unlike > 0))
+        i = np.arange(int(length[rows].max(initial=0)))
+        on_a, on_b = i + np.maximum(0, offset[rows])[:, None], i + np.maximum(0, -offset[rows])[:, None]
+        inside = i < length[rows][:, None]
+        r, k = np.nonzero(inside & (a[rows[:, None], np.where(inside, on_a, 0)] != b[rows[:, None], np.where(inside, on_b, 0)]))
+        on_a, on_b, r = on_a[r, k], on_b[r, k], rows[r]
+        x, y = qa[r, on_a].astype(int) - 33, qb[r, on_b].astype(int) - 33
+        second, first = (x >= high) & (y <= low), (y >= high) & (x <= low)
+        first &= ~second
+        u, at, to = r[second], on_a[second], on_b[second]
+        b[u, to], qb[u, to], c[u, n2[u] - 1 - to], qc[u, n2[u] - 1 - to] = a[u, at], qa[u, at], _OTHER[a[u, at]], qa[u, at]
+        u, at, to = r[first], on_a[first], on_b[first]
+        a[u, at], qa[u, at] = b[u, to], qb[u, to]
+        fixed += np.bincount(r[first | second], minlength=len(fixed))
+    wide = int(insert.max(initial=0))
+    place, rest = np.arange(wide), np.arange(b.shape[1])
+    later = (place >= used_a[:, None]) & (place < insert[:, None])  # what only the second mate has
+    from_b = (rest >= np.where(found, used_a - offset, b.shape[1])[:, None]) & (rest < n2[:, None])
+    merged, quality = np.zeros((2, len(found), wide), np.uint8)
+    for to, x, y in ((merged, a, b), (quality, qa, qb)):
+        to[:, : x.shape[1]] = x[:, :wide]
+        to[later] = y[from_b]
+    number = lambda x: pa.array(x, pa.int32(), mask=~found)
+    cut = [pc.if_else(pa.array(found), _texts(x, n), old) for x, n, old in ((a, used_a, part[0]), (qa, used_a, part[1]), (c, used_b, part[2]), (qc, used_b, part[3]))]
+    none = pa.nulls(len(found), pa.string())
+    return [number(offset), number(length), number(unlike), number(insert), pa.array(fixed, pa.int32()), *cut, *(pc.if_else(pa.array(found), _texts(x, insert), none) for x in (merged, quality))]
+
+
 def overlap_mates(pairs: DataFrame, least: int = 30, most: int = 5, share: float = 0.2, correct: bool = True, high: int = 30, low: int = 14) -> DataFrame:
     """Pairs (name, seq1, qual1, seq2, qual2) by the overlap of the two mates: name, offset, overlap, mismatches, insert, corrected, the
     reads, merged_seq, merged_qual.
@@ -70,21 +168,34 @@ def overlap_mates(pairs: DataFrame, least: int = 30, most: int = 5, share: float
     """
     columns = ["seq1", "qual1", "seq2", "qual2"]
     schema = "name string, offset int, overlap int, mismatches int, insert int, corrected int, seq1 string, qual1 string, seq2 string, qual2 string, merged_seq string, merged_qual string"
-    kinds = [pa.string(), *[pa.int32()] * 5, *[pa.string()] * 6]
+    names, kinds = [c.split(" ")[0] for c in schema.split(", ")], [pa.string(), *[pa.int32()] * 5, *[pa.string()] * 6]
+    limits = (least, most, share)
+
+    def singly(reads: list[pa.Array]) -> list[pa.Array]:
+        rows = [(None, None, None, None, 0, *r, None, None) if None in r else _pair(*r, limits, correct, high, low) for r in zip(*(c.to_pylist() for c in reads), strict=True)]
+        return [pa.array(x, k) for x, k in zip(zip(*rows, strict=True), kinds[1:], strict=True)]
 
     def of(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in it:
-            for at in range(0, b.num_rows, ROWS):
-                part = b.slice(at, ROWS)
-                rows = []
-                for name, *reads in zip(*(c.to_pylist() for c in part.columns), strict=True):
-                    if None in reads:
-                        rows.append((name, None, None, None, None, 0, *reads, None, None))
-                        continue
-                    if len(reads[0]) != len(reads[1]) or len(reads[2]) != len(reads[3]):
-                        raise ValueError(f"a sequence and a quality of two lengths: {name}")
-                    rows.append((name, *_pair(*reads, (least, most, share), correct, high, low)))
-                yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows, strict=True), kinds, strict=True)], [c.split(" ")[0] for c in schema.split(", ")])
+        for batch in it:
+            named, *reads = (c.cast(pa.string()) for c in batch.columns)
+            for s, q in (reads[:2], reads[2:]):
+                two = pc.and_(pc.not_equal(pc.utf8_length(s), pc.utf8_length(q)), pc.and_(*(pc.and_(pc.is_valid(x), pc.is_valid(y)) for x, y in (reads[:2], reads[2:]))))
+                if pc.any(two).as_py():
+                    raise ValueError(f"a sequence and a quality of two lengths: {named.filter(two)[0]}")
+            size = np.maximum(*(pc.fill_null(pc.binary_length(c), 0).to_numpy(zero_copy_only=False) for c in (reads[0], reads[2])))
+            plain = all(pc.all(pc.string_is_ascii(c)).as_py() in (True, None) for c in reads)
+            # Rows by length, so that few letters are padding.
+            order = None if not len(size) or size.min() == size.max() else np.argsort(size, kind="stable")
+            if order is not None:
+                named, reads, size = named.take(pa.array(order)), [c.take(pa.array(order)) for c in reads], size[order]
+            at = 0
+            while at < len(size):
+                n = min(len(size) - at, max(1, CELLS // max(1, int(size[at]))))
+                while n > 1 and n * int(size[at + n - 1]) > CELLS:
+                    n = max(1, min(n - 1, CELLS // int(size[at + n - 1])))
+                part = [c.slice(at, n) for c in reads]
+                yield pa.RecordBatch.from_arrays([named.slice(at, n), *(_pairs(part, limits, correct, high, low) if plain else singly(part))], names)
+                at += n
 
     return pairs.select(F.col("name").cast("string").alias("name"), *columns).mapInArrow(of, schema)
 

@@ -185,8 +185,8 @@ _FIRST_ADAPTER, _SECOND_ADAPTER = "AGATCGGAAGAGCACACGTCTGAACTCCAGTCAC", "AGATCGG
 
 def _mates(spark: SparkSession, d: str) -> DataFrame:
     """Pairs of 75 bases from inserts of 42 to 140, which are made of each read's id."""
-    rows = proxies.reads(spark, d).selectExpr("id AS name", f"substring(translate(concat(md5(id), md5(concat(id, 'a')), md5(concat(id, 'b')), md5(concat(id, 'c')), md5(concat(id, 'd'))), {_LETTERS}), 1, CAST(40 + 2 * (`end` - start) AS INT)) AS whole")
-    pairs = rows.selectExpr("name", f"substring(concat(whole, '{_FIRST_ADAPTER}'), 1, 75) AS seq1", "repeat('I', 75) AS qual1", f"substring(concat(reverse(translate(whole, 'ACGT', 'TGCA')), '{_SECOND_ADAPTER}'), 1, 75) AS seq2", "repeat('I', 75) AS qual2")
+    rows = proxies.reads(spark, d).selectExpr("id AS name", f"translate(substring(concat(md5(id), md5(concat(id, 'a')), md5(concat(id, 'b')), md5(concat(id, 'c')), md5(concat(id, 'd'))), 1, CAST(40 + 2 * (`end` - start) AS INT)), {_LETTERS}) AS whole")
+    pairs = rows.selectExpr("name", f"substring(concat(whole, '{_FIRST_ADAPTER}'), 1, 75) AS seq1", "repeat('I', 75) AS qual1", f"substring(concat(translate(substring(reverse(whole), 1, 75), 'ACGT', 'TGCA'), '{_SECOND_ADAPTER}'), 1, 75) AS seq2", "repeat('I', 75) AS qual2")
     return mates.overlap_mates(pairs).selectExpr("name", "insert", "overlap", "mismatches", "md5(merged_seq) AS merged_md5", "md5(seq1) AS md5_1", "md5(seq2) AS md5_2")
 
 

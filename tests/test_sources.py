@@ -4,6 +4,7 @@ import random
 import struct
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -122,6 +123,32 @@ def test_far_places_are_no_false_starts(tmp_path):
     assert sum(b.num_rows for p in reader.partitions() for b in reader.read(p)) == 3000
 
 
+def test_batches_as_records_one_by_one(monkeypatch):
+    """Batches are encoded and decoded to the bytes and rows that each record gives by itself."""
+    rng = random.Random(8)
+    rows = []
+    for i in range(500):
+        n = rng.choice([0, 1, 2, 7, 50, 151])
+        seq, qual = "".join(rng.choice("ACGTNacgRx=") for _ in range(n)), "".join(chr(34 + rng.randint(0, 59)) for _ in range(n))
+        chrom, start = rng.choice(["chr1", "chr2", "other", None]), rng.choice([-1, 0, 5, 16_380, 131_070, 70_000_000, (1 << 29) - 3])
+        tags = [(rng.choice(["NM", "XT", "RX"]), rng.choice(["", "AC", "a b:c", "é"])) for _ in range(rng.randint(0, 3))]
+        rows.append({"name": f"read{i}", "flag": rng.choice([0, 16, 99, 2047]), "chrom": chrom, "start": start, "end": start + rng.choice([0, 1, 90, 20_000]), "strand": "+", "mapq": rng.randint(0, 60), "cigar": rng.choice([None, "*", f"{n}M", "3S5M2D1=", "1M" * 300]), "mate_chrom": rng.choice([None, "chr2"]), "mate_start": rng.choice([-1, 77]), "tlen": rng.randint(-300, 300), "seq": rng.choice([seq or "*"]) if n else rng.choice([None, "*"]), "qual": rng.choice([qual, None, "*"]) if n > 1 else None, "tags": tags})
+    number = {"chr1": 0, "chr2": 1}
+    whole = pa.RecordBatch.from_pylist([{**r, "tags": list({**dict(r["tags"])}.items())} for r in rows], bam._ARROW)
+    records = [bam.encode(r, number) for r in whole.to_pylist()]
+    decoded = bam._batch([bam.decode(r[4:], ["chr1", "chr2"]) for r in records])
+    at = np.cumsum([0, *map(len, records)])
+    for name in ("encode", "decode"):
+        monkeypatch.setattr(bam, name, None)
+    for low, high in ((0, 500), (123, 321), (7, 8), (9, 9)):
+        got = bam.encode_all(whole.slice(low, high - low), number) if high > low else b""
+        assert got == b"".join(records[low:high])
+    data = b"".join(records)
+    assert bam.decode_all(data, at[:-1] + 4, np.diff(at) - 4, ["chr1", "chr2"]).to_pylist() == decoded.to_pylist()
+    with pytest.raises(TypeError):  # what is no plain record goes by itself
+        bam.encode_all(whole.slice(0, 1).set_column(1, "flag", pa.array([70_000], pa.int32())), number)
+
+
 def test_bins():
     assert [bam._bin(a, b) for a, b in ((0, 1), (0, 1 << 14), (16_000, 17_000), (0, 1 << 29), (1 << 28, (1 << 28) + 5))] == [4681, 4681, 585, 0, 4681 + (1 << 14)]
     assert np.array_equal(bam._PAIRS[0x12], np.frombuffer(b"AC", np.uint8))

@@ -10,6 +10,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions import ragged
+
 _COMPLEMENT = bytes.maketrans(b"ACGTNacgtn", b"TGCANtgcan")
 _OTHER = np.frombuffer(_COMPLEMENT, np.uint8)
 #: Letters of either mate that are worked on at a time, padded; bases that are compared first.
@@ -63,14 +65,6 @@ def _pair(s1: str, q1: str, s2: str, q2: str, limits: tuple[int, int, float], co
     return offset, size, unlike, insert, fixed, a.decode(), qa.decode(), mate.decode(), mate_quality.decode(), merged.decode(), quality.decode()
 
 
-def _letters(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The bytes of all texts, one after the other, and how many each has."""
-    texts = texts.cast(pa.large_string())
-    offsets = np.frombuffer(texts.buffers()[1], np.int64, len(texts) + 1, texts.offset * 8)
-    data = texts.buffers()[2]
-    return np.frombuffer(data, np.uint8, offsets[-1] - offsets[0], offsets[0]) if data and offsets[-1] > offsets[0] else np.zeros(0, np.uint8), np.diff(offsets)
-
-
 def _square(letters: np.ndarray, size: np.ndarray, pad: int, flip: bool = False) -> np.ndarray:
     """A row for each text, padded at its end; flipped texts begin with their last letter."""
     wide = int(size.max(initial=0))
@@ -81,9 +75,7 @@ def _square(letters: np.ndarray, size: np.ndarray, pad: int, flip: bool = False)
 
 def _texts(rows: np.ndarray, size: np.ndarray) -> pa.Array:
     """The first letters of each row as texts."""
-    letters = rows[np.arange(rows.shape[1]) < size[:, None]]
-    offsets = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
-    return pa.Array.from_buffers(pa.large_string(), len(size), [None, pa.py_buffer(offsets), pa.py_buffer(letters)]).cast(pa.string())
+    return ragged.texts(rows[np.arange(rows.shape[1]) < size[:, None]], size)
 
 
 def best_offsets(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray, least: int, most: int, share: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -121,7 +113,7 @@ def _pairs(part: list[pa.Array], limits: tuple[int, int, float], correct: bool,
     known = np.ones(len(part[0]), bool)
     for c in part:
         known &= c.is_valid().to_numpy(zero_copy_only=False)
-    (s1, n1), (q1, m1), (s2, n2), (q2, m2) = (_letters(pc.fill_null(c, "")) for c in part)
+    (s1, n1), (q1, m1), (s2, n2), (q2, m2) = (ragged.letters(pc.fill_null(c, "")) for c in part)
     a, qa, c, qc, b, qb = _square(s1, n1, _PAD[0]), _square(q1, m1, 0), _square(s2, n2, _PAD[1]), _square(q2, m2, 0), _square(_OTHER[s2], n2, _PAD[1], flip=True), _square(q2, m2, 0, flip=True)
     offset, length, unlike = best_offsets(a, b, n1, n2, *limits)
     found = (length > 0) & known

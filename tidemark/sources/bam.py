@@ -16,19 +16,26 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 
+from tidemark.functions import ragged
+
 SCHEMA = "name string, flag int, chrom string, start long, end long, strand string, mapq int, cigar string, mate_chrom string, mate_start long, tlen int, seq string, qual string, tags map<string,string>"
-#: Bytes of a range, and rows of a batch.
-SPLIT, ROWS = 32 << 20, 2000
+#: Bytes of a range, and rows and bytes of a batch.
+SPLIT, ROWS, BYTES = 32 << 20, 2000, 8 << 20
 #: Fixed values of the format: letters of bases and of CIGAR operations, and which operations use up the reference.
 BASES, OPS, ON_REFERENCE = b"=ACMGRSVTWYHKDBN", "MIDNSHP=X", (0, 2, 3, 7, 8)
 _FIXED = struct.Struct("<iiBBHHHiiii")
 _NUMBER = {"c": "<b", "C": "<B", "s": "<h", "S": "<H", "i": "<i", "I": "<I", "f": "<f"}
 _PAIRS = np.frombuffer(bytes(BASES[k] for n in range(256) for k in (n >> 4, n & 15)), np.uint8).reshape(256, 2)
 _CHAIN = 6
+#: The fixed part of a record, its size before it, and the code of each letter.
+_PART = np.dtype([("ref", "<i4"), ("pos", "<i4"), ("name", "u1"), ("mapq", "u1"), ("bin", "<u2"), ("ops", "<u2"), ("flag", "<u2"), ("bases", "<i4"), ("mate", "<i4"), ("mate_pos", "<i4"), ("tlen", "<i4")])
+_WHOLE = np.dtype([("size", "<i4"), *_PART.descr])
+_CODES = np.array([BASES.index(c) if c in BASES else 15 for c in bytes(range(256)).upper()], np.uint8)
 _ARROW = pa.schema(
     [(c, t) for c, t in zip(["name", "flag", "chrom", "start", "end", "strand", "mapq", "cigar", "mate_chrom", "mate_start", "tlen", "seq", "qual", "tags"],
     [pa.string(), pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int32(), pa.string(), pa.string(), pa.int64(), pa.int32(), pa.string(), pa.string(), pa.map_(pa.string(), pa.string())], strict=True)]
@@ -242,6 +249,15 @@ def _tags(data: bytes) -> dict[str, object]:
     return out
 
 
+def _as_text(tags: dict[str, object]) -> list[tuple[str, str]]:
+    return [(k, ",".join([v[0], *(f"{x:g}" if v[0] == "f" else str(x) for x in v[1].tolist())]) if isinstance(v, tuple) else v) for k, v in tags.items()]
+
+
+def _cigar(ops: np.ndarray) -> tuple[str, int]:
+    """Operations as text, and how much of the reference they use."""
+    return "".join(f"{x >> 4}{OPS[x & 15]}" for x in ops.tolist()) or "*", int((ops >> 4)[np.isin(ops & 15, ON_REFERENCE)].sum())
+
+
 def decode(record: bytes, contigs: list[str]) -> tuple:
     """A record, without its size, as a row."""
     ref, pos, n_name, mapq, _, n_ops, flag, n_bases, mate, mate_pos, tlen = _FIXED.unpack_from(record)
@@ -256,13 +272,52 @@ def decode(record: bytes, contigs: list[str]) -> tuple:
     if n_ops == 2 and isinstance(long, tuple) and ops[0] == n_bases << 4 | 4 and ops[1] & 15 == 3:  # more operations than a record has room for
         ops = tags.pop("CG")[1]
     qual = "*" if not n_bases or quality[0] == 255 else (quality + 33).tobytes().decode()
-    used = int((ops >> 4)[np.isin(ops & 15, ON_REFERENCE)].sum())
-    cigar = "".join(f"{x >> 4}{OPS[x & 15]}" for x in ops.tolist()) or "*"
-    text = [(k, ",".join([v[0], *(f"{x:g}" if v[0] == "f" else str(x) for x in v[1].tolist())]) if isinstance(v, tuple) else v) for k, v in tags.items()]
+    cigar, used = _cigar(ops)
+    text = _as_text(tags)
     name = record[32 : 31 + n_name].decode()
     return name, flag, contigs[ref] if ref >= 0 else None, pos, pos + used, "-" if flag & 16 else "+", mapq, cigar, contigs[mate] if mate >= 0 else None, mate_pos, tlen, seq, qual, text
 
 
+def _alike(data: bytes, begin: np.ndarray, end: np.ndarray) -> tuple[list[bytes], np.ndarray]:
+    """The different pieces of data, and which of them each one is."""
+    seen: dict[bytes, int] = {}
+    which = np.array([seen.setdefault(data[a:b], len(seen)) for a, b in zip(begin.tolist(), end.tolist(), strict=True)], np.int64)
+    return list(seen), which
+
+
+def decode_all(data: bytes, at: np.ndarray, size: np.ndarray, contigs: list[str]) -> pa.RecordBatch:
+    """decode for many records, which begin at `at` without their size: operations and tags that repeat are read once."""
+    raw = np.frombuffer(data, np.uint8)
+    part = raw[at[:, None] + np.arange(_PART.itemsize)].view(_PART)[:, 0]
+    n_name, n_ops, n = np.maximum(part["name"].astype(np.int64), 1), part["ops"].astype(np.int64), part["bases"].astype(np.int64)
+    on_ops = at + 32 + n_name
+    on_seq = on_ops + 4 * n_ops
+    on_qual = on_seq + (n + 1) // 2
+    names = raw[ragged.places(at + 32, n_name - 1)]
+    missing = (n == 0) | (raw[np.minimum(on_qual, len(raw) - 1)] == 255)
+    n_qual = np.where(missing, 0, n)
+    qual = raw[ragged.places(on_qual, n_qual)]
+    tags, of_tags = _alike(data, on_qual + n, at + size)
+    tags = [_tags(x) for x in tags]
+    if names.max(initial=0) > 127 or qual.max(initial=0) > 126 - 33 or any("CG" in x for x in tags):
+        return _batch([decode(data[a : a + b], contigs) for a, b in zip(at.tolist(), size.tolist(), strict=True)])
+    ops, of_ops = _alike(data, on_ops, on_seq)
+    ops = [_cigar(np.frombuffer(x, "<u4")) for x in ops]
+    seq = _PAIRS[raw[ragged.places(on_seq, (n + 1) // 2)]].ravel()
+    keep = np.ones(len(seq), bool)
+    keep[np.cumsum(n + n % 2)[n % 2 == 1] - 1] = False  # the half byte beyond an odd number of bases
+    whole = pa.array(contigs, pa.string())
+    contig = lambda x: whole.take(pa.array(x, pa.int64(), mask=x < 0))
+    star = lambda none, x: pc.if_else(pa.array(none), pa.scalar("*"), x)
+    start = part["pos"].astype(np.int64)
+    used = np.array([u for _, u in ops], np.int64)[of_ops]
+    columns = [
+        ragged.texts(names, n_name - 1), part["flag"], contig(part["ref"]), start, start + used, pa.array(["+", "-"]).take(pa.array(part["flag"] >> 4 & 1)), part["mapq"], pa.array([x for x, _ in ops], pa.string()).take(pa.array(of_ops)), contig(part["mate"]), part["mate_pos"], part["tlen"],
+        star(n == 0, ragged.texts(seq[keep], n)), star(missing, ragged.texts(qual + 33, n_qual)), pa.array([_as_text(x) for x in tags], _ARROW.field("tags").type).take(pa.array(of_tags)),
+    ]
+    return pa.RecordBatch.from_arrays([x if isinstance(x, pa.Array) else pa.array(x.astype(f.type.to_pandas_dtype())) for x, f in zip(columns, _ARROW, strict=True)], schema=_ARROW)
+
+
 def _bin(start: int, end: int) -> int:
     """The smallest of the format's nested bins that holds an interval."""
     for shift, first in ((14, 4681), (17, 585), (20, 73), (23, 9), (26, 1)):
@@ -271,16 +326,21 @@ def _bin(start: int, end: int) -> int:
     return 0
 
 
-def encode(row: dict, number: dict[str, int]) -> bytes:
-    """A row as a record with its size; tags become text."""
+def _ops(cigar: str | None) -> list[int]:
     ops = []
     n = ""
-    for c in row["cigar"] if row["cigar"] not in (None, "*") else "":
+    for c in cigar if cigar not in (None, "*") else "":
         if c.isdigit():
             n += c
         else:
             ops.append(int(n) << 4 | OPS.index(c))
             n = ""
+    return ops
+
+
+def encode(row: dict, number: dict[str, int]) -> bytes:
+    """A row as a record with its size; tags become text."""
+    ops = _ops(row["cigar"])
     seq = b"" if row["seq"] in (None, "*") else row["seq"].encode()
     codes = np.array([BASES.index(c) if c in BASES else 15 for c in seq.upper()] + [0] * (len(seq) % 2), np.uint8)
     qual = b"\xff" * len(seq) if row["qual"] in (None, "*") else bytes(c - 33 for c in row["qual"].encode())
@@ -298,6 +358,64 @@ def encode(row: dict, number: dict[str, int]) -> bytes:
     return struct.pack("<i", len(body)) + body
 
 
+def encode_all(batch: pa.RecordBatch, number: dict[str, int]) -> bytes:
+    """encode for all rows of a batch, one after the other. What does not fit into a record, or needs the tag of long operations, goes row by row."""
+    singly = lambda: b"".join(encode(r, number) for r in batch.to_pylist())
+    column = {c: x for c, x in zip(batch.schema.names, batch.columns, strict=True)}
+    tags = column["tags"]
+    if not batch.num_rows or any(column[c].null_count for c in ("name", "flag", "start", "end", "mapq", "mate_start", "tlen", "tags")):
+        return singly()
+    value = {c: column[c].to_numpy(zero_copy_only=False).astype(np.int64) for c in ("flag", "start", "end", "mapq", "mate_start", "tlen")}
+    bounds = {"flag": (0, 0xFFFF), "mapq": (0, 0xFF), "start": (-(1 << 31), (1 << 31) - 1), "mate_start": (-(1 << 31), (1 << 31) - 1)}
+    names, n_name = ragged.letters(column["name"])
+    coded = column["cigar"].cast(pa.string()).fill_null("*").dictionary_encode()
+    ops = [np.array(_ops(x), "<u4") for x in coded.dictionary.to_pylist()]
+    n_ops, which = np.array([len(x) for x in ops], np.int64), coded.indices.to_numpy()
+    begin, end = np.maximum(value["start"], 0), np.maximum(np.maximum(value["end"], value["start"] + 1), 1)
+    bins = np.zeros(len(begin), np.int64)
+    for shift, first in ((26, 1), (23, 9), (20, 73), (17, 585), (14, 4681)):
+        bins = np.where(begin >> shift == (end - 1) >> shift, first + (begin >> shift), bins)
+    if any(((x < low) | (x > high)).any() for x, (low, high) in ((value[c], b) for c, b in bounds.items())) or n_name.max(initial=0) > 254 or n_ops.max(initial=0) > 0xFFFF or bins.max(initial=0) > 0xFFFF:
+        return singly()
+    given = {c: pc.not_equal(column[c].cast(pa.string()).fill_null("*"), "*") for c in ("seq", "qual")}
+    seq, n = ragged.letters(pc.if_else(given["seq"], column["seq"].cast(pa.string()), ""))
+    qual, n_qual = ragged.letters(pc.if_else(given["qual"], column["qual"].cast(pa.string()), ""))
+    has = given["qual"].to_numpy(zero_copy_only=False)
+    keys, items = (x.slice(tags.offsets[0].as_py(), tags.offsets[-1].as_py() - tags.offsets[0].as_py()) for x in (tags.keys, tags.items))
+    if (n_qual[has] != n[has]).any() or qual.min(initial=33) < 33 or items.null_count:
+        return singly()
+    half = (n + 1) // 2
+    codes = np.zeros(2 * int(half.sum()), np.uint8)
+    codes[ragged.places(2 * (np.cumsum(half) - half), n)] = _CODES[seq]
+    quality = np.full(int(n.sum()), 255, np.uint8)
+    quality[ragged.places((np.cumsum(n) - n)[has], n[has])] = qual - 33
+    (k, n_key), (v, n_item) = ragged.letters(keys), ragged.letters(items)
+    long = n_key + n_item + 2
+    at = np.cumsum(long) - long
+    text = np.zeros(int(long.sum()), np.uint8)
+    text[ragged.places(at, n_key)], text[at + n_key], text[ragged.places(at + n_key + 1, n_item)] = k, ord("Z"), v
+    n_text = np.diff(np.concatenate([[0], np.cumsum(long)])[tags.offsets.to_numpy() - tags.offsets[0].as_py()])
+    fixed = np.zeros(len(n), _WHOLE)
+    contig = {c: column[c].cast(pa.string()).dictionary_encode() for c in ("chrom", "mate_chrom")}
+    ref, mate = (np.array([*(number.get(c, -1) for c in x.dictionary.to_pylist()), -1], np.int64)[x.indices.fill_null(len(x.dictionary)).to_numpy()] for x in contig.values())
+    size = 36 + n_name + 1 + 4 * n_ops[which] + half + n + n_text
+    for c, x in zip(_WHOLE.names, (size - 4, ref, value["start"], n_name + 1, value["mapq"], bins, n_ops[which], value["flag"], n, mate, value["mate_start"], value["tlen"]), strict=True):
+        fixed[c] = x
+    out = np.zeros(int(size.sum()), np.uint8)
+    at = np.cumsum(size) - size
+    out[at[:, None] + np.arange(_WHOLE.itemsize)] = fixed.view(np.uint8).reshape(len(n), -1)
+    at = at + 36
+    out[ragged.places(at, n_name)] = names
+    at = at + n_name + 1
+    words = np.concatenate([*ops, np.zeros(0, "<u4")]).astype("<u4").view(np.uint8)
+    out[ragged.places(at, 4 * n_ops[which])] = words[ragged.places(4 * (np.cumsum(n_ops) - n_ops)[which], 4 * n_ops[which])]
+    at = at + 4 * n_ops[which]
+    out[ragged.places(at, half)] = codes[::2] << 4 | codes[1::2]
+    out[ragged.places(at + half, n)] = quality
+    out[ragged.places(at + half + n, n_text)] = text
+    return out.tobytes()
+
+
 def header(contigs: list[tuple[str, int]]) -> bytes:
     text = "".join(f"@SQ\tSN:{c}\tLN:{n}\n" for c, n in contigs).encode()
     return b"BAM\1" + struct.pack("<I", len(text)) + text + struct.pack("<I", len(contigs)) + b"".join(struct.pack("<I", len(c) + 1) + c.encode() + b"\0" + struct.pack("<I", n) for c, n in contigs)
@@ -342,19 +460,26 @@ class BamReader(DataSourceReader):
                 at = first_record(stream, len(names), part.end)
             else:
                 stream = head
-            rows: list[tuple] = []
+            begins: list[int] = []
+            ends: list[int] = []
+
+            def batch() -> pa.RecordBatch:
+                begin, end = np.array(begins), np.array(ends)
+                return decode_all(stream.get(begins[0], ends[-1] - begins[0]), begin - begins[0], end - begin, names)
+
             while at is not None and stream.need(at + 4) and stream.block_of(at) < part.end:
                 size = int.from_bytes(stream.get(at, 4), "little")
                 if not stream.need(at + 4 + size):
                     raise ValueError(f"{part.path} ends within a record")
-                rows.append(decode(stream.get(at + 4, size), names))
+                begins.append(at + 4)
                 at += 4 + size
-                stream.drop(at)
-                if len(rows) == ROWS:
-                    yield _batch(rows)
-                    rows = []
-            if rows:
-                yield _batch(rows)
+                ends.append(at)
+                if len(begins) == ROWS or at - begins[0] > BYTES:
+                    yield batch()
+                    begins, ends = [], []
+                    stream.drop(at)
+            if begins:
+                yield batch()
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -380,7 +505,7 @@ class BamWriter(DataSourceArrowWriter):
         with files.open_output_stream(name) as out:
             out.write(deflate(header(self.contigs)))
             for b in batches:
-                out.write(deflate(b"".join(encode(r, number) for r in b.to_pylist())))
+                out.write(deflate(encode_all(b, number)))
             out.write(END)
         return Written(name)
 

@@ -255,7 +255,8 @@ def _as_text(tags: dict[str, object]) -> list[tuple[str, str]]:
 
 def _cigar(ops: np.ndarray) -> tuple[str, int]:
     """Operations as text, and how much of the reference they use."""
-    return "".join(f"{x >> 4}{OPS[x & 15]}" for x in ops.tolist()) or "*", int((ops >> 4)[np.isin(ops & 15, ON_REFERENCE)].sum())
+    words = ops.tolist()
+    return "".join([f"{x >> 4}{OPS[x & 15]}" for x in words]) or "*", sum([x >> 4 for x in words if x & 15 in ON_REFERENCE])
 
 
 def decode(record: bytes, contigs: list[str]) -> tuple:
